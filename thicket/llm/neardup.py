@@ -3,18 +3,18 @@
 A text's distinct word shingles are summarised by ``CHUNKS * WIDTH`` b-bit
 min-wise symbols.  The signature is split into ``CHUNKS`` chunks; by the
 pigeonhole principle two signatures that differ in fewer than
-``CHUNKS * (ERRORS + 1)`` symbols have a chunk with at most ``ERRORS``
-differing symbols.  With one allowed error that chunk agrees on all symbols
-but one, so each text is entered under ``WIDTH`` keys a chunk, one for each
+``2 * CHUNKS`` symbols have a chunk with at most one differing symbol.  That
+chunk agrees on all symbols but one, so each text is entered under ``WIDTH`` keys a chunk, one for each
 symbol left out: every pair under the signature-distance threshold shares a
 key.  A pair of Jaccard similarity 0.8 shares no key with a probability of
-about 4e-8.
+about 4e-6, one of 0.85 with 3e-9; unrelated texts must agree in seven symbols.
 
 Texts with equal shingle sets are one class and only its least document takes
 part.  Within a key, each document is paired with the least one of the key, so
-the number of pairs is linear in the key's size; documents that are already
-joined need no further pair, and only documents of a key that are still in
-different components are then paired with each other, first filtered by
+the number of pairs is linear in the key's size.  Of a document's pairs those
+with the most shared keys are confirmed first, and documents that are already
+joined need no further pair.  At last, documents of a key that are still in
+different components are paired with each other.  Pairs are first filtered by
 signature distance.  Every link is confirmed on the full shingle sets.
 """
 
@@ -31,7 +31,7 @@ from thicket.llm import tokens
 from thicket.llm.components import connected_components
 from thicket.llm.runtime import bounded_batches, materialise
 
-CHUNKS, WIDTH, SYMBOL_BITS, SEED = 16, 6, 16, 6
+CHUNKS, WIDTH, SEED = 18, 8, 6
 #: Pairs that agree in fewer symbols are not confirmed: at similarity s the
 #: agreement has mean K*s; this many standard deviations are allowed for.
 SLACK = 5.5
@@ -89,7 +89,7 @@ def _near_signatures(threshold: float):
             left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, k) for c in ("sig_a", "sig_b"))
             agree = (left == right).sum(axis=1).astype(np.int32)
             near = pa.array(agree >= least)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(agree)], ["a", "b", "agree"]).filter(near)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(near)
 
     return run
 
@@ -141,7 +141,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     def filtered(pairs: DataFrame) -> DataFrame:
         left, right = (signed.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-        return pairs.join(left, "a").join(right, "b").filter(sizes).select("a", "b", "sig_a", "sig_b").mapInArrow(_near_signatures(percent / 100), "a long, b long, agree int")
+        return pairs.join(left, "a").join(right, "b").filter(sizes).select("a", "b", "sig_a", "sig_b").mapInArrow(_near_signatures(percent / 100), "a long, b long")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -156,25 +156,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         """The pairs whose documents are still in different components."""
         for x in "ab":
             pairs = pairs.join(found.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}")), x, "left")
-        return materialise(pairs.filter("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b", "agree"), "pairs")
+        return materialise(pairs.filter("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b", "shared"), "pairs")
 
-    least_pairs = members.filter("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct()
-    left = materialise(filtered(least_pairs), "pairs")
+    stars = members.filter("doc_id <> least").groupBy(F.col("doc_id").alias("a"), F.col("least").alias("b")).agg(F.count("*").alias("shared"))
+    left = materialise(stars, "stars")
     refused = spark.createDataFrame([], "a long, b long")
-    for width in (1, 8, None):
-        # Of each document's open pairs, confirm those with the most equal symbols; at last all of every open key.
+    for width in (1, 4, 16, 0):
         if width:
-            rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("agree"), "b"))
-            chosen = left.withColumn("rank", rank).filter(F.col("rank") <= width).drop("rank")
+            rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
+            chosen = left.withColumn("rank", rank).filter(F.col("rank") <= width).select("a", "b")
         else:
-            chosen = filtered(_across(members, heads, found).join(refused, ["a", "b"], "left_anti"))
+            chosen = _across(members, heads, found).join(refused, ["a", "b"], "left_anti")
         chosen = materialise(chosen, "chosen")
         if not chosen.head(1):
             continue
-        refused = refused.unionByName(chosen.select("a", "b"))
-        links = materialise(links.unionByName(confirmed(chosen)), "links")
+        refused = refused.unionByName(chosen)
+        links = materialise(links.unionByName(confirmed(materialise(filtered(chosen), "near"))), "links")
         found = connected_components(links)
-        left = opened(left.join(chosen, ["a", "b"], "left_anti"))
+        if width:
+            left = opened(left.join(chosen, ["a", "b"], "left_anti"))
 
     parts = found.withColumnRenamed("node", "head")
     inner = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(heads.select("n_shingles", "set_a", "set_b", "head"), ["n_shingles", "set_a", "set_b"])
