@@ -13,6 +13,7 @@ from thicket.llm.neardup import near_duplicates
 from thicket.llm.pii import pseudonymise
 from thicket.llm.quality import quality_sample
 from thicket.llm.sentencepiece_codec import encode_decode
+from thicket.llm.token_files import token_file_digest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

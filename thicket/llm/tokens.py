@@ -23,6 +23,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 FOLD = np.arange(256, dtype=np.uint64) + np.uint64(1)
 FOLD[65:91] += np.uint64(32)
+EXACT = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -77,12 +78,12 @@ def word_spans(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray) -> tuple
     return np.flatnonzero(solid & before), np.flatnonzero(solid & after) + 1
 
 
-def _hash_piece(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_piece(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, table: np.ndarray = FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = word_spans(data, firsts, lasts)
     up, down = _power_tables(len(data) + 1)
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(FOLD[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(table[data] * up[: len(data)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
     hashes += (ends - starts).astype(np.uint64) * _M1
     return mix(hashes), starts, ends
