@@ -9,17 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thicket.llm.decontaminate import contained_items
+from thicket.llm.fingerprint import edited_fingerprints
 from thicket.llm.neardup import near_duplicates
 from thicket.llm.pii import pseudonymise
 from thicket.llm.quality import quality_sample
 from thicket.llm.sentencepiece_codec import encode_decode
 from thicket.llm.token_files import token_file_digest
+from thicket.llm.warc import archive_round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +34,10 @@ def op4_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_sample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
