@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from thicket.llm.decontaminate import contained_items
 from thicket.llm.fingerprint import edited_fingerprints
+from thicket.llm.language_model import score_documents
 from thicket.llm.neardup import near_duplicates
 from thicket.llm.pii import pseudonymise
 from thicket.llm.quality import quality_sample
@@ -26,6 +27,10 @@ def op1_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
