@@ -17,6 +17,7 @@ from thicket.llm.quality import quality_sample
 from thicket.llm.sentencepiece_codec import encode_decode
 from thicket.llm.token_files import token_file_digest
 from thicket.llm.warc import archive_round_trip
+from thicket.llm.wrappers import main_texts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(_table(spark, sf_dir, "documents"))
 
