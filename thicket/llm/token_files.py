@@ -15,9 +15,12 @@ distinct word is encoded once a task.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -30,37 +33,67 @@ from thicket.llm.ranges import range_bounds, range_id
 from thicket.llm.runtime import bounded_batches, commit_shared, materialise, open_shared, workspace
 
 LENGTH, ROWS = 1024, 64
-#: Words whose ids a task remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Bits of the table of remembered words, and ids held before it starts anew.
+TABLE_BITS, REMEMBERED = 20, 24_000_000
+#: Words that the tokenizer's own rules split into letters and one mark, whatever stands around them.
+PLAIN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+[.,;:!?]?")
 
 
 class WordEncoder:
-    """Encodes texts word by word; a word is what stands between ASCII white space."""
+    """Encodes texts word by word; a word is what stands between ASCII white space.
+
+    Ids of words are remembered in a direct-mapped table keyed by word hash, in
+    which a newer word displaces an older one, so its memory is fixed.  Plain
+    words are handed to the library many at a time, joined by spaces, and told
+    apart by the tokens that end a word; all others are encoded one by one.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.first, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(1 << 16, self.wide), 0
-
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        n, count = len(self.known), len(words)
-        while n + count > len(self.first):
+        self.keys, self.slots = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.int64)
+        self.first, self.size, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
+        self.flat, self.used = np.zeros(1 << 18, self.wide), 0
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Slots of newly encoded words."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + len(sizes) > len(self.first):
             self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
-        for i, (h, coded) in enumerate(zip(hashes, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)), n):
-            ids = coded.ids
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.first[i], self.size[i] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[h] = i
+        new = slice(self.count, self.count + len(sizes))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[new], self.size[new] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used += len(ids)
+        self.count += len(sizes)
+        return np.arange(new.start, new.stop)
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        slots = np.zeros(len(words), np.int64)
+        plain = [i for i, w in enumerate(words) if PLAIN.fullmatch(w)]
+        for k in range(0, len(plain), 4000):
+            part = plain[k : k + 4000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words[i] for i in part)], add_special_tokens=False)[0].ids, np.int64)
+            marks = np.array([1 if words[i][-1].isalpha() else 2 for i in part])
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != marks.sum() or ends[-1] != len(ids):
+                raise AssertionError("the tokenizer does not mark word ends as expected")
+            slots[part] = self._add(ids, np.diff(ends[np.cumsum(marks) - 1], prepend=0))
+        other = sorted(set(range(len(words))) - set(plain))
+        for k in range(0, len(other), 1000):
+            part = other[k : k + 1000]
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)]
+            slots[part] = self._add(np.array([x for c in coded for x in c], np.int64), np.array([len(c) for c in coded]))
+        return slots
 
     def encode(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids of a run of rows, tokens per row), runs in row order."""
@@ -75,15 +108,18 @@ class WordEncoder:
         hashes, starts, ends = tokens._hash_piece(data, firsts, lasts, tokens.EXACT)
         if not len(hashes):
             return np.zeros(0, self.wide), np.zeros(len(firsts), np.int64)
-        unique, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > REMEMBERED:
+        if self.used > REMEMBERED:
             self.forget()
-        listed = unique.tolist()
-        new = [i for i, h in enumerate(listed) if h not in self.known]
-        if new:
+        at = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        slots = self.slots[at]
+        missing = np.flatnonzero(self.keys[at] != hashes)
+        if len(missing):
+            unique, where, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
             raw = data.tobytes()
-            self._learn([listed[i] for i in new], [raw[starts[at[i]] : ends[at[i]]].decode("utf-8", "replace") for i in new])
-        slots = np.fromiter((self.known[h] for h in listed), np.int64, len(listed))[back]
+            learnt = self._learn([raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in missing[where].tolist()])
+            slots[missing] = learnt[back]
+            to = (unique >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+            self.keys[to], self.slots[to] = unique, learnt
         sizes = self.size[slots]
         total = int(sizes.sum())
         where = np.arange(total) + np.repeat(self.first[slots] - (np.cumsum(sizes) - sizes), sizes)
@@ -92,6 +128,12 @@ class WordEncoder:
         return self.flat[where], np.diff(running[words])
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder a worker; it is kept from task to task."""
+    return WordEncoder(path)
+
+
 class _Shard:
     """Writes one shard; nothing longer than a batch and one text's ids is held."""
 
@@ -142,7 +184,7 @@ class _Shard:
 
 def _write(path: str, folder: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, done = WordEncoder(path), None, []
+        encoder, shard, done = word_encoder(path), None, []
         for batch in batches:
             number = batch.column(0).to_numpy()
             cuts = np.flatnonzero(np.diff(number)) + 1
