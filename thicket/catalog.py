@@ -1,11 +1,6 @@
 """All queries of the library and their SQL."""
 
-from __future__ import annotations
+from thicket.plans.oracles import oracle_sql
+from thicket.plans.queries import queries
 
-
-def queries() -> dict:
-    return {}
-
-
-def oracle_sql() -> dict:
-    return {}
+__all__ = ["oracle_sql", "queries"]
