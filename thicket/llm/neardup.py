@@ -34,7 +34,7 @@ from thicket.llm.runtime import bounded_batches, materialise
 CHUNKS, WIDTH, SEED = 18, 8, 6
 #: Pairs that agree in fewer symbols are not confirmed: at similarity s the
 #: agreement has mean K*s; this many standard deviations are allowed for.
-SLACK = 5.5
+SLACK = 4.5
 
 
 def _signatures(shingle: int):
