@@ -9,6 +9,7 @@ folder, so a lost executor loses no intermediate result.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import tempfile
 import uuid
@@ -17,7 +18,7 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes of an Arrow batch handed to a Python worker.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -60,6 +61,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release_memory() -> None:
+    """Gives freed memory of a worker back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def open_shared(path: str, mode: str):
     """A file of the shared folder in a Python worker: a local path or any pyarrow file system."""
     url = urlparse(path)
