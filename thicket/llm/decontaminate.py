@@ -164,5 +164,5 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, con
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, containment: float = 0.8) -> DataFrame:
     """The rows of docs, all columns, that hold no benchmark item; a null doc_id is kept."""
-    dirty = contained_items(docs, benchmark, shingle, containment).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, F.col("doc_id").cast("long") == F.col("_dirty"), "left_anti")
+    dirty = contained_items(docs, benchmark, shingle, containment).select("doc_id").distinct()
+    return docs.join(dirty, "doc_id", "left_anti")

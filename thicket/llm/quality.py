@@ -181,15 +181,15 @@ def quality_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, log_weight, sample_key, kept for every row of docs.
 
     Equal keys at the boundary are all kept.  Null and empty texts have weight
-    0 under both models and are treated like any other; a null doc_id takes
-    the noise of -1.  With no usable labels everything is kept.  Rows that
+    0 under both models and are treated like any other; a row with a null
+    doc_id cannot be told from others and is kept.  With no usable labels everything is kept.  Rows that
     repeat are sampled alike; other columns are ignored.
     """
     ratio, cut = fit(docs, labels)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = materialise(weights(text, ratio), "weights")
     bound = top_k_key(scored, scored.filter(F.col("log_weight") >= cut).count())
-    return scored.withColumn("kept", F.col("sample_key") >= bound)
+    return scored.withColumn("kept", F.col("doc_id").isNull() | (F.col("sample_key") >= bound))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -198,5 +198,4 @@ def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = materialise(weights(text, ratio), "weights")
     bound = top_k_key(scored, scored.filter(F.col("log_weight") >= cut).count())
-    ids = scored.filter(F.col("sample_key") < bound).select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_rejected")), "left_anti")
+    return docs.join(scored.filter(F.col("sample_key") < bound).select("doc_id").distinct(), "doc_id", "left_anti")
