@@ -26,8 +26,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the document of the least doc_id stays."""
-    gone = near_duplicates(docs, shingle=5, percent=80).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, shingle=5, percent=80).filter(~F.col("kept")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
