@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
-from thicket.llm.runtime import bounded_batches, materialise
+from thicket.llm.runtime import bounded_batches, lean, materialise
 
 BANDS, SEED, LEAST_CLASS = 64, 3, 8
 #: Bits of each bit map; 4 MB whatever the size of the benchmark.
@@ -66,9 +66,10 @@ def _index(shingle: int):
                 for item, key, size, band in rows:
                     yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(key.view(np.int64)), pa.array(size), pa.array(np.full(len(key), band))], ["item_id", "key", "size_class", "band"])
 
-    return run
+    return lean(run)
 
 
+@lean
 def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     maps = np.zeros((2, 1 << (MAP_BITS - 3)), np.uint8)
     classes: set[int] = set()
@@ -121,7 +122,7 @@ def _search(shingle: int, shingle_bits, band_bits, classes: list[int]):
                     minima = np.minimum.reduceat(minima, heads, axis=1)
                     blocks, size = halved, size * 2
 
-    return run
+    return lean(run)
 
 
 def _rows(ids: np.ndarray, keys: np.ndarray, band: bool) -> pa.RecordBatch:

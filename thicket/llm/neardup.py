@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from thicket.llm import tokens
 from thicket.llm.components import connected_components
-from thicket.llm.runtime import bounded_batches, materialise
+from thicket.llm.runtime import bounded_batches, lean, materialise
 
 CHUNKS, WIDTH, SEED = 18, 8, 6
 #: Pairs that agree in fewer symbols are not confirmed: at similarity s the
@@ -57,7 +57,7 @@ def _signatures(shingle: int):
                     ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
                 )
 
-    return run
+    return lean(run)
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -67,6 +67,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
+@lean
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
@@ -91,7 +92,7 @@ def _near_signatures(threshold: float):
             near = pa.array(agree >= least)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(near)
 
-    return run
+    return lean(run)
 
 
 def _confirm(shingle: int, percent: int):
@@ -110,7 +111,7 @@ def _confirm(shingle: int, percent: int):
                 linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return run
+    return lean(run)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
-from thicket.llm.runtime import bounded_batches, materialise
+from thicket.llm.runtime import bounded_batches, lean, materialise
 
 #: Default key; a deployment passes its own.
 KEY = b"thicket surrogate key"
@@ -220,6 +220,7 @@ def _worth(column: pa.Array) -> list[bool]:
     return [bool(h) or bool(TITLED.search(t)) for h, t in zip(has, column.fill_null("").to_pylist())]
 
 
+@lean
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = set()
@@ -259,7 +260,7 @@ def _mask(key: bytes, salts: dict, keep: list[str], details: bool):
                 names += ["n_entities", "entities"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return run
+    return lean(run)
 
 
 def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
-from thicket.llm.runtime import bounded_batches, materialise
+from thicket.llm.runtime import bounded_batches, lean, materialise
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 16, 1 << 13
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
@@ -70,6 +70,7 @@ def _runs(column: pa.Array) -> Iterator[tuple[int, int, Iterator[tuple[np.ndarra
             yield lo, hi, iter([_features(data, firsts, lasts)])
 
 
+@lean
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for batch in batches:
@@ -144,7 +145,7 @@ def _score(ratio: np.ndarray, keep: list[str]):
             key = np.round(weight - TEMPERATURE * np.log(-np.log(uniform)), 9)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(np.round(weight, 6)), pa.array(key)], keep + ["log_weight", "sample_key"])
 
-    return run
+    return lean(run)
 
 
 def weights(docs: DataFrame, ratio: np.ndarray, extra: str = "") -> DataFrame:

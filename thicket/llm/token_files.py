@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from thicket.llm import tokens
 from thicket.llm.ranges import range_bounds, range_id
-from thicket.llm.runtime import bounded_batches, commit_shared, materialise, open_shared, workspace
+from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, open_shared, workspace
 
 LENGTH, ROWS = 1024, 64
 #: Bits of the table of remembered words, and ids held before it starts anew.
@@ -205,7 +205,7 @@ def _write(path: str, folder: str, end_id: int):
             done.append(shard.close())
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in range(3)], ["shard", "n_docs", "n_tokens"])
 
-    return run
+    return lean(run)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2, shards: int = 0) -> DataFrame:
@@ -270,7 +270,7 @@ def _read(folder: str):
                             sums.append(crc)
                         yield pa.RecordBatch.from_arrays([index.column("doc_id"), pa.array(start + base), index.column("n_tokens"), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return run
+    return lean(run)
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thicket.llm.runtime import bounded_batches, commit_shared, materialise, open_shared
+from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, open_shared
 
 CHUNK = 256 << 10
 #: The date of all records; a parameter of the archive, not of the pages.
@@ -46,6 +46,7 @@ def record_headers(page_id: int | None, url: str | None, size: int, digest: str,
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
 
+@lean
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     archive, record = TaskContext.get().partitionId(), 0
     names = ["archive", "record_id", "chunk_no", "n_chunks", "data", "sha1_so_far"]
@@ -96,6 +97,7 @@ def _headers(data: bytes) -> tuple[dict[str, str], int]:
     return {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}, end + 4
 
 
+@lean
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Streams chunk rows in order; holds one chunk and a running digest."""
     state: dict = {}
@@ -162,7 +164,7 @@ def _export(folder: str):
             done.append((current, size))
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in ((0, pa.int32()), (1, pa.int64()))], ["archive", "bytes"])
 
-    return run
+    return lean(run)
 
 
 def export_archives(chunks: DataFrame, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thicket.llm.runtime import bounded_batches, materialise
+from thicket.llm.runtime import bounded_batches, lean, materialise
 
 # Fixed values of this module: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -269,6 +269,7 @@ def _article(root: list) -> str | None:
     return next((k for k in ("article", "main") if k in found), None)
 
 
+@lean
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list] = {}
 
@@ -286,6 +287,7 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+@lean
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     current, wrapper = None, None
     for batch in batches:
@@ -312,6 +314,7 @@ def infer_wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
     return materialise(merged.repartition("host").sortWithinPartitions("host").mapInArrow(_merge, "host string, wrapper string"), "wrappers")
 
 
+@lean
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, list] = {}
     for batch in batches:
