@@ -102,7 +102,7 @@ def lookup_csv(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 def text_folder(spark: SparkSession, path: str, pattern: str = "*.md", recursive: bool = False) -> DataFrame:
     """(name, path, content) of each file; name without its extension."""
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).text(path)
+    rows = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
     return rows.select(F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("name"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 
