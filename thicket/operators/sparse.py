@@ -29,6 +29,13 @@ class Index:
     terms: DataFrame
     stats: DataFrame
     docs: DataFrame
+    occurrences: DataFrame | None = None
+
+    def of_terms(self, terms: DataFrame) -> DataFrame:
+        """Postings of the given terms; of an index that is not stored only these terms' words are counted."""
+        if self.occurrences is None:
+            return self.postings.join(terms, "term", "left_semi")
+        return self.occurrences.join(terms, "term", "left_semi").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
 
     def save(self, path: str) -> None:
         """Parquet tables; postings are clustered by term, so a query reads few files' row groups."""
@@ -42,17 +49,19 @@ class Index:
 
 
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens=None) -> Index:
-    """The index of docs; every step is one partially aggregated shuffle."""
+    """The index of docs, whose ids are distinct; every step is one partially aggregated shuffle."""
     named = docs.withColumnRenamed(key, "doc_id") if key != "doc_id" else docs
     array = tokens(F.col(text)) if tokens else words(F.lower(F.col(text)))
     sized = named.select("doc_id", array.alias("_tokens")).select("doc_id", "_tokens", F.size("_tokens").alias("dl"))
-    postings = sized.select("doc_id", "dl", F.explode("_tokens").alias("term")).groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-    terms = postings.groupBy("term").agg(F.count("*").alias("df"))
+    occurrences = sized.select("doc_id", "dl", F.explode("_tokens").alias("term"))
+    postings = occurrences.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
+    # A document's distinct words are found in its row, so only (term, count) is shuffled.
+    terms = sized.select(F.explode(F.array_distinct("_tokens")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     lengths = sized.select("doc_id", "dl")
     totals = lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
     raw = F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     stats = totals.join(terms.crossJoin(F.broadcast(totals.select("n_docs"))).agg(F.count("*").alias("n_terms"), F.sum(raw).alias("sum_idf")))
-    return Index(postings, terms, stats, lengths)
+    return Index(postings, terms, stats, lengths, occurrences)
 
 
 def idf(model: str, epsilon: float = 0.25) -> Column:
@@ -75,7 +84,7 @@ def scores(index: Index, queries: DataFrame, model: str = "okapi", k1: float = 1
         raise ValueError(f"unknown model {model!r}; one of {MODELS}")
     wanted = queries.groupBy("query_id", "term").agg(F.count("*").alias("times"))
     weighted = wanted.join(index.terms, "term").crossJoin(F.broadcast(index.stats)).select("query_id", "term", "times", idf(model).alias("idf"), "avgdl")
-    hits = index.postings.join(weighted, "term")
+    hits = index.of_terms(wanted.select("term").distinct()).join(weighted, "term")
     part, base = _parts(model, k1, b, delta)
     matched = hits.select("query_id", "doc_id", (F.col("times") * F.col("idf") * (part - base)).alias("s")).groupBy("query_id", "doc_id").agg(F.sum("s").alias("s"))
     if model == "okapi":
