@@ -88,6 +88,22 @@ def test_near_duplicates_odd_rows(spark):
     assert neardup.near_duplicates(empty(spark), 2).count() == 0
 
 
+def test_near_duplicates_in_blocks(spark, monkeypatch):
+    """Families of many blocks and size bands give the components of brute force."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    draw = random.Random(11)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(90):
+        words = base[: 60 - i % 25] + [f"z{k}" for k in range(i % 7)]
+        for _ in range(i % 4):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(make_docs(spark, rows), 2, 80).collect()}
+    assert got == components(rows, 2, 80)
+    assert {r.component_id for r in neardup.near_duplicates(make_docs(spark, rows), 2, 100).collect()} == {c for _, c in components(rows, 2, 100).values()}
+
+
 def test_fingerprints(spark, rows):
     got = {r.doc_id: r for r in fingerprint.edited_fingerprints(make_docs(spark, rows)).collect()}
     texts = [t or "" for _, t in rows]

@@ -10,12 +10,13 @@ key.  A pair of Jaccard similarity 0.8 shares no key with a probability of
 about 4e-6, one of 0.85 with 3e-9; unrelated texts must agree in seven symbols.
 
 Texts with equal shingle sets are one class and only its least document takes
-part.  Within a key, each document is paired with the least one of the key, so
-the number of pairs is linear in the key's size.  Of a document's pairs those
-with the most shared keys are confirmed first, and documents that are already
-joined need no further pair.  At last, documents of a key that are still in
-different components are paired with each other.  Pairs are first filtered by
-signature distance.  Every link is confirmed on the full shingle sets.
+part.  Within a key, each document is tied to the least one of the key, so
+the ties are linear in the key's size; documents tied together are a family,
+and every pair that shares a key lies in one family.  A family is checked on
+its full shingle sets inside tasks: small ones whole, larger ones in pairs of
+blocks of bounded weight (see ``_units``).  A task walks the links of its
+block pair breadth first and gives back a spanning forest of them, so the
+rows made are linear in the documents however many pairs are compared.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
@@ -32,9 +33,8 @@ from thicket.llm.components import connected_components
 from thicket.llm.runtime import bounded_batches, lean, materialise
 
 CHUNKS, WIDTH, SEED = 18, 8, 6
-#: Pairs that agree in fewer symbols are not confirmed: at similarity s the
-#: agreement has mean K*s; this many standard deviations are allowed for.
-SLACK = 4.5
+#: Weight of a block of a family: a document weighs 1 for each ``HEAVY`` shingles begun.
+BLOCK, HEAVY = 128, 4096
 
 
 def _signatures(shingle: int):
@@ -81,37 +81,104 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _near_signatures(threshold: float):
-    k = CHUNKS * WIDTH
-    least = int(np.floor(k * threshold - SLACK * np.sqrt(k * threshold * (1 - threshold))))
+def _forest(ids: list[int], sides: np.ndarray, sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the links between these documents; of two sides, only links across.
+
+    Each document reached is compared at once with all that are not yet reached.
+    """
+    names = np.array(ids, np.int64)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    items = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    held = np.zeros(int(items.max()) + 1, bool)
+    across = len(np.unique(sides)) > 1
+    left = np.ones(len(ids), bool)
+    rest, rest_items, rest_starts = np.arange(len(ids)), items, bounds[:-1]
+    for seed in range(len(ids)):
+        queue = [seed] if left[seed] else []
+        left[seed] = False
+        while queue:
+            at = queue.pop()
+            count = int(left.sum())
+            if not count:
+                return
+            if 2 * count <= len(rest):
+                keep = left[rest]
+                rest_items = rest_items[np.repeat(keep, sizes[rest])]
+                rest = rest[keep]
+                rest_starts = np.cumsum(sizes[rest]) - sizes[rest]
+            own = items[bounds[at] : bounds[at + 1]]
+            held[own] = True
+            both = np.add.reduceat(held[rest_items], rest_starts, dtype=np.int64)
+            held[own] = False
+            near = left[rest] & (both > 0) & (100 * both >= percent * (sizes[at] + sizes[rest] - both))
+            if across:
+                near &= sides[rest] != sides[at]
+            for other in rest[near].tolist():
+                left[other] = False
+                queue.append(other)
+                yield int(names[at]), int(names[other])
+
+
+def _linked(shingle: int, percent: int):
+    """Links of every unit; the rows of a unit follow each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, ids, sides, sets = None, [], [], []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            found = list(_forest(ids, np.array(sides), sets, percent)) if len(ids) > 1 else []
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, k) for c in ("sig_a", "sig_b"))
-            agree = (left == right).sum(axis=1).astype(np.int32)
-            near = pa.array(agree >= least)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(near)
+            units = list(zip(*(batch.column(c).to_pylist() for c in ("family", "i", "j"))))
+            docs, side = batch.column("doc_id").to_pylist(), batch.column("side").to_pylist()
+            for lo, hi, words, counts in tokens.hashed_words(batch.column("text")):
+                shingles, made = tokens.shingle_hashes(words, counts, shingle)
+                ends = np.cumsum(made)
+                for row in range(lo, hi):
+                    if units[row] != unit:
+                        yield from links()
+                        unit, ids, sides, sets = units[row], [], [], []
+                    ids.append(docs[row])
+                    sides.append(side[row])
+                    sets.append(np.unique(shingles[ends[row - lo] - made[row - lo] : ends[row - lo]]))
+        yield from links()
 
     return lean(run)
 
 
-def _confirm(shingle: int, percent: int):
-    def sets(column: pa.Array) -> Iterator[np.ndarray]:
-        for lo, hi, words, counts in tokens.hashed_words(column):
-            shingles, made = tokens.shingle_hashes(words, counts, shingle)
-            ends = np.cumsum(made)
-            for i in range(hi - lo):
-                yield np.unique(shingles[ends[i] - made[i] : ends[i]])
+def _units(families: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, family, i, j, side): the block pairs that each document of families(doc_id, family, n_shingles) takes part in.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(sets(batch.column("text_a")), sets(batch.column("text_b"))):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return lean(run)
+    A family of at most BLOCK weight is one unit.  In a larger one, documents
+    are dealt to bands of set sizes, each band's upper end ``100 / percent``
+    times its lower, as two sets further apart cannot be linked; a band is dealt
+    to blocks by a hash of doc_id.  Units are the pairs of blocks of one band or
+    of neighbouring bands, so a document is copied once for each such block.
+    """
+    weighed = families.withColumn("weight", F.ceil(F.col("n_shingles") / HEAVY))
+    whole = weighed.groupBy("family").agg(F.sum("weight").alias("total"))
+    step = float(np.log(100 / percent)) * (1 + 1e-9)  # rounding cannot put two sizes of that ratio two bands apart
+    size = F.floor(F.log("n_shingles") / step) if percent < 100 else F.col("n_shingles")
+    band = F.when(F.col("total") <= BLOCK, 0).otherwise(size).cast("int")
+    banded = weighed.join(whole, "family").withColumn("band", band)
+    blocks = banded.groupBy("family", "band").agg(F.least(F.count("*"), F.ceil(F.sum("weight") / BLOCK)).cast("int").alias("blocks"))
+    above = blocks.select("family", (F.col("band") - 1).alias("band"), F.col("blocks").alias("next"))
+    below = blocks.select("family", (F.col("band") + 1).alias("band"), F.col("blocks").alias("last"))
+    counts = blocks.join(above, ["family", "band"], "left").join(below, ["family", "band"], "left").na.fill(0, ["next", "last"])
+    placed = banded.join(counts, ["family", "band"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    name = lambda b, k: F.struct(b.cast("int").alias("band"), k.cast("int").alias("block"))
+    mine = name(F.col("band"), F.col("own"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    pair = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    inside = F.transform(upto(F.col("blocks")), lambda k: pair(name(F.col("band"), F.least(k, F.col("own"))), name(F.col("band"), F.greatest(k, F.col("own"))), (k < F.col("own")).cast("int")))
+    none = F.filter(inside, lambda _: F.lit(False))
+    higher = F.when(F.col("next") > 0, F.transform(upto(F.col("next")), lambda k: pair(mine, name(F.col("band") + 1, k), F.lit(0)))).otherwise(none)
+    lower = F.when(F.col("last") > 0, F.transform(upto(F.col("last")), lambda k: pair(name(F.col("band") - 1, k), mine, F.lit(1)))).otherwise(none)
+    return placed.select("doc_id", "family", F.explode(F.concat(inside, higher, lower)).alias("u")).select("doc_id", "family", "u.*")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -135,47 +202,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     heads = materialise(classes, "heads")
     keyed = heads.select("head", "n_shingles", "signature").mapInArrow(_keys, "key long, doc_id long")
     least = keyed.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("most > least").select("key", "least")
-    members = materialise(keyed.join(least, "key").select("key", "doc_id", "least"), "members")
-
-    signed = heads.select(F.col("head").alias("id"), F.col("n_shingles").alias("n"), F.col("signature").alias("sig"))
-    sizes = F.expr(f"100 * least(n_a, n_b) >= {int(percent)} * greatest(n_a, n_b)")
-
-    def filtered(pairs: DataFrame) -> DataFrame:
-        left, right = (signed.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-        return pairs.join(left, "a").join(right, "b").filter(sizes).select("a", "b", "sig_a", "sig_b").mapInArrow(_near_signatures(percent / 100), "a long, b long")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        needed = texts.join(ids, "doc_id", "left_semi")
-        left, right = (needed.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-        return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(_confirm(shingle, percent), "a long, b long")
-
-    links = spark.createDataFrame([], "a long, b long")
-    found = spark.createDataFrame([], "node long, component long")
-
-    def opened(pairs: DataFrame) -> DataFrame:
-        """The pairs whose documents are still in different components."""
-        for x in "ab":
-            pairs = pairs.join(found.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}")), x, "left")
-        return materialise(pairs.filter("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b", "shared"), "pairs")
-
-    stars = members.filter("doc_id <> least").groupBy(F.col("doc_id").alias("a"), F.col("least").alias("b")).agg(F.count("*").alias("shared"))
-    left = materialise(stars, "stars")
-    refused = spark.createDataFrame([], "a long, b long")
-    for width in (1, 4, 16, 0):
-        if width:
-            rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
-            chosen = left.withColumn("rank", rank).filter(F.col("rank") <= width).select("a", "b")
-        else:
-            chosen = _across(members, heads, found).join(refused, ["a", "b"], "left_anti")
-        chosen = materialise(chosen, "chosen")
-        if not chosen.head(1):
-            continue
-        refused = refused.unionByName(chosen)
-        links = materialise(links.unionByName(confirmed(materialise(filtered(chosen), "near"))), "links")
-        found = connected_components(links)
-        if width:
-            left = opened(left.join(chosen, ["a", "b"], "left_anti"))
+    members = keyed.join(least, "key").select("doc_id", "least")
+
+    ties = members.filter("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct()
+    families = connected_components(ties).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+    families = materialise(families.join(heads.select(F.col("head").alias("doc_id"), "n_shingles"), "doc_id"), "families")
+    units = materialise(_units(families, percent), "units")
+    keys = ["family", "i", "j"]
+    compared = units.join(texts, "doc_id").repartition(*keys).sortWithinPartitions(*keys)
+    links = compared.select(*(F.to_json(k).alias(k) if k != "family" else F.col(k) for k in keys), "side", "doc_id", "text").mapInArrow(_linked(shingle, percent), "a long, b long")
+    found = connected_components(links)
 
     parts = found.withColumnRenamed("node", "head")
     inner = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(heads.select("n_shingles", "set_a", "set_b", "head"), ["n_shingles", "set_a", "set_b"])
@@ -183,14 +219,3 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     rows = sets.select("doc_id", "n_shingles").join(assigned, "doc_id", "left")
     whole = F.coalesce("component_id", "doc_id")
     return rows.select("doc_id", "n_shingles", whole.alias("component_id"), F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"))
-
-
-def _across(members: DataFrame, heads: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of documents that share a key and are in different components; keys of one component make none."""
-    parts = found.withColumnRenamed("node", "head")
-    labels = heads.select("head").join(parts, "head", "left").select(F.col("head").alias("doc_id"), F.coalesce("component", "head").alias("component"))
-    placed = members.select("key", "doc_id").join(labels, "doc_id")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    placed = materialise(placed.join(mixed, "key"), "mixed")
-    left, right = (placed.select("key", F.col("doc_id").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab")
-    return left.join(right, "key").filter("a > b AND c_a <> c_b").select("a", "b").distinct()
