@@ -1,6 +1,6 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-A text's distinct word shingles are summarised by ``CHUNKS * WIDTH`` b-bit
+A text's distinct word shingles are summarised by ``CHUNKS * WIDTH`` 8-bit
 min-wise symbols.  The signature is split into ``CHUNKS`` chunks; by the
 pigeonhole principle two signatures that differ in fewer than
 ``2 * CHUNKS`` symbols have a chunk with at most one differing symbol.  That
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
@@ -35,6 +35,8 @@ from thicket.llm.runtime import bounded_batches, lean, materialise
 CHUNKS, WIDTH, SEED = 18, 8, 6
 #: Weight of a block of a family: a document weighs 1 for each ``HEAVY`` shingles begun.
 BLOCK, HEAVY = 128, 4096
+#: Documents whose keys are gathered before the shuffle, and rows of a batch of keys.
+GATHER, ROWS = 8192, 100_000
 
 
 def _signatures(shingle: int):
@@ -44,7 +46,7 @@ def _signatures(shingle: int):
         for batch in batches:
             for lo, hi, words, counts in tokens.hashed_words(batch.column(1)):
                 shingles, made = tokens.shingle_hashes(words, counts, shingle)
-                symbols = tokens.minhash(shingles, made, multipliers, offsets).astype(np.uint16)
+                symbols = tokens.minhash(shingles, made, multipliers, offsets).astype(np.uint8)
                 ends = np.cumsum(made)
                 size, one, two = (np.zeros(hi - lo, np.int64) for _ in range(3))
                 for i in np.flatnonzero(made):
@@ -67,18 +69,45 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
+def _doc_keys(signatures: list[bytes]) -> np.ndarray:
+    """Row by CHUNKS * WIDTH: the key of every chunk with each of its symbols left out."""
+    place = np.arange(CHUNKS * WIDTH, dtype=np.uint64).reshape(CHUNKS, WIDTH)
+    symbols = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, CHUNKS, WIDTH).astype(np.uint64)
+    terms = tokens.mix(symbols + (place << np.uint64(20)) + np.uint64(1))
+    return tokens.mix(terms.sum(axis=2, dtype=np.uint64)[:, :, None] - terms + (place << np.uint64(40))).reshape(-1, CHUNKS * WIDTH)
+
+
 @lean
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc_id, least): once for each key of GATHER documents its least one, and the other documents' ties to it.
+
+    A tie carries its least document and a key of its own; a key's own row has
+    none.  So a key that very many documents have is shuffled once for each
+    GATHER of them.
+    """
+
+    def tied(ids: np.ndarray, signatures: list[bytes]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(ids, kind="stable")
+        keys, first, place = np.unique(_doc_keys(signatures)[order].reshape(-1), return_index=True, return_inverse=True)
+        owner = ids[order][np.arange(len(place)) // (CHUNKS * WIDTH)]
+        least = owner[first]
+        other = owner != least[place]
+        ties = np.unique(np.stack([owner[other], least[place[other]]]), axis=1)
+        for k, d, m in ((keys, least, None), (tokens.mix(ties[0].view(np.uint64) * tokens._M1 + ties[1].view(np.uint64)), ties[0], ties[1])):
+            for lo in range(0, len(k), ROWS):
+                part = slice(lo, lo + ROWS)
+                own = pa.nulls(len(k[part]), pa.int64()) if m is None else pa.array(m[part])
+                yield pa.RecordBatch.from_arrays([pa.array(k[part].view(np.int64)), pa.array(d[part]), own], ["key", "doc_id", "least"])
+
+    ids, signatures = [], []
     for batch in batches:
-        n = batch.num_rows
-        symbols = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(n, CHUNKS, WIDTH).astype(np.uint64)
-        terms = tokens.mix(symbols + (np.arange(CHUNKS * WIDTH, dtype=np.uint64).reshape(CHUNKS, WIDTH) << np.uint64(20)) + np.uint64(1))
-        keys = terms.sum(axis=2, dtype=np.uint64)[:, :, None] - terms
-        keys = tokens.mix(keys + (np.arange(CHUNKS * WIDTH, dtype=np.uint64).reshape(CHUNKS, WIDTH) << np.uint64(40)))
-        per = CHUNKS * WIDTH
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), per))], ["key", "doc_id"]
-        )
+        ids += batch.column("head").to_pylist()
+        signatures += batch.column("signature").to_pylist()
+        if len(ids) >= GATHER:
+            yield from tied(np.array(ids, np.int64), signatures)
+            ids, signatures = [], []
+    if ids:
+        yield from tied(np.array(ids, np.int64), signatures)
 
 
 def _forest(ids: list[int], sides: np.ndarray, sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
@@ -200,11 +229,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     sets = materialise(shingle_sets(texts, shingle), "sets")
     classes = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("head"), F.min("signature").alias("signature"))
     heads = materialise(classes, "heads")
-    keyed = heads.select("head", "n_shingles", "signature").mapInArrow(_keys, "key long, doc_id long")
-    least = keyed.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("most > least").select("key", "least")
-    members = keyed.join(least, "key").select("doc_id", "least")
-
-    ties = members.filter("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct()
+    keyed = heads.select("head", "signature").mapInArrow(_keys, "key long, doc_id long, least long")
+    least = F.coalesce("least", F.min("doc_id").over(Window.partitionBy("key")))
+    ties = keyed.select(F.col("doc_id").alias("a"), least.alias("b")).filter("a <> b").distinct()
     families = connected_components(ties).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     families = materialise(families.join(heads.select(F.col("head").alias("doc_id"), "n_shingles"), "doc_id"), "families")
     units = materialise(_units(families, percent), "units")
