@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 
-from thicket.llm import decontaminate, fingerprint, language_model, neardup, pii, quality, sentencepiece_codec, token_files, warc, wrappers
+from thicket.llm import decontaminate, fingerprint, language_model, neardup, pii, prefilter, quality, sentencepiece_codec, token_files, warc, wrappers
 
 WORD_BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, head string, component_id int, kept string, _rejected int"
@@ -104,6 +104,14 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert {r.component_id for r in neardup.near_duplicates(make_docs(spark, rows), 2, 100).collect()} == {c for _, c in components(rows, 2, 100).values()}
 
 
+def test_split_listed(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'t' AS text", "1 AS kept").unionByName(spark.sql("SELECT CAST(NULL AS LONG) AS doc_id, 't' AS text, 1 AS kept"))
+    maybe, never = prefilter.split_listed(docs, docs.filter("doc_id % 10 = 0").select("doc_id"))
+    assert maybe.columns == docs.columns and maybe.count() + never.count() == 3001
+    assert maybe.filter("doc_id % 10 = 0").count() == 300 and maybe.count() < 330
+    assert prefilter.split_listed(docs, docs.limit(0))[1].count() == 3001
+
+
 def test_fingerprints(spark, rows):
     got = {r.doc_id: r for r in fingerprint.edited_fingerprints(make_docs(spark, rows)).collect()}
     texts = [t or "" for _, t in rows]

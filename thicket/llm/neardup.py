@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from thicket.llm import tokens
 from thicket.llm.components import connected_components
+from thicket.llm.prefilter import split_listed
 from thicket.llm.runtime import bounded_batches, lean, materialise
 
 CHUNKS, WIDTH, SEED = 18, 8, 6
@@ -236,7 +237,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     families = materialise(families.join(heads.select(F.col("head").alias("doc_id"), "n_shingles"), "doc_id"), "families")
     units = materialise(_units(families, percent), "units")
     keys = ["family", "i", "j"]
-    compared = units.join(texts, "doc_id").repartition(*keys).sortWithinPartitions(*keys)
+    compared = units.join(split_listed(texts, units)[0], "doc_id").repartition(*keys).sortWithinPartitions(*keys)
     links = compared.select(*(F.to_json(k).alias(k) if k != "family" else F.col(k) for k in keys), "side", "doc_id", "text").mapInArrow(_linked(shingle, percent), "a long, b long")
     found = connected_components(links)
 
