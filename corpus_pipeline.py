@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from thicket.llm.decontaminate import remove_contaminated
 from thicket.llm.neardup import near_duplicates
 from thicket.llm.pii import masked
+from thicket.llm.prefilter import split_listed
 from thicket.llm.quality import keep_quality
 from thicket.llm.runtime import materialise
 from thicket.llm.sentencepiece_codec import encode_decode
@@ -26,8 +27,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the document of the least doc_id stays."""
-    gone = near_duplicates(docs, shingle=5, percent=80).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = materialise(near_duplicates(docs, shingle=5, percent=80).filter(~F.col("kept")).select("doc_id"), "gone")
+    maybe, never = split_listed(docs, gone)
+    return maybe.join(gone, "doc_id", "left_anti").select(*docs.columns).unionByName(never)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
