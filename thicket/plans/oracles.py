@@ -27,7 +27,7 @@ f AS (SELECT a.query_id, d.doc_id, round(coalesce(s.s, 0) + coalesce(b.base, 0),
 sparse AS (SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM f) WHERE rank <= {k})"""
 
 
-_V = "v AS (SELECT vec_id AS doc_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, label::BIGINT AS label FROM embeddings), vq AS (SELECT doc_id AS query_id, e AS qe FROM v WHERE doc_id < 40), sc AS (SELECT query_id, doc_id, label, round(list_inner_product(qe, e), 6) AS score FROM vq, v)"
+_V = "v AS (SELECT vec_id AS doc_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, label::BIGINT AS label FROM embeddings), vq AS (SELECT doc_id // 100 AS query_id, e AS qe FROM v WHERE doc_id % 100 = 0), sc AS (SELECT query_id, doc_id, label, round(list_inner_product(qe, e), 6) AS score FROM vq, v)"
 
 
 def _top(source: str, k: int, name: str, doc: str = "doc_id") -> str:
@@ -53,7 +53,7 @@ pq AS (SELECT si.query_id, coalesce(h, 0) / least(coalesce(shown, {k}), {k}) AS
 SELECT round_even(avg(p), 4) AS mean_precision, round_even(avg(r), 4) AS mean_recall, round_even(avg(hit), 4) AS mean_hit, round_even(avg(mrr), 4) AS mean_mrr, round_even(avg(np), 4) AS mean_normalised_precision, round_even(avg(nr), 2) AS mean_n_relevant, count(*) AS n_queries FROM pq"""
 
 
-_LABELS = f"{_DENSE}, lh AS (SELECT query_id, rank, label AS doc_id FROM dense JOIN v USING (doc_id)), lt AS (SELECT doc_id AS query_id, label AS doc_id FROM v WHERE doc_id < 40)"
+_LABELS = f"{_DENSE}, lh AS (SELECT query_id, rank, label AS doc_id FROM dense JOIN v USING (doc_id)), lt AS (SELECT v.doc_id // 100 AS query_id, label AS doc_id FROM v WHERE v.doc_id % 100 = 0)"
 _FIRST = "l1 AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY min(rank)) AS rank FROM lh GROUP BY 1, 2)"
 _ATTR = "attr AS (SELECT doc_id, lang, source, 'q' || quality AS q, 't' || toxic AS t FROM documents LEFT JOIN labels USING (doc_id))"
 _TRANSLATE = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in DICTIONARY.items()) + "}"

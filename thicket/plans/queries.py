@@ -11,8 +11,8 @@ from thicket.operators import context, dense, documents, fusion, metrics, mining
 from thicket.sources import readers
 from thicket.streaming import changes
 
-#: Words of a benchmark item that make a keyword query, and vectors that are queries.
-QUERY_WORDS, QUERY_VECTORS = 8, 40
+#: Words of a benchmark item that make a keyword query; every hundredth vector is a query.
+QUERY_WORDS, QUERY_STEP = 8, 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,19 +34,33 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors(spark, sf_dir).filter(F.col("doc_id") < QUERY_VECTORS).select(F.col("doc_id").alias("query_id"), "vector")
+    return _asked(vectors(spark, sf_dir)).select("query_id", "vector")
+
+
+def _asked(rows: DataFrame) -> DataFrame:
+    """The vectors that are queries, numbered from 0 as the benchmark items are."""
+    return rows.filter(F.col("doc_id") % QUERY_STEP == 0).withColumn("query_id", F.expr(f"doc_id div {QUERY_STEP}"))
 
 
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(query_id, doc_id): documents that hold the first 60 characters of an item.
 
-    Every document is cut into its 60-character windows only around the first
-    word of an item, so it is an equi-join on the passage.
+    A document that holds a passage has all of the words that are between
+    spaces in it, so the longest of these is the join key; the passage is then
+    looked for in the documents of the key.  Passages without such a word, if
+    any, are looked for in every document.
     """
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 60).alias("passage"))
-    sent = F.broadcast(items) if items.count() <= 10_000 else items
+    inner = F.split("passage", " ")
+    inner = F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(F.filter(inner, lambda w: w != ""), lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))["word"]
+    items = items.withColumn("word", longest)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(sent, F.contains("text", F.col("passage"))).select("query_id", "doc_id")
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
+    pairs = words.join(items.filter("word IS NOT NULL"), "word").select("query_id", "doc_id", "passage")
+    keyed = docs.join(pairs, "doc_id").filter(F.contains("text", F.col("passage"))).select("query_id", "doc_id")
+    rest = items.filter("word IS NULL AND passage IS NOT NULL").select("query_id", "passage")
+    return keyed.unionByName(docs.join(rest, F.contains("text", F.col("passage"))).select("query_id", "doc_id"))
 
 
 def sparse_hits(spark: SparkSession, sf_dir: str, k: int = 50) -> DataFrame:
@@ -197,7 +211,7 @@ def _label_hits(spark, sf_dir):
     """Hits whose document is the label, so labels repeat, and each query's own label as relevant."""
     owners = vectors(spark, sf_dir).select("doc_id", "label")
     hits = dense_hits(spark, sf_dir).join(owners, "doc_id").select("query_id", "rank", F.col("label").alias("doc_id"))
-    return hits, owners.filter(F.col("doc_id") < QUERY_VECTORS).select(F.col("doc_id").alias("query_id"), F.col("label").alias("doc_id"))
+    return hits, _asked(owners).select("query_id", F.col("label").alias("doc_id"))
 
 
 def eval_dense_dup(spark, sf_dir):
