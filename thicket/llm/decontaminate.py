@@ -69,17 +69,17 @@ def _index(shingle: int):
     return lean(run)
 
 
-@lean
-def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    maps = np.zeros((2, 1 << (MAP_BITS - 3)), np.uint8)
-    classes: set[int] = set()
-    for batch in batches:
-        key, band = batch.column(0).to_numpy().view(np.uint64), batch.column(2).to_numpy(zero_copy_only=False)
-        classes.update(np.unique(batch.column(1).to_numpy()).tolist())
-        for k in (0, 1):
-            at = _bit(key[band == bool(k)])
-            np.bitwise_or.at(maps[k], at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-    yield pa.RecordBatch.from_arrays([pa.array([maps[0].tobytes()]), pa.array([maps[1].tobytes()]), pa.array([sorted(classes)], pa.list_(pa.int64()))], ["shingles", "bands", "classes"])
+def _bit_maps(index: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The bit maps of the items' shingles and bands; the tasks gather the bits of each 64-bit word.
+
+    The driver gets one row a word that has bits, 2 ** (MAP_BITS - 5) in all at most.
+    """
+    at = F.shiftrightunsigned("key", 64 - MAP_BITS)
+    bits = index.select("band", at.alias("at")).selectExpr("band", "CAST(at >> 6 AS INT) AS word", "shiftleft(1L, CAST(at & 63 AS INT)) AS bit")
+    found = bits.groupBy("band", "word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    maps = np.zeros((2, 1 << (MAP_BITS - 6)), "<i8")
+    maps[found["band"].to_numpy().astype(np.int64), found["word"].to_numpy()] = found["bits"].to_numpy()
+    return maps[0].view(np.uint8), maps[1].view(np.uint8)
 
 
 def _search(shingle: int, shingle_bits, band_bits, classes: list[int]):
@@ -144,12 +144,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, con
     bounded_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).dropna()
     index = materialise(items.mapInArrow(_index(shingle), "item_id long, key long, size_class long, band boolean").distinct(), "items")
-    maps = index.select("key", "size_class", "band").mapInArrow(_bitmap, "shingles binary, bands binary, classes array<long>")
-    known, banded, classes = np.zeros(1 << (MAP_BITS - 3), np.uint8), np.zeros(1 << (MAP_BITS - 3), np.uint8), set()
-    for r in maps.toLocalIterator():  # one row of fixed size a partition, one partition at a time
-        known |= np.frombuffer(r.shingles, np.uint8)
-        banded |= np.frombuffer(r.bands, np.uint8)
-        classes.update(r.classes)
+    known, banded = _bit_maps(index)
+    classes = {r.size_class for r in index.filter("band").select("size_class").distinct().collect()}  # one a power of two
     send = spark.sparkContext.broadcast
     search = _search(shingle, send(known.tobytes()), send(banded.tobytes()), sorted(classes or {LEAST_CLASS}))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
