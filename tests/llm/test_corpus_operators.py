@@ -158,6 +158,33 @@ def test_language_model(spark, rows):
     assert language_model.score_documents(make_docs(spark, [(None, None), (1, ""), (1, "")])).count() == 3
 
 
+@pytest.mark.parametrize("total", [10**4, 73 * 10**6, 44 * 10**8])
+def test_language_model_codes_span_any_size(tmp_path, total):
+    """A rare and a frequent word, each with one successor, in a made table of counts."""
+    import numpy as np
+    import pyarrow as pa
+
+    batch = lambda names, rows: pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names)
+    text, folder, many = "rare next often then", f"file://{tmp_path}", total // 4
+    hashes = [int(h) for h in next(language_model._words(pa.array([text])))[2]]
+    counts = dict(zip(hashes, [1000, 1000, many, many, total - 2000 - 2 * many]))
+    order = sorted(counts)
+    shard, number = [h >> 62 for h in order], {h: k for k, h in enumerate(order)}
+    words = [(s, int(np.uint64(h).view(np.int64)), counts[h]) for s, h in zip(shard, order)]
+    list(language_model._write_words(folder, 2)(iter([batch(["shard", "word", "n"], words)])))
+    model = language_model.Model(folder, 2, 1, [shard.count(s) for s in range(4)], total)
+    pairs = sorted((h >> 62, number[h] * 5 + number[w], counts[h]) for h, w in (hashes[:2], hashes[2:4]))
+    contexts = [(s, pair // 5, n, 1) for s, pair, n in pairs]
+    list(language_model._write_backoff(folder, model)(iter([batch(["shard", "context", "n", "kinds"], contexts)])))
+    for s in set(shard) - {s for s, *_ in pairs}:
+        list(language_model._empty_backoff(folder, model.sizes)(iter([batch(["shard"], [(s,)])])))
+    list(language_model._write_pairs(folder, model)(iter([batch(["block", "pair", "n"], pairs)])))
+    (scored,) = language_model._score(model, {s for s, *_ in pairs})(iter([batch(["doc_id", "held_out", "text"], [(1, True, text)])]))
+    p = [(counts[h] + 0.1) / (total + 0.1 * 6) for h in hashes]
+    want = [p[0], (1000 - 0.5 + 0.5 * p[1]) / 1000, p[2], (many - 0.5 + 0.5 * p[3]) / many, p[4]]
+    assert abs(scored.column(6)[0].as_py() - sum(map(math.log10, want))) < 0.01
+
+
 def test_decontamination(spark, rows):
     texts = dict(rows)
     items = [(1, " ".join(folded(texts[103])[:60])), (2, "never seen here at all in any text"), (3, texts[110]), (4, "word"), (5, None), (6, ""), (7, texts[105])]

@@ -7,8 +7,9 @@ is a grid of blocks (context shard by group of successor shards), so that the
 successors of a frequent word never meet in one task.  In a block, the pair of
 context and successor is one monotone number, context * width + successor;
 its high bits are the pointers into the contexts and the pair is found by a
-successor search relative to its context.  Each pair has an 8-bit code of its
-gain over backing off.
+successor search relative to its context.  Each pair has a 16-bit code of its
+log10 probability, and each word one of its back-off; none is below 0.5 / N, so
+the step log10(2N) / 65535 spans all of them at any size N of the training part.
 
     p(w | v) = (c(vw) - D) / c(v) + b(v) p(w),   b(v) = 1 - sum of the first terms
     p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1))
@@ -34,8 +35,8 @@ from thicket.llm.ranges import range_id
 from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, workspace
 
 PIECE = 2 << 20
-#: Discount of pair counts, least pair count, and steps of the codes in log10.
-DISCOUNT, LEAST_PAIR, BACKOFF_STEP, GAIN_STEP = 0.5, 2, 0.02, 0.03
+#: Discount of pair counts, least pair count, and the largest code.
+DISCOUNT, LEAST_PAIR, TOP_CODE = 0.5, 2, 65535
 ALPHA = 0.1
 #: The end of a text, also the context of its first word; equals no word's hash in practice.
 END = np.uint64(0xE0D0C0B0A0908070)
@@ -100,6 +101,7 @@ class Model:
         self.folder, self.bits, self.groups, self.sizes, self.total = folder, bits, groups, sizes, total
         self.bases = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.vocabulary = int(self.bases[-1])
+        self.step = float(np.log10(max(1, total) / DISCOUNT)) / TOP_CODE
         self.open: dict[str, tuple] = {}
 
     def __getstate__(self):
@@ -125,19 +127,23 @@ class Model:
             ids[part][found] = self.bases[shard] + at[found]
             counts[part][found] = held[at[found]]
             if backoff:
-                weights[part][found] = self._level(f"backoff-{shard}", "codes")[1][at[found]] * -BACKOFF_STEP
+                weights[part][found] = self._level(f"backoff-{shard}", "codes")[1][at[found]] * -self.step
         return ids, counts, weights
 
     def log_base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ALPHA) / (self.total + ALPHA * (self.vocabulary + 1)))
 
+    def coded(self, share: np.ndarray) -> np.ndarray:
+        """The codes of probabilities from 0.5 / N to 1."""
+        return np.clip(np.rint(-np.log10(share) / self.step), 0, TOP_CODE).astype(np.uint16)
+
     def span(self, group: int) -> tuple[int, int]:
         per = (1 << self.bits) // self.groups
         return int(self.bases[group * per]), int(self.bases[(group + 1) * per])
 
-    def gain(self, context: np.ndarray, word: np.ndarray, present: set[int]) -> np.ndarray:
-        """log10 gain of each pair of ids over backing off; 0 for pairs that the model lacks."""
-        out = np.zeros(len(context))
+    def log_pairs(self, context: np.ndarray, word: np.ndarray, present: set[int]) -> np.ndarray:
+        """log10 probability of each pair of ids; NaN for pairs that the model lacks."""
+        out = np.full(len(context), np.nan)
         a = np.searchsorted(self.bases, context, side="right") - 1
         b = (np.searchsorted(self.bases, word, side="right") - 1) // ((1 << self.bits) // self.groups)
         block = (a * self.groups + b).astype(np.uint32)
@@ -150,7 +156,7 @@ class Model:
             sequence, codes = self._level(f"pairs-{k}", "codes")
             lo, hi = self.span(k % self.groups)
             at, found = sequence.successor((context[part] - self.bases[k // self.groups]) * (hi - lo) + word[part] - lo)
-            out[part[found]] = codes[at[found]] * GAIN_STEP
+            out[part[found]] = codes[at[found]] * -self.step
         return out
 
 
@@ -182,10 +188,9 @@ def _write_backoff(folder: str, model: Model):
         done = []
         for shard, (context, n, kinds) in _grouped(batches):
             counts = model._level(f"words-{shard}", "counts")[1]
-            codes = np.zeros(len(counts), np.uint8)
+            codes = np.zeros(len(counts), np.uint16)
             at = context - model.bases[shard]
-            left = 1 - (n - DISCOUNT * kinds) / counts[at]
-            codes[at] = np.clip(np.rint(-np.log10(np.maximum(left, 1e-9)) / BACKOFF_STEP), 0, 255)
+            codes[at] = model.coded((counts[at] - n + DISCOUNT * kinds) / counts[at])
             _store(folder, f"backoff-{shard}", {"codes": codes})
             done.append(shard)
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["shard"])
@@ -201,14 +206,14 @@ def _write_pairs(folder: str, model: Model):
             context, word = np.divmod(pair, model.vocabulary)
             a = context - model.bases[shard]
             counts = model._level(f"words-{shard}", "counts")[1][a]
-            backoff = model._level(f"backoff-{shard}", "codes")[1][a] * -BACKOFF_STEP
+            backoff = model._level(f"backoff-{shard}", "codes")[1][a] * -model.step
             base = np.empty(len(word))
             of = np.searchsorted(model.bases, word, side="right") - 1
             for s in np.unique(of):
                 base[of == s] = model.log_base(model._level(f"words-{s}", "counts")[1][word[of == s] - model.bases[s]].astype(np.float64))
-            gain = np.log10(1 + (n - DISCOUNT) / counts / 10 ** (backoff + base))
+            codes = model.coded((n - DISCOUNT) / counts + 10 ** (backoff + base))
             sequence = build((a * (hi - lo) + word - lo).view(np.uint64), max(1, model.sizes[shard] * (hi - lo)))
-            _store(folder, f"pairs-{block}", sequence | {"codes": np.clip(np.rint(gain / GAIN_STEP), 0, 255).astype(np.uint8)})
+            _store(folder, f"pairs-{block}", sequence | {"codes": codes})
             done.append(block)
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["block"])
 
@@ -223,7 +228,8 @@ def _score(model: Model, present: set[int]):
                 base = model.log_base(n.astype(np.float64))
                 full = base + backoff
                 known = np.flatnonzero((ids >= 0) & (before >= 0))
-                full[known] += model.gain(before[known], ids[known], present)
+                pairs = model.log_pairs(before[known], ids[known], present)
+                full[known] = np.where(np.isnan(pairs), full[known], pairs)
                 heads = np.cumsum(counts) - counts
                 sums = [np.add.reduceat(x, heads) for x in ((n > 0).astype(np.int64), base, full)]
                 rows = hi - lo
@@ -280,7 +286,7 @@ def _empty_backoff(folder: str, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in batch.column(0).to_pylist():
-                _store(folder, f"backoff-{s}", {"codes": np.zeros(sizes[s], np.uint8)})
+                _store(folder, f"backoff-{s}", {"codes": np.zeros(sizes[s], np.uint16)})
             yield batch
 
     return lean(run)
