@@ -158,6 +158,22 @@ def test_language_model(spark, rows):
     assert language_model.score_documents(make_docs(spark, [(None, None), (1, ""), (1, "")])).count() == 3
 
 
+def test_language_model_query_holds_every_pair(spark, sf_dir):
+    from thicket.llm.queries import queries
+
+    tokens = {r.doc_id: [*folded(r.text), None] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    trained = [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10]
+    c, pairs, kinds = Counter(w for t in trained for w in t), Counter(p for t in trained for p in zip([None, *t], t)), Counter()
+    for v, _ in pairs:
+        kinds[v] += 1
+    total = sum(c.values())
+    base = lambda w: (c[w] + 0.1) / (total + 0.1 * (len(c) + 1))
+    for r in queries()["op2_language_model"](spark, sf_dir).collect():
+        t = tokens[r.doc_id]
+        exact = sum(math.log10(max(pairs[v, w] - 0.5, 0) / max(c[v], 1) + (0.5 * kinds[v] / c[v] if c[v] else 1) * base(w)) for v, w in zip([None, *t], t))
+        assert abs(r.score - exact) <= 0.001 * len(t)
+
+
 @pytest.mark.parametrize("total", [10**4, 73 * 10**6, 44 * 10**8])
 def test_language_model_codes_span_any_size(tmp_path, total):
     """A rare and a frequent word, each with one successor, in a made table of counts."""

@@ -14,7 +14,8 @@ the step log10(2N) / 65535 spans all of them at any size N of the training part.
     p(w | v) = (c(vw) - D) / c(v) + b(v) p(w),   b(v) = 1 - sum of the first terms
     p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1))
 
-Pairs seen once are left to the back-off term.  All counts are over the whole
+Pairs seen less often than least_pair are left to the back-off term; with 1 the
+model holds every pair.  All counts are over the whole
 training part; the level files are written by the tasks that count and are
 only mapped by those that score.
 """
@@ -35,7 +36,7 @@ from thicket.llm.ranges import range_id
 from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, workspace
 
 PIECE = 2 << 20
-#: Discount of pair counts, least pair count, and the largest code.
+#: Discount of pair counts, least pair count where none is given, and the largest code.
 DISCOUNT, LEAST_PAIR, TOP_CODE = 0.5, 2, 65535
 ALPHA = 0.1
 #: The end of a text, also the context of its first word; equals no word's hash in practice.
@@ -171,12 +172,12 @@ def _pairs(words: np.ndarray, counts: np.ndarray, model: Model, backoff: bool):
     return ids[token], n[token], ids[before], n[before], weights[before]
 
 
-def _count_pairs(model: Model):
+def _count_pairs(model: Model, least_pair: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, words, counts in _words(batch.column(0)):
                 ids, n, before, m, _ = _pairs(words, counts, model, False)
-                often = (n >= LEAST_PAIR) & (m >= LEAST_PAIR)  # a pair is no more frequent than its words
+                often = (n >= least_pair) & (m >= least_pair)  # a pair is no more frequent than its words
                 keys, k = np.unique(before[often] * model.vocabulary + ids[often], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(k.astype(np.int64))], ["pair", "n"])
 
@@ -241,7 +242,7 @@ def _score(model: Model, present: set[int]):
     return lean(run)
 
 
-def train(texts: DataFrame, folder: str) -> tuple[Model, set[int]]:
+def train(texts: DataFrame, folder: str, least_pair: int = LEAST_PAIR) -> tuple[Model, set[int]]:
     """Counts texts(text), writes the level files below folder and returns the model and its blocks."""
     spark = texts.sparkSession
     bits = max(2, (max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4) - 1).bit_length())
@@ -257,7 +258,7 @@ def train(texts: DataFrame, folder: str) -> tuple[Model, set[int]]:
     model = Model(folder, bits, groups, sizes, total)
     if model.vocabulary**2 >= 1 << 63:
         raise ValueError("more than 3e9 distinct words do not fit a pair of ids")
-    pairs = text.mapInArrow(_count_pairs(model), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_PAIR)
+    pairs = text.mapInArrow(_count_pairs(model, least_pair), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_pair)
     pairs = materialise(pairs, "pairs")
     size, starts = max(1, model.vocabulary), [int(b) for b in model.bases[:-1]]
     shard_of = lambda c: _shard_expression(c, starts)
@@ -292,13 +293,14 @@ def _empty_backoff(folder: str, sizes: list[int]):
     return lean(run)
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, least_pair: int = LEAST_PAIR) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     The model learns from the documents whose crc32(doc_id as text) mod 10 is
     not 0 (a null doc_id counts as the empty text, so it is held out).  Null
     and empty texts have one token, the end.  base_score is the sum of
-    log10((c + 0.1) / (N + 0.1 (V + 1))); score the model's log10 probability.
+    log10((c + 0.1) / (N + 0.1 (V + 1))); score the model's log10 probability,
+    with the pairs that occur least_pair times or more.
     Repeated rows count as often as they occur; other columns are ignored; an
     empty table gives an empty result.
     """
@@ -306,5 +308,5 @@ def score_documents(docs: DataFrame) -> DataFrame:
     bounded_batches(spark)
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held)
-    model, present = train(rows.filter(~F.col("held_out")).select("text"), workspace(spark, "model"))
+    model, present = train(rows.filter(~F.col("held_out")).select("text"), workspace(spark, "model"), least_pair)
     return rows.mapInArrow(_score(model, present), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
