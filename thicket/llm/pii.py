@@ -47,7 +47,7 @@ GENDER = {t: g for g, names in TITLES.items() for t in names.split()}
 _UPPER = "A-ZÀ-ÖØ-ÞΑ-ΩА-Я"
 _NAME = rf"[{_UPPER}][\w’'-]+"
 ENTITY = re.compile(
-    rf"""(?P<assigned>\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b["']?\s*[=:]\s*["']?(?P<assigned_value>[A-Za-z0-9_+/.-]{{8,}}))
+    rf"""(?P<assigned>\b(?i:password|passwd|pwd|secret|token|api[_-]?key)\b["']?\s*[=:]\s*["']?(?P<assigned_value>[A-Za-z0-9_+/.-]{{8,}}))
     |(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
     |(?P<access_key>\b(?:AKIA|ASIA)[A-Z0-9]{{16}}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{{36}}\b|\bsk-[A-Za-z0-9]{{20,}}\b|\bAIza[A-Za-z0-9_-]{{35}}\b)
     |(?P<iban>\b[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?\b)
@@ -190,13 +190,17 @@ def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
 
 def find(text: str) -> Iterator[tuple[int, int, str, str, str]]:
     """(start, end, kind, value, gender) of the entities of a text, left to right."""
-    for m in ENTITY.finditer(text):
+    at = 0
+    while m := ENTITY.search(text, at):
+        at = m.end()
         kind = m.lastgroup if m.lastgroup not in ("assigned_value", "name", "title") else None
         if m.group("name"):
             yield m.start("name"), m.end("name"), "name", m.group("name"), GENDER[m.group("title")]
         elif m.group("assigned"):
             if re.search(r"\d", m.group("assigned_value")):
                 yield m.start("assigned_value"), m.end("assigned_value"), "assigned", m.group("assigned_value"), ""
+            else:  # no secret: the value may be or hold another entity
+                at = m.start("assigned_value")
         elif kind:
             yield m.start(kind), m.end(kind), kind, m.group(kind), ""
 
