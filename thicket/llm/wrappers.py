@@ -10,11 +10,13 @@ the same operation, so wrappers are made where the pages lie, brought together
 in two steps (host and salt, then host) as streams, and no task holds more than
 the two wrappers that it aligns.
 
-A slot is main text or not by its place in its host's wrapper: inside the
-article where the host has one, outside menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments; a slot outside any article whose
-text is the same on all pages, while others vary, is template text.  Every
-page is then read through its host's wrapper.
+Main text is what is inside the page's article, where it has one, and outside
+menus, headers, footers, sidebars, notices, adverts, forms and reader comments;
+these are known by fixed rules.  The host's wrapper tells template text from
+it: on pages without an article, a slot whose text is the same on all pages
+while others vary; inside an article, a block whose text is in the same place,
+repeated or not, on every page of the host.  A page most of whose article is
+such blocks is a copy of the host's other pages and keeps them.
 """
 
 from __future__ import annotations
@@ -47,8 +49,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 SPACES = re.compile(r"\s+")
-#: Pages on which a slot outside any article must read the same to be template text.
-TEMPLATE_PAGES = 3
+#: Pages on which a slot or block must read the same to be template text, and the longest such text.
+TEMPLATE_PAGES, TEMPLATE_CHARS = 3, 200
 
 
 def kind_of(tag: str, attributes: str) -> str:
@@ -119,15 +121,36 @@ def parse(page: str) -> list:
     return root
 
 
-# A wrapper is [kind, mark, parts, slot, pages]: mark '', '?' or '+'; slot None (no
-# text), the fixed text [t], or [] for varying text; pages counts what was aligned.
-KIND, NOTE, PARTS, SLOT, PAGES = range(5)
+# A wrapper is [kind, mark, parts, slot, pages, common]: mark '', '?' or '+'; slot None
+# (no text), the fixed text [t], or [] for varying text; pages counts the pages that
+# were aligned; common has the texts of innermost blocks that each of these pages has here.
+KIND, NOTE, PARTS, SLOT, PAGES, COMMON = range(6)
+
+
+def block_text(node: list) -> str:
+    """The whole text of a block without blocks inside; empty for other elements and long texts."""
+    texts: list[str] = []
+
+    def gather(inner: list) -> bool:
+        for child in inner[1]:
+            if isinstance(child, str):
+                texts.append(child)
+            elif child[0].rstrip("!") in BLOCK or not child[0].endswith("!") and not gather(child):
+                return False
+            elif child[0] == "br":
+                texts.append(" ")
+        return True
+
+    if node[0] not in BLOCK or not gather(node):
+        return ""
+    text = SPACES.sub(" ", "".join(texts)).strip()
+    return text if len(text) <= TEMPLATE_CHARS else ""
 
 
 def from_tree(node: list) -> list:
     """The wrapper of one page's element; runs of like children fold into one repeated part."""
     if node[0].endswith("!"):
-        return [node[0], "", [], None, 1]
+        return [node[0], "", [], None, 1, []]
     parts: list = []
     texts = []
     for child in node[1]:
@@ -137,23 +160,23 @@ def from_tree(node: list) -> list:
             continue
         made = from_tree(child)
         if parts and parts[-1][KIND] == made[KIND]:
-            parts[-1] = align(parts[-1], made)
+            parts[-1] = align(parts[-1], made, True)
             parts[-1][NOTE] = "+"
-            parts[-1][PAGES] = 1
         else:
             parts.append(made)
     joined = " ".join(texts)
-    return [node[0], "", parts, ([joined] if len(joined) <= 200 else []) if texts else None, 1]
+    whole = block_text(node)
+    return [node[0], "", parts, ([joined] if len(joined) <= 200 else []) if texts else None, 1, [whole] if whole else []]
 
 
-def align(a: list, b: list) -> list:
-    """The least wrapper of both kinds of this form that covers a and b."""
+def align(a: list, b: list, folds: bool = False) -> list:
+    """The least wrapper of both kinds of this form that covers a and b; folds: both are of the same pages."""
     slot = a[SLOT] if a[SLOT] == b[SLOT] else b[SLOT] if a[SLOT] is None and not a[PARTS] else [] if a[SLOT] is not None or b[SLOT] is not None else None
     if a[SLOT] is not None and b[SLOT] is not None and a[SLOT] != b[SLOT]:
         slot = []
     x, y = a[PARTS], b[PARTS]
     if [p[KIND] for p in x] == [p[KIND] for p in y]:
-        parts = [_joined(p, q) for p, q in zip(x, y)]
+        parts = [_joined(p, q, folds) for p, q in zip(x, y)]
     else:
         best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
         for i in range(len(x) - 1, -1, -1):
@@ -162,7 +185,7 @@ def align(a: list, b: list) -> list:
         parts, i, j = [], 0, 0
         while i < len(x) or j < len(y):
             if i < len(x) and j < len(y) and x[i][KIND] == y[j][KIND]:
-                parts.append(_joined(x[i], y[j]))
+                parts.append(_joined(x[i], y[j], folds))
                 i, j = i + 1, j + 1
             elif j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
                 parts.append(_optional(x[i]))
@@ -171,11 +194,16 @@ def align(a: list, b: list) -> list:
                 parts.append(_optional(y[j]))
                 j += 1
         parts = _folded(parts)
-    return [a[KIND], a[NOTE] or b[NOTE], parts, slot, a[PAGES] + b[PAGES]]
+    if not folds:
+        held = set(b[COMMON])
+        return [a[KIND], a[NOTE] or b[NOTE], parts, slot, a[PAGES] + b[PAGES], [t for t in a[COMMON] if t in held]]
+    # Pages may be the same, so no more are sure than the larger count, and only for its texts.
+    most = max(a[PAGES], b[PAGES])
+    return [a[KIND], a[NOTE] or b[NOTE], parts, slot, most, list(dict.fromkeys(t for w in (a, b) if w[PAGES] == most for t in w[COMMON]))]
 
 
-def _joined(p: list, q: list) -> list:
-    out = align(p, q)
+def _joined(p: list, q: list, folds: bool) -> list:
+    out = align(p, q, folds)
     out[NOTE] = "*" if "*" in (p[NOTE], q[NOTE]) or {p[NOTE], q[NOTE]} == {"?", "+"} else "+" if "+" in (p[NOTE], q[NOTE]) else "?" if "?" in (p[NOTE], q[NOTE]) else ""
     return out
 
@@ -190,7 +218,7 @@ def _folded(parts: list) -> list:
     for p in parts:
         if out and out[-1][KIND] == p[KIND]:
             note = "*" if {out[-1][NOTE], p[NOTE]} <= {"?", "*"} else "+"
-            out[-1] = align(out[-1], p)
+            out[-1] = align(out[-1], p, True)
             out[-1][NOTE] = note
         else:
             out.append(p)
@@ -202,10 +230,6 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _has(wrapper: list, kinds: tuple[str, ...]) -> bool:
-    return wrapper[KIND] in kinds or any(_has(p, kinds) for p in wrapper[PARTS])
-
-
 def _varies(wrapper: list) -> bool:
     return wrapper[SLOT] == [] or any(_varies(p) for p in wrapper[PARTS])
 
@@ -213,6 +237,15 @@ def _varies(wrapper: list) -> bool:
 def extract(page: str, wrapper: list) -> str:
     """The main text of a page, read through its host's wrapper."""
     root = parse(page)
+    text = _read(root, wrapper, True)
+    if _article(root) is None:
+        return text
+    whole = _read(root, wrapper, False)
+    return text if 2 * len(text) >= len(whole) else whole
+
+
+def _read(root: list, wrapper: list, common: bool) -> str:
+    """The main text; common: without the blocks of an article that all pages of the host have."""
     blocks: list[str] = []
     inline: list[str] = []
     template = _varies(wrapper)
@@ -237,6 +270,8 @@ def extract(page: str, wrapper: list) -> str:
         block = kind in BLOCK
         if block:
             flush()
+        if common and article is not None and template and mine is not None and mine[COMMON] and mine[PAGES] >= max(TEMPLATE_PAGES, wrapper[PAGES]) and block_text(node) in mine[COMMON]:
+            return
         for child in node[1]:
             if isinstance(child, str):
                 if inside and not fixed:
@@ -323,7 +358,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if wrapper not in known:
                 if len(known) > 500:
                     known.clear()
-                known[wrapper] = json.loads(wrapper) if wrapper else ["#", "", [], None, 0]
+                known[wrapper] = json.loads(wrapper) if wrapper else ["#", "", [], None, 0, []]
             texts.append(extract(page or "", known[wrapper]))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
