@@ -112,6 +112,23 @@ def test_text(spark):
     assert kept == ["el", "perro", "el"]
 
 
+def test_species_fuzzy_uses_the_whole_dictionary(spark, sf_dir):
+    from thicket.plans.queries import queries
+
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").orderBy("p_partkey").collect()
+    entries = [(r.p_name.strip().lower(), r.p_type) for r in rows]
+    best = lambda name: max(((fuzzy.ratio(name, e), -k) for k, (e, _) in enumerate(entries) if abs(len(e) - len(name)) <= 5))
+    want = {(name, *entries[-k], ratio) for name in {e for e, _ in entries} for ratio, k in [best(name)]}
+    assert {tuple(r) for r in queries()["species_fuzzy"](spark, sf_dir).collect()} == want
+
+
+def test_closest_matches_of_known_and_other_names(spark):
+    entries = spark.createDataFrame([(3, "caballo", "b"), (1, "caballos", "a"), (2, "caballo", "c")], "position long, entry string, category string")
+    names = spark.createDataFrame([("Caballo",), ("caballoss",), ("rana",), (None,)], "name string")
+    got = {(r.name, r.entry, r.category) for r in fuzzy.closest_matches(names, entries).collect()}
+    assert got == {("caballo", "caballo", "c"), ("caballoss", "caballos", "a")}
+
+
 def test_fuzzy(spark):
     assert fuzzy.ratio("gato", "pato") == 0.75 and fuzzy.ratio("", "") == 1.0
     entries = spark.createDataFrame([(0, "perros", "Perro"), (1, "gatos", "Gato"), (2, "perror", "X")], "position long, entry string, category string")

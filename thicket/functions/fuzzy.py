@@ -42,13 +42,17 @@ def closest_matches(names: DataFrame, dictionary: DataFrame, threshold: float =
     """(name, entry, category, ratio): each distinct name's best entry of dictionary(position, entry, category).
 
     Names whose length differs by more than five are no match; the first entry
-    wins ties.  The join is bucketed by length, so a large dictionary is not
+    wins ties.  A name that is an entry has no closer one, so only the others are
+    compared; that join is bucketed by length, so a large dictionary is not
     compared as a whole with every name.
     """
     left = names.select(clean_name(F.col("name")).alias("name")).filter("name IS NOT NULL").distinct()
-    near = left.select("name", F.explode(F.sequence(F.greatest(F.length("name") - LENGTH_GAP, F.lit(0)), F.length("name") + LENGTH_GAP)).alias("_length"))
+    known = dictionary.select(F.col("entry").alias("name"), "position", "category")
+    exact = left.join(known, "name").select("name", "position", F.col("name").alias("entry"), "category", F.lit(1.0).alias("ratio"))
+    others = left.join(known.select("name"), "name", "left_anti")
+    near = others.select("name", F.explode(F.sequence(F.greatest(F.length("name") - LENGTH_GAP, F.lit(0)), F.length("name") + LENGTH_GAP)).alias("_length"))
     entries = dictionary.select("position", F.col("entry"), "category", F.length("entry").alias("_length"))
-    scored = near.join(entries, "_length").withColumn("ratio", similarity("name", "entry")).filter(F.col("ratio") >= threshold)
+    scored = near.join(entries, "_length").withColumn("ratio", similarity("name", "entry")).select(*exact.columns).unionByName(exact).filter(F.col("ratio") >= threshold)
     best = Window.partitionBy("name").orderBy(F.desc("ratio"), "position")
     return scored.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").select("name", "entry", "category", "ratio")
 
