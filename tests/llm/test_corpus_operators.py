@@ -293,11 +293,76 @@ def test_wrappers_tell_template_text_in_articles(spark):
     assert all(got[30 + i].endswith("Share this now\nBuy it") for i in range(2))
 
 
+def wrap(pages):
+    made = [wrappers.from_tree(wrappers.parse(p)) for p in pages]
+    out = made[0]
+    for m in made[1:]:
+        out = wrappers.align(out, m)
+    return out
+
+
+def covers(part, node):
+    """Whether the wrapper's regular expression accepts the element: its parts, their number, and its text slot."""
+    texts = [c for c in node[1] if isinstance(c, str) and c.strip()]
+    if texts and part[wrappers.SLOT] is None:
+        return False
+    kids = [c for c in node[1] if not isinstance(c, str) and c[0].split(".")[0] not in wrappers.UNREAD]
+    for kind, parts in part[wrappers.KIDS].items():
+        mine = [c for c in kids if c[0] == kind]
+        if len(parts) > 1:
+            if mine and len(mine) != len(parts) or not mine and parts[0][wrappers.LEAST]:
+                return False
+            pairs = list(zip(parts, mine))
+        else:
+            if len(mine) < parts[0][wrappers.LEAST] or len(mine) > 1 and parts[0][wrappers.MOST] < 2:
+                return False
+            pairs = [(parts[0], c) for c in mine]
+        if not all(covers(p, c) for p, c in pairs):
+            return False
+    # Children follow the order of the groups; inside a repeated group any order may recur.
+    place = {k: i for i, group in enumerate(part[wrappers.ORDER]) for k in group}
+    at = [place.get(c[0], -1) for c in kids]
+    return -1 not in at and at == sorted(at)
+
+
 def test_wrapper_alignment_is_general():
-    a, b, c = (wrappers.from_tree(wrappers.parse(x)) for x in ("<div><p>a<p>b</div>", "<div><h1>t</h1><p>a</div>", "<div><p>a</p><ul><li>x</ul></div>"))
-    one = wrappers.align(wrappers.align(a, b), c)
-    notes = {p[wrappers.KIND]: p[wrappers.NOTE] for p in one[wrappers.PARTS][0][wrappers.PARTS]}
-    assert notes == {"h1": "?", "p": "+", "ul": "?"}
+    r = random.Random(3)
+
+    def page(depth=0):
+        kids = [r.choice(["p", "div", "h2", "ul", "b", "div class=x", "td"]) for _ in range(r.randint(0, 5))]
+        return "".join(f"<{k}>{r.choice(['', 'same', str(r.random())])}{page(depth + 1) if depth < 3 else ''}</{k.split()[0]}>" for k in kids)
+
+    for _ in range(60):
+        pages = [page() for _ in range(r.randint(1, 6))]
+        one, two = wrap(pages), wrap(pages[::-1])
+        for p in pages:
+            assert covers(one, wrappers.parse(p)) and covers(two, wrappers.parse(p))
+        assert [wrappers.extract(p, wrappers.plan(one)) for p in pages] == [wrappers.extract(p, wrappers.plan(two)) for p in pages]
+    a, b, c = "<div><p>a<p>b</div>", "<div><h1>t</h1><p>a</div>", "<div><p>a</p><ul><li>x</ul></div>"
+    inner = wrap([a, b, c])[wrappers.KIDS]["div"][0][wrappers.KIDS]
+    assert {k: (p[0][wrappers.LEAST], p[0][wrappers.MOST]) for k, p in inner.items()} == {"h1": (0, 1), "p": (1, 2), "ul": (0, 1)}
+
+
+def test_pages_are_read_through_the_wrapper(spark):
+    foreign = lambda i: f"<html><body><div id='kopf'>Kopfzeile</div><div class='inhalt'><h1>T{i}</h1><p>Body {i}</p><div class='widget-text'>real {i}</div><p class='related-work'>more {i}</p></div><div id='fuss'>Fuss {i}</div></body></html>"
+    places = lambda i: f"<body><div><a href=/>home</a> <a>b{i}</a></div><div><p>Long body {i} {'x y ' * 20}</p><p>second {i}</p></div><div>(c) {i} firm</div></body>"
+    rows = [(i, f"https://f.example/{i}", foreign(i)) for i in range(5)] + [(10 + i, f"https://p.example/{i}", places(i)) for i in range(5)]
+    got = {r.page_id: r.text for r in wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(5):
+        assert got[i] == f"T{i}\nBody {i}\nreal {i}\nmore {i}"
+        assert got[10 + i] == f"Long body {i} {'x y ' * 20}".strip() + f"\nsecond {i}"
+        # An emptied wrapper has no slots, so nothing is read.
+        assert wrappers.extract(foreign(i), wrappers.NOTHING) == ""
+
+
+def test_wrappers_of_deep_and_long_pages():
+    deep = "<div>" * 5000 + "deep text" + "</div>" * 5000
+    unclosed = "<p>a</p>" + "<b>" * 3000 + "z"
+    wide = "".join(f"<p>a{i}</p><h2>b{i}</h2>" for i in range(10000))
+    for page, text in ((deep, "deep text"), (unclosed, "a\nz"), (wide, "\n".join(f"a{i}\nb{i}" for i in range(10000)))):
+        assert wrappers.extract(page, wrappers.plan(wrap([page]))) == text
+    many = "".join(f"<p class='c{chr(97 + i // 26)}{chr(97 + i % 26)}'>t{i}</p>" for i in range(300))
+    assert wrappers.extract(many, wrappers.plan(wrap([many, "<p class=zz>a</p>"]))).count("\n") == 299
 
 
 def test_surrogates(spark):

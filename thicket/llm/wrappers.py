@@ -1,22 +1,25 @@
 """Main text of web pages by union-free wrappers inferred per host.
 
-Each page is a tree of typed elements.  A wrapper is a union-free regular
-expression over such trees: an element holds a sequence of parts, each of
-which is required, optional (?) or repeated (+), and text slots.  Wrappers are
-inferred by aligning pages of one host: runs of like elements fold into one
-repeated part, like elements are matched in order and their contents aligned
-in turn, and what has no match becomes optional.  Alignment of two wrappers is
-the same operation, so wrappers are made where the pages lie, brought together
-in two steps (host and salt, then host) as streams, and no task holds more than
-the two wrappers that it aligns.
-
-Main text is what is inside the page's article, where it has one, and outside
-menus, headers, footers, sidebars, notices, adverts, forms and reader comments;
-these are known by fixed rules.  The host's wrapper tells template text from
-it: on pages without an article, a slot whose text is the same on all pages
-while others vary; inside an article, a block whose text is in the same place,
-repeated or not, on every page of the host.  A page most of whose article is
-such blocks is a copy of the host's other pages and keeps them.
+A wrapper is a union-free regular expression over the elements of a host's
+pages.  An element holds parts, each for one kind of child (tag with classes or
+id); a part is required, optional (?) or repeated (+, *), parts whose order
+differs between repeats or pages form one repeated group, and a part may have a
+text slot that is fixed or varies.  A few containers of one kind side by side
+(columns, layout cells) are told apart by position as long as all pages have as
+many.  Wrappers are inferred by aligning pages: like parts are matched and
+their contents aligned in turn, what has no match becomes optional, what recurs
+becomes repeated.  Alignment of two wrappers is the same operation, so wrappers
+are made where the pages lie, brought together in two steps (host and salt,
+then host) as streams, and no task holds more than the two that it aligns.
+
+A page is read through the wrapper of its host alone: an element without a part
+in it has no slot and gives no text.  ``plan`` marks the parts to read from what
+the alignment saw on all pages of the host.  Main text is the element that
+holds the bulk of the host's varying text outside links; inside it, parts that
+are link lists on most pages, and blocks whose text every page has, are
+template.  HTML's own names of page furniture (nav, aside, form, ...) and class
+names of adverts, notices and comments are a prior: a named part is read all the
+same where it holds a good share of the region's text on enough pages.
 """
 
 from __future__ import annotations
@@ -36,12 +39,16 @@ from thicket.llm.runtime import bounded_batches, lean, materialise
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("nav footer aside form button select dialog head script style noscript template iframe object embed svg math canvas audio video textarea title menu datalist xmp noembed noframes".split())
+UNREAD = frozenset("head script style noscript template iframe object embed svg math canvas audio video textarea title select button datalist xmp noembed noframes".split())
+FURNITURE = frozenset("nav footer aside form dialog menu search".split())
+CONTAINERS = frozenset("# html body div section article main table tbody tr td center span header figure details".split())
+POSITIONAL = frozenset("div section table tbody td ul ol".split())
+LISTS = frozenset("div section ul ol dl table tbody tr td menu".split())
 CLOSES_P = BLOCK - frozenset("body html tbody thead tfoot tr td th li dd dt option summary caption".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tfoot", "tr", "td", "th"}, "thead": {"tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl select article section div body html main".split())
-BOILER = frozenset("nav navbar navigation menu menus sidebar sidenav footer masthead breadcrumb breadcrumbs ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments disqus replies reply respond pagination pager toolbar widget skip".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
+NAMED = frozenset("nav navbar navigation menu sidebar sidenav footer masthead breadcrumb breadcrumbs ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice alert popup modal newsletter subscribe signup login share sharing social related recommended comment comments disqus replies respond pagination pager toolbar complementary contentinfo dialog menubar search form".split())
+HOLDERS = frozenset("list box bar area section wrapper wrap container block slot form link links menu item items unit panel overlay buttons header footer".split())
 
 TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*)|<!\[CDATA\[(?:.*?\]\]>|.*)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*+)[^>]*>|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
@@ -49,43 +56,59 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 SPACES = re.compile(r"\s+")
-#: Pages on which a slot or block must read the same to be template text, and the longest such text.
-TEMPLATE_PAGES, TEMPLATE_CHARS = 3, 200
+#: Pages on which a part must be seen before what they have in common decides, and the longest fixed text.
+ENOUGH_PAGES, FIXED_CHARS = 3, 200
+#: Levels of nesting that a wrapper describes; deeper elements are read as part of the last one.
+LEVELS = 48
+#: Kinds of children that a part keeps apart; beyond it they are told apart by tag alone.
+KINDS = 64
+#: Siblings of one kind told apart by position.
+PLACES = 6
+#: Shares: of the text that a child must hold to be the region, of links in a link list, of the region's text that clears a named part.
+BULK, LINKED, CLEARED = 0.6, 0.6, 0.3
+#: A block's end inside an element of the last level.
+BREAK = ["br!", []]
 
 
 def kind_of(tag: str, attributes: str) -> str:
-    """The element's type in a wrapper: its tag, with '!' where it is no part of a main text."""
-    if tag in DROPPED:
-        return tag + "!"
-    for m in ATTRIBUTE.finditer(attributes):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if m[1].lower() == "role":
-            if ROLES & set(value.split()):
-                return tag + "!"
-            if value == "main" and tag != "main":
-                return "main"
-        elif tag not in ("html", "body", "article", "main") or m[1].lower() == "class" and "comment" in value:
-            # Whole names, and the words of joined names such as site-nav or comment_list.
-            for name in value.split():
-                if BOILER & set(re.split(r"[-_]+|(?<=[a-z])(?=[A-Z])", name)):
-                    return tag + "!"
-    return tag
+    """The element's kind: its tag, its role, and its classes (or id) without those that hold digits."""
+    found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attributes)}
+    names = [n for n in (found.get("class") or found.get("id") or "").split() if not any(c.isdigit() for c in n)]
+    if found.get("role"):
+        names.append("role=" + found["role"].split()[0])
+    return ".".join([tag, *sorted(set(names))])
+
+
+def named(kind: str) -> bool:
+    """Whether a kind's tag, role or classes name page furniture."""
+    tag, *names = kind.split(".")
+    if tag in FURNITURE:
+        return True
+    for name in names:
+        words = re.split(r"[-_]+", name.removeprefix("role="))
+        if words[-1] in NAMED and words[-1] not in HOLDERS or name in NAMED or words[0] in NAMED and words[-1] in HOLDERS:
+            return True
+    return False
 
 
 def parse(page: str) -> list:
-    """[kind, children] of a page; a child is such a list or a text."""
+    """[kind, children] of a page; a child is such a list or a text.  Works without recursion at any depth."""
     root: list = ["#", []]
     stack, at = [("#", root)], 0
 
+    def leave(i: int) -> None:
+        if len(stack) > LEVELS and any(tag in BLOCK for tag, _ in stack[max(i, LEVELS) :]):
+            stack[LEVELS - 1][1][1].append(BREAK)
+        del stack[i:]
+
     def close(tags: set[str] | frozenset[str], scopes: frozenset[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in tags:
-                del stack[i:]
+                leave(i)
                 return
             if stack[i][0] in scopes:
                 return
 
-    raw = ""
     for m in TOKEN.finditer(page):
         if m.start() < at:
             continue
@@ -96,7 +119,7 @@ def parse(page: str) -> list:
             tag = m[1].lower()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    leave(i)
                     break
                 if stack[i][0] in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "body", "html", "div", "article", "main", "section"):
                     break
@@ -107,10 +130,16 @@ def parse(page: str) -> list:
             if tag in SIBLINGS:
                 for name in SIBLINGS[tag]:
                     close({name}, SCOPES - {"section"})
-            node = [kind_of(tag, attributes), []]
-            if tag == "header" and not any(t in ("article", "main") for t, _ in stack):
-                node[0] = "header!"
-            stack[-1][1][1].append(node)
+            into = stack[-1][1]
+            if len(stack) < LEVELS:
+                node = [kind_of(tag, attributes) if attributes else tag, []]
+                into[1].append(node)
+            elif tag in UNREAD or tag in FURNITURE:
+                node = [tag, []]  # below the last level: left out by its tag
+            else:
+                node = into
+                if tag in BLOCK or tag == "br":
+                    into[1].append(BREAK if tag in BLOCK else ["br", []])
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
@@ -121,10 +150,13 @@ def parse(page: str) -> list:
     return root
 
 
-# A wrapper is [kind, mark, parts, slot, pages, common]: mark '', '?' or '+'; slot None
-# (no text), the fixed text [t], or [] for varying text; pages counts the pages that
-# were aligned; common has the texts of innermost blocks that each of these pages has here.
-KIND, NOTE, PARTS, SLOT, PAGES, COMMON = range(6)
+# A part is [least, most, pages, chars, slot, common, order, kids]: least and most are its
+# occurrences in one parent (most 2: more than one); pages the aligned pages that have it;
+# chars the characters of its own slot on all of them; slot None (no text), the fixed text
+# [t], or [] for varying text; common the texts of innermost blocks that each of these pages
+# has here; order a list of lists of kinds, one of several being a repeated group; kids a
+# list of parts by kind, several being told apart by position.
+LEAST, MOST, PAGES, CHARS, SLOT, COMMON, ORDER, KIDS = range(8)
 
 
 def block_text(node: list) -> str:
@@ -135,94 +167,127 @@ def block_text(node: list) -> str:
         for child in inner[1]:
             if isinstance(child, str):
                 texts.append(child)
-            elif child[0].rstrip("!") in BLOCK or not child[0].endswith("!") and not gather(child):
+                continue
+            tag = child[0].split(".", 1)[0]
+            if tag in BLOCK or child is BREAK or not gather(child):
                 return False
-            elif child[0] == "br":
+            if tag == "br":
                 texts.append(" ")
         return True
 
-    if node[0] not in BLOCK or not gather(node):
+    if node[0].split(".", 1)[0] not in BLOCK or not gather(node):
         return ""
     text = SPACES.sub(" ", "".join(texts)).strip()
-    return text if len(text) <= TEMPLATE_CHARS else ""
+    return text if len(text) <= FIXED_CHARS else ""
 
 
 def from_tree(node: list) -> list:
-    """The wrapper of one page's element; runs of like children fold into one repeated part."""
-    if node[0].endswith("!"):
-        return [node[0], "", [], None, 1, []]
-    parts: list = []
+    """The wrapper of one page's element."""
     texts = []
+    order: list[list[str]] = []
+    seen: dict[str, list] = {}
+    kinds = {c[0] for c in node[1] if not isinstance(c, str)}
+    wide = len(kinds) > KINDS
     for child in node[1]:
         if isinstance(child, str):
             if child.strip():
                 texts.append(SPACES.sub(" ", child.strip()))
             continue
-        made = from_tree(child)
-        if parts and parts[-1][KIND] == made[KIND]:
-            parts[-1] = align(parts[-1], made, True)
-            parts[-1][NOTE] = "+"
-        else:
-            parts.append(made)
+        kind = child[0].split(".", 1)[0] if wide else child[0]
+        if kind.split(".", 1)[0] in UNREAD or child is BREAK:
+            continue
+        _place(order, kind)
+        seen.setdefault(kind, []).append(from_tree(child))
+    kids = {}
+    for kind, parts in seen.items():
+        kids[kind] = parts if len(parts) <= PLACES and kind.split(".", 1)[0] in POSITIONAL else [_fold(parts)]
+        if len(kids[kind]) == 1:
+            kids[kind][0][MOST] = min(2, len(parts))
     joined = " ".join(texts)
     whole = block_text(node)
-    return [node[0], "", parts, ([joined] if len(joined) <= 200 else []) if texts else None, 1, [whole] if whole else []]
+    return [1, 1, 1, len(joined), ([joined] if len(joined) <= FIXED_CHARS else []) if texts else None, [whole] if whole else [], order, kids]
 
 
-def align(a: list, b: list, folds: bool = False) -> list:
-    """The least wrapper of both kinds of this form that covers a and b; folds: both are of the same pages."""
-    slot = a[SLOT] if a[SLOT] == b[SLOT] else b[SLOT] if a[SLOT] is None and not a[PARTS] else [] if a[SLOT] is not None or b[SLOT] is not None else None
-    if a[SLOT] is not None and b[SLOT] is not None and a[SLOT] != b[SLOT]:
-        slot = []
-    x, y = a[PARTS], b[PARTS]
-    if [p[KIND] for p in x] == [p[KIND] for p in y]:
-        parts = [_joined(p, q, folds) for p, q in zip(x, y)]
+def _place(order: list[list[str]], kind: str) -> None:
+    """Adds a child to a page's order; a kind that comes again after others makes all since then one repeated group."""
+    for i in range(len(order) - 1, -1, -1):
+        if kind in order[i]:
+            if i < len(order) - 1:
+                order[i:] = [[k for group in order[i:] for k in group]]
+            return
+    order.append([kind])
+
+
+def _fold(parts: list[list]) -> list:
+    """Parts of the same pages as one repeated part; pairwise, so that the work stays in proportion."""
+    while len(parts) > 1:
+        parts = [align(parts[i], parts[i + 1], True) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def align(a: list, b: list, same: bool = False) -> list:
+    """A wrapper of this form that covers a and b; same: both are of the same pages."""
+    slot = a[SLOT] if a[SLOT] == b[SLOT] else []
+    kids = {}
+    for kind in [*a[KIDS], *(k for k in b[KIDS] if k not in a[KIDS])]:
+        x, y = a[KIDS].get(kind), b[KIDS].get(kind)
+        if x is None or y is None:
+            kids[kind] = [[0, *p[1:]] for p in x or y]
+        elif len(x) == len(y):
+            kids[kind] = [align(p, q, same) for p, q in zip(x, y)]
+        else:
+            many = max(len(x), len(y), 2)
+            kids[kind] = [align(_fold(x), _fold(y), same)]
+            kids[kind][0][MOST] = min(2, many)
+    order = _merged(a[ORDER], b[ORDER])
+    if len(kids) > KINDS:
+        order, kids = _by_tag(order, kids)
+    pages = max(a[PAGES], b[PAGES]) if same else a[PAGES] + b[PAGES]
+    if same:  # only texts of the part that all the pages have are sure
+        common = list(dict.fromkeys(t for w in (a, b) if w[PAGES] == pages for t in w[COMMON]))
     else:
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            for j in range(len(y) - 1, -1, -1):
-                best[i][j] = best[i + 1][j + 1] + 1 if x[i][KIND] == y[j][KIND] else max(best[i + 1][j], best[i][j + 1])
-        parts, i, j = [], 0, 0
-        while i < len(x) or j < len(y):
-            if i < len(x) and j < len(y) and x[i][KIND] == y[j][KIND]:
-                parts.append(_joined(x[i], y[j], folds))
-                i, j = i + 1, j + 1
-            elif j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
-                parts.append(_optional(x[i]))
-                i += 1
-            else:
-                parts.append(_optional(y[j]))
-                j += 1
-        parts = _folded(parts)
-    if not folds:
         held = set(b[COMMON])
-        return [a[KIND], a[NOTE] or b[NOTE], parts, slot, a[PAGES] + b[PAGES], [t for t in a[COMMON] if t in held]]
-    # Pages may be the same, so no more are sure than the larger count, and only for its texts.
-    most = max(a[PAGES], b[PAGES])
-    return [a[KIND], a[NOTE] or b[NOTE], parts, slot, most, list(dict.fromkeys(t for w in (a, b) if w[PAGES] == most for t in w[COMMON]))]
-
-
-def _joined(p: list, q: list, folds: bool) -> list:
-    out = align(p, q, folds)
-    out[NOTE] = "*" if "*" in (p[NOTE], q[NOTE]) or {p[NOTE], q[NOTE]} == {"?", "+"} else "+" if "+" in (p[NOTE], q[NOTE]) else "?" if "?" in (p[NOTE], q[NOTE]) else ""
+        common = [t for t in a[COMMON] if t in held]
+    return [min(a[LEAST], b[LEAST]), max(a[MOST], b[MOST]), pages, a[CHARS] + b[CHARS], slot, common, order, kids]
+
+
+def _merged(x: list[list[str]], y: list[list[str]]) -> list[list[str]]:
+    """One order of the kinds of both; where they disagree, the kinds between become one repeated group."""
+    if x == y:
+        return x
+    out = [list(group) for group in x]
+    at = -1
+    for group in y:
+        found = [i for i, g in enumerate(out) if any(k in g for k in group)]
+        if not found:
+            at += 1
+            out.insert(at, list(group))
+            continue
+        lo, hi = found[0], found[-1]
+        if lo < at:
+            hi = max(hi, at)
+            lo, at = min(lo, at), lo
+        if hi > lo:
+            out[lo : hi + 1] = [[k for g in out[lo : hi + 1] for k in g]]
+        out[lo] += [k for k in group if k not in out[lo]]
+        at = lo
     return out
 
 
-def _optional(p: list) -> list:
-    return [p[KIND], {"": "?", "+": "*"}.get(p[NOTE], p[NOTE]), *p[2:]]
-
-
-def _folded(parts: list) -> list:
-    """Neighbouring parts of one kind fold into one repeated part."""
-    out: list = []
-    for p in parts:
-        if out and out[-1][KIND] == p[KIND]:
-            note = "*" if {out[-1][NOTE], p[NOTE]} <= {"?", "*"} else "+"
-            out[-1] = align(out[-1], p, True)
-            out[-1][NOTE] = note
-        else:
-            out.append(p)
-    return out
+def _by_tag(order: list[list[str]], kids: dict[str, list]) -> tuple[list[list[str]], dict[str, list]]:
+    """Kinds told apart by tag alone, where a host's pages have very many class names."""
+    by: dict[str, list] = {}
+    for kind, parts in kids.items():
+        by.setdefault(kind.split(".", 1)[0], []).extend(parts)
+    folded: list[list[str]] = []
+    for group in order:
+        for kind in group:
+            _place(folded, kind.split(".", 1)[0])
+    out = {tag: [_fold(parts)] if len(parts) > 1 else parts for tag, parts in by.items()}
+    for tag, parts in by.items():
+        if len(parts) > 1:
+            out[tag][0][LEAST], out[tag][0][MOST] = 0, 2
+    return folded, out
 
 
 def host_of(url: str | None) -> str:
@@ -230,26 +295,105 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _varies(wrapper: list) -> bool:
-    return wrapper[SLOT] == [] or any(_varies(p) for p in wrapper[PARTS])
-
+def _mass(part: list, kind: str, found: dict[int, tuple[int, int]]) -> tuple[int, int]:
+    """(characters outside links, inside links) of a part's varying text on all pages, and of all its parts."""
+    tag = kind.split(".", 1)[0]
+    own = 0 if part[PAGES] >= ENOUGH_PAGES and part[SLOT] else part[CHARS]
+    text, link = own, 0
+    for k, parts in part[KIDS].items():
+        for p in parts:
+            t, u = _mass(p, k, found)
+            text, link = text + t, link + u
+    if tag == "a":
+        text, link = 0, text + link
+    found[id(part)] = text, link
+    return text, link
+
+
+def _template(part: list, kind: str, whole: list, mass: dict, region: int) -> bool:
+    """Whether a part is furniture of the host's pages rather than text."""
+    tag = kind.split(".", 1)[0]
+    text, link = mass[id(part)]
+    sure = part[PAGES] >= ENOUGH_PAGES
+    if named(kind) and not (sure and tag not in FURNITURE and region and text >= CLEARED * region):
+        return True
+    return tag in LISTS and sure and 2 * part[PAGES] >= whole[PAGES] and link > 0 and link >= LINKED * (text + link)
 
-def extract(page: str, wrapper: list) -> str:
-    """The main text of a page, read through its host's wrapper."""
-    root = parse(page)
-    text = _read(root, wrapper, True)
-    if _article(root) is None:
-        return text
-    whole = _read(root, wrapper, False)
-    return text if 2 * len(text) >= len(whole) else whole
 
+def plan(whole: list) -> list:
+    """What to read of a host's pages: [state, common, kids] a part; state 1 inside the region, 0 on its path, 2 outside it.
 
-def _read(root: list, wrapper: list, common: bool) -> str:
-    """The main text; common: without the blocks of an article that all pages of the host have."""
+    Template parts are null.
+    """
+    mass: dict[int, tuple[int, int]] = {}
+    _mass(whole, "#", mass)
+    path, at, kind = [(whole, "#")], whole, "#"
+    while True:
+        best, most, sum_ = None, 0.0, 0
+        for k, parts in at[KIDS].items():
+            tag = k.split(".", 1)[0]
+            for p in parts:
+                text = mass[id(p)][0]
+                if tag in FURNITURE or named(k) and text < CLEARED * mass[id(at)][0]:
+                    continue
+                sum_ += text
+                weight = text * (2 if tag in ("article", "main") or ".role=main" in k else 0.5 if named(k) else 1)
+                if tag in CONTAINERS and (tag != "span") and weight > most:
+                    best, most = (p, k), weight
+        own = mass[id(at)][0] - sum(mass[id(p)][0] for parts in at[KIDS].values() for p in parts)
+        if best is None or not sum_:
+            break
+        marked = best[1].split(".", 1)[0] in ("article", "main") or ".role=main" in best[1]
+        if mass[id(best[0])][0] < (BULK / 2 if marked else BULK) * (sum_ + own):
+            break
+        path.append(best)
+        at, kind = best
+        if marked:
+            break
+    region = mass[id(at)][0]
+    on_path = {id(p): i for i, (p, _) in enumerate(path)}
+
+    def made(part: list, state: int) -> list:
+        kids = {}
+        for k, parts in part[KIDS].items():
+            tag, out = k.split(".", 1)[0], []
+            for p in parts:
+                if id(p) in on_path:
+                    out.append(made(p, 1 if p is at else 0))
+                elif k.startswith("header") and state != 1 or _template(p, k, whole, mass, region):
+                    out.append(None)
+                elif state == 1:
+                    out.append(made(p, 1))
+                else:
+                    # A headline beside the region's path belongs to the text.
+                    out.append(made(p, 1 if state == 0 and tag == "h1" and not p[SLOT] and at is not whole else 2))
+            kids[k] = out
+        # Of a part that every page of the host has, what each has in common is template.
+        common = part[COMMON] if part[PAGES] >= max(ENOUGH_PAGES, whole[PAGES]) else []
+        return [state, common, kids]
+
+    return made(whole, 1 if at is whole else 0)
+
+
+def extract(page: str, reading: list) -> str:
+    """The main text of a page, read through the plan of its host's wrapper."""
+    root = parse(page)
+    text, seen = _read(root, reading, 1, True)
+    whole = text
+    if seen:
+        whole, _ = _read(root, reading, 1, False)
+    else:  # a page without the region: what is outside it
+        text, _ = _read(root, reading, 2, True)
+        whole, _ = _read(root, reading, 2, False)
+    # A page nearly all of whose text is common to the host is a copy of the others and keeps it.
+    return text if 4 * len(text) >= len(whole) else whole
+
+
+def _read(root: list, reading: list, state: int, common: bool) -> tuple[str, bool]:
+    """(text of the parts in this state, whether there are any); common: without the texts that every page has."""
     blocks: list[str] = []
     inline: list[str] = []
-    template = _varies(wrapper)
-    article = _article(root)
+    seen = False
 
     def flush() -> None:
         text = SPACES.sub(" ", entities.unescape("".join(inline)) if inline else "").strip()
@@ -257,51 +401,43 @@ def _read(root: list, wrapper: list, common: bool) -> str:
             blocks.append(text)
         inline.clear()
 
-    def visit(node: list, parts: list, inside: bool) -> None:
-        kind = node[0]
-        if kind.endswith("!"):
-            if kind[:-1] in BLOCK:
-                flush()
-            return
-        # The wrapper's part for this element; an element that it lacks is read by its own kind.
-        mine = next((p for p in parts if p[KIND] == kind), None)
-        inside = inside or article is None or kind == article
-        fixed = mine is not None and article is None and template and mine[PAGES] >= TEMPLATE_PAGES and bool(mine[SLOT])
-        block = kind in BLOCK
+    def visit(node: list, part: list, inside: bool) -> None:
+        nonlocal seen
+        tag = node[0].split(".", 1)[0]
+        read = part[0] == state or state == 2 and part[0] == 0
+        if read and part[0] == state and (state == 2 or tag != "h1" or inside):
+            seen = True
+        block = tag in BLOCK
         if block:
             flush()
-        if common and article is not None and template and mine is not None and mine[COMMON] and mine[PAGES] >= max(TEMPLATE_PAGES, wrapper[PAGES]) and block_text(node) in mine[COMMON]:
+        if common and part[1] and block_text(node) in part[1]:
             return
+        place: dict[str, int] = {}
         for child in node[1]:
             if isinstance(child, str):
-                if inside and not fixed:
+                if read:
                     inline.append(child)
-            elif child[0] == "br":
+                continue
+            kind = child[0]
+            if kind == "br":
                 inline.append(" ")
-            else:
-                visit(child, mine[PARTS] if mine else [], inside)
+                continue
+            if child is BREAK:
+                flush()
+                continue
+            parts = part[2].get(kind if kind in part[2] else kind.split(".", 1)[0])
+            i = place[kind] = place.get(kind, -1) + 1
+            mine = None if parts is None else parts[i] if i < len(parts) and len(parts) > 1 else parts[0] if len(parts) == 1 else None
+            if mine is not None:
+                visit(child, mine, read)
+            elif kind.split(".", 1)[0] in BLOCK:
+                flush()
         if block:
             flush()
 
-    visit(root, [wrapper], False)
+    visit(root, reading, False)
     flush()
-    return "\n".join(blocks)
-
-
-def _article(root: list) -> str | None:
-    """'article' or 'main' where the page has one outside boilerplate, else None."""
-    found = set()
-
-    def look(node: list) -> None:
-        if node[0].endswith("!"):
-            return
-        found.add(node[0])
-        for child in node[1]:
-            if not isinstance(child, str):
-                look(child)
-
-    look(root)
-    return next((k for k in ("article", "main") if k in found), None)
+    return "\n".join(blocks), seen
 
 
 @lean
@@ -324,6 +460,16 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @lean
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _merge_with(batches, lambda w: w)
+
+
+@lean
+def _plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _merge_with(batches, plan)
+
+
+def _merge_with(batches: Iterator[pa.RecordBatch], made) -> Iterator[pa.RecordBatch]:
+    """Aligns the wrappers of each host, which follow each other, and yields (host, made(wrapper))."""
     current, wrapper = None, None
     for batch in batches:
         done = []
@@ -335,18 +481,22 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 wrapper = align(wrapper, json.loads(text))
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in done]), pa.array([json.dumps(w, ensure_ascii=False) for _, w in done])], ["host", "wrapper"])
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in done]), pa.array([json.dumps(made(w), ensure_ascii=False) for _, w in done])], ["host", "wrapper"])
     if wrapper is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([json.dumps(wrapper, ensure_ascii=False)])], ["host", "wrapper"])
+        yield pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([json.dumps(made(wrapper), ensure_ascii=False)])], ["host", "wrapper"])
 
 
-def infer_wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
-    """(host, wrapper) of every host of pages(url, html), one row a host."""
+def infer_wrappers(pages: DataFrame, salts: int = 32, plans: bool = False) -> DataFrame:
+    """(host, wrapper) of every host of pages(url, html), one row a host; plans: what to read by it instead."""
     bounded_batches(pages.sparkSession)
     rows = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     local = rows.mapInArrow(_infer, "host string, wrapper string").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     merged = local.repartition("host", "salt").sortWithinPartitions("host").select("host", "wrapper").mapInArrow(_merge, "host string, wrapper string")
-    return materialise(merged.repartition("host").sortWithinPartitions("host").mapInArrow(_merge, "host string, wrapper string"), "wrappers")
+    return materialise(merged.repartition("host").sortWithinPartitions("host").mapInArrow(_plan if plans else _merge, "host string, wrapper string"), "wrappers")
+
+
+#: The plan of a host without pages.
+NOTHING: list = [0, [], {}]
 
 
 @lean
@@ -358,7 +508,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if wrapper not in known:
                 if len(known) > 500:
                     known.clear()
-                known[wrapper] = json.loads(wrapper) if wrapper else ["#", "", [], None, 0, []]
+                known[wrapper] = json.loads(wrapper) if wrapper else NOTHING
             texts.append(extract(page or "", known[wrapper]))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
@@ -366,13 +516,14 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every row of pages(page_id, url, html).
 
-    Character references are decoded, white space inside a block is one space,
+    A page is read through its host's wrapper.  Character references are decoded, white space inside a block is one space,
     blocks are joined in page order by one line end.  Null and empty pages and
     pages without main text have an empty text; a null or hostless url is the
     host ''.  Repeated rows give repeated results, other columns are ignored,
-    an empty table gives an empty result.
+    an empty table gives an empty result.  Pages may be of any length and nest
+    to any depth; beyond LEVELS, elements are read as part of the one above.
     """
-    wrappers = infer_wrappers(pages).withColumnRenamed("host", "_host")
+    wrappers = infer_wrappers(pages, plans=True).withColumnRenamed("host", "_host")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("_host", host)
     joined = rows.join(wrappers, "_host", "left").select("page_id", "url", "html", "wrapper")
