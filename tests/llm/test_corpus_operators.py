@@ -8,10 +8,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
-from thicket.llm import decontaminate, fingerprint, language_model, neardup, pii, prefilter, quality, sentencepiece_codec, token_files, warc, wrappers
+from thicket.llm import decontaminate, fingerprint, language_model, neardup, pii, prefilter, quality, sentencepiece_codec, token_files, tokens, warc, wrappers
 
 WORD_BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, head string, component_id int, kept string, _rejected int"
@@ -233,6 +235,57 @@ def test_quality(spark):
     assert {x.doc_id for x in quality.keep_quality(docs, labels).collect()} == kept
     assert quality.quality_sample(docs, labels.limit(0)).filter("kept").count() == 403
     assert quality.quality_sample(empty(spark), labels).count() == 0
+    assert quality.quality_sample(docs, labels, k=10).filter("kept AND doc_id IS NOT NULL").count() == 10
+
+
+def brute_quality(rows, labels):
+    """Importance weights and Gumbel top-k with Python integers: {doc_id: (log_weight, kept)}."""
+    m64, p = (1 << 64) - 1, int(tokens._P)
+
+    def mix(h):
+        h = (h ^ h >> 30) * int(tokens._M1) & m64
+        h = (h ^ h >> 27) * int(tokens._M2) & m64
+        return h ^ h >> 31
+
+    def grams(text):
+        words = re.findall(rb"[A-Za-z0-9_\x80-\xff]+|[^A-Za-z0-9_\x80-\xff\x20\x09-\x0D]+", (text or "").encode())
+        h = [mix(sum((b + 1) * pow(p, i, 1 << 64) for i, b in enumerate(w)) + len(w) * int(tokens._M1) & m64) for w in words]
+        return [g % quality.BUCKETS for g in h + [mix(0x5EED) if a == b else mix(3 * a + b & m64) for a, b in zip(h, h[1:])]]
+
+    bags = [(i, grams(t)) for i, t in rows]
+    good = {i for i, q in labels if q == 1}
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for i, bag in bags:
+        for g in bag:
+            raw[g] += 1
+            target[g] += i in good
+    ratio = np.zeros(quality.BUCKETS)
+    for g in range(quality.BUCKETS):
+        prior = (raw[g] + 0.5) / (raw.sum() + 0.5 * quality.BUCKETS)
+        ratio[g] = math.log((target[g] + quality.PRIOR * quality.BUCKETS * prior) / (target.sum() + quality.PRIOR * quality.BUCKETS) / prior)
+    weight = {i: quality.PASSAGE * sum(ratio[g] for g in bag) / max(1, len(bag)) for i, bag in bags}
+    keys = {i: w + float(quality.gumbel(np.array([i]))[0]) for i, w in weight.items()}
+    k = round(len(good) / len(labels) * len(rows))
+    kept = set(sorted(keys, key=lambda i: -keys[i])[:k])
+    return {i: (w, i in kept) for i, w in weight.items()}
+
+
+def test_quality_equals_brute_force(spark):
+    r = random.Random(5)
+    pool = "the of and in to a is was for on Über naïve x_1 42".split()
+    rows = [(i, " ".join(r.choice(pool) + r.choice(["", "", ",", "."]) for _ in range(r.randint(0, 60)))) for i in range(150)]
+    rows += [(i, " ".join(r.choice(pool) + r.choice(["###", "&&", ""]) for _ in range(r.randint(1, 60)))) for i in range(150, 200)]
+    rows += [(200, ""), (201, "!!! ??? !!!"), (202, "word " * 50), (203, "no-space\nline\tend"), (204, None)]
+    labels = [(i, int(i < 150)) for i in range(0, 200, 3)]
+    want = brute_quality(rows, labels)
+    got = {x.doc_id: x for x in quality.quality_sample(make_docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    assert set(got) == set(want)
+    for i, (weight, kept) in want.items():
+        assert abs(got[i].log_weight - weight) < 1e-4 and got[i].kept == kept
+    long = "ab cd, " * 400_000  # longer than the pieces that it is read in
+    whole = quality._ngrams(*(lambda d: (d, np.zeros(1, np.int64), np.array([len(d)])))(np.frombuffer(long.encode(), np.uint8)))[0]
+    parts = [b for _, _, x in quality._runs(pa.array([long])) for b, _ in x]
+    assert np.array_equal(np.bincount(whole), np.bincount(np.concatenate(parts)))
 
 
 def test_top_k_key(spark):

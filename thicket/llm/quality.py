@@ -1,14 +1,16 @@
 """Quality by importance resampling of hashed n-gram models.
 
 Two bag-of-n-grams generative models are estimated over hashed buckets: the
-target from half of the labelled documents of quality 1 and the raw one from
-all documents.  A text's importance is the ratio of its two likelihoods, taken
-over two families of n-grams: words, and 1- to 3-grams of word shapes (which
-character classes a word holds, whether it repeats its predecessor).  Documents
-are sampled without replacement by Gumbel top-k: the k largest values of
-log-weight plus keyed Gumbel noise.  k is the number of documents whose
-log-weight reaches the cut that best separates the other half of the labelled
-documents, so the share that is kept follows the corpus.
+target from labelled documents of quality 1 and the raw one from all documents.
+The n-grams are tokens and pairs of neighbouring tokens, a token being a run of
+letters and digits or a run of other characters (white space separates); a pair
+of one token with itself is one n-gram, whatever the token.  A text's importance
+is the ratio of its two likelihoods; as its logarithm grows with the length,
+``log_weight`` is that of a passage of PASSAGE n-grams with the text's mean, so
+that short and long texts are sampled alike.  Documents are sampled without
+replacement by Gumbel top-k: the k largest values of log_weight plus keyed
+Gumbel noise of scale 1.  k is a parameter; where it is not given, it is the
+share of quality 1 among the labelled documents, of all documents.
 """
 
 from __future__ import annotations
@@ -21,138 +23,147 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
+from thicket.llm.prefilter import split_listed
 from thicket.llm.runtime import bounded_batches, lean, materialise
 
-WORD_BUCKETS, SHAPE_BUCKETS = 1 << 16, 1 << 13
-BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
-#: At most about this many labelled rows are used to fit target model and cut.
+BUCKETS = 1 << 16
+#: At most about this many labelled rows of quality 1 are used to fit the target model.
 LABEL_ROWS = 200_000
-#: Scale of the Gumbel noise; 1 samples by the importance weights as they are.
-TEMPERATURE = 0.25
+#: N-grams of the passage that log_weight is for.
+PASSAGE = 100
+#: Pseudo-counts a bucket by which the target model leans on the raw one.
+PRIOR = 1
 SEED = 20
-#: Pseudo-counts a bucket by which the target's word model leans on the raw one.
-PRIOR = 20
-
-# Character classes of bytes; fixed values of this module.
-LOWER, UPPER, DIGIT, SYMBOL, MARK, HIGH, CAPITAL, REPEAT = (1 << k for k in range(8))
-CLASS = np.full(256, SYMBOL, np.uint8)
-CLASS[97:123], CLASS[65:91], CLASS[48:58], CLASS[128:] = LOWER, UPPER, DIGIT, HIGH
-CLASS[[ord(c) for c in ".,;:!?'\"-()"]] = MARK
-CLASS[tokens.SPACE] = 0
-
 
-def _features(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, row of each) of all n-grams of a run of texts."""
-    words, starts, _ = tokens._hash_piece(data, firsts, lasts)
+# Byte classes of tokens: white space, letters and digits, others.
+CLASS = np.full(256, 2, np.uint8)
+CLASS[[*range(48, 58), *range(65, 91), ord("_"), *range(97, 123), *range(128, 256)]] = 1
+CLASS[tokens.SPACE] = 0
+#: The n-gram of a token with itself.
+REPEAT = tokens.mix(np.array([0x5EED], np.uint64))[0]
+
+
+def _token_hashes(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of the tokens of a run of texts."""
+    kind = CLASS[data]
+    edge = np.ones(len(data) + 1, bool)
+    edge[1:-1] = kind[1:] != kind[:-1]
+    edge[firsts] = edge[lasts] = True
+    at = np.flatnonzero(edge)
+    solid = kind[at[:-1]] > 0
+    starts = at[:-1][solid]
+    return tokens.hash_spans(data, starts, at[1:][solid], tokens.EXACT), starts
+
+
+def _ngrams(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, row of each, last token) of the n-grams of a run of texts; before: the last token of the text's part before."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    hashes, starts = _token_hashes(data, firsts, lasts)
     row = np.searchsorted(firsts, starts, side="right") - 1
-    if not len(words):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    follows = np.zeros(len(words), bool)
-    follows[1:] = row[1:] == row[:-1]
-    shape = np.bitwise_or.reduceat(CLASS[data], starts).astype(np.uint8)
-    shape |= np.where(CLASS[data[starts]] == UPPER, CAPITAL, 0).astype(np.uint8)
-    same = follows.copy()
-    same[1:] &= words[1:] == words[:-1]
-    shape |= np.where(same, REPEAT, 0).astype(np.uint8)
-    code = shape.astype(np.uint64) + np.uint64(1)
-    one = np.where(follows, np.concatenate([[0], code[:-1]]), 0).astype(np.uint64)
-    two = np.where(follows, np.concatenate([[0], one[:-1]]), 0).astype(np.uint64)
-    grams = [code, code + (one << np.uint64(9)), code + (one << np.uint64(9)) + (two << np.uint64(18)) + np.uint64(1 << 40)]
-    shapes = [(tokens.mix(g) % np.uint64(SHAPE_BUCKETS)).astype(np.int64) + WORD_BUCKETS for g in grams]
-    return np.concatenate([(words % np.uint64(WORD_BUCKETS)).astype(np.int64), *shapes]), np.tile(row, 4)
+    left, right, of = hashes[:-1], hashes[1:], row[1:]
+    inside = row[1:] == row[:-1]
+    left, right, of = left[inside], right[inside], of[inside]
+    if before is not None and len(before) and len(hashes):
+        left, right, of = np.append(left, before), np.append(right, hashes[:1]), np.append(of, row[:1])
+    pairs = np.where(left == right, REPEAT, tokens.mix(left * np.uint64(3) + right))
+    grams = np.concatenate([hashes, pairs])
+    return (grams % np.uint64(BUCKETS)).astype(np.int64), np.concatenate([row, of]), hashes[-1:]
 
 
 def _runs(column: pa.Array) -> Iterator[tuple[int, int, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+    """(first row, end row, parts of (buckets, row of each)); a very long text comes in parts."""
+
+    def parts(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        last = None
+        for piece in tokens.cut(data, tokens.PIECE):
+            bucket, row, end = _ngrams(piece, np.zeros(1, np.int64), np.array([len(piece)]), last)
+            last = end if len(end) else last
+            yield bucket, row
+
     for lo, hi, data, firsts, lasts in tokens.text_runs(column, tokens.PIECE):
         if hi - lo == 1 and len(data) > 2 * tokens.PIECE:
-            yield lo, hi, (_features(p, np.zeros(1, np.int64), np.array([len(p)])) for p in tokens.cut(data, tokens.PIECE))
+            yield lo, hi, parts(data)
         else:
-            yield lo, hi, iter([_features(data, firsts, lasts)])
+            yield lo, hi, iter([_ngrams(data, firsts, lasts)[:2]])
+
+
+def _count(good_ids):
+    """Bucket counts of all texts, and of those whose doc_id is in the sorted good_ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = np.frombuffer(good_ids.value, np.int64)
+        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            at = np.searchsorted(listed, ids)
+            good = (at < len(listed)) & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            good[good] = listed[at[good]] == ids[good]
+            for lo, hi, parts in _runs(batch.column("text")):
+                for bucket, row in parts:
+                    raw += np.bincount(bucket, minlength=BUCKETS)
+                    target += np.bincount(bucket[good[lo:hi][row]], minlength=BUCKETS)
+        used = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
+
+    return lean(run)
 
 
-@lean
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for batch in batches:
-        good = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False)
-        for lo, hi, parts in _runs(batch.column(0)):
-            for bucket, row in parts:
-                raw += np.bincount(bucket, minlength=BUCKETS)
-                target += np.bincount(bucket[good[lo:hi][row]], minlength=BUCKETS)
-    used = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
+def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log of target over raw probability of each bucket; the target leans on the raw model, which is smoothed by 0.5."""
+    if not target.sum():
+        return np.zeros(len(raw))
+    prior = (raw + 0.5) / (raw.sum() + 0.5 * len(raw))
+    strength = PRIOR * len(raw)
+    return np.round(np.log((target + strength * prior) / (target.sum() + strength) / prior), 9)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    """(log ratio of each bucket, cut); the ratios are 0 and the cut -inf where no labelled document is of quality 1."""
+    """(log ratio of each bucket, share of quality 1 among the labelled documents); zeros and 1 without labels of quality 1."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    sample = _label_sample(labels)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = text.join(F.broadcast(sample), "doc_id", "left")
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(2)) == 0
-    counts = marked.select("text", ((F.col("quality") == 1) & fold).alias("good")).mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counts.collect():  # at most BUCKETS rows
-        raw[r.bucket], target[r.bucket] = r.raw, r.target
-    ratio = np.zeros(BUCKETS)
-    if target.sum():
-        for family, pseudo in ((slice(0, WORD_BUCKETS), PRIOR), (slice(WORD_BUCKETS, BUCKETS), 1)):
-            # The target is smoothed towards the raw model, so rare buckets weigh little
-            # and a small labelled sample leaves the word family almost silent.
-            prior = (raw[family] + 0.5) / (raw[family].sum() + 0.5 * len(raw[family]))
-            strength = 0.02 * target[family].sum() + pseudo * len(raw[family])
-            ratio[family] = np.log((target[family] + strength * prior) / (target[family].sum() + strength) / prior)
-    ratio = np.round(ratio, 9)
-    graded = marked.filter("quality IS NOT NULL").filter(~fold).select("doc_id", "text", "quality")
-    scored = weights(graded, ratio, "quality int").select("log_weight", "quality").toPandas()  # bounded by LABEL_ROWS
-    return ratio, _cut(scored["log_weight"].to_numpy(), scored["quality"].to_numpy())
-
-
-def _label_sample(labels: DataFrame) -> DataFrame:
-    """One row per labelled document, about LABEL_ROWS at most, chosen by a hash of doc_id."""
     once = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna().groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    total = once.count()
-    if total > LABEL_ROWS:
-        once = once.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * LABEL_ROWS / total)).limit(LABEL_ROWS * 2)
-    return once
+    total, good = once.agg(F.count("*"), F.count_if(F.col("quality") == 1)).first()
+    if not good:
+        return np.zeros(BUCKETS), 1.0
+    # At most twice LABEL_ROWS ids, chosen by a hash: the only part of the labels that leaves the tasks.
+    chosen = once.filter("quality = 1").filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * min(1, LABEL_ROWS / good))).select("doc_id").limit(2 * LABEL_ROWS)
+    ids = spark.sparkContext.broadcast(np.sort(chosen.toArrow()["doc_id"].to_numpy()).tobytes())
+    counts = _texts(docs).mapInArrow(_count(ids), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    found = counts.toArrow()  # at most BUCKETS rows
+    raw[found["bucket"].to_numpy()], target[found["bucket"].to_numpy()] = found["raw"].to_numpy(), found["target"].to_numpy()
+    return log_ratio(raw, target), good / total
 
 
-def _cut(weight: np.ndarray, quality: np.ndarray) -> float:
-    """The cut of best balanced accuracy on the labelled sample."""
-    good, bad = int((quality == 1).sum()), int((quality == 0).sum())
-    if not good or not bad:
-        return float("-inf")
-    order = np.argsort(weight, kind="stable")
-    w, q = weight[order], quality[order]
-    gained = np.cumsum(q == 0) / bad - np.cumsum(q == 1) / good
-    gained[:-1][w[1:] == w[:-1]] = -1
-    best = int(np.argmax(gained))
-    if gained[best] <= 0:
-        return float("-inf")
-    return float((w[best] + w[best + 1]) / 2) if best + 1 < len(w) else float(w[best])
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def gumbel(ids: np.ndarray) -> np.ndarray:
+    """The keyed noise of each doc_id."""
+    noise = tokens.mix(ids.astype(np.int64).view(np.uint64) ^ np.uint64(SEED * 0x9E3779B9))
+    return -np.log(-np.log(((noise >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)))
 
 
-def _score(ratio: np.ndarray, keep: list[str]):
+def _score(ratio: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weight = np.zeros(batch.num_rows)
+            weight, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             for lo, hi, parts in _runs(batch.column("text")):
                 for bucket, row in parts:
                     weight[lo:hi] += np.bincount(row, ratio[bucket], minlength=hi - lo)
-            noise = tokens.mix(batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(SEED * 0x9E3779B9))
-            uniform = ((noise >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
-            key = np.round(weight - TEMPERATURE * np.log(-np.log(uniform)), 9)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(np.round(weight, 6)), pa.array(key)], keep + ["log_weight", "sample_key"])
+                    n[lo:hi] += np.bincount(row, minlength=hi - lo)
+            weight *= PASSAGE / np.maximum(n, 1)
+            key = np.round(weight + gumbel(batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)), 9)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.round(weight, 6)), pa.array(key)], ["doc_id", "log_weight", "sample_key"])
 
     return lean(run)
 
 
-def weights(docs: DataFrame, ratio: np.ndarray, extra: str = "") -> DataFrame:
-    """doc_id, log_weight and sample_key of every row, with the named extra columns."""
-    names = [x.split()[0] for x in extra.split(",") if x]
-    schema = ", ".join(["doc_id long", *([extra] if extra else []), "log_weight double, sample_key double"])
-    return docs.select("doc_id", "text", *names).mapInArrow(_score(ratio.astype(np.float64), ["doc_id", *names]), schema)
+def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """doc_id, log_weight and sample_key of every row."""
+    return _texts(docs).mapInArrow(_score(ratio.astype(np.float64)), "doc_id long, log_weight double, sample_key double")
 
 
 def top_k_key(keys: DataFrame, k: int, column: str = "sample_key") -> float:
@@ -178,25 +189,29 @@ def top_k_key(keys: DataFrame, k: int, column: str = "sample_key") -> float:
     return lo
 
 
-def quality_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality_sample(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """doc_id, log_weight, sample_key, kept for every row of docs.
 
-    Equal keys at the boundary are all kept.  Null and empty texts have weight
-    0 under both models and are treated like any other; a row with a null
-    doc_id cannot be told from others and is kept.  With no usable labels everything is kept.  Rows that
-    repeat are sampled alike; other columns are ignored.
+    Equal keys at the boundary are all kept.  Null and empty texts have
+    log_weight 0 and are sampled like any other; a row with a null doc_id
+    cannot be told from others and is kept.  A doc_id labelled more than once
+    has its highest quality; without a label of quality 1 everything is kept.
+    Rows that repeat are sampled alike; texts of any length are read whole;
+    other columns are ignored; an empty table gives an empty result.
     """
-    ratio, cut = fit(docs, labels)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = materialise(weights(text, ratio), "weights")
-    bound = top_k_key(scored, scored.filter(F.col("log_weight") >= cut).count())
+    ratio, share = fit(docs, labels)
+    scored = materialise(weights(docs, ratio), "weights")
+    bound = top_k_key(scored, round(share * scored.count()) if k is None else k)
     return scored.withColumn("kept", F.col("doc_id").isNull() | (F.col("sample_key") >= bound))
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that the sampling keeps; texts are not shuffled."""
-    ratio, cut = fit(docs, labels)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = materialise(weights(text, ratio), "weights")
-    bound = top_k_key(scored, scored.filter(F.col("log_weight") >= cut).count())
-    return docs.join(scored.filter(F.col("sample_key") < bound).select("doc_id").distinct(), "doc_id", "left_anti")
+def keep_quality(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
+    """The rows of docs, all columns, that the sampling keeps.
+
+    Only texts that a map of fixed size cannot rule out are shuffled to be
+    joined with the rejected ids.  Odd rows are treated as in quality_sample.
+    """
+    scored = quality_sample(docs, labels, k)
+    gone = materialise(scored.filter(~F.col("kept")).select("doc_id").distinct(), "rejected")
+    maybe, never = split_listed(docs, gone)
+    return maybe.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(never)

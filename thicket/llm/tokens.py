@@ -80,13 +80,18 @@ def word_spans(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray) -> tuple
 
 def _hash_piece(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, table: np.ndarray = FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = word_spans(data, firsts, lasts)
+    return hash_spans(data, starts, ends, table), starts, ends
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = FOLD) -> np.ndarray:
+    """64-bit hashes of slices of data, whose bytes are mapped by table."""
     up, down = _power_tables(len(data) + 1)
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(table[data] * up[: len(data)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
     hashes += (ends - starts).astype(np.uint64) * _M1
-    return mix(hashes), starts, ends
+    return mix(hashes)
 
 
 def hashed_words(column: pa.Array, piece: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
