@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thicket.llm.runtime import materialise
+from thicket.llm.runtime import materialise, release
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -28,7 +28,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        pairs = materialise(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, pairs = pairs, materialise(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        release(last)
         row = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if row == before:
             break

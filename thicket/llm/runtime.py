@@ -25,9 +25,11 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder."""
+    """The cluster's shared folder; on a local master a folder of our own where none is set."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="thicket-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -55,7 +57,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = workspace(spark, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.thicket_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Deletes the files of a materialised table that nothing reads any more."""
+    remove(df.sparkSession, df.thicket_path)
 
 
 def bounded_batches(spark: SparkSession) -> None:
