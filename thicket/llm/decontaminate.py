@@ -9,6 +9,10 @@ document is.  An item contained to 0.8 in a window has a Jaccard similarity of
 probability above 1 - 2e-6.  Window minima come from block minima, so the
 permutations are evaluated once a shingle for all classes.
 
+An item of at most ``FEW`` shingles has too few for bands, and one of fewer words
+than a shingle only its whole sequence; their candidates are the documents with
+such a shingle or sequence.
+
 Candidates are verified by exact containment of the item's distinct shingles
 in the whole document.  Documents are only compared with two bit maps of fixed
 size (the items' bands and shingles); what passes is joined with the item
@@ -28,6 +32,8 @@ from thicket.llm import tokens
 from thicket.llm.runtime import bounded_batches, lean, materialise
 
 BANDS, SEED, LEAST_CLASS = 64, 3, 8
+#: Items of at most this many shingles are searched by the shingles themselves; the mark of their keys.
+FEW, MARK = 4, np.uint64(0x66657720736869)
 #: Bits of each bit map; 4 MB whatever the size of the benchmark.
 MAP_BITS = 25
 
@@ -60,9 +66,15 @@ def _index(shingle: int):
                 shingles, made = tokens.shingle_hashes(words, counts, shingle)
                 ids = batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 minima = tokens.minhash(shingles, made, multipliers, offsets)
-                full = made > 0
+                full = made > FEW
                 keys = _band_keys(minima[full], _class_of(made[full]))
-                rows = [(np.repeat(ids[full], BANDS), keys.reshape(-1), np.repeat(_class_of(made[full]), BANDS), True), (np.repeat(ids, made), shingles, np.repeat(_class_of(made), made), False)]
+                few = np.repeat(made <= FEW, made)
+                words_of = np.repeat(np.minimum(counts, shingle), made)  # below LEAST_CLASS: the words of a sequence
+                rows = [
+                    (np.repeat(ids[full], BANDS), keys.reshape(-1), np.repeat(_class_of(made[full]), BANDS), True),
+                    (np.repeat(ids, made)[few], tokens.mix(shingles[few] ^ MARK), words_of[few], True),
+                    (np.repeat(ids, made), shingles, np.repeat(_class_of(made), made), False),
+                ]
                 for item, key, size, band in rows:
                     yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(key.view(np.int64)), pa.array(size), pa.array(np.full(len(key), band))], ["item_id", "key", "size_class", "band"])
 
@@ -82,7 +94,9 @@ def _bit_maps(index: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return maps[0].view(np.uint8), maps[1].view(np.uint8)
 
 
-def _search(shingle: int, shingle_bits, band_bits, classes: list[int]):
+def _search(shingle: int, shingle_bits, band_bits, sizes: list[int]):
+    classes = [s for s in sizes if s >= LEAST_CLASS]
+    short = [s for s in sizes if s < shingle]
     multipliers, offsets = tokens.permutations(BANDS, SEED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +110,18 @@ def _search(shingle: int, shingle_bits, band_bits, classes: list[int]):
                 ids = batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 hit = np.flatnonzero(_test(known, shingles))
                 yield _rows(np.repeat(ids, made)[hit], shingles[hit], False)
+                marked = tokens.mix(shingles[hit] ^ MARK)
+                few = _test(banded, marked)
+                yield _rows(np.repeat(ids, made)[hit][few], marked[few], True)
+                for n in short:  # whole items of fewer words than a shingle
+                    sequences, several = tokens.shingle_hashes(words, counts, n)
+                    of = np.repeat(ids, several)
+                    inside = np.repeat(counts >= n, several) & _test(known, sequences)
+                    of, sequences = of[inside], sequences[inside]
+                    yield _rows(of, sequences, False)
+                    yield _rows(of, tokens.mix(sequences ^ MARK), True)
+                if not classes:
+                    continue
                 # Block minima of the least class; each next class halves the blocks of a document.
                 blocks = -(-made // LEAST_CLASS)
                 first = np.cumsum(made) - made
@@ -131,12 +157,15 @@ def _rows(ids: np.ndarray, keys: np.ndarray, band: bool) -> pa.RecordBatch:
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, containment: float = 0.8) -> DataFrame:
-    """(doc_id, item_id, item_shingles, shared_shingles, containment) of every pair at or over the bound.
+    """(doc_id, item_id, item_shingles, shared_shingles, containment) of the pairs at or over the bound.
+
+    Every pair given back is exact; a pair is missed with a probability below
+    2e-6 (the bands), never for items of at most FEW shingles.
 
     containment is the share of the item's distinct shingles (A-Z folded words)
     that the whole document holds.  An item of fewer words than a shingle has
-    one shingle, its whole sequence, which only an equally short document
-    holds; null, empty and wordless texts and null ids are in no pair.  Rows
+    one shingle, its whole sequence, which a document holds where these words
+    follow each other; null, empty and wordless texts and null ids are in no pair.  Rows
     that repeat an id count as one text with all their shingles.  Other
     columns are ignored; an empty table on either side gives an empty result.
     """
@@ -147,16 +176,17 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, con
     known, banded = _bit_maps(index)
     classes = {r.size_class for r in index.filter("band").select("size_class").distinct().collect()}  # one a power of two
     send = spark.sparkContext.broadcast
-    search = _search(shingle, send(known.tobytes()), send(banded.tobytes()), sorted(classes or {LEAST_CLASS}))
+    search = _search(shingle, send(known.tobytes()), send(banded.tobytes()), sorted(classes))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     found = materialise(text.mapInArrow(search, "doc_id long, key long, band boolean"), "found")
     bands = index.filter("band").select("item_id", "key")
     shingles = index.filter("NOT band").select("item_id", "key")
     candidates = found.filter("band").join(bands, "key").select("doc_id", "item_id").distinct()
     sizes = shingles.groupBy("item_id").agg(F.count("*").alias("item_shingles"))
-    held = found.filter("NOT band").distinct().join(shingles, "key").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared_shingles"))
+    # Only the shingles of candidates are counted, so one that is common to many documents and items costs nothing.
+    held = candidates.join(shingles, "item_id").join(found.filter("NOT band").distinct(), ["doc_id", "key"]).groupBy("doc_id", "item_id").agg(F.count("*").alias("shared_shingles"))
     share = F.col("shared_shingles") / F.col("item_shingles")
-    return candidates.join(held, ["doc_id", "item_id"]).join(sizes, "item_id").select("doc_id", "item_id", "item_shingles", "shared_shingles", share.alias("containment")).filter(F.col("containment") >= containment)
+    return held.join(sizes, "item_id").select("doc_id", "item_id", "item_shingles", "shared_shingles", share.alias("containment")).filter(F.col("containment") >= containment)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, containment: float = 0.8) -> DataFrame:
