@@ -220,8 +220,14 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = range_bounds(rows, "doc_id", n)
-    dealt = rows.select(range_id(F.col("doc_id"), bounds).cast("long").alias("shard"), "doc_id", "text").repartition(max(1, n // 2), "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first())
-    manifest = materialise(dealt.mapInArrow(_write(tokenizer_path, folder, end_id), "shard long, n_docs long, n_tokens long"), "manifest")
+    shard = range_id(F.col("doc_id"), bounds).cast("long")
+    # One partition a shard: a shard's slot is a number that Spark's hash puts there.
+    n = max(1, len(bounds))
+    slots = spark.range(32 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("at")).agg(F.min("id").alias("id"))
+    slot_of = {r.at: r.id for r in slots.collect()}  # one row a shard
+    slot = F.element_at(F.array(*[F.lit(slot_of.get(i, i)).cast("long") for i in range(n)]), (shard + 1).cast("int"))
+    dealt = rows.select(shard.alias("shard"), "doc_id", "text").withColumn("slot", slot).repartition(n, "slot").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first())
+    manifest = materialise(dealt.select("shard", "doc_id", "text").mapInArrow(_write(tokenizer_path, folder, end_id), "shard long, n_docs long, n_tokens long"), "manifest")
     total, out = 0, []
     for r in manifest.orderBy("shard").collect():  # one row a shard, as many as asked for
         out.append((r.shard, r.n_docs, r.n_tokens, total))
