@@ -1,6 +1,9 @@
 """Retrieval operators: every query with SQL against DuckDB, and golden values."""
 
+import json
 import math
+import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 
 import thicket.catalog as catalog
 from thicket.functions import fuzzy, text
-from thicket.functions.stem import stem
+from thicket.functions.stem import stem, stem_once
 from thicket.operators import context, dense, documents, fusion, metrics, mining, sparse, stopwords
 from thicket.sources import readers, writers
 from thicket.streaming import changes
@@ -66,16 +69,53 @@ def test_index_round_trip(spark, tmp_path):
     index = sparse.build_index(docs)
     index.save(str(tmp_path / "i"))
     assert sparse.top_k(sparse.Index.load(spark, str(tmp_path / "i")), asked, 2).collect() == sparse.top_k(index, asked, 2).collect()
+    assert sparse.Index.settings(spark, str(tmp_path / "i")) == {}
 
 
-def test_dense_and_fusion(spark):
+@pytest.mark.parametrize("model", sparse.MODELS)
+def test_sent_terms_and_joins_agree(spark, sf_dir, monkeypatch, model):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet").selectExpr("item_id AS query_id", "explode(split(lower(text), ' ')) AS term")
+    index = sparse.build_index(docs)
+    sent = sparse.top_k(index, asked, 5, model).orderBy("query_id", "rank").collect()
+    pairs = sparse.pair_scores(index, asked, spark.createDataFrame(sent).select("query_id", "doc_id"), model).collect()
+    assert {(r.query_id, r.doc_id, r.score) for r in pairs} == {(r.query_id, r.doc_id, r.score) for r in sent}
+    monkeypatch.setattr(sparse, "SENT_TERMS", 3)
+    assert sparse.top_k(index, asked, 5, model).orderBy("query_id", "rank").collect() == sent
+
+
+def test_normalised_and_stemmed_retrieval(spark, sf_dir):
+    """Brute force over stemmed words of documents and queries."""
+    from thicket.plans.queries import STOPWORDS, queries
+
+    read = lambda t: {r[0]: r[1] for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").select(*(("doc_id", "text") if t == "documents" else ("item_id", "text"))).collect()}
+    words = lambda t: [s for s in map(stem, (w for w in re.findall(r"\w+", text.fold(t.lower())) if w not in STOPWORDS)) if s.strip()]
+    docs = {i: words(t) for i, t in read("documents").items()}
+    df, n, avg = Counter(w for d in docs.values() for w in set(d)), len(docs), sum(map(len, docs.values())) / len(docs)
+    raw = {w: math.log(n - c + 0.5) - math.log(c + 0.5) for w, c in df.items()}
+    idf = {w: x if x >= 0 else 0.25 * sum(raw.values()) / len(raw) for w, x in raw.items()}
+    got = {(r.query_id, r.rank): (r.doc_id, r.score) for r in queries()["bm25_stemmed_topk"](spark, sf_dir).collect()}
+    counts = {i: Counter(d) for i, d in docs.items()}
+    for q, t in list(read("benchmark").items())[:5]:
+        scores = {i: round(sum(idf[w] * c[w] * 2.5 / (c[w] + 1.5 * (0.25 + 0.75 * len(docs[i]) / avg)) for w in words(t) if w in c), 6) for i, c in counts.items()}
+        best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:10]
+        assert all(got[q, k][0] == i and abs(got[q, k][1] - x) < 1e-5 for k, (i, x) in enumerate(best, 1))
+
+
+def test_dense_and_fusion(spark, monkeypatch):
     vectors = spark.createDataFrame([(i, [math.cos(i), math.sin(i)]) for i in range(20)], "doc_id long, vector array<float>")
     asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, vector array<float>")
     best = [r.doc_id for r in dense.top_k(vectors, asked, 3).collect()]
     assert best == sorted(range(20), key=lambda i: (-round(math.cos(i), 6), i))[:3]
     hits = lambda ids: spark.createDataFrame([(0, k, i, 1.0) for k, i in enumerate(ids, 1)], "query_id long, rank int, doc_id long, score double")
-    fused = [(r.doc_id, r.score) for r in fusion.late_fusion(hits([1, 2]), hits([2, 3, 2])).collect()]
+    fused = [(r.doc_id, r.score) for r in fusion.late_fusion(hits([1, 2]), hits([2, 3, 2]), 2, 3).collect()]
     assert fused == [(1, 0.5), (2, round(0.25 + 0.5 / 3, 6)), (3, round(1 / 3, 6))]
+    short = [(r.doc_id, r.score) for r in fusion.late_fusion(hits([1]), hits([2]), 4, 5).collect()]
+    assert short == [(1, 0.5), (2, 0.5)] and [r.linear for r in fusion.rank_scores(hits([7, 8]), 10).orderBy("doc_id").collect()] == [1.0, 0.9]
+    many = spark.createDataFrame([(q, [math.cos(q), math.sin(q)]) for q in range(7)], "query_id long, vector array<float>")
+    whole = dense.top_k(vectors, many, 2).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(dense, "SENT_QUERIES", 3)
+    assert dense.top_k(vectors, many, 2).orderBy("query_id", "rank").collect() == whole
     assert {r.n_uncovered for r in fusion.coverage(hits([1, 2]), hits([2])).collect()} == {1}
     made = dense.embed_texts(spark.createDataFrame([(1, "a b"), (2, None)], "id long, t string"), "id", "t").collect()
     assert abs(sum(x * x for x in made[0].vector) - 1) < 1e-6 and not any(made[1].vector)
@@ -106,8 +146,13 @@ def test_text(spark):
         text.path_leaf(F.lit("C:\\a\\b.txt")).alias("p"), text.path_stem(F.lit("/x/b.tar.gz")).alias("s"), text.canonical_doc_id(F.lit("FT_14_ESP")).alias("i"), text.all_equal(F.array(F.lit(1), F.lit(1))).alias("e"),
         text.clean(F.lit("The, dog."), ",.", ("the",)).alias("c"), text.snippet(F.lit("One. Find the dog here. End."), F.array(F.lit("dog"))).alias("h"), text.snippet(F.lit("abc"), F.array(F.lit("zzz"))).alias("v"),
     ).first()
-    assert tuple(row) == ("Ñandu colleccio Strasse ç", "21 de mayo de 2020", "", "EU/2/24/310-001-003", "b.txt", "b.tar", "14 ESP", True, "dog", "Find the [DOG] here.", "abc")
+    assert tuple(row) == ("Ñandu colleccio Strasse ç", "21 de mayo de 2020", "", "EU/2/24/310-001-003", "b.txt", "b.tar", "14 ESP", True, "dog", "Found 1 of 1 query tokens:\n\nTOKEN 'dog':\n...Find the [DOG] here....\n", "No matches for query tokens. Content:\nabc")
     assert all(stem(stem(w)) == stem(w) for w in "infecciones bacterianas perros tratamiento administración".split())
+    # Published examples of the Spanish stemmer.
+    golden = """cheque chequ; cheques chequ; chicas chic; chicos chic; chicharrones chicharron; toreado tor; toreados tor; torear tor; toreros torer; tormentas torment; tornillos tornill; torpeza torpez; torrenciales torrencial; torres torr; tórax torax; chica chic; torneos torne; tornado torn"""
+    for pair in golden.split("; "):
+        word, want = pair.split()
+        assert stem_once(word) == want and stem(word) == stem(want), word
     kept = spark.range(1).select(text.Normaliser(stopwords=("más", "el"), preserve=("él",)).tokens(F.lit("El perro más él")).alias("t")).first().t
     assert kept == ["el", "perro", "el"]
 
@@ -139,7 +184,28 @@ def test_fuzzy(spark):
     new = spark.createDataFrame([("llama", " Camelid "), ("gatos", "Felid"), ("x", " ")], "name string, suggestion string")
     assert {r.entry: r.category for r in fuzzy.import_mappings(entries, new).collect()} == {"perros": "Perro", "gatos": "Felid", "perror": "X", "llama": "Camelid"}
     ids = spark.createDataFrame([("a", "10 ESP"), ("a", "9 ESP"), ("a", "EU/2"), ("a", "9 ESP")], "c string, i string")
-    assert fuzzy.group_ids(ids, "c", "i").first().ids == ["9 ESP", "10 ESP", "EU/2"]
+    assert [r.i for r in fuzzy.group_ids(ids, "c", "i").orderBy("number", "i").collect()] == ["9 ESP", "10 ESP", "EU/2"]
+
+
+def test_close_matches_equal_all_pairs(spark):
+    """The segments lose no match: against every entry, over random words of all lengths."""
+    import random
+
+    r = random.Random(9)
+    entries = list(dict.fromkeys("".join(r.choice("abc") for _ in range(r.randint(1, 14))) for _ in range(150)))
+    names = []
+    for e in entries:
+        w = list(e)
+        for _ in range(r.randint(0, 3)):
+            w.insert(r.randint(0, len(w)), r.choice("abcd")) if r.random() < 0.5 or not w else w.pop(r.randrange(len(w)))
+        names.append("".join(w))
+    want = {}
+    for name in set(names):
+        best = max(((fuzzy.ratio(name, e), -k) for k, e in enumerate(entries) if abs(len(e) - len(name)) <= 5), default=(0, 0))
+        if best[0] >= 0.85:
+            want[name] = entries[-best[1]]
+    table = spark.createDataFrame([(k, e, e) for k, e in enumerate(entries)], "position long, entry string, category string")
+    assert {x.name: x.entry for x in fuzzy.closest_matches(spark.createDataFrame([(n,) for n in names], "name string"), table).collect()} == want
 
 
 def test_sections(spark):
@@ -157,9 +223,11 @@ def test_sections(spark):
 
 def test_nested_names(spark):
     rows = spark.createDataFrame([("d", [("i", ("dogs",)), (None, ("cats",)), ("j", None)])], "id string, a array<struct<nombre:string,especie:struct<nombre:string>>>")
-    names = spark.createDataFrame([("dogs", "Dog")], "raw string, normalised string")
+    names = spark.createDataFrame([("dogs", "Dog", True), ("j", "J", True)], "raw string, normalised string, known boolean")
     got = documents.normalise_nested(rows, "a", names).first().a
-    assert [(x.nombre, x.especie.nombre_normalizado if x.especie else None) for x in got] == [("i", "Dog"), ("j", None)]
+    assert [(x.nombre, x.especie.nombre_normalizado if x.especie else None) for x in got] == [("i", "Dog"), (None, "cats"), ("j", None)]
+    own = documents.normalise_nested(rows, "a", names, own=True).first().a
+    assert [(x.es_especie, x.nombre_normalizado) for x in own] == [(False, None), (False, None), (True, "J")]
 
 
 def test_antibiotics(spark):
@@ -190,7 +258,24 @@ def test_sources_and_sinks(spark, tmp_path):
     converted = readers.convert_files(spark, str(tmp_path / "t"), lambda b: b.decode().upper(), "*.md").first()
     assert (converted.name, converted.text, converted.error) == ("a.b", "ONE\nTWO", None)
     calls = []
-    assert readers.with_retries(lambda: calls.append(1) or (1 / (len(calls) > 1)), sleep=lambda s: None) == 1
+    def busy():
+        calls.append(1)
+        if len(calls) < 3:
+            raise ConnectionError
+        return 1
+
+    assert readers.with_retries(busy, sleep=lambda s: None) == 1 and len(calls) == 3
+    with pytest.raises(ZeroDivisionError):  # no service is busy: not tried again
+        readers.with_retries(lambda: calls.append(1) or 1 / 0, sleep=lambda s: None)
+    assert len(calls) == 4
+    (tmp_path / "o.json").write_text('{"a": 1}')
+    assert [r.a for source in (str(tmp_path / "o.json"), '{"a": 2}', '[{"a": 3}, {"a": 4}]') for r in readers.json_source(spark, source, "a int").collect()] == [1, 2, 3, 4]
+    with pytest.raises(ValueError):
+        readers.json_source(spark, "absent file", "a int")
+    with pytest.raises(Exception):
+        dense.load_index(spark, str(tmp_path / "absent"))
+    (tmp_path / "state").write_text("{damaged")
+    assert readers.state(spark, str(tmp_path / "state"), "last_execution string", {"last_execution": None}) == {"last_execution": None}
     found = readers.look_up(spark.createDataFrame([("1",), ("1",), (None,)], "k string"), "k", lambda k: '{"v": %s}' % k)
     assert [(r.k, r.json) for r in found.collect()] == [("1", '{"v": 1}')]
     page = spark.createDataFrame([('<a class="x" href="/q"><a href="/veterinary/es/documents/download/1">', 1)], "html string, i int")
@@ -198,16 +283,40 @@ def test_sources_and_sinks(spark, tmp_path):
     writers.write_lines(spark.createDataFrame([("b",), ("a",), (None,)], "v string"), "v", str(tmp_path / "lines"))
     assert "".join(sorted(p.read_text() for p in (tmp_path / "lines").glob("part*"))).split() == ["a", "b"]
     assert not writers.write_csv(spark.createDataFrame([], "a int"), str(tmp_path / "none"))
-    assert "mean" in writers.report(spark.createDataFrame([(1,)], "mean int"), spark.range(2), "R")
+    made = writers.report(spark.createDataFrame([(1,)], "mean int"), spark.range(9), "R")
+    assert "- mean: 1" in made["md"] and len(json.loads(made["json"])["samples"]) == 5
     assert readers.state(spark, str(tmp_path / "absent"), "last_execution string", {"last_execution": None, "n": 0}) == {"last_execution": None, "n": 0}
 
 
-def test_paged_source(spark, monkeypatch):
+def test_paged_source_asks_for_the_rest(spark):
     spark.dataSource.register(readers.PagedSource)
-    df = spark.read.format("paged").schema("page int, k int").option("schema", "page int, k int").option("total", "5").option("pagesize", "2").option("fetcher", "tests.paged:fetch").load()
+    df = spark.read.format("paged").schema("page int, k int").option("pagesize", "2").option("fetcher", "tests.paged:fetch").load()
     assert sorted(tuple(r) for r in df.collect()) == [(1, 0), (1, 1), (2, 0), (2, 1), (3, 0)]
 
 
+def test_stopword_cut_equals_sorting(spark):
+    import random
+
+    r = random.Random(2)
+    rows = [("".join(r.choice("abcé") for _ in range(r.randint(1, 6))), round(r.choice([0.1, 0.1, 0.1, 0.2, r.random()]), 12)) for _ in range(500)]
+    scored = spark.createDataFrame(list(dict(rows).items()), "term string, score double")
+    ordered = sorted((s, t) for t, s in dict(rows).items())
+    for n in (1, 7, 60, 200, len(ordered) - 1):
+        assert stopwords._cut(scored, n) == ordered[n - 1]
+    assert stopwords._cut(scored, len(ordered)) == (None, None)
+
+
+def test_token_counter(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["Hello world's  12 dogs", "", None, "año\n\n  ñ 🙂"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(context.bpe_counter(public_tokenizers.path("byte_bpe_50k.tiktoken"))(F.col("t"))).collect()]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert got == [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
 def test_incremental(spark, tmp_path):
     feed = spark.createDataFrame([("1", ["ft", "x"]), (" ", ["ft"]), ("2", ["p"]), ("1", ["ft"])], "nregistro string, cambio array<string>")
     assert [r.nregistro for r in changes.changed_ids(feed).collect()] == ["1"]
@@ -220,4 +329,5 @@ def test_incremental(spark, tmp_path):
         (tmp_path / "in").mkdir(exist_ok=True)
         (tmp_path / f"in/{n}.json").write_text(rows)
         changes.stream_upsert(spark, str(tmp_path / "in"), "k int, v int", str(tmp_path / "out"), "k", "v", str(tmp_path / "cp")).awaitTermination()
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out/snapshot=1").collect()) == [(1, 2), (2, 1)]
+    assert sorted(tuple(r) for r in changes.snapshot(spark, str(tmp_path / "out"), "k int, v int", 1).collect()) == [(1, 2), (2, 1)]
+    assert len(list((tmp_path / "out/data/epoch=1").glob("bucket=*"))) == 1

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -38,21 +41,54 @@ def clean_name(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
+def _allowed(length: int) -> int:
+    """The most insertions and deletions between an entry of this length and a match."""
+    longest = min(length + LENGTH_GAP, int(length * (2 - THRESHOLD) / THRESHOLD + 1e-9))
+    return int((1 - THRESHOLD) * (length + longest) + 1e-9)
+
+
+def _segments(length: int) -> list[tuple[int, int]]:
+    """(start, size) of the pieces of an entry, one more than the edits allowed, so a match has one of them unchanged."""
+    n = _allowed(length) + 1
+    cuts = [length * i // n for i in range(n + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+def _entry_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(e, p, c, f"{len(e)}:{i}:{e[a : a + n]}") for e, p, c in zip(*(batch.column(k).to_pylist() for k in range(3))) if e for i, (a, n) in enumerate(_segments(len(e)))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.string())], ["entry", "position", "category", "key"])
+
+
+def _name_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name in batch.column(0).to_pylist():
+            keys = set()
+            for length in range(max(1, len(name) - LENGTH_GAP), len(name) + LENGTH_GAP + 1):
+                edits = _allowed(length)
+                for i, (a, n) in enumerate(_segments(length)):
+                    for at in range(max(0, a - edits), min(len(name) - n, a + edits) + 1):
+                        keys.add(f"{length}:{i}:{name[at : at + n]}")
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(sorted(keys), pa.string())], ["name", "key"])
+
+
 def closest_matches(names: DataFrame, dictionary: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(name, entry, category, ratio): each distinct name's best entry of dictionary(position, entry, category).
 
     Names whose length differs by more than five are no match; the first entry
-    wins ties.  A name that is an entry has no closer one, so only the others are
-    compared; that join is bucketed by length, so a large dictionary is not
-    compared as a whole with every name.
+    wins ties.  A name that is an entry has no closer one.  The others are joined
+    with the entries that have one of their segments unchanged in about its
+    place: every match of THRESHOLD has one, and only these pairs are compared.
     """
+    if threshold < THRESHOLD:
+        raise ValueError(f"segments are made for similarities of {THRESHOLD} and more")
     left = names.select(clean_name(F.col("name")).alias("name")).filter("name IS NOT NULL").distinct()
-    known = dictionary.select(F.col("entry").alias("name"), "position", "category")
+    known = dictionary.select(F.col("entry").alias("name"), F.col("position").cast("long").alias("position"), F.col("category").cast("string").alias("category"))
     exact = left.join(known, "name").select("name", "position", F.col("name").alias("entry"), "category", F.lit(1.0).alias("ratio"))
-    others = left.join(known.select("name"), "name", "left_anti")
-    near = others.select("name", F.explode(F.sequence(F.greatest(F.length("name") - LENGTH_GAP, F.lit(0)), F.length("name") + LENGTH_GAP)).alias("_length"))
-    entries = dictionary.select("position", F.col("entry"), "category", F.length("entry").alias("_length"))
-    scored = near.join(entries, "_length").withColumn("ratio", similarity("name", "entry")).select(*exact.columns).unionByName(exact).filter(F.col("ratio") >= threshold)
+    others = left.join(known.select("name"), "name", "left_anti").mapInArrow(_name_keys, "name string, key string")
+    entries = known.select("name", "position", "category").filter("name IS NOT NULL").mapInArrow(_entry_keys, "entry string, position long, category string, key string")
+    pairs = others.join(entries, "key").select("name", "position", "entry", "category").distinct()
+    scored = pairs.withColumn("ratio", similarity("name", "entry")).select(*exact.columns).unionByName(exact).filter(F.col("ratio") >= threshold)
     best = Window.partitionBy("name").orderBy(F.desc("ratio"), "position")
     return scored.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").select("name", "entry", "category", "ratio")
 
@@ -67,8 +103,11 @@ def normalise_names(df: DataFrame, column: str, dictionary: DataFrame, out: str)
 
 
 def name_map(names: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(raw, normalised) of every distinct name: what nested normalisation looks up."""
-    return normalise_names(names.select(F.col("name").alias("raw")).filter("raw IS NOT NULL").distinct(), "raw", dictionary, "normalised").select("raw", "normalised")
+    """(raw, normalised, known) of every distinct name: what nested normalisation looks up; known where the dictionary has it or a close entry."""
+    raw = names.select(F.col("name").alias("raw")).filter("raw IS NOT NULL").distinct()
+    made = normalise_names(raw, "raw", dictionary.withColumn("category", F.concat(F.lit("="), "category")), "_made")
+    known = F.startswith("_made", F.lit("=")) & (F.col("_made") != F.col("raw"))
+    return made.select("raw", F.when(known, F.substring("_made", 2, 1 << 20)).otherwise(F.col("raw")).alias("normalised"), known.alias("known"))
 
 
 def unmapped_names(names: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -89,7 +128,29 @@ def import_mappings(dictionary: DataFrame, suggestions: DataFrame) -> DataFrame:
 
 
 def group_ids(df: DataFrame, category: str, ident: str) -> DataFrame:
-    """(category, ids): distinct ids by leading number (999999 without one), then text."""
+    """(category, n, number, ident): distinct ids of each category, one row an id; they go by number, then ident.
+
+    number is the id's leading number, 999999 without one.
+    """
     number = F.coalesce(F.regexp_extract(F.col(ident), r"^\s*(\d+)", 1).try_cast("long"), F.lit(999999))
-    keyed = F.collect_set(F.struct(number.alias("n"), F.col(ident).alias("i")))
-    return df.filter(F.col(category).isNotNull()).groupBy(category).agg(F.transform(F.array_sort(keyed), lambda x: x["i"]).alias("ids"))
+    rows = df.filter(F.col(category).isNotNull()).select(category, number.alias("number"), F.col(ident).cast("string").alias(ident)).distinct()
+    return rows.join(rows.groupBy(category).agg(F.count("*").alias("n")), category).select(category, "n", "number", ident)
+
+
+def load_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """(position, entry, category) of a JSON object name -> category, in its order; empty without a file."""
+    files = spark.read.text(path, wholetext=True)
+    pairs = files.select(F.posexplode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("position", "e"))
+    return pairs.select(F.col("position").cast("long").alias("position"), F.col("e.key").alias("entry"), F.col("e.value").alias("category"))
+
+
+def save_mapping(dictionary: DataFrame, path: str) -> None:
+    """The dictionary as one JSON object in entry order; a dictionary is small enough for one file by its nature."""
+    whole = dictionary.agg(F.to_json(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("position", "entry", "category"))), lambda x: F.struct(x["entry"], x["category"])))).alias("value"))
+    whole.write.mode("overwrite").text(path)
+
+
+def add_mapping(dictionary: DataFrame, name: str, category: str) -> DataFrame:
+    """The dictionary with one name, trimmed and lower-cased, mapped to category."""
+    new = dictionary.sparkSession.createDataFrame([(name, category)], "name string, suggestion string")
+    return import_mappings(dictionary, new)

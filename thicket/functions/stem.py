@@ -7,7 +7,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # The suffix lists of the published algorithm.
 VOWELS = frozenset("aeiouáéíóúü")
@@ -139,6 +139,12 @@ def stem_column(c: pd.Series) -> pd.Series:
     return c.map(stem, na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def stem_tokens(c: pd.Series) -> pd.Series:
+    """Stems of token arrays, blank ones dropped; a worker remembers the words that it has seen."""
+    return c.map(lambda words: [s for s in map(stem, words) if s.strip()], na_action="ignore")
+
+
 def stem_terms(tokens: DataFrame, term: str = "term") -> DataFrame:
     """tokens with stemmed terms; each distinct term is stemmed once and joined back."""
     stems = tokens.select(term).distinct().withColumn("_stem", stem_column(term))

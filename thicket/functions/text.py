@@ -172,13 +172,46 @@ def clean(c: Column, punctuation: str = "", stopwords: Sequence[str] = ()) -> Co
     return F.array_join(without_stopwords(split_on_space(bare), stopwords), " ")
 
 
+#: Marks at which a snippet may begin and end, in the order in which they are looked for.
+BOUNDARIES = (".", "!", "?", "\n")
+
+
 def snippet(text: Column, terms: Column, width: int = 40, preview: int = 300) -> Column:
-    """The first query term of three letters or more with its surroundings, upper-cased in brackets; else a preview."""
+    """The first place of each query term of three letters or more, with its surroundings; else a preview.
+
+    terms is an array.  The surroundings are width characters on each side,
+    clipped after the last boundary mark before the term and after the first
+    one behind it; the term is upper-cased in brackets.  The result counts the
+    terms that were found and lists them in order.
+    """
     low = F.lower(text)
-    hit = F.get(F.filter(terms, lambda t: (F.length(t) >= 3) & (F.instr(low, t) > 0)), F.lit(0))
-    at = F.position(hit, low)
-    start = F.greatest(at - width, F.lit(1))
-    before = F.regexp_replace(F.substring(text, start, at - start), r"(?s)^.*[.!?]\s+", "")
-    after = F.regexp_replace(F.substring(text, at + F.length(hit), F.lit(width)), r"(?s)(?<=[.!?])\s.*$", "")
-    marked = F.concat(before, F.lit("["), F.upper(F.substring(text, at, F.length(hit))), F.lit("]"), after)
-    return F.when(hit.isNotNull(), marked).otherwise(F.substring(text, 1, preview))
+    asked = F.filter(F.coalesce(terms, F.array().cast("array<string>")), lambda t: F.length(t) >= 3)
+    found = F.filter(asked, lambda t: F.instr(low, t) > 0)
+
+    def place(t: Column) -> Column:
+        at = F.position(t, low)
+        start = F.greatest(at - width, F.lit(1))
+        left = F.substring(text, start, at - start)
+        right = F.substring(text, at + F.length(t), F.lit(width))
+        # Of the marks the first kind that occurs is the boundary.
+        before = F.coalesce(*[F.when(F.instr(left, c) > 0, F.substring_index(left, c, -1)) for c in BOUNDARIES], left)
+        after = F.coalesce(*[F.when(F.instr(right, c) > 0, F.concat(F.substring_index(right, c, 1), F.lit(c))) for c in BOUNDARIES], right)
+        trim = lambda c, side: F.regexp_replace(c, r"^\s+" if side == 0 else r"\s+$", "")
+        return F.concat(F.lit("TOKEN '"), t, F.lit("':\n..."), trim(before, 0), F.lit("["), F.upper(F.substring(text, at, F.length(t))), F.lit("]"), trim(after, 1), F.lit("...\n"))
+
+    head = F.concat(F.lit("Found "), F.size(found).cast("string"), F.lit(" of "), F.size(asked).cast("string"), F.lit(" query tokens:\n\n"))
+    cut = F.when(F.length(text) > preview, F.concat(F.substring(text, 1, preview), F.lit("..."))).otherwise(text)
+    missed = F.concat(F.when(F.length(text) > preview, F.lit("No matches for query tokens. Preview:\n")).otherwise(F.lit("No matches for query tokens. Content:\n")), cut)
+    return F.when(F.size(asked) == 0, cut).when(F.size(found) > 0, F.concat(head, F.array_join(F.transform(found, place), "\n"))).otherwise(missed)
+
+
+def complete_line(text: Column, at: Column, mark: str = "\n") -> Column:
+    """The trimmed line around position at (from 1), between the marks."""
+    before = F.substring_index(F.substring(text, F.lit(1), at), mark, -1)
+    after = F.substring_index(F.substring(text, at + 1, F.length(text)), mark, 1)
+    return F.trim(F.concat(before, after))
+
+
+def literal_map(c: Column) -> Column:
+    """A literal dictionary such as {'a': 'b'} as map<string,string>; null where it does not parse."""
+    return F.from_json(c, "map<string,string>", {"allowSingleQuotes": "true"})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from thicket.functions.text import words
 
 BUDGET, SEPARATOR = 3500, "\n\n"
+# Fixed value: how byte-level BPE splits a text before merging.
+BPE_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def count_words(c: Column) -> Column:
@@ -19,6 +22,28 @@ def count_words(c: Column) -> Column:
     return F.size(words(c))
 
 
+def bpe_counter(ranks_path: str) -> Callable[[Column], Column]:
+    """A token counter over a byte-pair rank file ('token-in-base64 rank' lines) that each worker loads once."""
+
+    @F.pandas_udf("int")
+    def count(texts: pd.Series) -> pd.Series:
+        encoder = _encoder(ranks_path)
+        return texts.fillna("").map(lambda t: len(encoder.encode_ordinary(t)))
+
+    return count
+
+
+@lru_cache(maxsize=2)
+def _encoder(ranks_path: str):
+    import base64
+
+    import tiktoken
+
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding(ranks_path, pat_str=BPE_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 def pack(hits: DataFrame, budget: int = BUDGET, counter: Callable[[Column], Column] = count_words, text: str = "content") -> DataFrame:
     """The prefix of each query's hits whose token counts add up to the budget at most, with the running sum."""
     counted = hits.withColumn("n_tokens", counter(F.coalesce(text, F.lit(""))))
@@ -56,3 +81,22 @@ def answers(questions: DataFrame, context: DataFrame, reader: Callable[[str, str
     joined = questions.select("query_id", "question").join(context, "query_id", "left")
     schema = StructType([*joined.schema.fields, StructField("generated_answer", StringType()), StructField("error", StringType())])
     return joined.mapInPandas(run, schema)
+
+
+def record_blocks(records: DataFrame) -> DataFrame:
+    """(nregistro, block): a labelled block of each reshaped record (see documents.reshape_for_model) for a model's context."""
+    said = F.filter("especies", lambda s: F.size(F.coalesce(F.try_element_at("indicaciones", s), F.array().cast("array<string>"))) > 0)
+    by_species = F.array_join(F.transform(said, lambda s: F.concat(F.lit("  - "), s, F.lit(": "), F.array_join(F.try_element_at("indicaciones", s), ", "))), "\n")
+    detail = lambda a: F.concat(F.lit("  - Principio activo: "), F.coalesce(a["principio"], F.lit("No especificada")), F.lit("\n    Familia: "), F.coalesce(a["familia"], F.lit("No especificada")), F.lit("\n    Categoría: "), F.coalesce(a["categoria"], F.lit("No especificada")))
+    listed = F.from_json(F.when(F.lower(F.trim("antibiotico")) != "no", F.col("antibiotico")), "array<struct<categoria:string,familia:string,principio:string>>")
+    drug = F.when(F.lower(F.trim("antibiotico")) == "no", "Este medicamento no contiene antibióticos.").when(listed.isNull(), "Formato desconocido para el campo 'antibiotico'").when(F.size(listed) == 0, "No especificado").otherwise(F.concat(F.lit("Antibióticos:\n"), F.array_join(F.transform(listed, detail), "\n")))
+    block = F.concat(F.lit("Nombre: "), F.coalesce("nombre", F.lit("")), F.lit("\nEspecies: "), F.array_join("especies", ", "), F.lit("\nIndicaciones por especie:\n"), F.coalesce(F.nullif(by_species, F.lit("")), F.lit("  - No especificadas")), F.lit("\nAntibiótico: "), drug, F.lit("\nVías: "), F.array_join("ruta_administracion", ", "))
+    return records.select("nregistro", block.alias("block"))
+
+
+def group_contexts(blocks: DataFrame, groups: DataFrame, n: int = 10, seed: int = 0) -> DataFrame:
+    """(value, n_blocks, context): of each group(value, id) at most n blocks, chosen by a seeded hash, in id order."""
+    chosen = Window.partitionBy("value").orderBy(F.sha2(F.concat("id", F.lit(f":{seed}")), 256), "id")
+    some = groups.withColumn("_nth", F.row_number().over(chosen)).filter(F.col("_nth") <= n).join(blocks.withColumnRenamed("nregistro", "id"), "id")
+    listed = some.groupBy("value").agg(F.array_sort(F.collect_list(F.struct("id", "block"))).alias("_all"))
+    return listed.select("value", F.size("_all").alias("n_blocks"), F.array_join(F.transform("_all", lambda x: x["block"]), SEPARATOR).alias("context"))

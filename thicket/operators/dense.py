@@ -7,13 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thicket.functions.vectors import inner_product, normalised
 from thicket.operators.sparse import ranked
 
-#: More query vectors than this are joined in the engine instead of being sent to every task.
+#: Query vectors that are sent to the tasks at a time.
 SENT_QUERIES = 20_000
 
 
@@ -38,19 +38,29 @@ def _search(ids: np.ndarray, matrix: np.ndarray, k: int) -> Callable:
 def all_scores(vectors: DataFrame, queries: DataFrame, k: int = 0) -> DataFrame:
     """(query_id, doc_id, score) of vectors(doc_id, vector) for queries(query_id, vector); k > 0 leaves out what is in no query's k best.
 
-    Up to SENT_QUERIES query vectors, a checked number, go to the tasks as one
-    matrix and each batch is one product; more are scored in a broadcast-free join.
+    Query vectors go to the tasks in blocks of SENT_QUERIES, each batch of
+    vectors is one product with a block.  Rows with a null are left out.
     """
     spark = vectors.sparkSession
-    sent = queries.select("query_id", "vector").limit(SENT_QUERIES + 1).collect()
-    if len(sent) > SENT_QUERIES:
-        pairs = vectors.select("doc_id", "vector").join(queries.select("query_id", F.col("vector").alias("_q")), F.lit(True))
-        return pairs.select("query_id", "doc_id", F.round(inner_product(F.col("vector"), F.col("_q")), 6).alias("score"))
-    if not sent:
-        return spark.createDataFrame([], "query_id long, doc_id long, score double")
-    ids, matrix = np.array([r.query_id for r in sent], np.int64), np.array([r.vector for r in sent], np.float64)
     rows = vectors.select(F.col("doc_id").cast("long").alias("doc_id"), "vector").dropna()
-    return rows.mapInArrow(_search(ids, matrix, k), "query_id long, doc_id long, score double")
+    asked = queries.select(F.col("query_id").cast("long").alias("query_id"), "vector").dropna()
+    out, last = None, None
+    while True:
+        block = (asked if last is None else asked.filter(F.col("query_id") > last)).orderBy("query_id").limit(SENT_QUERIES).collect()
+        if not block:
+            break
+        ids, matrix = np.array([r.query_id for r in block], np.int64), np.array([r.vector for r in block], np.float64)
+        part = rows.mapInArrow(_search(ids, matrix, k), "query_id long, doc_id long, score double")
+        out, last = part if out is None else out.unionByName(part), int(ids[-1])
+        if len(block) < SENT_QUERIES:
+            break
+    return out if out is not None else spark.createDataFrame([], "query_id long, doc_id long, score double")
+
+
+def pair_scores(vectors: DataFrame, queries: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(query_id, doc_id, score) of the given pairs(query_id, doc_id) only."""
+    joined = pairs.join(vectors.select("doc_id", "vector"), "doc_id").join(queries.select("query_id", F.col("vector").alias("_q")), "query_id")
+    return joined.select("query_id", "doc_id", F.round(inner_product(F.col("vector"), F.col("_q")), 6).alias("score"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -59,32 +69,73 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 
 def mean_vectors(chunks: DataFrame, group: str, vector: str = "vector") -> DataFrame:
-    """(group, vector): element-wise mean of each group's vectors, scaled to length 1."""
-    means = chunks.select(group, F.posexplode(vector).alias("_at", "_x")).groupBy(group, "_at").agg(F.avg(F.col("_x").cast("double")).alias("_x"))
-    listed = means.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda s: s["_x"]).alias("_v"))
-    return listed.select(group, normalised(F.col("_v")).alias("vector"))
+    """(group, vector): element-wise mean of each group's vectors, scaled to length 1.
+
+    Tasks sum the vectors that they hold, so what is shuffled are a few sums a
+    group, however large it is.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(1)
+            if not batch.num_rows:
+                continue
+            matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            groups, at = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
+            total = np.zeros((len(groups), matrix.shape[1]))
+            np.add.at(total, at, matrix)
+            yield pa.RecordBatch.from_arrays([pa.array(groups.astype(np.int64)), pa.array(total.tolist(), pa.list_(pa.float64())), pa.array(np.bincount(at).astype(np.int64))], ["_g", "_v", "_n"])
+
+    kind = chunks.schema[group].dataType.simpleString()
+    partial = chunks.select(F.col(group).cast("long").alias("_g"), vector).dropna().mapInArrow(sums, "_g long, _v array<double>, _n long")
+    means = partial.select("_g", "_n", F.posexplode("_v").alias("_at", "_x")).groupBy("_g", "_at").agg((F.sum("_x") / F.sum("_n")).alias("_x"))
+    listed = means.groupBy("_g").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda s: s["_x"]).alias("_v"))
+    return listed.select(F.col("_g").cast(kind).alias(group), normalised(F.col("_v")).alias("vector"))
 
 
 def hierarchical(documents: DataFrame, chunks: DataFrame, queries: DataFrame, n_docs: int = 10, k: int = 10, overfetch: int = 0) -> DataFrame:
     """Two stages: the n_docs best documents of a query, then its k best chunks among theirs.
 
-    chunks is (chunk_id, doc_id, vector).  overfetch 0 restricts before it
-    ranks; overfetch f ranks all chunks, keeps the first k * documents * f and
-    filters those, so it can return fewer than k.
+    chunks is (chunk_id, doc_id, vector).  overfetch 0 scores the chunks of
+    these documents only; overfetch f takes the first k * documents * f of all
+    chunks and filters those, so it can return fewer than k.
     """
     stage1 = top_k(documents, queries, n_docs).select("query_id", F.col("doc_id").alias("parent"))
-    flat = chunks.select(F.col("chunk_id").alias("doc_id"), "vector")
     owner = chunks.select(F.col("chunk_id").alias("doc_id"), F.col("doc_id").alias("parent"))
     if overfetch:
         pool = stage1.groupBy("query_id").agg((F.count("*") * k * overfetch).alias("pool"))
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-        hits = all_scores(flat, queries).withColumn("_rank", F.row_number().over(order)).join(pool, "query_id").filter("_rank <= pool").drop("_rank", "pool")
+        flat = chunks.select(F.col("chunk_id").alias("doc_id"), "vector")
+        hits = top_k(flat, queries, k * n_docs * overfetch).join(pool, "query_id").filter("rank <= pool").drop("rank", "pool")
+        inside = hits.join(owner, "doc_id").join(stage1, ["query_id", "parent"], "left_semi")
     else:
-        hits = all_scores(flat, queries)
-    inside = hits.join(owner, "doc_id").join(stage1, ["query_id", "parent"], "left_semi")
+        mine = stage1.join(chunks.select(F.col("chunk_id").alias("doc_id"), F.col("doc_id").alias("parent"), "vector"), "parent")
+        scored = mine.join(queries.select("query_id", F.col("vector").alias("_q")), "query_id")
+        inside = scored.select("query_id", "parent", "doc_id", F.round(inner_product(F.col("vector"), F.col("_q")), 6).alias("score"))
     return ranked(inside, k).select("query_id", "rank", F.col("doc_id").alias("chunk_id"), F.col("parent").alias("doc_id"), "score")
 
 
+def save_index(chunks: DataFrame, documents: DataFrame, path: str) -> None:
+    """chunks(chunk_id, doc_id, text, vector) by range of document, and documents(doc_id, text, vector), as Parquet."""
+    chunks.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.mode("overwrite").parquet(f"{path}/chunks")
+    documents.write.mode("overwrite").parquet(f"{path}/documents")
+
+
+def load_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(chunks, documents) of a saved index; a missing one raises."""
+    return spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/documents")
+
+
+def index_statistics(chunks: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row: n_documents, n_chunks, n_texts (chunks with text), dimension."""
+    a = chunks.agg(F.count("*").alias("n_chunks"), F.count(F.nullif("text", F.lit(""))).alias("n_texts"), F.max(F.size("vector")).alias("dimension"))
+    return a.join(documents.agg(F.count("*").alias("n_documents"))).select("n_documents", "n_chunks", "n_texts", "dimension")
+
+
+def look_up(table: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows of an index table for the given ids(key): texts, metadata and vectors by id."""
+    return table.join(ids.select(key).distinct(), key, "left_semi")
+
+
 def hashed_embedder(dimension: int = 64) -> Callable[[list[str]], np.ndarray]:
     """A deterministic stand-in for an embedding model: signed feature hashing of words, length 1."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from thicket.functions.text import spanish_date
 
 SEPARATOR = "@"
 NUMBER = r"(?:\.|-\.|\.-)?"
@@ -12,6 +13,8 @@ NUMBER = r"(?:\.|-\.|\.-)?"
 SECTION_PATTERNS = (rf"^\*\*(\d+){NUMBER}\*\*[\s.]*(?:-?\s*)(.*?)$", rf"^\*\*(\d+){NUMBER}\s+(?:-?\s*)(.*?)\*\*$", rf"^(\d+){NUMBER}\s+\*\*(.*?)\*\*$")
 SUBSECTION_PATTERNS = (rf"^\*\*(\d+\.\d+){NUMBER}\*\*[\s.]*(?:-?\s*)(.*?)$", rf"^\*\*(\d+\.\d+){NUMBER}\s+(?:-?\s*)(.*?)\*\*$")
 PLAIN_SUBSECTION = rf"^(\d+\.\d+){NUMBER}\s*(?:-\s*)?(.*?)$"
+# How the target species read in running text; up to the next line that starts with a digit.
+FREE_SPECIES = (r"(?i)especies?(?:\s+de)?\s+destino[:\s]*([^\n]*(?:\n[^\n]*)*?)(?=\n\d|$(?!\n))", r"(?i)\d+\.\d+\.?\s+especies?(?:\s+de)?\s+destino\s*([^\n]*(?:\n[^\n]*)*?)(?=\n\d|$(?!\n))")
 UNIT = r"^(mg|ml|g|kg|l|%|µg|mcg|ui)\b"
 
 
@@ -99,7 +102,7 @@ def target_species(rows: DataFrame, docs: DataFrame, key: str = "document_id", t
     title = F.lower("title")
     named = F.contains(title, F.lit("especie")) & F.contains(title, F.lit("destino"))
     subs = rows.filter("kind = 'subsection'").filter(named).groupBy(key).agg(F.max(F.when(F.col("id") == "3.1", F.col("content"))).alias("a"), F.min_by("content", F.transform(F.split("id", r"\."), lambda x: x.cast("int"))).alias("b"))
-    free = F.nullif(F.regexp_extract(F.col(text), r"(?i)especies?(?:\s+de)?\s+destino[:\s]*([^\n]*)", 1), F.lit(""))
+    free = F.coalesce(*[F.nullif(F.trim(F.regexp_extract(F.col(text), p, 1)), F.lit("")) for p in FREE_SPECIES])
     return docs.join(subs, key, "left").select(key, F.coalesce(clean_species(F.coalesce("a", "b", free)), F.lit("")).alias("especies_destino"))
 
 
@@ -124,63 +127,148 @@ def antibiotic_details(master: DataFrame, lookup: DataFrame) -> DataFrame:
     return master.join(found, "nregistro", "left").select("nregistro", F.coalesce(details, F.array().cast("array<struct<categoria:string,familia:string,principio:string>>")).alias("antibiotico"), F.coalesce("is_antibiotic", F.lit(False)).alias("is_antibiotic"))
 
 
-def labelled(label: str, value: Column) -> Column:
-    """'label: value', or null for a blank value, so that concat_ws leaves it out."""
-    return F.when(F.trim(F.coalesce(value, F.lit(""))) != "", F.concat(F.lit(f"{label}: "), value))
-
-
 def names_of(array: str) -> Column:
     return F.array_join(F.filter(F.transform(array, lambda x: x["nombre"]), lambda n: F.coalesce(n, F.lit("")) != ""), ", ")
 
 
+def _text(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
+def _blank(c: Column) -> Column:
+    return _text(c) == ""
+
+
+def species_name(x: Column, default: str = "") -> Column:
+    """The normalised name of a struct's species, else its name."""
+    return F.coalesce(x["especie"]["nombre_normalizado"], x["especie"]["nombre"], F.lit(default))
+
+
+def _in_groups(array: str | Column, key, item, block, sep: str = "") -> Column:
+    """block(key, items) of each key in order of first sight, joined; '' for an empty array."""
+    array = F.col(array) if isinstance(array, str) else array
+    keys = F.array_distinct(F.transform(array, key))
+    return _text(F.array_join(F.transform(keys, lambda k: block(k, F.transform(F.filter(array, lambda x: key(x) == k), item))), sep))
+
+
 def essential_text(docs: DataFrame) -> DataFrame:
-    """(document_id, essential): the labelled parts of a structured document, blank ones left out."""
-    species = F.array_join(
-        F.transform("especies_cimavet", lambda s: F.when((F.coalesce(s["nombre_normalizado"], F.lit("")) != "") & (F.lower(s["nombre"]) != F.lower(s["nombre_normalizado"])), F.concat(s["nombre"], F.lit(" ("), s["nombre_normalizado"], F.lit(")"))).otherwise(F.coalesce(F.nullif(s["nombre_normalizado"], F.lit("")), s["nombre"]))), ", ")
-    actives = F.array_join(F.transform("principios_activos_cimavet", lambda p: F.when((F.coalesce(p["cantidad"], F.lit("")) != "") & (F.coalesce(p["unidad"], F.lit("")) != ""), F.concat(p["nombre"], F.lit(" ("), p["cantidad"], F.lit(" "), p["unidad"], F.lit(")"))).otherwise(p["nombre"])), ", ")
-    of_species = lambda array: F.array_join(F.transform(array, lambda x: F.when(F.coalesce(x["especie"]["nombre"], F.lit("")) != "", F.concat(x["nombre"], F.lit(" ("), x["especie"]["nombre"], F.lit(")"))).otherwise(x["nombre"])), ", ")
-    atc = F.array_join(F.transform("codigos_atc", lambda a: F.concat(a["codigo"], F.lit(": "), a["nombre"], F.lit(" (Nivel "), a["nivel"].cast("string"), F.lit(")"))), ", ")
-    blank = lambda c: F.nullif(c, F.lit(""))
+    """(document_id, essential): the labelled parts of a structured document; all but the first four and the antibiotic one are left out when blank."""
+    part = lambda label, value: F.when(~_blank(value), F.concat(F.lit(f"{label}: "), value))
+    always = lambda label, value: F.concat(F.lit(f"{label}: "), _text(value))
+    both = lambda s: F.when(~_blank(s["nombre"]) & ~_blank(s["nombre_normalizado"]) & (F.lower(s["nombre"]) != F.lower(s["nombre_normalizado"])), F.concat(s["nombre"], F.lit(" ("), s["nombre_normalizado"], F.lit(")"))).otherwise(F.coalesce(F.nullif(s["nombre_normalizado"], F.lit("")), s["nombre"]))
+    species = F.when(F.size("especies_registro") > 0, F.array_join(F.transform("especies_registro", both), ", ")).otherwise(F.col("especies_destino"))
+    atc = F.array_join(F.transform(F.filter("codigos_atc", lambda a: ~_blank(a["codigo"]) & ~_blank(a["nombre"])), lambda a: F.concat(a["codigo"], F.lit(": "), a["nombre"], F.lit(" (Nivel "), _text(a["nivel"].cast("string")), F.lit(")"))), "; ")
+    amount = lambda p: F.when(~_blank(p["cantidad"]) & ~_blank(p["unidad"]), F.concat(p["nombre"], F.lit(" ("), p["cantidad"], F.lit(" "), p["unidad"], F.lit(")"))).otherwise(p["nombre"])
+    actives = F.when(F.size("principios_activos_registro") > 0, F.array_join(F.transform(F.filter("principios_activos_registro", lambda p: ~_blank(p["nombre"])), amount), "; ")).otherwise(F.col("principios_activos"))
+    named = lambda array: F.filter(array, lambda x: ~_blank(x["nombre"]))
+    indications = _in_groups(named("indicaciones"), lambda x: species_name(x, "General"), lambda x: x["nombre"], lambda k, all_: F.array_join(F.transform(all_, lambda n: F.concat(n, F.lit(" ("), k, F.lit(")"))), "; "), "; ")
+    is_species = lambda x: F.coalesce(x["es_especie"], F.lit(False))
+    contra = F.array_join(F.transform(F.filter(named("contraindicaciones"), lambda x: ~is_species(x)), lambda x: F.when(x["especie"].isNotNull(), F.concat(x["nombre"], F.lit(" ("), species_name(x), F.lit(")"))).otherwise(x["nombre"])), "; ")
+    never = F.array_join(F.filter(F.transform(F.filter("contraindicaciones", is_species), lambda x: F.coalesce(x["nombre_normalizado"], x["nombre"])), lambda n: ~_blank(n)), ", ")
+    avoid = F.concat_ws(". ", F.when(~_blank(contra), F.concat(F.lit("Contraindicaciones: "), contra)), F.when(~_blank(never), F.concat(F.lit("No usar en: "), never)))
     parts = [
-        labelled("ID", F.col("document_id")), labelled("Medicamento", F.col("nombre_medicamento")), labelled("Laboratorio", F.col("laboratorio_titular")),
-        labelled("Autorización", F.col("fecha_primera_autorizacion")), labelled("Códigos ATC", atc), labelled("Especies", F.coalesce(blank(species), F.col("especies_destino"))),
-        labelled("Principios activos", F.coalesce(blank(actives), F.col("principios_activos"))), labelled("Forma farmacéutica", F.col("forma_farmaceutica")),
-        labelled("Vías de administración", names_of("vias_administracion")), labelled("Antibiótico", F.when(F.col("es_antibiotico"), "Sí").otherwise("No")),
-        labelled("Indicaciones", of_species("indicaciones")), labelled("Contraindicaciones", of_species("contraindicaciones")),
-        labelled("Dispensación", F.col("condiciones_dispensacion")), labelled("Administración", F.col("condiciones_administracion")),
+        always("ID", F.col("document_id")), always("Medicamento", F.col("nombre_medicamento")), always("Laboratorio", F.col("laboratorio_titular")), always("Autorización", F.col("fecha_primera_autorizacion")),
+        part("Especies", species), part("Códigos ATC", atc), part("Principios activos", actives), part("Forma farmacéutica", F.col("forma_farmaceutica")),
+        part("Vías de administración", names_of("vias_administracion")), always("Antibiótico", F.when(F.coalesce("es_antibiotico", F.lit(False)), "Sí").otherwise("No")),
+        part("Indicaciones", indications), F.nullif(avoid, F.lit("")), part("Dispensación", F.col("condiciones_dispensacion")), part("Administración", F.col("condiciones_administracion")),
     ]
     return docs.select("document_id", F.concat_ws("\n", *parts).alias("essential"))
 
 
-def by_species(title: str, array: str, item=lambda x: x["nombre"]) -> Column:
-    """'title especie:' blocks of an array of structs, species in order of first sight; '' for an empty array."""
-    of = lambda x: F.coalesce(x["especie"]["nombre"], F.lit(""))
-    species = F.array_distinct(F.transform(array, of))
-    block = lambda s: F.concat(F.lit(f"{title} "), s, F.lit(":\n"), F.array_join(F.transform(F.filter(array, lambda x: of(x) == s), lambda x: F.concat(F.lit("- "), item(x))), "\n"))
-    return F.coalesce(F.array_join(F.transform(species, block), "\n"), F.lit(""))
+def species_text(docs: DataFrame) -> Column:
+    """Normalised names of the registered species, else the parsed text."""
+    return F.when(F.size("especies_registro") > 0, F.array_join(F.transform("especies_registro", lambda s: F.coalesce(s["nombre_normalizado"], s["nombre"], F.lit(""))), ", ")).otherwise(_text(F.col("especies_destino")))
+
+
+def with_essential_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(document_id, essential, made): texts(document_id, essential) of the documents, six plain lines where there is none."""
+    line = lambda label, c: F.concat(F.lit(f"{label}: "), _text(c))
+    plain = F.concat_ws("\n", line("ID", F.col("document_id")), line("Medicamento", F.col("nombre_medicamento")), line("Laboratorio", F.col("laboratorio_titular")), line("Autorización", F.col("fecha_primera_autorizacion")), line("Especies", species_text(docs)), line("Principios activos", F.col("principios_activos")))
+    made = F.nullif(F.col("_found"), F.lit(""))
+    return docs.join(texts.select("document_id", F.col("essential").alias("_found")), "document_id", "left").select("document_id", F.coalesce(made, plain).alias("essential"), made.isNull().alias("made"))
 
 
 def complete_text(docs: DataFrame) -> DataFrame:
-    """(document_id, text): the whole record as one chunk, labels in fixed order, absent blocks left out."""
-    lines = lambda array, item: F.nullif(F.array_join(F.transform(array, lambda x: F.concat(F.lit("- "), item(x))), "\n"), F.lit(""))
-    atc = lines("codigos_atc", lambda a: F.concat(a["codigo"], F.lit(": "), a["nombre"], F.lit(" (Nivel "), a["nivel"].cast("string"), F.lit(")")))
-    always = lambda label, c: F.concat(F.lit(f"{label}: "), F.coalesce(c, F.lit("")))
-    block = lambda c: F.when(F.coalesce(c, F.lit("")) != "", c)
-    reaction = lambda x: F.when(F.coalesce(x["frecuencia"]["nombre"], F.lit("")) != "", F.concat(x["nombre"], F.lit(" ("), x["frecuencia"]["nombre"], F.lit(")"))).otherwise(x["nombre"])
+    """(document_id, text): the whole record as one chunk, labels in fixed order, absent blocks left out.
+
+    Blocks that end in a line end are followed by an empty line.
+    """
+    listed = lambda head, array, item: F.when(F.size(array) > 0, F.concat(F.lit(f"{head}:\n"), F.array_join(F.transform(array, lambda x: F.concat(F.lit("- "), item(x))), "\n")))
+    always = lambda label, c: F.concat(F.lit(f"{label}: "), _text(c))
+    name = lambda x: _text(x["nombre"])
+    lines = lambda array, item=name: _text(F.array_join(F.transform(array, lambda x: F.concat(F.lit("- "), item(x), F.lit("\n"))), ""))
+    strings = lambda items: F.array_join(F.transform(items, lambda t: F.concat(F.lit("- "), t, F.lit("\n"))), "")
+    groups = lambda head, array, item=name: _in_groups(array, lambda x: species_name(x), item, lambda k, items: F.concat(F.lit(f"{head} "), k, F.lit(":\n"), strings(items)))
+    of_species = lambda array: F.filter(array, lambda x: x["especie"].isNotNull())
+    general = lambda array: F.filter(array, lambda x: x["especie"].isNull())
+    block = lambda head, array, *texts: F.when(F.size(array) > 0, F.concat(F.lit(f"{head}:\n"), *texts))
+    reaction = lambda x: F.when(~_blank(x["frecuencia"]["nombre"]), F.concat(name(x), F.lit(" ("), x["frecuencia"]["nombre"], F.lit(")"))).otherwise(name(x))
+    own = lambda x: F.coalesce(x["es_especie"], F.lit(False))
+    never = F.filter(general("contraindicaciones"), own)
+    plain = F.filter(general("contraindicaciones"), lambda x: ~own(x))
+    waits = lambda x: F.concat(_text(x["tejido"]["nombre"]), F.lit(": "), _text(x["cantidad"]), F.lit(" "), _text(x["unidadTiempo"]["nombre"]))
+    atc = F.array_join(F.transform("codigos_atc", lambda a: F.concat(F.lit("- "), _text(a["codigo"]), F.lit(": "), _text(a["nombre"]), F.lit(" (Nivel "), _text(a["nivel"].cast("string")), F.lit(")"))), "\n")
     parts = [
         always("Ficha técnica", F.col("nombre_medicamento")), always("Enlace", F.col("url")), always("Laboratorio titular", F.col("laboratorio_titular")), always("Fecha de primera autorización", F.col("fecha_primera_autorizacion")),
-        always("Especies de destino", F.coalesce(F.nullif(F.array_join(F.transform("especies_cimavet", lambda s: F.coalesce(s["nombre_normalizado"], s["nombre"])), ", "), F.lit("")), F.col("especies_destino"))),
-        F.concat(F.lit("Códigos ATC:\n"), F.coalesce(atc, F.lit(""))), always("Principios activos", F.col("principios_activos")),
-        lines("principios_activos_cimavet", lambda p: F.concat_ws(" ", p["nombre"], p["cantidad"], p["unidad"])), always("Excipientes", F.col("excipientes")), always("Forma farmacéutica", F.col("forma_farmaceutica")),
-        always("Condiciones de dispensación", F.col("condiciones_dispensacion")), always("Condiciones de administración", F.col("condiciones_administracion")),
-        F.concat(F.lit("Este medicamento"), F.when(F.col("es_antibiotico"), "").otherwise(" no"), F.lit(" es un antibiótico.")),
-        lines("vias_administracion", lambda x: x["nombre"]), block(by_species("Indicaciones para", "indicaciones")), block(by_species("Contraindicaciones para", "contraindicaciones")),
-        block(by_species("En", "reacciones_adversas", reaction)), block(by_species("En", "interacciones")),
-        block(by_species("En", "tiempo_espera", lambda x: F.concat(x["tejido"]["nombre"], F.lit(": "), x["cantidad"], F.lit(" "), x["unidadTiempo"]["nombre"]))), lines("presentaciones", lambda x: x["nombre"]), F.lit("-----"),
+        always("Especies de destino", species_text(docs)), F.concat(F.lit("Códigos ATC:\n"), _text(atc)), always("Principios activos", F.col("principios_activos")),
+        listed("Principios activos detallados", "principios_activos_registro", lambda p: F.concat(name(p), F.lit(": "), _text(p["cantidad"]), F.lit(" "), _text(p["unidad"]))),
+        always("Excipientes", F.col("excipientes")), always("Forma farmacéutica", F.col("forma_farmaceutica")), always("Condiciones de dispensación", F.col("condiciones_dispensacion")), always("Condiciones de administración", F.col("condiciones_administracion")),
+        F.concat(F.lit("Este medicamento"), F.when(F.coalesce("es_antibiotico", F.lit(False)), "").otherwise(" no"), F.lit(" es un antibiótico.")),
+        listed("Vías de administración", "vias_administracion", name),
+        block("Indicaciones", "indicaciones", groups("Indicaciones para", "indicaciones")),
+        block("Contraindicaciones", "contraindicaciones", lines(plain), groups("Contraindicaciones para", of_species("contraindicaciones")), F.when(F.size(never) > 0, F.concat(F.lit("No usar en las siguientes especies:\n"), lines(never, lambda x: F.coalesce(x["nombre_normalizado"], x["nombre"], F.lit(""))))).otherwise("")),
+        block("Reacciones adversas", "reacciones_adversas", lines(general("reacciones_adversas"), reaction), groups("En", of_species("reacciones_adversas"), reaction)),
+        block("Interacciones", "interacciones", lines(general("interacciones")), groups("En", of_species("interacciones"))),
+        F.when(~_blank(F.col("tiempo_espera_texto")), F.concat(F.lit("Tiempo de espera: "), F.col("tiempo_espera_texto"))).otherwise(block("Tiempo de espera", "tiempo_espera", groups("En", "tiempo_espera", waits))),
+        listed("Presentaciones", "presentaciones", name), F.lit("-----"),
     ]
     return docs.select("document_id", F.concat_ws("\n", *parts).alias("text"))
 
 
+def with_metadata(master: DataFrame, metadata: DataFrame, key: str = "nregistro") -> DataFrame:
+    """Master records with their metadata; records without stay, with a null."""
+    return master.join(metadata, key, "left")
+
+
+def quarantined(docs: DataFrame, master: DataFrame, key: str = "document_id") -> tuple[DataFrame, DataFrame]:
+    """(documents joined with their master record by nregistro, documents without one and why)."""
+    known = master.withColumnRenamed("nregistro", key)
+    return docs.join(known, key), docs.join(known.select(key), key, "left_anti").select(key, F.lit("no master record").alias("reason"))
+
+
+def assemble(docs: DataFrame, master: DataFrame, base: str, key: str = "document_id") -> DataFrame:
+    """Structured documents of docs(document_id, especies_destino, secciones) and master records with metadata.
+
+    Absent texts are '' and absent lists empty; the date is Spanish, the url is
+    base, the registration and FT_ with the registration again.  Documents
+    without a record are left out; quarantined() tells which.
+    """
+    joined, _ = quarantined(docs, master, key)
+    number = F.regexp_replace(F.regexp_replace(F.regexp_replace(key, "^FT_", ""), "_ESP$", " ESP"), " ", "%20")
+    text = lambda c: _text(F.col(c))
+    listed = lambda c: F.coalesce(F.col(c), F.array().cast(joined.select(c).schema[0].dataType))
+    of = lambda source, name: F.coalesce(F.col(f"metadata.{source}"), F.array().cast(joined.select(F.col(f"metadata.{source}").alias("x")).schema["x"].dataType)).alias(name)
+    return joined.select(
+        key, text("nombre").alias("nombre_medicamento"), F.concat(F.lit(base), number, F.lit("/FT_"), number, F.lit(".pdf")).alias("url"), text("labtitular").alias("laboratorio_titular"),
+        spanish_date(F.col("primeraAutorizacion")).alias("fecha_primera_autorizacion"), listed("atcs").alias("codigos_atc"), text("especies_destino").alias("especies_destino"), of("especies", "especies_registro"),
+        text("pactivos").alias("principios_activos"), of("principiosActivos", "principios_activos_registro"), text("excip").alias("excipientes"),
+        _text(F.col("forma.nombre")).alias("forma_farmaceutica"), _text(F.col("dispensacion.nombre")).alias("condiciones_dispensacion"), _text(F.col("administracion.nombre")).alias("condiciones_administracion"),
+        F.coalesce("is_antibiotic", F.lit(False)).alias("es_antibiotico"), of("viasAdministracion", "vias_administracion"), of("indicaciones", "indicaciones"), of("contraindicaciones", "contraindicaciones"),
+        of("reaccionesAdversas", "reacciones_adversas"), of("interacciones", "interacciones"), of("tiemposEspera", "tiempo_espera"), _text(F.col("metadata.tiempoEsperaTexto")).alias("tiempo_espera_texto"), of("presentaciones", "presentaciones"), "secciones",
+    )
+
+
+def record_names(master: DataFrame) -> DataFrame:
+    """(nregistro, nombre) of the records with a name."""
+    return master.filter(F.coalesce(F.trim("nombre"), F.lit("")) != "").select("nregistro", "nombre")
+
+
+def split_registrations(ids: DataFrame, key: str = "nregistro") -> tuple[DataFrame, DataFrame]:
+    """(European registrations, all others), by the prefix EU."""
+    european = F.coalesce(F.startswith(key, F.lit("EU")), F.lit(False))
+    return ids.filter(european), ids.filter(~european)
+
+
 def section_chunks(docs: DataFrame, separator: str = SEPARATOR) -> DataFrame:
     """Chunks of sections and subsections: chunk_id, document_id, chunk_type, title, parent_id, path, text."""
     name = F.coalesce("nombre_medicamento", F.lit(""))
@@ -194,17 +282,23 @@ def section_chunks(docs: DataFrame, separator: str = SEPARATOR) -> DataFrame:
     return top.unionByName(sub)
 
 
-def normalise_nested(df: DataFrame, array: str, names: DataFrame) -> DataFrame:
-    """df with nombre_normalizado in the species structs of an array(nombre, especie(nombre)); names is (raw, normalised).
+def normalise_nested(df: DataFrame, array: str, names: DataFrame, own: bool = False) -> DataFrame:
+    """df with nombre_normalizado in the species structs of an array; names is (raw, normalised, known).
 
-    Items with a null name are dropped first.  The distinct names are looked up
-    by a join, so the dictionary's size does not matter.
+    own: an item without a species whose own name the dictionary knows is
+    itself a species, and gets es_especie and nombre_normalizado.  Items with a
+    null name and no species are dropped first.  The distinct names are looked
+    up by a join, so the dictionary's size does not matter.
     """
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).select("*", F.posexplode_outer(F.filter(array, lambda x: x["nombre"].isNotNull())).alias("_at", "_x"))
-    joined = rows.join(names.select(F.col("raw").alias("_raw"), F.col("normalised").alias("_norm")), F.col("_x.especie.nombre") == F.col("_raw"), "left")
-    item = F.col("_x").withField("especie", F.when(F.col("_x.especie.nombre").isNotNull(), F.struct(F.col("_x.especie.nombre").alias("nombre"), F.coalesce("_norm", F.col("_x.especie.nombre")).alias("nombre_normalizado"))))
+    kept = F.filter(array, lambda x: x["nombre"].isNotNull() | x["especie"]["nombre"].isNotNull())
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).select("*", F.posexplode_outer(kept).alias("_at", "_x"))
+    asked = F.coalesce(F.col("_x.especie.nombre"), F.trim("_x.nombre")) if own else F.col("_x.especie.nombre")
+    joined = rows.withColumn("_asked", asked).join(names.select(F.col("raw").alias("_asked"), F.col("normalised").alias("_norm"), F.col("known").alias("_known")), "_asked", "left")
+    has = F.col("_x.especie.nombre").isNotNull()
+    item = F.col("_x").withField("especie", F.when(has, F.struct(F.col("_x.especie.nombre").alias("nombre"), F.coalesce("_norm", F.col("_x.especie.nombre")).alias("nombre_normalizado"))))
+    if own:
+        itself = ~has & F.coalesce("_known", F.lit(False))
+        item = item.withField("es_especie", itself).withField("nombre_normalizado", F.when(itself, F.col("_norm")))
     keep = [c for c in df.columns if c != array]
     done = joined.groupBy("_row").agg(*[F.first(c).alias(c) for c in keep], F.array_sort(F.collect_list(F.when(F.col("_x").isNotNull(), F.struct("_at", item.alias("x"))))).alias("_all"))
     return done.select(*[c if c != array else F.transform("_all", lambda s: s["x"]).alias(array) for c in df.columns])
-
-

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,8 +67,14 @@ def score_histogram(hits: DataFrame, bins: int = 20) -> DataFrame:
     return hits.crossJoin(F.broadcast(ends)).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def run_rows(logs: DataFrame) -> DataFrame:
-    """Metric rows of evaluation logs(path, metrics map): method from the path, missing metrics 0."""
+def run_rows(logs: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Metric rows of evaluation logs(path, metrics map): run name and method from the path, missing metrics 0.
+
+    order keeps only these runs and numbers them by their place in it.
+    """
+    name = F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)
     method = F.when(F.contains(F.lower("path"), F.lit("bm25")), "bm25").when(F.contains(F.lower("path"), F.lit("hybrid")), "hybrid").otherwise("faiss")
-    names = ("precision", "recall", "hit", "mrr")
-    return logs.select("path", method.alias("method"), *[F.coalesce(F.try_element_at("metrics", F.lit(n)), F.lit(0.0)).alias(n) for n in names])
+    names = ("normalised_precision", "recall", "hit", "mrr")
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("run_name")) if order else F.lit(0).cast("long")
+    rows = logs.select(name.alias("run_name"), method.alias("method"), *[F.coalesce(F.try_element_at("metrics", F.lit(n)), F.lit(0.0)).alias(n) for n in names]).withColumn("place", place)
+    return rows.filter("place > 0") if order else rows

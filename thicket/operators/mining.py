@@ -35,30 +35,39 @@ def mine_groupings(docs: DataFrame, min_docs: int = 3) -> DataFrame:
 def matching(docs: DataFrame, criteria: DataFrame) -> DataFrame:
     """Rows of criteria x docs that match; a null or empty criterion matches every document.
 
-    criteria is a small table (query_id, especie, indicacion, via,
-    categoria_antibiotico); it is joined on the species where that is given, so
-    only wildcards meet every document.
+    criteria is (query_id, especie, indicacion, via, categoria_antibiotico).
+    Each is joined on the first attribute that it gives; only one without any,
+    which asks for all documents, is dealt to each of them.
     """
-    named = docs.select("*", F.explode(F.array_distinct("species")).alias("_species"))
-    wild = lambda c: F.col(c).isNull() | (F.col(c) == "")
-    ok = (
-        (wild("indicacion") | F.coalesce(F.array_contains(F.try_element_at("indications", F.col("_species")), F.col("indicacion")), F.lit(False)))
-        & (wild("via") | F.coalesce(F.array_contains("routes", F.col("via")), F.lit(False)))
-        & (wild("categoria_antibiotico") | F.coalesce(F.array_contains("categories", F.col("categoria_antibiotico")), F.lit(False)))
-    )
-    exact = named.join(criteria.filter(~wild("especie")), F.col("_species") == F.col("especie")).filter(ok)
-    open_ = criteria.filter(wild("especie"))
-    any_indication = wild("indicacion") | F.coalesce(F.array_contains(F.flatten(F.map_values("indications")), F.col("indicacion")), F.lit(False))
-    rest = docs.join(F.broadcast(open_) if open_.isEmpty() else open_, any_indication & (wild("via") | F.coalesce(F.array_contains("routes", F.col("via")), F.lit(False))) & (wild("categoria_antibiotico") | F.coalesce(F.array_contains("categories", F.col("categoria_antibiotico")), F.lit(False))))
-    return exact.drop("_species").unionByName(rest)
+    given = lambda c: F.nullif(F.trim(c), F.lit(""))
+    names = ("especie", "indicacion", "via", "categoria_antibiotico")
+    first = F.coalesce(*[F.when(given(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c))) for c in names])
+    empty = F.array().cast("array<string>")
+    said = lambda c, array: F.transform(F.filter(F.coalesce(array, empty), lambda x: x.isNotNull()), lambda x: F.concat(F.lit(f"{c}="), x))
+    held = F.flatten(F.filter(F.map_values("indications"), lambda x: x.isNotNull()))
+    keys = F.array_distinct(F.concat(said("especie", F.col("species")), said("indicacion", held), said("via", F.col("routes")), said("categoria_antibiotico", F.col("categories"))))
+    of_species = F.when(given("especie").isNotNull(), F.try_element_at("indications", F.col("especie"))).otherwise(held)
+    has = lambda array, c: given(c).isNull() | F.coalesce(F.array_contains(array, F.col(c)), F.lit(False))
+    ok = has(F.col("species"), "especie") & has(of_species, "indicacion") & has(F.col("routes"), "via") & has(F.col("categories"), "categoria_antibiotico")
+    keyed = criteria.withColumn("_key", first)
+    found = docs.withColumn("_key", F.explode(keys)).join(keyed.filter("_key IS NOT NULL"), "_key").filter(ok).drop("_key")
+    open_ = keyed.filter("_key IS NULL").drop("_key").collect()  # criteria that ask for everything
+    if not open_:
+        return found
+    each = F.explode(F.array(*[F.struct(*[F.lit(r[c]).cast(criteria.schema[c].dataType).alias(c) for c in criteria.columns]) for r in open_]))
+    return found.unionByName(docs.withColumn("_c", each).select(*docs.columns, "_c.*"))
 
 
 def invert(df: DataFrame, path: str, ident: str, min_docs: int = 2) -> DataFrame:
-    """(value, ids): documents by the values at a dotted path; arrays give one group a value."""
+    """(value, n_ids, id): documents by the values at a dotted path, one row an id; arrays give one group a value.
+
+    A group is not gathered into one row, so its size does not matter.
+    """
     value = F.col(path)
     kind = df.select(value.alias("v")).schema["v"].dataType.typeName()
-    exploded = df.select(F.col(ident).cast("string").alias("_id"), (F.explode(value) if kind == "array" else value).alias("value")).filter("value IS NOT NULL")
-    return exploded.groupBy("value").agg(F.array_sort(F.collect_list("_id")).alias("ids")).filter(F.size("ids") >= min_docs)
+    rows = df.select(F.col(ident).cast("string").alias("id"), (F.explode(value) if kind == "array" else value).alias("value")).filter("value IS NOT NULL")
+    sizes = rows.groupBy("value").agg(F.count("*").alias("n_ids")).filter(F.col("n_ids") >= min_docs)
+    return rows.join(sizes, "value").select("value", "n_ids", "id")
 
 
 def pivot_counts(df: DataFrame, group: str, named: Mapping[str, Column]) -> DataFrame:

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thicket.functions.text import words
 
 MODELS = ("okapi", "l", "plus")
+#: Query terms that are sent to the tasks, a checked number; more are scored by joins.
+SENT_TERMS = 1_000_000
 
 
 def token_rows(df: DataFrame, key: str, text: str, tokens=None) -> DataFrame:
@@ -30,6 +36,7 @@ class Index:
     stats: DataFrame
     docs: DataFrame
     occurrences: DataFrame | None = None
+    tokens: DataFrame | None = None
 
     def of_terms(self, terms: DataFrame) -> DataFrame:
         """Postings of the given terms; of an index that is not stored only these terms' words are counted."""
@@ -37,8 +44,10 @@ class Index:
             return self.postings.join(terms, "term", "left_semi")
         return self.occurrences.join(terms, "term", "left_semi").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
 
-    def save(self, path: str) -> None:
-        """Parquet tables; postings are clustered by term, so a query reads few files' row groups."""
+    def save(self, path: str, settings: dict | None = None) -> None:
+        """Parquet tables; postings are clustered by term, so a query reads few files' row groups.  settings are kept beside them."""
+        spark = self.terms.sparkSession
+        spark.createDataFrame([(k, str(v)) for k, v in sorted((settings or {}).items())], "name string, value string").write.mode("overwrite").parquet(f"{path}/settings")
         self.postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
         for name in ("terms", "stats", "docs"):
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
@@ -47,6 +56,11 @@ class Index:
     def load(spark: SparkSession, path: str) -> Index:
         return Index(*(spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats", "docs")))
 
+    @staticmethod
+    def settings(spark: SparkSession, path: str) -> dict[str, str]:
+        """What save() was given; empty for an index without settings."""
+        return {r["name"]: r["value"] for r in spark.read.parquet(f"{path}/settings").collect()}  # one row a setting
+
 
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens=None) -> Index:
     """The index of docs, whose ids are distinct; every step is one partially aggregated shuffle."""
@@ -61,7 +75,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens
     totals = lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
     raw = F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     stats = totals.join(terms.crossJoin(F.broadcast(totals.select("n_docs"))).agg(F.count("*").alias("n_terms"), F.sum(raw).alias("sum_idf")))
-    return Index(postings, terms, stats, lengths, occurrences)
+    return Index(postings, terms, stats, lengths, occurrences, sized.select("doc_id", "_tokens"))
 
 
 def idf(model: str, epsilon: float = 0.25) -> Column:
@@ -122,22 +136,90 @@ def ranked(hits: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(index: Index, queries: DataFrame, k: int = 10, model: str = "okapi", **parameters) -> DataFrame:
-    """(query_id, rank, doc_id, score): k documents for each query, filled up by documents without a query term.
+    """(query_id, rank, doc_id, score): k documents for each query, those without a query term last.
 
-    The fill takes the least 2k doc_ids into account: k of them at most are
-    matched already, so no query meets every document.  A query without a
-    token has no row.
+    A query without a token has no row.  Up to SENT_TERMS query terms go to the
+    tasks, where each batch of documents is scored for all queries and keeps
+    its k best; beyond that, and for a stored index, scores come from joins.
     """
+    if model not in MODELS:
+        raise ValueError(f"unknown model {model!r}; one of {MODELS}")
+    if index.tokens is not None:
+        wanted = queries.groupBy("query_id", "term").agg(F.count("*").alias("times"))
+        weighted = wanted.join(index.terms, "term", "left").crossJoin(F.broadcast(index.stats)).select("query_id", "term", F.coalesce(F.col("times") * idf(model), F.lit(0.0)).alias("weight"), "avgdl")
+        sent = weighted.limit(SENT_TERMS + 1).toArrow()
+        if len(sent) <= SENT_TERMS:
+            return ranked(_sent_scores(index.tokens, sent, k, model, **parameters), k).select("query_id", "rank", "doc_id", "score")
     matched = scores(index, queries, model, **parameters)
     best = ranked(matched, k).drop("rank")
     least = index.docs.select("doc_id").orderBy("doc_id").limit(2 * k)
     asked = base_scores(index, queries, model, **parameters).select("query_id", F.round("base", 6).alias("score"))
     every = queries.select("query_id").distinct().join(asked, "query_id", "left").select("query_id", F.coalesce("score", F.lit(0.0)).alias("score"))
     near = matched.join(F.broadcast(least), "doc_id").select("query_id", "doc_id")
+    # The fill takes the least 2k doc_ids into account: k of them at most are matched already.
     fill = every.crossJoin(F.broadcast(least)).join(near, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", "score")
     return ranked(best.unionByName(fill), k).select("query_id", "rank", "doc_id", "score")
 
 
+def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, k1: float = 1.5, b: float = 0.75, delta: float | None = None) -> DataFrame:
+    """(query_id, doc_id, score): of each batch of documents the k best of every query, equal scores by ascending doc_id."""
+    d = (0.5 if model == "l" else 1.0) if delta is None else delta
+    absent = {"okapi": 0.0, "l": (k1 + 1) * d / (k1 + d), "plus": d}[model]
+    asked = sorted(set(sent["query_id"].to_pylist()))
+    vocabulary = pc.unique(sent["term"])
+    term = pc.index_in(sent["term"], vocabulary).to_numpy()
+    query = np.searchsorted(asked, sent["query_id"].to_numpy())
+    weight = sent["weight"].to_numpy()
+    average = sent["avgdl"][0].as_py() if len(sent) else 1.0
+    base = np.bincount(query, weight, minlength=len(asked)) * absent
+    order = np.argsort(term, kind="stable")
+    starts = np.searchsorted(term[order], np.arange(len(vocabulary) + 1))
+    query, weight = query[order], weight[order]
+
+    def part(tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        if model == "okapi":
+            return tf * (k1 + 1) / (tf + k1 * norm)
+        if model == "l":
+            return (k1 + 1) * (tf / norm + d) / (k1 + tf / norm + d)
+        return d + tf * (k1 + 1) / (k1 * norm + tf)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows or not asked:
+                continue
+            batch = batch.take(pc.sort_indices(batch.column("doc_id")))
+            words = batch.column("_tokens")
+            length = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+            at = pc.index_in(words.flatten(), vocabulary)
+            known = at.is_valid().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), length)[known]
+            pair, tf = np.unique(row * len(vocabulary) + at.drop_null().to_numpy(), return_counts=True)
+            row, word = np.divmod(pair, len(vocabulary))
+            gain = part(tf.astype(np.float64), 1 - b + b * length[row] / average) - absent
+            scores = np.repeat(base[:, None], batch.num_rows, axis=1)
+            for lo in range(0, len(pair), 1 << 16):  # bounded: each pair meets the queries of its word
+                s = slice(lo, lo + (1 << 16))
+                many = (starts[1:] - starts[:-1])[word[s]]
+                each = np.repeat(np.arange(len(many)), many)
+                entry = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[word[s]], many)
+                np.add.at(scores.reshape(-1), query[entry] * batch.num_rows + row[s][each], weight[entry] * gain[s][each])
+            scores = np.round(scores, 6)
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            of = np.repeat(np.arange(len(asked)), best.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(asked, np.int64)[of]), pa.array(ids[best.reshape(-1)].astype(np.int64)), pa.array(scores[of, best.reshape(-1)])], ["query_id", "doc_id", "score"])
+
+    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "_tokens").mapInArrow(run, "query_id long, doc_id long, score double")
+
+
+def pair_scores(index: Index, queries: DataFrame, pairs: DataFrame, model: str = "okapi", **parameters) -> DataFrame:
+    """(query_id, doc_id, score) of the given pairs(query_id, doc_id) only; pairs without a common term score their base."""
+    few = Index(index.postings.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi"), index.terms, index.stats, index.docs)
+    found = scores(few, queries, model, **parameters)
+    base = base_scores(index, queries, model, **parameters).select("query_id", F.round("base", 6).alias("_base"))
+    return pairs.join(found, ["query_id", "doc_id"], "left").join(base, "query_id", "left").select("query_id", "doc_id", F.coalesce("score", "_base", F.lit(0.0)).alias("score"))
+
+
 def above(hits: DataFrame, threshold: float = 8.0) -> DataFrame:
     """Hits at or over the threshold."""
     return hits.filter(F.col("score") >= threshold)

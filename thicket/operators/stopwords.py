@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from thicket.functions.text import fold, fold_accents
+from thicket.session import stored
 
 
 def term_statistics(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -16,20 +17,54 @@ def term_statistics(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
     return inner.groupBy("term").agg(F.sum("n").alias("tf"), F.count("*").alias("df"))
 
 
+#: Terms of one prefix that the driver may see when it looks for a cut.
+PREFIX_TERMS = 10_000
+
+
 def generate(tokens: DataFrame, n_docs: int, base: Sequence[str] = (), doc: str = "doc_id") -> DataFrame:
     """(term): terms in half of the documents, the fifth (ten at least) of least tf-idf, and base; accents folded.
 
     Terms in one document are not scored; one-character terms are left out
-    after the cut.  Equal scores go by term.
+    after the cut.  Equal scores go by term.  The cut is found by counting, so
+    no task holds the fifth.
     """
-    stats = term_statistics(tokens, doc)
-    total = stats.agg(F.sum("tf").alias("total"))
-    scored = stats.filter("df > 1").crossJoin(F.broadcast(total)).withColumn("score", F.round(F.col("tf") / F.col("total") * F.log(F.lit(n_docs) / F.col("df")), 12))
-    lowest = max(10, int(0.2 * scored.count()))
-    least = scored.orderBy("score", "term").limit(lowest).filter(F.length("term") > 1).select("term")
+    stats = stored(term_statistics(tokens, doc), "terms")
+    total, n_scored = stats.agg(F.sum("tf"), F.count_if(F.col("df") > 1)).first()
+    scored = stats.filter("df > 1").select("term", F.round(F.col("tf") / F.lit(total or 1) * F.log(F.lit(n_docs) / F.col("df")), 12).alias("score"))
+    score, term = _cut(stored(scored, "scored"), max(10, int(0.2 * n_scored)))
+    least = scored.filter((F.col("score") < score) | (F.col("score") == score) & (F.col("term") <= term)) if score is not None else scored
     common = stats.filter((F.col("df") >= max(2, n_docs // 2)) & (F.length("term") > 1)).select("term")
     fixed = tokens.sparkSession.createDataFrame([(fold(w),) for w in base], "term string")
-    return least.unionByName(common).select(fold_accents(F.col("term")).alias("term")).unionByName(fixed).distinct()
+    return least.filter(F.length("term") > 1).select("term").unionByName(common).select(fold_accents(F.col("term")).alias("term")).unionByName(fixed).distinct()
+
+
+def _cut(scored: DataFrame, n: int) -> tuple[float | None, str | None]:
+    """(score, term) of the n-th row by score, then term; nothing where there are no more than n rows."""
+    lo, hi, rows = scored.agg(F.min("score"), F.max("score"), F.count("*")).first()
+    if rows <= n:
+        return None, None
+    below, bins = 0, 4096
+    while lo < hi:  # ever finer bins; the driver sees their counts
+        width = (hi - lo) / bins
+        at = F.least(F.floor((F.col("score") - lo) / width), F.lit(bins - 1)) if width > 0 and lo + width > lo else F.when(F.col("score") > lo, 1).otherwise(0)
+        part = scored.filter((F.col("score") >= lo) & (F.col("score") <= hi)).groupBy(at.alias("bin"))
+        for r in part.agg(F.count("*").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi")).orderBy("bin").collect():
+            if below + r.n >= n:
+                lo, hi = r.lo, r.hi
+                break
+            below += r.n
+    ties, prefix = scored.filter(F.col("score") == lo), ""
+    while True:
+        inside = ties.filter(F.startswith("term", F.lit(prefix)))
+        counts = inside.groupBy(F.substring("term", 1, len(prefix) + 1).alias("p")).agg(F.count("*").alias("n")).collect()  # one row a next letter
+        for r in sorted(counts):
+            if below + r.n >= n:
+                break
+            below += r.n
+        if r.n <= PREFIX_TERMS or r.p == prefix:
+            found = ties.filter(F.startswith("term", F.lit(r.p)) if r.p != prefix else F.col("term") == prefix).select("term").collect()
+            return lo, sorted(x.term for x in found)[n - below - 1]
+        prefix = r.p
 
 
 def content_hashes(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:

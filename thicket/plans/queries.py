@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thicket.functions import fuzzy, text
-from thicket.functions.stem import stem_terms
+from thicket.functions.stem import stem_terms, stem_tokens
 from thicket.operators import context, dense, documents, fusion, metrics, mining, sparse, stopwords
-from thicket.sources import readers
+from thicket.plans import ingest
+from thicket.session import scratch, stored
+from thicket.sources import readers, samples, writers
 from thicket.streaming import changes
 
-#: Words of a benchmark item that make a keyword query; every hundredth vector is a query.
-QUERY_WORDS, QUERY_STEP = 8, 100
+#: Every hundredth vector is a query; vectors of a document, one after the other.
+QUERY_STEP, CHUNKS_A_DOCUMENT = 100, 4
+STOPWORDS = ("the", "de", "la", "and")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keyword_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(query_id, term): the first words of every benchmark item."""
-    tokens = F.slice(text.words(F.lower("text")), 1, QUERY_WORDS)
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(tokens).alias("term"))
+    """(query_id, term): all words of every benchmark item."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(text.words(F.lower("text"))).alias("term"))
 
 
 def index(spark: SparkSession, sf_dir: str) -> sparse.Index:
@@ -43,14 +45,14 @@ def _asked(rows: DataFrame) -> DataFrame:
 
 
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(query_id, doc_id): documents that hold the first 60 characters of an item.
+    """(query_id, doc_id): documents that hold the whole text of an item.
 
     A document that holds a passage has all of the words that are between
     spaces in it, so the longest of these is the join key; the passage is then
     looked for in the documents of the key.  Passages without such a word, if
     any, are looked for in every document.
     """
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 60).alias("passage"))
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("passage"))
     inner = F.split("passage", " ")
     inner = F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0)))
     longest = F.array_max(F.transform(F.filter(inner, lambda w: w != ""), lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))["word"]
@@ -59,8 +61,11 @@ def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
     pairs = words.join(items.filter("word IS NOT NULL"), "word").select("query_id", "doc_id", "passage")
     keyed = docs.join(pairs, "doc_id").filter(F.contains("text", F.col("passage"))).select("query_id", "doc_id")
-    rest = items.filter("word IS NULL AND passage IS NOT NULL").select("query_id", "passage")
-    return keyed.unionByName(docs.join(rest, F.contains("text", F.col("passage"))).select("query_id", "doc_id"))
+    rest = [(r.query_id, r.passage) for r in items.filter("word IS NULL AND passage IS NOT NULL").select("query_id", "passage").collect()]  # items of two words at most
+    if not rest:
+        return keyed
+    each = F.explode(F.array(*[F.struct(F.lit(q).cast("long").alias("query_id"), F.lit(p).alias("passage")) for q, p in rest]))
+    return keyed.unionByName(docs.withColumn("_i", each).filter(F.contains("text", F.col("_i.passage"))).select("_i.query_id", "doc_id"))
 
 
 def sparse_hits(spark: SparkSession, sf_dir: str, k: int = 50) -> DataFrame:
@@ -74,7 +79,7 @@ def dense_hits(spark: SparkSession, sf_dir: str, k: int = 50) -> DataFrame:
 # --- text
 
 def text_normalize(spark, sf_dir):
-    tokens = text.Normaliser(stopwords=("the", "de", "la", "and")).tokens(F.col("text"))
+    tokens = text.Normaliser(stopwords=STOPWORDS).tokens(F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(tokens).alias("pos", "term"))
 
 
@@ -95,7 +100,7 @@ def language_route(spark, sf_dir):
 
 
 def corpus_tokens(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.corpus_words(F.col("text"))).alias("n_tokens"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.corpus_words(F.col("text"))).alias("pos", "term"))
 
 
 def stopwords_generated(spark, sf_dir):
@@ -135,6 +140,27 @@ def bm25_threshold(spark, sf_dir):
     return sparse.above(sparse_hits(spark, sf_dir), 8.0)
 
 
+def _normalised(spark, sf_dir, tokens):
+    """Hits where documents and queries go through the same normaliser."""
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(tokens(F.col("text"))).alias("term"))
+    return sparse.top_k(sparse.build_index(table(spark, sf_dir, "documents"), tokens=tokens), asked, 10)
+
+
+def bm25_normalised_topk(spark, sf_dir):
+    return _normalised(spark, sf_dir, text.Normaliser(stopwords=STOPWORDS).tokens)
+
+
+def bm25_stemmed_topk(spark, sf_dir):
+    return _normalised(spark, sf_dir, lambda c: stem_tokens(text.Normaliser(stopwords=STOPWORDS).tokens(c)))
+
+
+def bm25_stored_topk(spark, sf_dir):
+    """The index is written with its settings, read again and asked by joins."""
+    path = scratch(spark, "bm25")
+    index(spark, sf_dir).save(path, {"model": "plus", "k1": 1.5, "b": 0.75})
+    return sparse.top_k(sparse.Index.load(spark, path), keyword_queries(spark, sf_dir), 10, sparse.Index.settings(spark, path)["model"])
+
+
 # --- vectors
 
 def dense_topk(spark, sf_dir):
@@ -153,6 +179,20 @@ def _chunks(spark, sf_dir):
     return vectors(spark, sf_dir).select(F.col("doc_id").alias("chunk_id"), F.col("label").alias("doc_id"), "vector")
 
 
+def _grouped_chunks(spark, sf_dir):
+    """(chunk_id, doc_id, vector): four vectors, one after the other, are the chunks of a document."""
+    return vectors(spark, sf_dir).select(F.col("doc_id").alias("chunk_id"), F.expr(f"doc_id div {CHUNKS_A_DOCUMENT}").alias("doc_id"), "vector")
+
+
+def _grouped_documents(spark, sf_dir):
+    return dense.mean_vectors(_grouped_chunks(spark, sf_dir), "doc_id")
+
+
+def grouped_hits(spark, sf_dir, k=50):
+    """Two-stage hits over the grouped chunks: the ten best documents, then their k best chunks."""
+    return dense.hierarchical(_grouped_documents(spark, sf_dir), _grouped_chunks(spark, sf_dir), vector_queries(spark, sf_dir), 10, k)
+
+
 def hierarchical_exact(spark, sf_dir):
     return dense.hierarchical(_labels(spark, sf_dir), _chunks(spark, sf_dir), vector_queries(spark, sf_dir), 3, 10)
 
@@ -165,29 +205,55 @@ def group_mean_embedding(spark, sf_dir):
     return dense.mean_vectors(vectors(spark, sf_dir), "label").select("label", F.posexplode("vector").alias("pos", "x")).select("label", "pos", F.round("x", 6).alias("value"))
 
 
+def _saved_vectors(spark, sf_dir):
+    path = scratch(spark, "vectors")
+    chunks = _grouped_chunks(spark, sf_dir).withColumn("text", F.when(F.col("chunk_id") % 3 > 0, F.concat(F.lit("chunk "), F.col("chunk_id").cast("string"))).otherwise(""))
+    dense.save_index(chunks, _grouped_documents(spark, sf_dir).withColumn("text", F.concat(F.lit("document "), F.col("doc_id").cast("string"))), path)
+    return dense.load_index(spark, path)
+
+
+def vector_index_statistics(spark, sf_dir):
+    return dense.index_statistics(*_saved_vectors(spark, sf_dir))
+
+
+def vector_look_up(spark, sf_dir):
+    """Chunks by id from a stored index, with the text of their document and the first number of their vector."""
+    chunks, documents_ = _saved_vectors(spark, sf_dir)
+    found = dense.look_up(chunks, "chunk_id", spark.range(5, 60, 7).withColumnRenamed("id", "chunk_id"))
+    return found.join(documents_.select("doc_id", F.col("text").alias("document")), "doc_id").select("chunk_id", "doc_id", "text", "document", F.round(F.element_at("vector", 1).cast("double"), 6).alias("x"))
+
+
 # --- fusion, context
 
 def late_fusion_worst(spark, sf_dir):
-    return fusion.late_fusion(sparse_hits(spark, sf_dir), dense_hits(spark, sf_dir))
+    return fusion.late_fusion(sparse_hits(spark, sf_dir), grouped_hits(spark, sf_dir), 50, 50)
 
 
 def late_fusion_best(spark, sf_dir):
-    return fusion.late_fusion(sparse_hits(spark, sf_dir), dense_hits(spark, sf_dir), alpha=0.2, doc_rank="best")
+    return fusion.late_fusion(sparse_hits(spark, sf_dir), grouped_hits(spark, sf_dir), 50, 50, alpha=0.2, doc_rank="best")
 
 
 def late_fusion_balanced(spark, sf_dir):
-    return fusion.balanced_fusion(sparse_hits(spark, sf_dir), dense_hits(spark, sf_dir))
+    """Candidates of either side, each scored on both sides."""
+    built, asked = index(spark, sf_dir), keyword_queries(spark, sf_dir)
+    found = stored(fusion.candidates(sparse.top_k(built, asked, 50), grouped_hits(spark, sf_dir)), "candidates")
+    return fusion.balanced_fusion(sparse.pair_scores(built, asked, found), dense.pair_scores(_grouped_documents(spark, sf_dir), vector_queries(spark, sf_dir), found))
+
+
+def _dense_chunks(spark, sf_dir, k):
+    return dense_hits(spark, sf_dir, k).withColumnRenamed("doc_id", "chunk_id").withColumn("doc_id", F.expr(f"chunk_id div {CHUNKS_A_DOCUMENT}"))
 
 
 def late_fallback(spark, sf_dir):
-    """Chunks are the vectors, each its own document."""
-    first = dense_hits(spark, sf_dir, 20).withColumn("chunk_id", F.col("doc_id"))
-    extra = dense.all_scores(vectors(spark, sf_dir), vector_queries(spark, sf_dir)).withColumn("chunk_id", F.col("doc_id"))
-    return fusion.late_fallback(first, sparse_hits(spark, sf_dir), extra)
+    return fusion.late_fallback(_dense_chunks(spark, sf_dir, 20), sparse_hits(spark, sf_dir), _grouped_chunks(spark, sf_dir), vector_queries(spark, sf_dir))
+
+
+def uncovered_chunks(spark, sf_dir):
+    return fusion.uncovered_chunks(sparse_hits(spark, sf_dir), _dense_chunks(spark, sf_dir, 50), _grouped_chunks(spark, sf_dir))
 
 
 def fallback_coverage(spark, sf_dir):
-    return fusion.coverage(sparse_hits(spark, sf_dir), dense_hits(spark, sf_dir))
+    return fusion.coverage(sparse_hits(spark, sf_dir), _dense_chunks(spark, sf_dir, 50))
 
 
 def context_pack(spark, sf_dir):
@@ -198,7 +264,7 @@ def context_pack(spark, sf_dir):
 def rag_answers(spark, sf_dir):
     hits = sparse_hits(spark, sf_dir, 10).join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content")), "doc_id")
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
-    return context.answers(asked, context.contexts(context.pack(hits))).select("query_id", "generated_answer", "doc_ids", "context_length", "error")
+    return context.answers(asked, context.contexts(context.pack(hits))).select("query_id", "generated_answer", F.array_join("doc_ids", ",").alias("doc_ids"), "context_length", "error")
 
 
 # --- evaluation
@@ -254,19 +320,65 @@ def criteria_filter(spark, sf_dir):
 
 
 def inverted_grouping(spark, sf_dir):
-    rows = mining.invert(table(spark, sf_dir, "documents"), "source", "doc_id")
-    return rows.select("value", F.size("ids").alias("n_ids"), F.element_at("ids", 1).alias("first_id"))
+    """Documents by every class of their labels, a nested path over an array."""
+    rows = _attributes(spark, sf_dir).select("doc_id", F.struct(F.transform("categories", lambda c: F.struct(c.alias("nombre"))).alias("clases")).alias("meta"))
+    return mining.invert(rows, "meta.clases.nombre", "doc_id")
 
 
 # --- documents
 
+_SPECIES = "named_struct('nombre', {0}, 'nombre_normalizado', {1})"
+_BRAND = _SPECIES.format("p_brand", "lower(p_brand)")
+_NONE = "CAST(NULL AS STRUCT<nombre: STRING, nombre_normalizado: STRING>)"
+_ITEM = "named_struct('nombre', {0}, 'especie', {1})"
+_AGAINST = "named_struct('nombre', {0}, 'especie', {1}, 'es_especie', {2}, 'nombre_normalizado', CAST({3} AS STRING))"
+_REACTION = "named_struct('nombre', {0}, 'especie', {1}, 'frecuencia', named_struct('nombre', CAST({2} AS STRING)))"
+_WAIT = "named_struct('especie', {0}, 'tejido', named_struct('nombre', {1}), 'cantidad', {2}, 'unidadTiempo', named_struct('nombre', {3}))"
+#: Metadata of catalogue records made from parts: every kind of list is empty for some and has each of its shapes for others.
+_METADATA = {
+    "especies": f"CASE p_partkey % 3 WHEN 0 THEN array() WHEN 1 THEN array({_BRAND}) ELSE array({_BRAND}, {_SPECIES.format(chr(39) + 'Perros' + chr(39), chr(39) + 'Perro' + chr(39))}) END",
+    "principiosActivos": "CASE p_partkey % 4 WHEN 0 THEN array() WHEN 3 THEN array(named_struct('nombre', p_type, 'cantidad', '5', 'unidad', 'mg'), named_struct('nombre', p_name, 'cantidad', '', 'unidad', '')) ELSE array(named_struct('nombre', p_type, 'cantidad', '5', 'unidad', 'mg')) END",
+    "viasAdministracion": "CASE p_partkey % 5 WHEN 0 THEN array() WHEN 4 THEN array(named_struct('nombre', 'oral'), named_struct('nombre', '')) ELSE array(named_struct('nombre', 'oral')) END",
+    "indicaciones": f"CASE WHEN p_partkey % 6 = 0 THEN array() WHEN p_partkey % 2 = 1 THEN array({_ITEM.format('p_type', _BRAND)}, {_ITEM.format('p_name', _BRAND)}) ELSE array({_ITEM.format('p_type', _BRAND)}, {_ITEM.format('p_name', _NONE)}, {_ITEM.format(chr(39) + 'otra' + chr(39), _BRAND)}) END",
+    "contraindicaciones": f"CASE p_partkey % 4 WHEN 0 THEN array() WHEN 1 THEN array({_AGAINST.format('p_name', _NONE, 'false', 'NULL')}) WHEN 2 THEN array({_AGAINST.format('p_type', _BRAND, 'false', 'NULL')}, {_AGAINST.format('p_name', _NONE, 'false', 'NULL')}) ELSE array({_AGAINST.format(chr(39) + 'Gatos' + chr(39), _NONE, 'true', chr(39) + 'Gato' + chr(39))}, {_AGAINST.format('p_name', _BRAND, 'false', 'NULL')}) END",
+    "reaccionesAdversas": f"CASE p_partkey % 3 WHEN 0 THEN array() WHEN 1 THEN array({_REACTION.format('p_type', _NONE, chr(39) + 'Rara' + chr(39))}) ELSE array({_REACTION.format('p_name', _BRAND, 'NULL')}, {_REACTION.format('p_type', _NONE, 'NULL')}) END",
+    "interacciones": f"CASE p_partkey % 3 WHEN 0 THEN array({_ITEM.format('p_name', _NONE)}) WHEN 1 THEN array({_ITEM.format('p_type', _BRAND)}, {_ITEM.format(chr(39) + 'x' + chr(39), _BRAND)}) ELSE array() END",
+    "tiemposEspera": f"CASE p_partkey % 3 WHEN 1 THEN array({_WAIT.format(_BRAND, chr(39) + 'Carne' + chr(39), chr(39) + '5' + chr(39), chr(39) + 'días' + chr(39))}, {_WAIT.format(_SPECIES.format(chr(39) + 'Vacas' + chr(39), chr(39) + 'vaca' + chr(39)), chr(39) + 'Leche' + chr(39), chr(39) + '2' + chr(39), chr(39) + 'horas' + chr(39))}) ELSE array() END",
+    "tiempoEsperaTexto": "CASE WHEN p_partkey % 3 = 0 THEN '7 días' END",
+    "presentaciones": "CASE WHEN p_partkey % 2 = 0 THEN array(named_struct('nombre', 'caja'), named_struct('nombre', 'bote')) ELSE array() END",
+}
+_FIELDS = {
+    "nregistro": "CAST(p_partkey AS STRING)", "nombre": "p_name", "labtitular": "CASE WHEN p_partkey % 3 > 0 THEN concat('Lab ', p_brand) END",
+    "primeraAutorizacion": "CASE p_partkey % 4 WHEN 0 THEN -1L WHEN 1 THEN NULL ELSE 900000000000L + p_partkey * 40000000000L % 700000000000L END",
+    "atcs": "CASE WHEN p_partkey % 2 = 0 THEN array(named_struct('codigo', concat('Q', p_partkey % 7), 'nombre', p_type, 'nivel', 1), named_struct('codigo', concat('QA', p_partkey % 7), 'nombre', p_brand, 'nivel', 2)) END",
+    "pactivos": "CASE WHEN p_partkey % 5 > 0 THEN concat(p_type, ' base') END", "excip": "CASE WHEN p_partkey % 2 = 0 THEN 'agua' END",
+    "forma": "CASE WHEN p_partkey % 6 <> 5 THEN named_struct('nombre', 'polvo') END", "dispensacion": "CASE WHEN p_partkey % 2 = 0 THEN named_struct('nombre', 'receta') END",
+    "administracion": "CASE WHEN p_partkey % 3 = 0 THEN named_struct('nombre', 'uso externo') END", "is_antibiotic": "CASE p_partkey % 7 WHEN 0 THEN true WHEN 1 THEN NULL ELSE false END",
+    "antibiotico": "CASE WHEN p_partkey % 7 = 0 THEN array(named_struct('categoria', 'B', 'familia', p_brand, 'principio', p_type)) ELSE array() END",
+}
+
+
 def _master(spark, sf_dir):
-    """Supplier and part rows in the shape of catalogue records."""
+    """Parts in the shape of catalogue records; every seventeenth has no metadata."""
+    parts = table(spark, sf_dir, "part")
+    meta = ", ".join(f"'{k}', {v}" for k, v in _METADATA.items())
+    metadata = parts.filter("p_partkey % 17 > 0").select(F.expr("CAST(p_partkey AS STRING)").alias("nregistro"), F.expr(f"named_struct({meta})").alias("metadata"))
+    return documents.with_metadata(parts.select(*[F.expr(v).alias(k) for k, v in _FIELDS.items()]), metadata)
+
+
+def _parsed(spark, sf_dir):
+    """Parsed documents of most records, with two sections each, and a few that the catalogue lacks."""
     parts = table(spark, sf_dir, "part")
-    name = lambda c: F.struct(c.alias("nombre"))
-    indications = F.array(F.struct(F.col("p_type").alias("nombre"), name(F.col("p_brand")).alias("especie")), F.struct(F.col("p_name").alias("nombre"), name(F.when(F.col("p_size") > 25, F.col("p_brand"))).alias("especie")))
-    meta = F.struct(F.array(name(F.col("p_brand"))).alias("especies"), F.array(name(F.col("p_type"))).alias("principiosActivos"), F.array(name(F.lit("oral"))).alias("viasAdministracion"), indications.alias("indicaciones"))
-    return parts.select(F.col("p_partkey").cast("string").alias("nregistro"), F.col("p_name").alias("nombre"), F.array().cast("array<struct<categoria:string>>").alias("antibiotico"), meta.alias("metadata"))
+    sub = "named_struct('seccion_id', '3.1', 'titulo', 'Especies de destino', 'contenido', p_brand)"
+    none = "CAST(array() AS ARRAY<STRUCT<seccion_id: STRING, titulo: STRING, contenido: STRING>>)"
+    sections = F.expr(f"array(named_struct('seccion_id', '1', 'titulo', 'NOMBRE', 'contenido', p_name, 'subsecciones', {none}), named_struct('seccion_id', '3', 'titulo', 'DATOS', 'contenido', '', 'subsecciones', array({sub})))")
+    rows = parts.filter("p_partkey % 13 > 0").select(F.expr("CAST(p_partkey AS STRING)").alias("document_id"), F.expr("concat('texto ', p_type)").alias("especies_destino"), sections.alias("secciones"))
+    lost = parts.filter("p_partkey < 5").select(F.expr("concat('EU-2-24-', p_partkey)").alias("document_id"), F.lit("").alias("especies_destino"), sections.alias("secciones"))
+    return rows.unionByName(lost)
+
+
+def _records(spark, sf_dir):
+    return documents.assemble(_parsed(spark, sf_dir), _master(spark, sf_dir), "https://example.org/")
 
 
 def nested_reshape(spark, sf_dir):
@@ -274,6 +386,60 @@ def nested_reshape(spark, sf_dir):
     return rows.select("nregistro", "antibiotico", F.explode("indicaciones").alias("especie", "nombres")).select("nregistro", "antibiotico", "especie", F.array_join("nombres", "|").alias("nombres"))
 
 
+def document_assembly(spark, sf_dir):
+    rows = _records(spark, sf_dir)
+    sizes = [F.size(c).alias(f"n_{c}") for c in ("codigos_atc", "especies_registro", "indicaciones", "contraindicaciones", "reacciones_adversas", "interacciones", "tiempo_espera", "presentaciones", "secciones")]
+    return rows.select("document_id", "nombre_medicamento", "url", "laboratorio_titular", "fecha_primera_autorizacion", "principios_activos", "excipientes", "forma_farmaceutica", "condiciones_dispensacion", "condiciones_administracion", "es_antibiotico", "tiempo_espera_texto", *sizes)
+
+
+def unmatched_documents(spark, sf_dir):
+    """Documents without a master record, and the registrations among them by kind."""
+    _, lost = documents.quarantined(_parsed(spark, sf_dir), _master(spark, sf_dir))
+    european, others = documents.split_registrations(lost, "document_id")
+    return european.withColumn("kind", F.lit("eu")).unionByName(others.withColumn("kind", F.lit("other")))
+
+
+def catalogue_names(spark, sf_dir):
+    return documents.record_names(_master(spark, sf_dir).withColumn("nombre", F.when(F.col("nregistro").cast("long") % 11 > 0, F.col("nombre")).otherwise(" ")))
+
+
+def record_chunks(spark, sf_dir):
+    return documents.section_chunks(_records(spark, sf_dir)).withColumn("path", F.array_join("path", " > "))
+
+
+def essential_fallback(spark, sf_dir):
+    rows = _records(spark, sf_dir)
+    texts = documents.essential_text(rows).filter("try_cast(document_id AS LONG) % 2 = 0").withColumn("essential", F.concat(F.lit("text of "), F.col("document_id")))
+    return documents.with_essential_text(rows, texts)
+
+
+def antibiotic_details(spark, sf_dir):
+    """Flagged records with the details that a ';' file has for their codes; of a repeated code the first line."""
+    codes = table(spark, sf_dir, "supplier").select(F.expr("concat('C', s_suppkey % 40)").alias("COD_PACTIV"), F.expr("concat('cat', s_suppkey)").alias("Categoría"), F.expr("concat('fam', s_nationkey)").alias("Familia"), F.col("s_name").alias("Principio activo"))
+    path = scratch(spark, "codes")
+    writers.write_csv(codes.coalesce(1).sortWithinPartitions("Principio activo"), path, sep=";")
+    records = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("nregistro"), F.expr("p_partkey % 3 = 0").alias("is_antibiotic"), F.expr("array(concat('C', p_partkey % 50), concat('C', p_size))").alias("principios"))
+    rows = documents.antibiotic_details(records, readers.lookup_csv(spark, path, "COD_PACTIV"))
+    return rows.select("nregistro", "is_antibiotic", F.array_join(F.transform("antibiotico", lambda a: F.concat_ws("/", a["categoria"], a["familia"], a["principio"])), ",").alias("antibiotico"))
+
+
+def nested_names(spark, sf_dir):
+    """Contraindications whose species, or whose own name where it is a species, are normalised by a small dictionary."""
+    entries = spark.createDataFrame([(0, "gatos", "Gato"), (1, "perros", "Perro"), (2, "machinery", "Machine")], "position long, entry string, category string")
+    against = "array(named_struct('nombre', 'Gatos ', 'especie', CAST(NULL AS STRUCT<nombre: STRING>)), named_struct('nombre', 'fiebre', 'especie', named_struct('nombre', c_mktsegment)), named_struct('nombre', CAST(NULL AS STRING), 'especie', CAST(NULL AS STRUCT<nombre: STRING>)), named_struct('nombre', c_mktsegment, 'especie', CAST(NULL AS STRUCT<nombre: STRING>)))"
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.expr(against).alias("items"))
+    asked = rows.select(F.explode("items").alias("x")).select(F.coalesce("x.especie.nombre", F.trim("x.nombre")).alias("name"))
+    done = documents.normalise_nested(rows, "items", fuzzy.name_map(asked, entries), own=True)
+    return done.select("c_custkey", F.posexplode("items").alias("at", "x")).select("c_custkey", "at", "x.nombre", F.col("x.especie.nombre_normalizado").alias("especie"), "x.es_especie", "x.nombre_normalizado")
+
+
+def record_contexts(spark, sf_dir):
+    """Labelled blocks of records for a language model, ten at most of each brand."""
+    rows = documents.reshape_for_model(_master(spark, sf_dir))
+    groups = mining.invert(table(spark, sf_dir, "part"), "p_brand", "p_partkey").select("value", "id")
+    return context.group_contexts(context.record_blocks(rows.filter("especies IS NOT NULL")), groups)
+
+
 def _markdown(spark, sf_dir):
     """Documents with headings: each of the first lines becomes a section, a plain and a bold subsection in turn."""
     lines = F.split(F.regexp_replace("text", r"\*", ""), "\n")
@@ -308,27 +474,130 @@ def complete_text(spark, sf_dir):
     return documents.complete_text(_records(spark, sf_dir))
 
 
-def _records(spark, sf_dir):
-    """Parts as structured documents."""
-    m = _master(spark, sf_dir)
-    none = lambda t: F.array().cast(f"array<{t}>")
-    return m.select(
-        F.col("nregistro").alias("document_id"), F.col("nombre").alias("nombre_medicamento"), F.lit("https://example.org/").alias("url"), F.lit("").alias("laboratorio_titular"), F.lit("").alias("fecha_primera_autorizacion"),
-        none("struct<codigo:string,nombre:string,nivel:int>").alias("codigos_atc"), F.transform("metadata.especies", lambda s: F.struct(s["nombre"].alias("nombre"), F.lower(s["nombre"]).alias("nombre_normalizado"))).alias("especies_cimavet"), F.lit("").alias("especies_destino"),
-        F.transform("metadata.principiosActivos", lambda p: F.struct(p["nombre"].alias("nombre"), F.lit("5").alias("cantidad"), F.lit("mg").alias("unidad"))).alias("principios_activos_cimavet"), F.lit("").alias("principios_activos"), F.lit("").alias("excipientes"), F.lit("").alias("forma_farmaceutica"), F.lit("").alias("condiciones_dispensacion"), F.lit("").alias("condiciones_administracion"),
-        F.lit(False).alias("es_antibiotico"), F.col("metadata.viasAdministracion").alias("vias_administracion"), F.col("metadata.indicaciones").alias("indicaciones"), none("struct<nombre:string,especie:struct<nombre:string>>").alias("contraindicaciones"),
-        none("struct<nombre:string,especie:struct<nombre:string>,frecuencia:struct<nombre:string>>").alias("reacciones_adversas"), none("struct<nombre:string,especie:struct<nombre:string>>").alias("interacciones"),
-        none("struct<especie:struct<nombre:string>,tejido:struct<nombre:string>,cantidad:string,unidadTiempo:struct<nombre:string>>").alias("tiempo_espera"), none("struct<nombre:string>").alias("presentaciones"),
-    )
-
-
 def id_codecs(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("EU-2-24-"), F.col("o_orderkey").cast("string"), F.lit("-001-x")).alias("file"))
     return rows.select("o_orderkey", text.registration_from_file(F.col("file")).alias("registration"), text.file_from_registration(text.registration_from_file(F.col("file"))).alias("back"), text.path_leaf(F.concat(F.lit("/a/b/"), F.col("file"), F.lit(".md"))).alias("leaf"), text.canonical_doc_id(F.concat(F.lit("FT_"), F.col("o_orderkey").cast("string"), F.lit("_ESP"))).alias("doc"))
 
 
+def path_parts(spark, sf_dir):
+    name = F.when(F.col("o_orderkey") % 2 == 0, F.lit("C:\\data\\")).otherwise("/data/")
+    path = F.concat(name, F.lit("f"), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, "").when(F.col("o_orderkey") % 3 == 1, ".tar.gz").otherwise("/"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.path_leaf(path).alias("leaf"), text.path_stem(path).alias("stem"), text.path_extension(path).alias("extension"))
+
+
+def text_tools(spark, sf_dir):
+    line = text.complete_line(F.col("text"), F.lit(30))
+    return table(spark, sf_dir, "documents").select("doc_id", text.ascii_letters(F.col("text")).alias("letters"), text.clean(F.col("text"), ".,;", ("the", "de")).alias("clean"), line.alias("line"), text.all_equal(F.split("text", " ")).alias("equal"))
+
+
 def link_extract(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", readers.first_link(F.col("html"), "/", "https://example.org").alias("link"))
+    return table(spark, sf_dir, "pages").select("page_id", readers.first_link(F.col("html"), "th", "https://example.org").alias("link"))
+
+
+# --- files
+
+def _files(spark, sf_dir, extension="md"):
+    path = scratch(spark, "files")
+    writers.write_documents(table(spark, sf_dir, "nation").select(F.col("n_name"), F.expr("concat('# ', n_name, '\n', repeat('é', n_nationkey))").alias("content")), "n_name", "content", path, extension)
+    return path
+
+
+def text_folder_scan(spark, sf_dir):
+    return readers.text_folder(spark, _files(spark, sf_dir)).select("name", "content")
+
+
+def folder_profile(spark, sf_dir):
+    return readers.folder_profile(spark, _files(spark, sf_dir)).select("files", F.round(F.col("mb") * 1000).cast("long").alias("kb"))
+
+
+def file_digests(spark, sf_dir):
+    return writers.file_digests(spark, _files(spark, sf_dir))
+
+
+def convert_files(spark, sf_dir):
+    """Binary files through a converter; the stand-in fails on the shortest."""
+    return readers.convert_files(spark, _files(spark, sf_dir, "pdf"), _convert).select("name", "text", "error")
+
+
+def _convert(content: bytes) -> str:
+    if len(content) < 12:
+        raise ValueError("empty")
+    return content.decode().replace("# ", "## ")
+
+
+def json_lines_scan(spark, sf_dir):
+    """Written twice, the second time by appending."""
+    path, rows = scratch(spark, "lines"), table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.array("c_mktsegment", F.lit("ñ")).alias("tags"))
+    writers.write_json(rows.filter("c_custkey % 2 = 0"), path)
+    writers.write_json(rows.filter("c_custkey % 3 = 0"), path, "append")
+    return readers.json_lines(spark, path, "c_custkey long, c_name string, tags array<string>").select("c_custkey", "c_name", F.array_join("tags", "+").alias("tags"))
+
+
+def json_values(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", readers.json_value(F.col("props"), "k long")["k"].alias("k"))
+
+
+def catalogue_merge(spark, sf_dir):
+    """Pages of records as JSON files; of a repeated registration the record of the last page stays."""
+    rows = table(spark, sf_dir, "orders").select(F.expr("CAST(o_custkey AS STRING)").alias("nregistro"), F.expr("CAST(o_orderkey AS STRING)").alias("nombre"), F.expr("o_orderkey % 20").alias("page"))
+    once = rows.groupBy("page", "nregistro").agg(F.max("nombre").alias("nombre"))
+    pages = once.groupBy("page").agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("nregistro", "nombre"))).alias("resultados"))).alias("text"))
+    path = scratch(spark, "pages")
+    writers.write_documents(pages.select(F.concat(F.lit("master_page"), F.col("page").cast("string")).alias("name"), "text"), "name", "text", path, "json")
+    return readers.catalogue(spark, path, "resultados array<struct<nregistro:string,nombre:string>>").select("nregistro", "nombre")
+
+
+def text_lines(spark, sf_dir):
+    """Sorted lines, written, read, and dealt to full batches of seven."""
+    path = scratch(spark, "text")
+    writers.write_lines(table(spark, sf_dir, "customer").select("c_name"), "c_name", path)
+    return readers.batch_numbers(readers.line_rows(spark, path), 7, "value")
+
+
+def paged_scan(spark, sf_dir):
+    """A paged service over the supplier table: the first page tells how many rows there are."""
+    try:
+        spark.dataSource.register(readers.PagedSource)
+    except Exception:  # registered before
+        pass
+    return spark.read.format("paged").schema("s_suppkey long, s_name string").option("fetcher", "thicket.sources.samples:page_of").option("path", f"{sf_dir}/supplier.parquet").option("columns", "s_suppkey,s_name").option("pagesize", 7).load()
+
+
+def key_look_up(spark, sf_dir):
+    """One call a key of a service that knows the even ones."""
+    return readers.look_up(table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("nregistro")), "nregistro", samples.record_of)
+
+
+def interstitial_links(spark, sf_dir):
+    """The first matching link of a page, followed."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "html")
+    return readers.follow_interstitial(pages, "th", "https://example.org", samples.content_of).select("id", "link", F.col("content").cast("string").alias("content"))
+
+
+def mapping_round_trip(spark, sf_dir):
+    """A dictionary with one entry added, saved as a JSON object and loaded again."""
+    path = scratch(spark, "mapping")
+    entries = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("position"), F.lower("n_name").alias("entry"), F.expr("concat('r', n_regionkey)").alias("category"))
+    fuzzy.save_mapping(fuzzy.add_mapping(fuzzy.add_mapping(entries, " NATION_3 ", "changed"), "New Land", "new"), path)
+    return fuzzy.load_mapping(spark, path)
+
+
+def run_metrics(spark, sf_dir):
+    """Rows of evaluation logs in a given order; other runs are left out."""
+    logs = table(spark, sf_dir, "region").select(F.expr("concat('logs/', CASE r_regionkey WHEN 0 THEN 'bm25/bm25_k50' WHEN 1 THEN 'faiss_k50' WHEN 2 THEN 'Hybrid/late_fusion' WHEN 3 THEN 'unlisted' ELSE 'faiss/bm25like' END, '.json')").alias("path"), F.expr("map('recall', r_regionkey / 10, 'mrr', 0.5D)").alias("metrics"))
+    return metrics.run_rows(logs, ("late_fusion", "bm25_k50", "faiss_k50", "bm25like"))
+
+
+def ingest_run(spark, sf_dir):
+    """End to end: records, documents, chunks and vectors, with one step skipped and its result left as it was."""
+    return ingest.run(spark, _parsed(spark, sf_dir), _master(spark, sf_dir), scratch(spark, "ingest"), skip=("answers",))
+
+
+def bpe_counts(spark, sf_dir):
+    """Tokens of every document by a byte-pair rank file, whose path is public."""
+    import public_tokenizers
+
+    return table(spark, sf_dir, "documents").select("doc_id", context.bpe_counter(public_tokenizers.path("byte_bpe_50k.tiktoken"))(F.col("text")).alias("n_tokens"))
 
 
 # --- incremental
@@ -360,8 +629,7 @@ def species_fuzzy(spark, sf_dir):
 
 
 def species_groups(spark, sf_dir):
-    rows = fuzzy.group_ids(table(spark, sf_dir, "documents"), "source", "doc_id")
-    return rows.select(F.col("source"), F.size("ids").alias("n"), F.element_at("ids", 1).cast("string").alias("first_id"))
+    return fuzzy.group_ids(table(spark, sf_dir, "documents"), "source", "doc_id")
 
 
 def unmapped_report(spark, sf_dir):
@@ -391,7 +659,10 @@ bm25_okapi_topk bm25_l_topk bm25_plus_topk bm25_threshold dense_topk dense_doc_t
 late_fusion_worst late_fusion_best late_fusion_balanced late_fallback fallback_coverage context_pack rag_answers eval_bm25 eval_dense_dup eval_dense_dedup
 relevance_buckets score_histogram score_stats grouping_miner criteria_filter inverted_grouping nested_reshape heading_parse section_parse species_lookup
 chunk_flatten essential_text complete_text id_codecs link_extract change_feed_filter sha256_diff latest_wins_merge event_windows species_fuzzy species_groups
-unmapped_report dedup_ordered seeded_sample chat_turns""".split()
+unmapped_report dedup_ordered seeded_sample chat_turns
+bm25_normalised_topk bm25_stemmed_topk bm25_stored_topk vector_index_statistics vector_look_up uncovered_chunks document_assembly unmatched_documents catalogue_names
+record_chunks essential_fallback antibiotic_details nested_names record_contexts path_parts text_tools text_folder_scan folder_profile file_digests convert_files
+json_lines_scan json_values catalogue_merge text_lines paged_scan key_look_up interstitial_links mapping_round_trip run_metrics ingest_run bpe_counts""".split()
 
 
 def queries() -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 import time
@@ -9,12 +10,13 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from thicket.operators.documents import latest
+from thicket.session import stored
 
 
 def page_sizes(total: int, size: int) -> list[int]:
@@ -24,7 +26,12 @@ def page_sizes(total: int, size: int) -> list[int]:
 
 
 class PagedSource(DataSource):
-    """A paged service as a table: one partition a page; option 'fetcher' names module:function(page, size) -> list of rows."""
+    """A paged service as a table: one partition a page.
+
+    Option 'fetcher' names module:function(page, size, options) -> {totalFilas,
+    tamanioPagina, resultados: [rows]}.  The first page is asked for with
+    'pagesize' rows and says how many there are; the last page asks for the rest.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -41,25 +48,35 @@ class _PagedReader(DataSourceReader):
     def __init__(self, options):
         self.options = dict(options)
 
+    def _page(self, page: int, size: int) -> dict:
+        import importlib
+
+        module, _, function = self.options["fetcher"].partition(":")
+        return with_retries(lambda: getattr(importlib.import_module(module), function)(page, size, self.options))
+
     def partitions(self):
-        sizes = page_sizes(int(self.options["total"]), int(self.options["pagesize"]))
+        first = self._page(1, int(self.options.get("pagesize", 1000)))
+        sizes = page_sizes(int(first["totalFilas"]), int(first["tamanioPagina"]))
         return [InputPartition((i, n)) for i, n in enumerate(sizes, 1)]
 
     def read(self, partition) -> Iterator[tuple]:
-        import importlib
-
-        module, _, function = self.options["fetcher"].partition(":")
         page, size = partition.value
-        yield from with_retries(lambda: getattr(importlib.import_module(module), function)(page, size))
+        yield from self._page(page, size)["resultados"]
+
+
+def retryable(e: Exception) -> bool:
+    """Busy and unreachable services: status 429 or 5xx, time-outs and lost connections."""
+    status = getattr(e, "status", None)
+    return status == 429 or status is not None and 500 <= status < 600 or status is None and isinstance(e, (OSError, TimeoutError))
 
 
-def with_retries(call: Callable, retries: int = 3, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random):
-    """Calls again after 2**n seconds plus jitter, or after the failure's own retry_after."""
+def with_retries(call: Callable, retries: int = 3, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random, again: Callable[[Exception], bool] = retryable):
+    """Calls again after 2**n seconds plus jitter, or after the failure's own retry_after; other failures are raised at once."""
     for n in range(retries + 1):
         try:
             return call()
         except Exception as e:
-            if n == retries:
+            if n == retries or not again(e):
                 raise
             sleep(float(getattr(e, "retry_after", 0) or 2**n + jitter()))
 
@@ -94,6 +111,22 @@ def json_value(c: Column, schema: str) -> Column:
     return F.from_json(c, schema)
 
 
+def json_source(spark: SparkSession, source: str, schema: str) -> DataFrame:
+    """The rows of a JSON file, or of a JSON text where no such file exists; a text that is neither raises ValueError."""
+    if not source.lstrip().startswith(("{", "[")):
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            return spark.read.schema(schema).option("multiLine", True).json(source)
+    try:
+        json.loads(source)
+    except ValueError as e:
+        raise ValueError(f"neither a file nor JSON: {source[:80]!r}") from e
+    kind = "array<struct<{}>>" if source.lstrip().startswith("[") else "struct<{}>"
+    fields = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
+    row = spark.range(1).select(F.from_json(F.lit(source), kind.format(fields)).alias("v"))
+    return row.select(F.explode("v").alias("v")).select("v.*") if kind.startswith("array") else row.select("v.*")
+
+
 def lookup_csv(spark: SparkSession, path: str, key: str) -> DataFrame:
     """A ';' file of strings; of a repeated key the first row of the file."""
     rows = spark.read.option("header", True).option("sep", ";").csv(path).withColumn("position", F.monotonically_increasing_id())
@@ -112,8 +145,26 @@ def json_lines(spark: SparkSession, path: str, schema: str | None = None, n: int
 
 
 def links(html: Column) -> Column:
-    """href values of the links of a page, in order."""
-    return F.regexp_extract_all(html, F.lit(r'(?i)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'), F.lit(1))
+    """href values of the links of a page, in order; in double, single or no quotes."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?i)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
+    return F.transform(found, lambda x: F.regexp_replace(x, r"""^["']|["']$""", ""))
+
+
+def follow_interstitial(pages: DataFrame, part: str, base: str, fetch: Callable[[str], bytes | None], concurrency: int = 8) -> DataFrame:
+    """(id, link, content): of pages(id, html) the first link that holds part is fetched; null without a link or an answer."""
+    found = pages.select(F.col("id").cast("string").alias("id"), first_link(F.col("html"), part, base).alias("link"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for link in b.column(1).to_pylist():
+                try:
+                    out.append(with_retries(lambda link=link: fetch(link)) if link else None)
+                except Exception:  # the service is foreign; a missing answer is a null here
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], ["id", "link", "content"])
+
+    return found.repartition(concurrency, "id").mapInArrow(run, "id string, link string, content binary")
 
 
 def first_link(html: Column, part: str, base: str = "") -> Column:
@@ -155,6 +206,30 @@ def state(spark: SparkSession, path: str, schema: str, defaults: dict) -> dict:
     return defaults | {k: v for k, v in (row.asDict() if row else {}).items() if v is not None}
 
 
+def line_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the lines of a text file or folder; a stream of them with spark.readStream.text."""
+    return spark.read.text(path)
+
+
+def batch_numbers(lines: DataFrame, size: int, order: str) -> DataFrame:
+    """lines with batch, counted from 0 in order; a shorter last batch is dropped.
+
+    The place of a line is found by counting: tasks number the lines of a range
+    and add the sizes of the ranges before it.
+    """
+    placed = stored(lines.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "lines")
+    counts = sorted((r["_part"], r["count"]) for r in placed.groupBy("_part").count().collect())  # one row a task
+    ahead, total = {}, 0
+    for part, n in counts:
+        ahead[part], total = total, total + n
+    if not ahead:
+        return placed.drop("_part").withColumn("batch", F.lit(0).cast("long"))
+    before = F.try_element_at(F.create_map(*[F.lit(x).cast("long") for kv in ahead.items() for x in kv]), F.col("_part").cast("long"))
+    place = before + F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
+    whole = total // size * size
+    return placed.withColumn("_at", place).filter(F.col("_at") < whole).withColumn("batch", F.floor(F.col("_at") / size)).drop("_part", "_at")
+
+
 def minibatches(rows: list, size: int) -> Iterator[list]:
     """Full batches only; a shorter last one is dropped."""
     for i in range(0, len(rows) - size + 1, size):

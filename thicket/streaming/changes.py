@@ -27,19 +27,40 @@ def upsert(current: DataFrame, changes: DataFrame, key: str, version: str) -> Da
     return latest(current.unionByName(changes, allowMissingColumns=True), key, F.desc_nulls_last(version))
 
 
-def stream_upsert(spark: SparkSession, source: str, schema: str, target: str, key: str, version: str, checkpoint: str):
-    """A file stream that upserts each micro-batch into numbered snapshots below target; repeated batches give the same snapshot."""
+def stream_upsert(spark: SparkSession, source: str, schema: str, target: str, key: str, version: str, checkpoint: str, buckets: int = 64):
+    """A file stream that upserts each micro-batch into a table dealt to buckets by key.
+
+    Only the buckets that a batch touches are written anew, below
+    target/data/epoch=n; a manifest says which epoch holds each bucket.  A batch
+    that is repeated writes the same files.  snapshot() reads the table.
+    """
     feed = spark.readStream.schema(schema).json(source)
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        new = latest(batch, key, F.desc_nulls_last(version))
-        if epoch:
-            new = upsert(spark.read.parquet(f"{target}/snapshot={epoch - 1}"), new, key, version)
-        new.write.mode("overwrite").parquet(f"{target}/snapshot={epoch}")
+        new = batch.withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets)))
+        held = _manifest(spark, target, epoch - 1)
+        touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())  # one row a bucket
+        old = [f"{target}/data/epoch={held[b]}/bucket={b}" for b in touched if b in held]
+        if old:
+            new = new.unionByName(spark.read.schema(schema).parquet(*old).withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets))))
+        latest(new, key, F.desc_nulls_last(version)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/data/epoch={epoch}")
+        now = held | dict.fromkeys(touched, epoch)
+        spark.createDataFrame(sorted(now.items()), "bucket int, epoch long").coalesce(1).write.mode("overwrite").parquet(f"{target}/manifest/{epoch}")
 
     return feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _manifest(spark: SparkSession, target: str, epoch: int) -> dict[int, int]:
+    return {r.bucket: r.epoch for r in spark.read.parquet(f"{target}/manifest/{epoch}").collect()} if epoch >= 0 else {}
+
+
+def snapshot(spark: SparkSession, target: str, schema: str, epoch: int) -> DataFrame:
+    """The table of stream_upsert as of an epoch."""
+    held = _manifest(spark, target, epoch)
+    paths = [f"{target}/data/epoch={e}/bucket={b}" for b, e in sorted(held.items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def windowed_counts(events: DataFrame, ts: str = "ts", kind: Column | str = "event_type", lateness: str = "1 hour", width: str = "1 day") -> DataFrame:
     """Counts by window and kind; on a stream late rows are dropped after lateness."""
     rows = events.withWatermark(ts, lateness) if events.isStreaming else events
