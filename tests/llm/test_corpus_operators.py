@@ -604,3 +604,19 @@ def test_queries_and_pipeline(spark, sf_dir):
     final = {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()}
     dirty = {r.doc_id for r in decontaminate.contained_items(after, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).collect()}
     assert final == alive - dirty
+
+
+def test_queries_equal_their_sql(spark, sf_dir):
+    import duckdb
+
+    from thicket.llm import queries
+
+    c = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    for name, sql in queries.oracle_sql().items():
+        found = c.execute(sql)
+        names = [d[0] for d in found.description]
+        want = sorted(map(str, found.fetchall()))
+        got = queries.queries()[name](spark, sf_dir).select(*names).collect()
+        assert sorted(str(tuple(r)) for r in got) == want, name

@@ -64,9 +64,30 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+# The same results as SQL, where it can express them.
+_FOLD = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+
+def _shingles(table: str, key: str, n: int) -> str:
+    """(key, shingle) of a table's texts: the distinct n-word shingles, or the whole sequence of fewer words."""
+    words = _WORDS.format(_FOLD.format("text"))
+    return f"SELECT DISTINCT {key}, CASE WHEN len(w) < {n} THEN w ELSE w[i : i + {n - 1}] END AS s FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - {n - 2}, 2))) AS i FROM (SELECT {key}, {words} AS w FROM {table}) WHERE len(w) > 0)"
+
+
+_OP3 = f"""WITH it AS ({_shingles('benchmark', 'item_id', 5)}), dc AS ({_shingles('documents', 'doc_id', 5)}), n AS (SELECT item_id, count(*) AS item_shingles FROM it GROUP BY 1), h AS (SELECT doc_id, item_id, count(*) AS shared_shingles FROM it JOIN dc USING (s) GROUP BY 1, 2)
+SELECT doc_id, item_id, item_shingles, shared_shingles, shared_shingles / item_shingles AS containment FROM h JOIN n USING (item_id) WHERE shared_shingles / item_shingles >= 0.8"""
+_BASE32 = "array_to_string(list_transform(range(32), lambda j: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substring(h, (5 * (j // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (j % 4))::INT) & 31)::INT + 1, 1)), '')"
+_OP5 = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), g AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM g"""
+_OP6 = f"""WITH RECURSIVE sh AS ({_shingles('documents', 'doc_id', 2)}), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1), pr AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2), lk AS (SELECT a, b FROM pr JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+re AS (SELECT DISTINCT a AS doc_id, a AS other FROM lk UNION SELECT re.doc_id, b FROM re JOIN lk ON re.other = lk.a), co AS (SELECT doc_id, min(other) AS c FROM re GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(c, d.doc_id) = d.doc_id AS kept FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN co USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_benchmark_decontamination": _OP3, "op5_warc_round_trip": _OP5, "op6_near_duplicates": _OP6}
