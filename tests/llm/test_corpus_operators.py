@@ -163,69 +163,74 @@ def test_changed_paragraphs(spark):
     assert df.select(fingerprint.changed_paragraphs(df.fx, df.fx)).first()[0] == []
 
 
-def test_language_model(spark, rows):
+def brute_model(trained):
+    """p(token, the tokens before it) with exact counts of words, pairs and triples, and the counts of words."""
+    c, pairs, triples = Counter(), Counter(), Counter()
+    for t in trained:
+        c.update(t)
+        pairs.update(zip([None, *t], t))
+        triples.update(zip([None, *t], t, t[1:]))
+    total, k1, k2 = sum(c.values()), Counter(v for v, _ in pairs), Counter((u, v) for u, v, _ in triples)
+    base = lambda w: (c[w] + 0.1) / (total + 0.1 * (len(c) + 1))
+    two = lambda v, w: (max(pairs[v, w] - 0.5, 0) + 0.5 * k1[v] * base(w)) / c[v] if c[v] else base(w)
+
+    def three(u, v, w):
+        seen = pairs[u, v]
+        return (max(triples[u, v, w] - 0.5, 0) + 0.5 * k2[u, v] * two(v, w)) / seen if k2[u, v] else two(v, w)
+
+    def log(t):
+        return sum(math.log10(two(None, t[0]) if i == 0 else three(t[i - 2] if i > 1 else None, t[i - 1], t[i])) for i in range(len(t)))
+
+    return c, total, base, log
+
+
+@pytest.mark.parametrize("block", [language_model.BLOCK, 300])
+def test_language_model(spark, rows, monkeypatch, block):
+    monkeypatch.setattr(language_model, "BLOCK", block)  # few blocks, and a grid of many
     got = language_model.score_documents(make_docs(spark, rows)).collect()
     tokens = {i: [*folded(t), None] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
-    c = Counter(w for i, t in tokens.items() if not held[i] for w in t)
-    total, size = sum(c.values()), len(c)
-    base = lambda w: (c[w] + 0.1) / (total + 0.1 * (size + 1))
-    pairs = Counter(p for i, t in tokens.items() if not held[i] for p in zip([None, *t], t))
-    pairs = {p: n for p, n in pairs.items() if n >= 2}
-    left = defaultdict(lambda: 1.0)
-    for (v, _), n in pairs.items():
-        left[v] -= (n - 0.5) / c[v]
+    c, total, base, log = brute_model([t for i, t in tokens.items() if not held[i]])
+    assert len(got) == len(rows)
     for r in got:
         t = tokens[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), sum(c[w] > 0 for w in t), total)
         assert math.isclose(r.base_score, sum(math.log10(base(w)) for w in t), rel_tol=1e-9)
-        exact = sum(math.log10((pairs[v, w] - 0.5) / c[v] + left[v] * base(w) if (v, w) in pairs else left[v] * base(w)) for v, w in zip([None, *t], t))
-        assert abs(r.score - exact) <= 0.026 * len(t)
+        assert abs(r.score - log(t)) <= 0.001 * len(t)
     assert language_model.score_documents(empty(spark)).count() == 0
     assert language_model.score_documents(make_docs(spark, [(None, None), (1, ""), (1, "")])).count() == 3
 
 
-def test_language_model_query_holds_every_pair(spark, sf_dir):
+def test_language_model_query_holds_every_ngram(spark, sf_dir):
     from thicket.llm.queries import queries
 
     tokens = {r.doc_id: [*folded(r.text), None] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    trained = [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10]
-    c, pairs, kinds = Counter(w for t in trained for w in t), Counter(p for t in trained for p in zip([None, *t], t)), Counter()
-    for v, _ in pairs:
-        kinds[v] += 1
-    total = sum(c.values())
-    base = lambda w: (c[w] + 0.1) / (total + 0.1 * (len(c) + 1))
+    _, _, _, log = brute_model([t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10])
     for r in queries()["op2_language_model"](spark, sf_dir).collect():
-        t = tokens[r.doc_id]
-        exact = sum(math.log10(max(pairs[v, w] - 0.5, 0) / max(c[v], 1) + (0.5 * kinds[v] / c[v] if c[v] else 1) * base(w)) for v, w in zip([None, *t], t))
-        assert abs(r.score - exact) <= 0.001 * len(t)
+        assert abs(r.score - log(tokens[r.doc_id])) <= 0.001 * len(tokens[r.doc_id])
 
 
 @pytest.mark.parametrize("total", [10**4, 73 * 10**6, 44 * 10**8])
-def test_language_model_codes_span_any_size(tmp_path, total):
-    """A rare and a frequent word, each with one successor, in a made table of counts."""
-    import numpy as np
-    import pyarrow as pa
-
-    batch = lambda names, rows: pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names)
-    text, folder, many = "rare next often then", f"file://{tmp_path}", total // 4
-    hashes = [int(h) for h in next(language_model._words(pa.array([text])))[2]]
-    counts = dict(zip(hashes, [1000, 1000, many, many, total - 2000 - 2 * many]))
-    order = sorted(counts)
-    shard, number = [h >> 62 for h in order], {h: k for k, h in enumerate(order)}
-    words = [(s, int(np.uint64(h).view(np.int64)), counts[h]) for s, h in zip(shard, order)]
-    list(language_model._write_words(folder, 2)(iter([batch(["shard", "word", "n"], words)])))
-    model = language_model.Model(folder, 2, 1, [shard.count(s) for s in range(4)], total)
-    pairs = sorted((h >> 62, number[h] * 5 + number[w], counts[h]) for h, w in (hashes[:2], hashes[2:4]))
-    contexts = [(s, pair // 5, n, 1) for s, pair, n in pairs]
-    list(language_model._write_backoff(folder, model)(iter([batch(["shard", "context", "n", "kinds"], contexts)])))
-    for s in set(shard) - {s for s, *_ in pairs}:
-        list(language_model._empty_backoff(folder, model.sizes)(iter([batch(["shard"], [(s,)])])))
-    list(language_model._write_pairs(folder, model)(iter([batch(["block", "pair", "n"], pairs)])))
-    (scored,) = language_model._score(model, {s for s, *_ in pairs})(iter([batch(["doc_id", "held_out", "text"], [(1, True, text)])]))
-    p = [(counts[h] + 0.1) / (total + 0.1 * 6) for h in hashes]
-    want = [p[0], (1000 - 0.5 + 0.5 * p[1]) / 1000, p[2], (many - 0.5 + 0.5 * p[3]) / many, p[4]]
-    assert abs(scored.column(6)[0].as_py() - sum(map(math.log10, want))) < 0.01
+def test_language_model_codes_span_any_size(total):
+    """The least and the largest probability of a training part of any size keep their values."""
+    model = language_model.Model("/nowhere", 2, [1, 0, 0, 0], total)
+    shares = np.array([0.5 / total, 1 / total, 1e-3, 0.5, 1.0])
+    assert np.allclose(model.coded(shares) * -model.step, np.log10(shares), atol=model.step)
+
+
+def test_packed_counts_and_sequences():
+    r = np.random.default_rng(3)
+    for top in (50, 1 << 20, 1 << 45, (1 << 63) - 1):
+        keys = np.unique(r.integers(0, top, 2000).astype(np.uint64))
+        for counts in (np.ones(len(keys), np.int64), r.integers(1, 1 << 33, len(keys))):
+            back = language_model.unpack(language_model.pack(keys, counts))
+            assert np.array_equal(back[0], keys) and np.array_equal(back[1], counts)
+        if top < 1 << 50:
+            sequence = language_model.EliasFano(language_model.build(keys, top))
+            assert np.array_equal(sequence.values(), keys)
+            asked = np.concatenate([keys, r.integers(0, top, 500).astype(np.uint64)])
+            at, found = sequence.successor(asked)
+            assert np.array_equal(found, np.isin(asked, keys)) and np.array_equal(keys[at[found]], asked[found])
 
 
 def test_decontamination(spark, rows):

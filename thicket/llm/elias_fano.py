@@ -22,7 +22,6 @@ _SELECT = np.full((256, 8), 8, np.uint8)
 for _byte in range(256):
     for _k, _bit in enumerate([i for i in range(8) if not _byte >> i & 1]):
         _SELECT[_byte, _k] = _bit
-_ZEROS = np.array([8 - bin(b).count("1") for b in range(256)], np.uint8)
 
 
 def build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -40,7 +39,7 @@ def build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     bits[high + np.arange(n)] = 1
     packed = np.packbits(bits, bitorder="little")
     out["bits"] = np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)])
-    per_word = _ZEROS[out["bits"]].reshape(-1, 8).sum(axis=1)
+    per_word = 64 - np.bitwise_count(out["bits"].view(np.uint64)).astype(np.int64)
     out["zeros"] = np.concatenate([[0], np.cumsum(per_word)[:-1]]).astype(np.uint32)
     return out
 
@@ -49,17 +48,23 @@ class EliasFano:
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.n, self.low_bits, self.buckets = (int(x) for x in arrays["meta"])
         self.lows = [arrays[f"low{k}"] for k in range(len(WIDTHS[self.low_bits]))]
-        self.bits, self.zeros = arrays["bits"].reshape(-1, 8), arrays["zeros"]
+        self.words, self.zeros = arrays["bits"].view(np.uint64), arrays["zeros"]
 
     def _ends(self, bucket: np.ndarray) -> np.ndarray:
         """Index after the last element of each bucket: position of its zero, less the zeros before."""
         word = np.searchsorted(self.zeros, bucket, side="right") - 1
         left = (bucket - self.zeros[word]).astype(np.int64)
-        rows = self.bits[word]
-        sums = np.cumsum(_ZEROS[rows], axis=1, dtype=np.int64)
-        byte = (sums <= left[:, None]).sum(axis=1)
-        before = np.where(byte > 0, sums[np.arange(len(byte)), np.maximum(byte - 1, 0)], 0)
-        return word * 64 + byte * 8 + _SELECT[rows[np.arange(len(byte)), byte], left - before] - bucket
+        free = ~self.words[word]
+        at = np.zeros(len(bucket), np.uint64)
+        for width in (32, 16, 8):  # halves, until the byte that holds the zero asked for
+            low = np.bitwise_count(free & np.uint64((1 << width) - 1)).astype(np.int64)
+            over = left >= low
+            left -= np.where(over, low, 0)
+            step = np.where(over, np.uint64(width), np.uint64(0))
+            at += step
+            free >>= step
+        inside = _SELECT[~free.astype(np.uint8), left]
+        return word * 64 + at.astype(np.int64) + inside - bucket
 
     def _low(self, at: np.ndarray) -> np.ndarray:
         out = self.lows[0][at].astype(np.uint64)
@@ -67,8 +72,16 @@ class EliasFano:
             out |= self.lows[1][at].astype(np.uint64) << np.uint64(32 if self.low_bits > 32 else 16)
         return out
 
+    def values(self) -> np.ndarray:
+        """The whole sequence."""
+        ones = np.flatnonzero(np.unpackbits(self.words.view(np.uint8), bitorder="little"))[: self.n]
+        return ((ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(np.arange(self.n))
+
     def successor(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the first element of the value's bucket or later that is not below it, whether it equals the value)."""
+        """(index of the first element of the value's bucket or later that is not below it, whether it equals the value).
+
+        Sorted values are found faster, as neighbours share what is read.
+        """
         if not self.n or not len(values):
             return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
         values = values.astype(np.uint64)

@@ -1,29 +1,36 @@
-"""Bigram language model as an Elias-Fano trie in memory-mapped level files.
+"""Trigram language model as an Elias-Fano trie in memory-mapped level files.
 
 Words are 64-bit hashes.  Level 1 is split into shards by the hash's leading
-bits: each holds its words as an Elias-Fano sequence with exact counts and a
-quantised back-off weight; a word's id is its rank over all shards.  Level 2
-is a grid of blocks (context shard by group of successor shards), so that the
-successors of a frequent word never meet in one task.  In a block, the pair of
-context and successor is one monotone number, context * width + successor;
-its high bits are the pointers into the contexts and the pair is found by a
-successor search relative to its context.  Each pair has a 16-bit code of its
-log10 probability, and each word one of its back-off; none is below 0.5 / N, so
-the step log10(2N) / 65535 spans all of them at any size N of the training part.
-
-    p(w | v) = (c(vw) - D) / c(v) + b(v) p(w),   b(v) = 1 - sum of the first terms
-    p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1))
-
-Pairs seen less often than least_pair are left to the back-off term; with 1 the
-model holds every pair.  All counts are over the whole
-training part; the level files are written by the tasks that count and are
-only mapped by those that score.
+bits: each holds its words as an Elias-Fano sequence with exact counts (the
+base score needs them); a word's id is its rank over all shards.  Levels 2 and
+3 are grids of blocks, context shard by word group, so that the successors of a
+frequent context never meet in one task; their number follows the tokens.  In a
+block, an n-gram is one monotone number, context * width + word, both counted
+from the start of the block; its high bits are the pointers into the contexts,
+and an n-gram is found by a successor search relative to its context.  Its rank
+over all blocks is its id as a context of the next level.  Each n-gram has a
+16-bit code of its log10 probability, each context one of its back-off weight;
+none is below 0.5 / N, so the step log10(2N) / 65535 spans all of them at any
+size N of the training part.
+
+    p(w | u v) = (c(uvw) - D) / c(uv) + b(uv) p(w | v),   b(uv) = D k(uv) / c(uv)
+    p(w | v)   = (c(vw) - D) / c(v) + b(v) p(w),          b(v) = D k(v) / c(v)
+    p(w)       = (c(w) + 0.1) / (N + 0.1 (V + 1))
+
+k counts the different successors of a context.  The end of a text is a token
+and the context of the first word, which has no longer one.  Nothing is pruned.
+
+Tasks that read texts sum the n-grams of a piece of text and send them on as
+sorted, packed blobs, one for each block; a block's task merges them and writes
+its file.  The files are only mapped by the tasks that score.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +39,14 @@ from pyspark.sql import functions as F
 
 from thicket.llm import tokens
 from thicket.llm.elias_fano import EliasFano, build, read_arrays, write_arrays
-from thicket.llm.ranges import range_id
 from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, workspace
 
 PIECE = 2 << 20
-#: Discount of pair counts, least pair count where none is given, and the largest code.
-DISCOUNT, LEAST_PAIR, TOP_CODE = 0.5, 2, 65535
+#: Discount of counts, the largest code, orders of the model, and n-grams for which a block is meant.
+DISCOUNT, TOP_CODE, ORDERS, BLOCK = 0.5, 65535, 3, 2 << 20
 ALPHA = 0.1
+#: Merged entries that wait for more before they are summed, and bytes of level files kept where they cannot be mapped.
+WAITING, KEPT_BYTES = 4 << 20, 256 << 20
 #: The end of a text, also the context of its first word; equals no word's hash in practice.
 END = np.uint64(0xE0D0C0B0A0908070)
 
@@ -82,6 +90,11 @@ def _store(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     commit_shared(part, f"{folder}/{name}")
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    top = int(counts.max()) if len(counts) else 0
+    return counts.astype(np.uint8 if top < 1 << 8 else np.uint32 if top < 1 << 32 else np.uint64)
+
+
 def _write_words(folder: str, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
@@ -95,24 +108,80 @@ def _write_words(folder: str, bits: int):
     return lean(run)
 
 
+def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted distinct keys as gaps and their counts, both as narrow as they allow."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    wide = int(gaps.max()) >= 1 << 32
+    counts = _narrow(counts)
+    return np.array([len(keys), wide, counts.itemsize], "<u8").tobytes() + gaps.astype("<u8" if wide else "<u4").tobytes() + counts.tobytes()
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, wide, size = (int(x) for x in np.frombuffer(blob, "<u8", 3))
+    gaps = np.frombuffer(blob, "<u8" if wide else "<u4", n, 24)
+    return np.cumsum(gaps, dtype=np.uint64), np.frombuffer(blob, f"<u{size}", n, 24 + gaps.nbytes).astype(np.int64)
+
+
+class Level:
+    """The grid of an order's blocks: where contexts' shards and words' groups start, and how many n-grams each block has."""
+
+    def __init__(self, order: int, contexts: np.ndarray, words: np.ndarray, sizes: np.ndarray | None = None):
+        self.order, self.contexts, self.words = order, contexts, words
+        self.groups = len(words) - 1
+        self.blocks = (len(contexts) - 1) * self.groups
+        self.sizes = np.zeros(self.blocks, np.int64) if sizes is None else sizes
+        self.bases = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
+
+    def width(self, block: int) -> int:
+        g = block % self.groups
+        return max(1, int(self.words[g + 1] - self.words[g]))
+
+    def shard_size(self, shard: int) -> int:
+        return int(self.contexts[shard + 1] - self.contexts[shard])
+
+    def place(self, context: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(block, where its n-grams are among the given ones, their numbers in ascending order)."""
+        shard = np.searchsorted(self.contexts, context, side="right") - 1
+        group = np.searchsorted(self.words, word, side="right") - 1
+        block = (shard * self.groups + group).astype(np.uint16 if self.blocks < 1 << 16 else np.uint32)
+        value = ((context - self.contexts[shard]) * (self.words[group + 1] - self.words[group]) + word - self.words[group]).astype(np.uint64)
+        order = np.argsort(block, kind="stable")
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(block[order])) + 1, [len(order)]])
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            if lo < hi:
+                part = order[lo:hi]
+                part = part[np.argsort(value[part])]
+                yield int(block[part[0]]), part, value[part]
+
+
 class Model:
-    """The mapped levels of a folder; small enough to be sent to tasks."""
+    """The levels of a folder; small enough to be sent to tasks."""
 
-    def __init__(self, folder: str, bits: int, groups: int, sizes: list[int], total: int):
-        self.folder, self.bits, self.groups, self.sizes, self.total = folder, bits, groups, sizes, total
+    def __init__(self, folder: str, bits: int, sizes: list[int], total: int):
+        self.folder, self.bits, self.total = folder, bits, total
         self.bases = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.vocabulary = int(self.bases[-1])
         self.step = float(np.log10(max(1, total) / DISCOUNT)) / TOP_CODE
-        self.open: dict[str, tuple] = {}
+        self.levels: dict[int, Level] = {}
+        self.open: OrderedDict[str, dict] = OrderedDict()
 
     def __getstate__(self):
-        return self.__dict__ | {"open": {}}
-
-    def _level(self, name: str, *columns: str):
-        if name not in self.open:
-            arrays = read_arrays(f"{self.folder}/{name}")
-            self.open[name] = (EliasFano(arrays) if "meta" in arrays else None, *(arrays[c] for c in columns))
-        return self.open[name]
+        return self.__dict__ | {"open": OrderedDict()}
+
+    def file(self, name: str) -> dict:
+        """The arrays of a level file; mapped files stay open, others are kept up to KEPT_BYTES."""
+        if name in self.open:
+            self.open.move_to_end(name)
+            return self.open[name]
+        arrays = read_arrays(f"{self.folder}/{name}")
+        if "meta" in arrays:
+            arrays["sequence"] = EliasFano(arrays)
+        self.open[name] = arrays
+        if urlparse(self.folder).scheme not in ("", "file"):
+            size = lambda held: sum(a.nbytes for a in held.values() if isinstance(a, np.ndarray))
+            while len(self.open) > 1 and sum(map(size, self.open.values())) > KEPT_BYTES:
+                self.open.popitem(last=False)
+        return arrays
 
     def look_up(self, words: np.ndarray, backoff: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(id or -1, count, back-off in log10) of sorted distinct words."""
@@ -120,17 +189,33 @@ class Model:
         shards = (words >> np.uint64(64 - self.bits)).astype(np.int64)
         cuts = np.searchsorted(shards, np.arange((1 << self.bits) + 1))
         for shard in np.flatnonzero(np.diff(cuts)):
-            if not self.sizes[shard]:
+            if self.bases[shard] == self.bases[shard + 1]:
                 continue
             part = slice(cuts[shard], cuts[shard + 1])
-            sequence, held = self._level(f"words-{shard}", "counts")
-            at, found = sequence.successor(words[part] - np.uint64(int(shard) << (64 - self.bits)))
+            held = self.file(f"words-{shard}")
+            at, found = held["sequence"].successor(words[part] - np.uint64(int(shard) << (64 - self.bits)))
             ids[part][found] = self.bases[shard] + at[found]
-            counts[part][found] = held[at[found]]
+            counts[part][found] = held["counts"][at[found]]
             if backoff:
-                weights[part][found] = self._level(f"backoff-{shard}", "codes")[1][at[found]] * -self.step
+                weights[part][found] = self.file(f"backoff1-{shard}")["codes"][at[found]] * -self.step
         return ids, counts, weights
 
+    def find(self, order: int, context: np.ndarray, word: np.ndarray, codes: bool, backoff: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(id or -1, log10 probability or NaN, log10 back-off as a context or 0) of n-grams of known contexts and words."""
+        level = self.levels[order]
+        ids, logs, weights = np.full(len(word), -1, np.int64), np.full(len(word), np.nan), np.zeros(len(word))
+        for block, part, value in level.place(context, word):
+            if not level.sizes[block]:
+                continue
+            at, found = self.file(f"keys{order}-{block}")["sequence"].successor(value)
+            at, part = at[found], part[found]
+            ids[part] = level.bases[block] + at
+            if codes:
+                logs[part] = self.file(f"codes{order}-{block}")["codes"][at] * -self.step
+            if backoff:
+                weights[part] = self.file(f"backoff{order}-{block}")["codes"][at] * -self.step
+        return ids, logs, weights
+
     def log_base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ALPHA) / (self.total + ALPHA * (self.vocabulary + 1)))
 
@@ -138,99 +223,176 @@ class Model:
         """The codes of probabilities from 0.5 / N to 1."""
         return np.clip(np.rint(-np.log10(share) / self.step), 0, TOP_CODE).astype(np.uint16)
 
-    def span(self, group: int) -> tuple[int, int]:
-        per = (1 << self.bits) // self.groups
-        return int(self.bases[group * per]), int(self.bases[(group + 1) * per])
 
-    def log_pairs(self, context: np.ndarray, word: np.ndarray, present: set[int]) -> np.ndarray:
-        """log10 probability of each pair of ids; NaN for pairs that the model lacks."""
-        out = np.full(len(context), np.nan)
-        a = np.searchsorted(self.bases, context, side="right") - 1
-        b = (np.searchsorted(self.bases, word, side="right") - 1) // ((1 << self.bits) // self.groups)
-        block = (a * self.groups + b).astype(np.uint32)
-        order = np.argsort(block, kind="stable")
-        cuts = np.flatnonzero(np.diff(block[order])) + 1
-        for part in np.split(order, cuts):
-            k = int(block[part[0]]) if len(part) else -1
-            if k not in present:
-                continue
-            sequence, codes = self._level(f"pairs-{k}", "codes")
-            lo, hi = self.span(k % self.groups)
-            at, found = sequence.successor((context[part] - self.bases[k // self.groups]) * (hi - lo) + word[part] - lo)
-            out[part[found]] = codes[at[found]] * -self.step
-        return out
+class Run:
+    """The tokens of a run of texts with their ids: of the word, of the word before it, and whether it is a text's first."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, model: Model, backoff: bool):
+        unique, back = np.unique(np.append(words, END), return_inverse=True)
+        ids, n, weights = model.look_up(unique, backoff)
+        self.token, self.first = back[:-1], np.cumsum(counts) - counts
+        before = np.empty_like(self.token)
+        before[1:] = self.token[:-1]
+        before[self.first] = back[-1]
+        self.ids, self.n, self.before, self.weight = ids[self.token], n[self.token], ids[before], weights[before]
+
+    def longer(self, model: Model, order: int, codes: bool = False, backoff: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(known, ids, logs, weights) of the n-grams that end at each token; known tells where it was looked for."""
+        if order == 2:
+            context = self.before
+        else:
+            shorter = self.longer(model, order - 1)[1] if order > 3 else self.pairs
+            context = np.empty_like(self.ids)
+            context[1:] = shorter[:-1]
+            context[self.first] = -1
+        known = np.flatnonzero((context >= 0) & (self.ids >= 0))
+        ids, logs, weights = np.full(len(context), -1, np.int64), np.full(len(context), np.nan), np.zeros(len(context))
+        ids[known], logs[known], weights[known] = model.find(order, context[known], self.ids[known], codes, backoff)
+        self.context = context
+        return known, ids, logs, weights
+
+
+def _count(model: Model, level: Level):
+    """(block, blob) of the n-grams of each piece of text."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, words, counts in _words(batch.column(0)):
+                r = Run(words, counts, model, False)
+                context = r.before
+                if level.order == 3:
+                    pairs = model.find(2, r.before, r.ids, False, False)[0]  # all words are of the training part
+                    context = np.empty_like(pairs)
+                    context[1:] = pairs[:-1]
+                    context[r.first] = -1
+                some = np.flatnonzero(context >= 0)
+                blocks, blobs = [], []
+                for block, _, value in level.place(context[some], r.ids[some]):
+                    heads = np.concatenate([[0], np.flatnonzero(np.diff(value)) + 1])
+                    blocks.append(block)
+                    blobs.append(pack(value[heads], np.diff(np.append(heads, len(value)))))
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
+
+    return lean(run)
 
-def _pairs(words: np.ndarray, counts: np.ndarray, model: Model, backoff: bool):
-    """Of each token: id, count, and those of the token before it, END before the first."""
-    unique, back = np.unique(np.append(words, END), return_inverse=True)
-    ids, n, weights = model.look_up(unique, backoff)
-    token = back[:-1]
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[np.cumsum(counts) - counts] = back[-1]
-    return ids[token], n[token], ids[before], n[before], weights[before]
 
+def _merge(folder: str, level: Level):
+    """Writes the keys and counts of each block, whose blobs follow each other; yields (block, size)."""
+
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+        order = np.argsort(keys, kind="stable")  # runs of sorted keys are merged
+        keys, counts = keys[order], counts[order]
+        heads = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+        return keys[heads], np.add.reduceat(counts, heads)
 
-def _count_pairs(model: Model, least_pair: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, waiting, done = None, [], 0, []
+
+        def close() -> None:
+            keys, counts = summed(parts)
+            shard = current // level.groups
+            _store(folder, f"keys{level.order}-{current}", build(keys, max(1, level.shard_size(shard) * level.width(current))) | {"counts": _narrow(counts)})
+            done.append((current, len(keys)))
+
         for batch in batches:
-            for _, _, words, counts in _words(batch.column(0)):
-                ids, n, before, m, _ = _pairs(words, counts, model, False)
-                often = (n >= least_pair) & (m >= least_pair)  # a pair is no more frequent than its words
-                keys, k = np.unique(before[often] * model.vocabulary + ids[often], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(k.astype(np.int64))], ["pair", "n"])
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block != current:
+                    if current is not None:
+                        close()
+                    current, parts, waiting = block, [], 0
+                parts.append(unpack(blob.as_buffer()))
+                waiting += len(parts[-1][0])
+                if waiting > max(WAITING, 2 * len(parts[0][0])):
+                    parts, waiting = [summed(parts)], 0
+        if current is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in range(2)], ["block", "size"])
 
     return lean(run)
 
 
-def _write_backoff(folder: str, model: Model):
+def _context_counts(model: Model, level: Level, shard: int) -> np.ndarray:
+    """The counts of the contexts of a shard: words, or n-grams of the order below."""
+    if level.order == 2:
+        return model.file(f"words-{shard}")["counts"] if level.shard_size(shard) else np.zeros(0, np.uint32)
+    return model.file(f"keys{level.order - 1}-{shard}")["counts"] if level.shard_size(shard) else np.zeros(0, np.uint32)
+
+
+def _write_backoff(folder: str, model: Model, level: Level):
+    """Back-off codes of the contexts of each shard, from all of its blocks; 1 for contexts without successors."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = []
-        for shard, (context, n, kinds) in _grouped(batches):
-            counts = model._level(f"words-{shard}", "counts")[1]
-            codes = np.zeros(len(counts), np.uint16)
-            at = context - model.bases[shard]
-            codes[at] = model.coded((counts[at] - n + DISCOUNT * kinds) / counts[at])
-            _store(folder, f"backoff-{shard}", {"codes": codes})
-            done.append(shard)
-        yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["shard"])
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                size = level.shard_size(shard)
+                kinds = np.zeros(size, np.int64)
+                for block in range(shard * level.groups, (shard + 1) * level.groups):
+                    if level.sizes[block]:
+                        keys = model.file(f"keys{level.order}-{block}")["sequence"].values()
+                        kinds += np.bincount((keys // np.uint64(level.width(block))).astype(np.int64), minlength=size)
+                counts = _context_counts(model, level, shard)
+                share = np.where(kinds > 0, DISCOUNT * kinds / np.maximum(counts, 1), 1.0)
+                if size:
+                    _store(folder, f"backoff{level.order - 1}-{shard}", {"codes": model.coded(share)})
+            yield batch
 
     return lean(run)
 
 
-def _write_pairs(folder: str, model: Model):
+def _write_codes(folder: str, model: Model, level: Level):
+    """Codes of the log10 probabilities of each block's n-grams."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = []
-        for block, (pair, n) in _grouped(batches):
-            shard, (lo, hi) = block // model.groups, model.span(block % model.groups)
-            context, word = np.divmod(pair, model.vocabulary)
-            a = context - model.bases[shard]
-            counts = model._level(f"words-{shard}", "counts")[1][a]
-            backoff = model._level(f"backoff-{shard}", "codes")[1][a] * -model.step
-            base = np.empty(len(word))
-            of = np.searchsorted(model.bases, word, side="right") - 1
-            for s in np.unique(of):
-                base[of == s] = model.log_base(model._level(f"words-{s}", "counts")[1][word[of == s] - model.bases[s]].astype(np.float64))
-            codes = model.coded((n - DISCOUNT) / counts + 10 ** (backoff + base))
-            sequence = build((a * (hi - lo) + word - lo).view(np.uint64), max(1, model.sizes[shard] * (hi - lo)))
-            _store(folder, f"pairs-{block}", sequence | {"codes": codes})
-            done.append(block)
-        yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["block"])
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                if not level.sizes[block]:
+                    continue
+                held, shard = model.file(f"keys{level.order}-{block}"), block // level.groups
+                context, word = np.divmod(held["sequence"].values().astype(np.int64), level.width(block))
+                word += int(level.words[block % level.groups])
+                backoff = model.file(f"backoff{level.order - 1}-{shard}")["codes"][context] * -model.step
+                if level.order == 2:
+                    lower = model.log_base(_word_counts(model, word))
+                else:
+                    below = model.levels[level.order - 1]
+                    last = (model.file(f"keys{below.order}-{shard}")["sequence"].values() % np.uint64(below.width(shard))).astype(np.int64) + int(below.words[shard % below.groups])
+                    lower = model.find(below.order, last[context], word, True, False)[1]
+                share = (held["counts"] - DISCOUNT) / _context_counts(model, level, shard)[context] + 10 ** (backoff + lower)
+                _store(folder, f"codes{level.order}-{block}", {"codes": model.coded(share)})
+            yield batch
 
     return lean(run)
 
 
-def _score(model: Model, present: set[int]):
+def _word_counts(model: Model, word: np.ndarray) -> np.ndarray:
+    out = np.empty(len(word))
+    of = np.searchsorted(model.bases, word, side="right") - 1
+    for s in np.unique(of):
+        out[of == s] = model.file(f"words-{s}")["counts"][word[of == s] - model.bases[s]]
+    return out
+
+
+def score_run(model: Model, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(count, base log10 probability, log10 probability) of each token."""
+    r = Run(words, counts, model, True)
+    base = model.log_base(r.n.astype(np.float64))
+    _, r.pairs, logs, weights = r.longer(model, 2, True, True)
+    full = np.where(np.isnan(logs), base + r.weight, logs)
+    if 3 in model.levels:
+        _, _, logs, _ = r.longer(model, 3, True)
+        ahead = np.zeros(len(full))
+        ahead[1:] = weights[:-1]  # back-off of the pair before, 0 where the model lacks it
+        ahead[r.first] = 0
+        full = np.where(np.isnan(logs), full + ahead, logs)
+    return r.n, base, full
+
+
+def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, words, counts in _words(batch.column("text")):
-                ids, n, before, _, backoff = _pairs(words, counts, model, True)
-                base = model.log_base(n.astype(np.float64))
-                full = base + backoff
-                known = np.flatnonzero((ids >= 0) & (before >= 0))
-                pairs = model.log_pairs(before[known], ids[known], present)
-                full[known] = np.where(np.isnan(pairs), full[known], pairs)
+                n, base, full = score_run(model, words, counts)
                 heads = np.cumsum(counts) - counts
                 sums = [np.add.reduceat(x, heads) for x in ((n > 0).astype(np.int64), base, full)]
                 rows = hi - lo
@@ -242,71 +404,57 @@ def _score(model: Model, present: set[int]):
     return lean(run)
 
 
-def train(texts: DataFrame, folder: str, least_pair: int = LEAST_PAIR) -> tuple[Model, set[int]]:
-    """Counts texts(text), writes the level files below folder and returns the model and its blocks."""
+def _starts(bases: np.ndarray, groups: int) -> np.ndarray:
+    """Starts of groups of words: every so many shards, or parts of the ids where there are more groups than shards."""
+    size = int(bases[-1])
+    return np.array([size * g // groups for g in range(groups + 1)], np.int64)
+
+
+def train(texts: DataFrame, folder: str, orders: int = ORDERS) -> Model:
+    """Counts texts(text), writes the level files below folder and returns the model."""
     spark = texts.sparkSession
-    bits = max(2, (max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4) - 1).bit_length())
-    groups = min(16, max(1, (1 << bits) // 4))
-    n = 1 << bits
     text = texts.select(F.col("text").cast("string").alias("text"))
+    # About six bytes a token; only the number of blocks depends on it.
+    guess = (text.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    blocks = max(4, -(-guess // BLOCK))
+    bits = max(1, min(16, (blocks - 1).bit_length() // 2))
+    n = 1 << bits
     words = text.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     sharded = words.select(F.shiftrightunsigned("word", 64 - bits).alias("shard"), "word", "n").repartition(n, "shard").sortWithinPartitions("shard", F.col("word").bitwiseXOR(F.lit(-(1 << 63))))
     sizes, total = [0] * n, 0
     for r in materialise(sharded.mapInArrow(_write_words(folder, bits), "shard long, words long, tokens long"), "shards").collect():  # one row a shard
         sizes[r.shard] = r.words
         total += r.tokens
-    model = Model(folder, bits, groups, sizes, total)
-    if model.vocabulary**2 >= 1 << 63:
-        raise ValueError("more than 3e9 distinct words do not fit a pair of ids")
-    pairs = text.mapInArrow(_count_pairs(model, least_pair), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_pair)
-    pairs = materialise(pairs, "pairs")
-    size, starts = max(1, model.vocabulary), [int(b) for b in model.bases[:-1]]
-    shard_of = lambda c: _shard_expression(c, starts)
-    contexts = pairs.groupBy(F.expr(f"pair div {size}").alias("context")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
-    every = spark.range(n).select(F.col("id").alias("shard"))
-    contexts = contexts.select(shard_of(F.col("context")).alias("shard"), "context", "n", "kinds").repartition(n, "shard").sortWithinPartitions("shard", "context")
-    held = {r.shard for r in materialise(contexts.mapInArrow(_write_backoff(folder, model), "shard long"), "backoff").collect()}
-    empty = [s for s in range(n) if s not in held and sizes[s]]
-    if empty:
-        every.filter(F.col("shard").isin(empty)).mapInArrow(_empty_backoff(folder, sizes), "shard long").write.mode("overwrite").format("noop").save()
-    block = shard_of(F.expr(f"pair div {size}")) * groups + F.floor(shard_of(F.expr(f"pair % {size}")) / (n // groups)).cast("long")
-    blocks = pairs.select(block.alias("block"), "pair", "n").repartition(n * groups, "block").sortWithinPartitions("block", "pair")
-    present = {r.block for r in materialise(blocks.mapInArrow(_write_pairs(folder, model), "block long"), "blocks").collect()}
-    return model, present
-
-
-def _shard_expression(column, starts: list[int]):
-    """Shard of an id; empty shards share their start with the next one and hold no id."""
-    distinct = sorted(set(starts))
-    last = {v: i for i, v in enumerate(starts)}  # the last shard of a start is the one with words
-    at = range_id(column, distinct)
-    return F.element_at(F.array(*[F.lit(last[v]).cast("long") for v in distinct]), at + 1)
-
-
-def _empty_backoff(folder: str, sizes: list[int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in batch.column(0).to_pylist():
-                _store(folder, f"backoff-{s}", {"codes": np.zeros(sizes[s], np.uint16)})
-            yield batch
-
-    return lean(run)
-
-
-def score_documents(docs: DataFrame, least_pair: int = LEAST_PAIR) -> DataFrame:
+    model = Model(folder, bits, sizes, total)
+    starts = model.bases
+    for order in range(2, orders + 1):
+        shards = len(starts) - 1
+        level = Level(order, starts, _starts(model.bases, max(1, -(-blocks // shards))))
+        dealt = text.mapInArrow(_count(model, level), "block long, blob binary").repartition(level.blocks, "block").sortWithinPartitions("block")
+        found = np.zeros(level.blocks, np.int64)
+        for r in materialise(dealt.mapInArrow(_merge(folder, level), "block long, size long"), "blocks").collect():  # one row a block
+            found[r.block] = r.size
+        level = Level(order, starts, level.words, found)
+        for count, step in ((shards, _write_backoff), (level.blocks, _write_codes)):
+            spark.range(0, count, 1, count).mapInArrow(step(folder, model, level), "id long").write.format("noop").mode("overwrite").save()
+        model.levels[order] = level
+        starts = level.bases
+    return model
+
+
+def score_documents(docs: DataFrame, orders: int = ORDERS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     The model learns from the documents whose crc32(doc_id as text) mod 10 is
     not 0 (a null doc_id counts as the empty text, so it is held out).  Null
     and empty texts have one token, the end.  base_score is the sum of
-    log10((c + 0.1) / (N + 0.1 (V + 1))); score the model's log10 probability,
-    with the pairs that occur least_pair times or more.
-    Repeated rows count as often as they occur; other columns are ignored; an
-    empty table gives an empty result.
+    log10((c + 0.1) / (N + 0.1 (V + 1))); score the model's log10 probability.
+    Repeated rows count as often as they occur; texts of any length are read
+    whole; other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held)
-    model, present = train(rows.filter(~F.col("held_out")).select("text"), workspace(spark, "model"), least_pair)
-    return rows.mapInArrow(_score(model, present), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    model = train(rows.filter(~F.col("held_out")).select("text"), workspace(spark, "model"), orders)
+    return rows.mapInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
