@@ -2,10 +2,13 @@
 
 A record is stored as rows (record_id, chunk_no, data): row 0 starts with the
 WARC and HTTP headers, and a payload of more than ``CHUNK`` bytes goes on over
-the following rows, so neither writing nor reading holds a record's bytes
-beyond a chunk besides the given text.  Every row carries the payload's SHA-1
+the following rows.  Writing encodes a payload piece by piece, once for its
+digest and once for its rows, so neither writing nor reading holds a record's
+bytes beyond a chunk besides the given text.  Every row carries the payload's SHA-1
 up to and including it, which locates damage.  The rows of an archive in order
-of record_id and chunk_no are a valid WARC 1.1 file (export_archives).
+of record_id and chunk_no are a valid WARC 1.1 file (export_archives).  Record
+ids are those of the table, which are unique; the page is named by a header of
+its own, as pages may repeat or have no id.
 
 Equal payloads are stored once: the record of the largest page_id is the
 response and the others are revisits that refer to it.
@@ -27,7 +30,7 @@ from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialis
 CHUNK = 256 << 10
 #: The date of all records; a parameter of the archive, not of the pages.
 DATE = "2024-01-01T00:00:00Z"
-PREFIX, REVISIT = "urn:thicket:page:", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+PREFIX, REVISIT = "urn:thicket:record:", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNKS = "archive int, record_id long, chunk_no int, n_chunks int, data binary, sha1_so_far string"
 
 
@@ -35,13 +38,24 @@ def base32_sha1(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def record_headers(page_id: int | None, url: str | None, size: int, digest: str, refers_to: int | None, revisit: bool) -> bytes:
+def byte_chunks(text: str) -> Iterator[bytes]:
+    """The UTF-8 bytes of a text in chunks of CHUNK, encoded piece by piece; one empty chunk for an empty text."""
+    held = bytearray()
+    for at in range(0, len(text), CHUNK // 4):
+        held += text[at : at + CHUNK // 4].encode("utf-8", "surrogatepass")
+        while len(held) > CHUNK:
+            yield bytes(held[:CHUNK])
+            del held[:CHUNK]
+    yield bytes(held)
+
+
+def record_headers(record: int, page_id: int | None, url: str | None, size: int, digest: str, refers_to: int | None, revisit: bool) -> bytes:
     """WARC and HTTP headers of a record; the payload follows unless it is a revisit."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     clean = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{PREFIX}{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {clean}", f"WARC-Payload-Digest: sha1:{digest}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{PREFIX}{record}>", f"X-Page-ID: {'' if page_id is None else page_id}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {clean}", f"WARC-Payload-Digest: sha1:{digest}"]
     if revisit:
-        lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: <{PREFIX}{refers_to}>"]
+        lines += [f"WARC-Profile: {REVISIT}", f"X-Refers-To-Page-ID: {refers_to}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + (0 if revisit else size)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
@@ -54,13 +68,14 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, held = [], 0
         for page_id, url, html, refers_to in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to"))):
-            view = memoryview((html or "").encode("utf-8", "surrogatepass"))
-            whole, revisit = hashlib.sha1(view), refers_to is not None
-            head = record_headers(page_id, url, len(view), base32_sha1(whole.digest()), refers_to, revisit)
-            n = 1 if revisit else max(1, -(-len(view) // CHUNK))
+            whole, size, n, revisit = hashlib.sha1(), 0, 0, refers_to is not None
+            for part in byte_chunks(html or ""):
+                whole.update(part)
+                size, n = size + len(part), n + 1
+            head = record_headers(record + (archive << 40), page_id, url, size, base32_sha1(whole.digest()), refers_to, revisit)
+            n = 1 if revisit else n
             running = hashlib.sha1()
-            for k in range(n):
-                part = b"" if revisit else bytes(view[k * CHUNK : (k + 1) * CHUNK])
+            for k, part in enumerate([b""] if revisit else byte_chunks(html or "")):
                 running.update(part)
                 data = (head if k == 0 else b"") + part + (b"\r\n\r\n" if k == n - 1 else b"")
                 rows.append(((archive), record + (archive << 40), k, n, data, base32_sha1(running.digest())))
@@ -79,7 +94,8 @@ def write_archive(pages: DataFrame, name: str = "archive") -> DataFrame:
     Null html is empty.  Of equal payloads the one of the largest page_id is
     the response; rows that repeat that page_id are all responses, a null
     page_id is the least, and payloads with null ids alone are all responses.
-    Other columns are ignored.
+    Payloads of any length are written whole; other columns are ignored; an
+    empty table gives an empty archive.
     """
     bounded_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
@@ -103,7 +119,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     state: dict = {}
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-    number = lambda s: int(s[len(PREFIX) + 1 : -1]) if s and len(s) > len(PREFIX) + 2 else None
+    number = lambda s: int(s) if s else None
     for batch in batches:
         rows = []
         for record, k, n, data, so_far in zip(*(batch.column(c).to_pylist() for c in ("record_id", "chunk_no", "n_chunks", "data", "sha1_so_far"))):
@@ -126,7 +142,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest = warc["warc-payload-digest"].removeprefix("sha1:")
             if not revisit and (state["got"] != state["size"] or digest != so_far):
                 raise ValueError(f"record {record}: the payload differs from its headers")
-            rows.append((number(warc["warc-record-id"]), state["size"], digest, warc["warc-type"], number(warc.get("warc-refers-to")) if revisit else None))
+            rows.append((number(warc["x-page-id"]), state["size"], digest, warc["warc-type"], number(warc.get("x-refers-to-page-id")) if revisit else None))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
