@@ -161,6 +161,18 @@ def test_changed_paragraphs(spark):
     df = fingerprint.with_fingerprint(fingerprint.with_fingerprint(df, "x", "fx"), "y", "fy")
     assert df.select(fingerprint.changed_paragraphs(df.fx, df.fy)).first()[0] == [1]
     assert df.select(fingerprint.changed_paragraphs(df.fx, df.fx)).first()[0] == []
+    # Against comparing the paragraphs of the texts: sections, repeats, texts of other lengths.
+    r = random.Random(12)
+    text = lambda: "".join(r.choice(["a b", "c", "long words here", "x"]) + r.choice(["\n", "\n\n"]) for _ in range(r.randint(0, 8)))
+    rows = [(i, text(), text()) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, x string, y string")
+    df = fingerprint.with_fingerprint(fingerprint.with_fingerprint(df, "x", "fx"), "y", "fy")
+    cut = lambda t: [[p for p in re.split(r"(?<=\n)", s) if p] for s in re.split(r"(?<=\n\n)(?!\n)", t) if s]
+    for got in df.select("i", fingerprint.changed_paragraphs(df.fx, df.fy).alias("at")).collect():
+        mine, theirs = cut(rows[got.i][1]), cut(rows[got.i][2])
+        open_ = {p for s in theirs if s not in mine for p in s}
+        want = [k for k, (s, p) in enumerate((s, p) for s in mine for p in s) if s not in theirs and p not in open_]
+        assert got["at"] == want
 
 
 def brute_model(trained):
@@ -342,6 +354,11 @@ def test_warc(spark, tmp_path):
     files = warc.export_archives(chunks, f"file://{tmp_path}").collect()
     assert sum(f.bytes for f in files) == sum(p.stat().st_size for p in tmp_path.glob("*.warc"))
     assert sum(p.read_bytes().count(b"WARC/1.1\r\n") for p in tmp_path.glob("*.warc")) == len(pages)
+    ids = re.findall(rb"WARC-Record-ID: <(.*?)>", b"".join(p.read_bytes() for p in tmp_path.glob("*.warc")))
+    assert len(set(ids)) == len(pages)  # also of repeated and null page ids
+    for text in ("", "a", "é" * 70_000, "x" * warc.CHUNK, "🙂" * warc.CHUNK):
+        parts = list(warc.byte_chunks(text))
+        assert b"".join(parts) == text.encode() and all(len(p) == warc.CHUNK for p in parts[:-1]) and len(parts[-1]) <= warc.CHUNK
     assert warc.archive_round_trip(df.limit(0)).count() == 0
 
 

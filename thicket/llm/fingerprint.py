@@ -61,10 +61,20 @@ def likeness(mine: str, other: str) -> Column:
 
 
 def changed_paragraphs(mine: Column, other: Column) -> Column:
-    """Positions (from 0, over the whole text) of paragraphs of mine that other does not hold; null-safe roots first."""
-    nodes = lambda f: F.regexp_extract_all(F.element_at(F.split(f, r"\|"), 2), F.lit(r"([0-9a-f]{8})x"), F.lit(1))
-    listed = F.transform(nodes(mine), lambda p, i: F.struct(p.alias("p"), i.alias("i")))
-    return F.when(root_of(mine) == root_of(other), F.array().cast("array<int>")).otherwise(F.transform(F.filter(listed, lambda x: ~F.array_contains(nodes(other), x["p"])), lambda x: x["i"]))
+    """Positions (from 0, over the whole text) of paragraphs of mine that other does not hold.
+
+    The trees are walked from the root: equal roots end it, sections that other
+    has are passed over, and of the others the paragraphs are looked at.
+    """
+    tree = lambda f: F.filter(F.split(F.element_at(F.split(f, r"\|"), 2), ";"), lambda s: s != "")
+    digest = lambda s: F.substring(s, 1, DIGITS)
+    inside = lambda s: F.transform(F.split(F.substring_index(s, ":", -1), ","), digest)
+    differs = lambda s, hashes: ~F.array_contains(hashes, digest(s))
+    theirs = F.flatten(F.transform(F.filter(tree(other), lambda s: differs(s, F.transform(tree(mine), digest))), inside))
+    flat = F.flatten(F.transform(tree(mine), lambda s: F.transform(inside(s), lambda p: F.struct(differs(s, F.transform(tree(other), digest)).alias("open"), p.alias("p")))))
+    placed = F.transform(flat, lambda x, i: F.struct(x["open"].alias("open"), x["p"].alias("p"), i.alias("i")))
+    found = F.transform(F.filter(placed, lambda x: x["open"] & ~F.array_contains(theirs, x["p"])), lambda x: x["i"])
+    return F.when(root_of(mine) == root_of(other), F.array().cast("array<int>")).otherwise(found)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -74,13 +84,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text, of its edited text, and their likeness.
+    """Fingerprints of every text, of its edited text, their likeness, and where they differ (edited_paragraphs).
 
     The edited text has its last floor(n_chars / 4) code points replaced by
     the first as many (or all) of the next document's, in ascending doc_id
     with the least after the last.  Null texts are empty.  Rows that repeat a
     doc_id follow each other in the order of their texts; rows with a null
-    doc_id come first and are no document's next, except each other's.  One
+    doc_id come first and are no document's next, except each other's.  Texts of
+    any length are read whole; other columns are ignored.  One
     row for each row of docs; an empty table gives an empty result.
 
     Texts move once: rows are dealt by ranges of doc_id whose bounds are
@@ -105,5 +116,5 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     tail = F.floor(size / 4).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), tail))
     paired = paired.select("doc_id", size.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", edited.alias("edited"))
-    done = with_fingerprint(paired, "edited", "edited_fingerprint").select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", leaves_of(F.col("fingerprint")).alias("a"), leaves_of(F.col("edited_fingerprint")).alias("b"), leaves_of(F.coalesce("next_fingerprint", F.lit("||"))).alias("c"))
-    return done.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness("a", "b").alias("near_edited"), likeness("a", "c").alias("near_next"))
+    done = with_fingerprint(paired, "edited", "edited_fingerprint").select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", changed_paragraphs(F.col("edited_fingerprint"), F.col("fingerprint")).alias("edited_paragraphs"), leaves_of(F.col("fingerprint")).alias("a"), leaves_of(F.col("edited_fingerprint")).alias("b"), leaves_of(F.coalesce("next_fingerprint", F.lit("||"))).alias("c"))
+    return done.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness("a", "b").alias("near_edited"), likeness("a", "c").alias("near_next"), "edited_paragraphs")
