@@ -322,6 +322,10 @@ def test_incremental(spark, tmp_path):
     assert [r.nregistro for r in changes.changed_ids(feed).collect()] == ["1"]
     state, full = changes.next_state({"last_execution": "a", "consecutive_empty_responses": 29}, 0, "b")
     assert full and state == {"last_execution": "b", "consecutive_empty_responses": 0}
+    asked = []
+    found, state, full = changes.poll(spark, lambda since: asked.append(since) or [{"nregistro": "7", "cambio": ["ft"]}, {"nregistro": "8"}], {"last_execution": "a", "consecutive_empty_responses": 3}, "b")
+    assert [r.nregistro for r in found.collect()] == ["7"] and asked == ["a"] and not full and state == {"last_execution": "b", "consecutive_empty_responses": 0}
+    assert changes.poll(spark, lambda since: [], {"last_execution": None}, "b")[2]
     files = lambda rows: stopwords.content_hashes(spark.createDataFrame(rows, "path string, content string"))
     diff = stopwords.changes(files([("a", "1"), ("b", "1")]), files([("a", "2"), ("b", "1")]))
     assert stopwords.must_regenerate(diff, 1) and not stopwords.must_regenerate(diff.filter("status = 'same'"), 1) and stopwords.must_regenerate(diff, None)

@@ -100,3 +100,15 @@ def group_contexts(blocks: DataFrame, groups: DataFrame, n: int = 10, seed: int
     some = groups.withColumn("_nth", F.row_number().over(chosen)).filter(F.col("_nth") <= n).join(blocks.withColumnRenamed("nregistro", "id"), "id")
     listed = some.groupBy("value").agg(F.array_sort(F.collect_list(F.struct("id", "block"))).alias("_all"))
     return listed.select("value", F.size("_all").alias("n_blocks"), F.array_join(F.transform("_all", lambda x: x["block"]), SEPARATOR).alias("context"))
+
+
+#: What precedes and follows a group's context in a prompt; {group} is its value.
+PROMPT = ("Eres un experto. A continuación se presenta información sobre medicamentos del grupo '{group}'.\nGenera una pregunta que se pueda responder solo con ella.\n\n", "\n\nPregunta:")
+
+
+def group_questions(groups: DataFrame, reader: Callable[[str, str], str] = echo_reader, prompt: tuple[str, str] = PROMPT) -> DataFrame:
+    """(value, prompt, question, error) of groups(value, context): the reader is asked once a group; a failure gives its error."""
+    head = F.replace(F.lit(prompt[0]), F.lit("{group}"), F.col("value"))
+    asked = groups.select(F.col("value").alias("query_id"), F.concat(head, F.col("context"), F.lit(prompt[1])).alias("question"))
+    done = answers(asked, groups.select(F.col("value").alias("query_id"), "context"), reader)
+    return done.select(F.col("query_id").alias("value"), F.col("question").alias("prompt"), F.col("generated_answer").alias("question"), "error")

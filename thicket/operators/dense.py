@@ -114,10 +114,19 @@ def hierarchical(documents: DataFrame, chunks: DataFrame, queries: DataFrame, n_
     return ranked(inside, k).select("query_id", "rank", F.col("doc_id").alias("chunk_id"), F.col("parent").alias("doc_id"), "score")
 
 
-def save_index(chunks: DataFrame, documents: DataFrame, path: str) -> None:
-    """chunks(chunk_id, doc_id, text, vector) by range of document, and documents(doc_id, text, vector), as Parquet."""
+def save_index(chunks: DataFrame, documents: DataFrame | None, path: str) -> None:
+    """chunks(chunk_id, doc_id, text, vector) by range of document, and documents(doc_id, text, vector), as Parquet.
+
+    Without documents the index has one stage.
+    """
     chunks.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.mode("overwrite").parquet(f"{path}/chunks")
-    documents.write.mode("overwrite").parquet(f"{path}/documents")
+    if documents is not None:
+        documents.write.mode("overwrite").parquet(f"{path}/documents")
+
+
+def load_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of a saved index of one or two stages; a missing one raises."""
+    return spark.read.parquet(f"{path}/chunks")
 
 
 def load_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thicket.functions.text import spanish_date
+from thicket.functions.text import canonical_doc_id, spanish_date
+from thicket.session import stored
 
 SEPARATOR = "@"
 NUMBER = r"(?:\.|-\.|\.-)?"
@@ -258,6 +259,28 @@ def assemble(docs: DataFrame, master: DataFrame, base: str, key: str = "document
     )
 
 
+def parse_documents(files: DataFrame, master: DataFrame, base: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(structured documents, files left out and why) of Markdown files(name, content) and catalogue records.
+
+    The file name tells the registration; European documents are cut after
+    their last section.  A file without content or without a record is left out.
+    """
+    named = files.select(canonical_doc_id(F.col("name")).alias("document_id"), F.col("content").alias("text"))
+    european = F.startswith("document_id", F.lit("EU"))
+    docs = named.withColumn("text", F.when(european, trim_after_last_section(F.col("text"))).otherwise(F.col("text")))
+    empty = F.coalesce(F.trim("text"), F.lit("")) == ""
+    rows = stored(section_rows(docs.filter(~empty), strict=strict), "sections")
+    none = F.array().cast("array<struct<seccion_id:string,titulo:string,contenido:string,subsecciones:array<struct<seccion_id:string,titulo:string,contenido:string>>>>")
+    parsed = target_species(rows, docs.filter(~empty)).join(section_trees(rows), "document_id", "left").withColumn("secciones", F.coalesce("secciones", none))
+    lost = quarantined(parsed, master)[1]
+    return assemble(parsed, master, base), docs.filter(empty).select("document_id", F.lit("no content").alias("reason")).unionByName(lost)
+
+
+def record_keys(master: DataFrame) -> DataFrame:
+    """(nregistro) of all records."""
+    return master.select("nregistro")
+
+
 def record_names(master: DataFrame) -> DataFrame:
     """(nregistro, nombre) of the records with a name."""
     return master.filter(F.coalesce(F.trim("nombre"), F.lit("")) != "").select("nregistro", "nombre")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thicket.functions.text import fold, fold_accents
+from thicket.functions.text import corpus_words, fold, fold_accents
 from thicket.session import stored
 
 
@@ -85,6 +85,14 @@ def must_regenerate(diff: DataFrame, age_days: float | None, max_age: float = 15
     return bool(n.moved) or bool(n.common) and 100 * n.changed / n.common >= share
 
 
+def refresh(files: DataFrame, old: DataFrame, held: DataFrame, age_days: float | None, base: Sequence[str] = ()) -> tuple[DataFrame, bool]:
+    """(stopwords, whether they were made anew) of files(path, content) after a run that left hashes old(path, sha256) and words held(term)."""
+    if not must_regenerate(changes(old, content_hashes(files)), age_days):
+        return held.select("term"), False
+    words = files.select(F.col("path").alias("doc_id"), F.explode(corpus_words(F.col("content"))).alias("term"))
+    return generate(words, files.count(), base), True
+
+
 def order_preserving_distinct(df: DataFrame, value: str, position: str, partition: Sequence[str] = ()) -> DataFrame:
     """The first occurrence of each value, in order of position."""
     window = Window.partitionBy(*partition, value).orderBy(position)

@@ -143,13 +143,17 @@ al AS (SELECT p_brand AS value, p_partkey::VARCHAR AS id, count(*) OVER (PARTITI
 SELECT value, count(*)::INT AS n_blocks, string_agg(block, chr(10) || chr(10) ORDER BY id) AS context FROM ch JOIN bk USING (id) GROUP BY 1"""
 _NESTED = """SELECT c_custkey, 0 AS at, 'Gatos ' AS nombre, NULL AS especie, true AS es_especie, 'Gato' AS nombre_normalizado FROM customer UNION ALL SELECT c_custkey, 1, 'fiebre', CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Machine' ELSE c_mktsegment END, false, NULL FROM customer UNION ALL SELECT c_custkey, 2, c_mktsegment, NULL, c_mktsegment = 'MACHINERY', CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Machine' END FROM customer"""
 
+_GENERATED = "ts AS (SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM tok GROUP BY 1), n AS (SELECT count(*) AS n FROM documents), sc AS (SELECT term, round(tf / (SELECT sum(tf) FROM ts) * ln(n / df), 12) AS score FROM ts, n WHERE df > 1), lo AS (SELECT term FROM (SELECT term, row_number() OVER (ORDER BY score, term) AS r FROM sc) WHERE r <= greatest(10, floor(0.2 * (SELECT count(*) FROM sc))) AND length(term) > 1), co AS (SELECT term FROM ts, n WHERE df >= greatest(2, n // 2) AND length(term) > 1)"
+_PARSED_MD = "pf AS (SELECT document_id AS k, CASE WHEN document_id % 5 = 0 THEN 'EU/2/24/' || document_id WHEN document_id % 7 = 0 THEN 'X' || document_id ELSE document_id || ' ESP' END AS document_id, CASE WHEN document_id % 9 = 0 THEN ' ' WHEN document_id % 5 = 0 THEN text || chr(10) || '**10. FECHA**' || chr(10) || 'x' || chr(10) ELSE text END AS text FROM md0), md AS (SELECT * FROM pf WHERE trim(text) <> '')"
+_PARSED = f"WITH {_MD.replace('md AS', 'md0 AS', 1)}, {_PARSED_MD}, {_SR[len(_MD) + 2:]}, tr AS (SELECT document_id, string_agg(id, ',' ORDER BY id::INT) AS detail FROM sr WHERE kind = 'section' GROUP BY 1) SELECT md.document_id, coalesce(detail, '') AS detail, true AS kept FROM md LEFT JOIN tr USING (document_id) WHERE k % 5 = 0 OR k % 7 > 0 UNION ALL SELECT document_id, 'no content', false FROM pf WHERE trim(text) = '' UNION ALL SELECT document_id, 'no master record', false FROM md WHERE k % 5 > 0 AND k % 7 = 0"
+
 SQL = {
     "text_normalize": f"SELECT doc_id, (i - 1)::INT AS pos, toks[i] AS term FROM (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS i FROM (SELECT doc_id, list_filter(regexp_extract_all({_FOLD.format('lower(text)')}, '{_W}'), lambda x: x NOT IN ('the', 'de', 'la', 'and')) AS toks FROM documents))",
     "token_df_tf": f"WITH {_TOK} SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM tok GROUP BY 1",
     "accents_fold": f"SELECT doc_id, {_FOLD.format('text')} AS folded FROM documents",
     "dict_translate": rf"SELECT doc_id, CASE WHEN lang = 'es' THEN text ELSE array_to_string(list_transform(list_filter(regexp_split_to_array(trim(lower(text)), '\s+'), lambda x: x <> ''), lambda w: coalesce(element_at({_TRANSLATE}, w)[1], w)), ' ') END AS translated FROM documents",
     "language_route": "SELECT lang AS language, count(*) AS n FROM documents GROUP BY 1",
-    "stopwords_generated": f"WITH {_TOK}, ts AS (SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM tok GROUP BY 1), n AS (SELECT count(*) AS n FROM documents), sc AS (SELECT term, round(tf / (SELECT sum(tf) FROM ts) * ln(n / df), 12) AS score FROM ts, n WHERE df > 1), lo AS (SELECT term FROM (SELECT term, row_number() OVER (ORDER BY score, term) AS r FROM sc) WHERE r <= greatest(10, floor(0.2 * (SELECT count(*) FROM sc))) AND length(term) > 1), co AS (SELECT term FROM ts, n WHERE df >= greatest(2, n // 2) AND length(term) > 1) SELECT DISTINCT {_FOLD.format('term')} AS term FROM (SELECT * FROM lo UNION SELECT * FROM co UNION SELECT 'el' UNION SELECT 'mas')",
+    "stopwords_generated": f"WITH {_TOK}, {_GENERATED} SELECT DISTINCT {_FOLD.format('term')} AS term FROM (SELECT * FROM lo UNION SELECT * FROM co UNION SELECT 'el' UNION SELECT 'mas')",
     "bm25_okapi_topk": f"WITH {_bm25('okapi', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
     "bm25_l_topk": f"WITH {_bm25('l', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
     "bm25_plus_topk": f"WITH {_bm25('plus', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
@@ -204,6 +208,13 @@ SQL = {
     "species_fuzzy": "SELECT lower(trim(p_name)) AS name, lower(trim(p_name)) AS entry, first(p_type ORDER BY p_partkey) AS category, 1.0::DOUBLE AS ratio FROM part GROUP BY lower(trim(p_name))",
     "unmapped_report": f"WITH n AS (SELECT DISTINCT lower(trim(c_mktsegment)) AS a FROM customer), e AS (SELECT * FROM (VALUES (0, 'building', 'b'), (1, 'machinerie', 'm')) t(position, b, category)), u AS (SELECT a FROM n WHERE a NOT IN (SELECT b FROM e)), s AS (SELECT a, category, position, 2 * ({_LCS}) / (length(a) + length(b)) AS ratio FROM u, e WHERE abs(length(a) - length(b)) <= 5), m AS (SELECT a, category FROM s WHERE ratio >= 0.85 QUALIFY row_number() OVER (PARTITION BY a ORDER BY ratio DESC, position) = 1) SELECT a AS name, coalesce(category, 'None') AS closest, '' AS suggestion FROM u LEFT JOIN m USING (a)",
     "species_groups": "SELECT DISTINCT source, count(*) OVER (PARTITION BY source) AS n, doc_id AS number, doc_id::VARCHAR AS doc_id FROM (SELECT DISTINCT source, doc_id FROM documents)",
+    "catalogue_keys": "SELECT p_partkey::VARCHAR AS nregistro FROM part",
+    "parser_run": _PARSED,
+    "last_section_trim": "SELECT doc_id, text || CASE WHEN doc_id % 2 = 0 THEN chr(10) || '**10. FECHA**' || chr(10) || 'x' ELSE chr(10) || '10.5 no-----' END AS text FROM documents",
+    "single_stage_search": f"WITH {_V}, {_top('sc', 5, 'r')} SELECT * FROM r",
+    "stopword_refresh": f"WITH tok AS (SELECT doc_id, unnest({_CORPUS}) AS term FROM documents), {_GENERATED} SELECT 'kept' AS term, false AS made UNION ALL SELECT DISTINCT {_FOLD.format('term')}, true FROM (SELECT * FROM lo UNION SELECT * FROM co UNION SELECT 'el')",
+    "regenerate_decisions": "WITH c AS (SELECT count(*) FILTER (WHERE doc_id % 2 = 0 AND upper(text) <> text) / count(*) AS two, count(*) FILTER (WHERE doc_id % 3 = 0 AND upper(text) <> text) / count(*) AS three FROM documents) SELECT 1 AS every, 1.0::DOUBLE AS age, true AS again UNION ALL SELECT 2, 1.0, two >= 0.5 FROM c UNION ALL SELECT 3, 1.0, three >= 0.5 FROM c UNION ALL SELECT 3, 16.0, true UNION ALL SELECT 3, NULL, true",
+    "group_questions": f"SELECT value, 'Eres un experto. A continuación se presenta información sobre medicamentos del grupo ' || chr(39) || value || chr(39) || '.' || chr(10) || 'Genera una pregunta que se pueda responder solo con ella.' || chr(10) || chr(10) || context || chr(10) || chr(10) || 'Pregunta:' AS prompt, substring(string_split(context, '. ')[1], 1, 200) AS question, NULL::VARCHAR AS error FROM (WITH {_CONTEXT})",
     "dense_topk": f"WITH {_V}, {_top('sc', 10, 'r')} SELECT * FROM r",
     "dense_doc_topk": f"WITH {_V}, {_MEAN}, {_top('ds', 3, 'r')} SELECT * FROM r",
     "hierarchical_exact": f"WITH {_V}, {_MEAN}, {_top('ds', 3, 's1')}, i AS (SELECT x.query_id, x.doc_id AS chunk_id, label, x.score FROM {_INSIDE.format(src='sc')}) SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank, chunk_id, label AS doc_id, score FROM i) WHERE rank <= 10",

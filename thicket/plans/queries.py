@@ -403,6 +403,57 @@ def catalogue_names(spark, sf_dir):
     return documents.record_names(_master(spark, sf_dir).withColumn("nombre", F.when(F.col("nregistro").cast("long") % 11 > 0, F.col("nombre")).otherwise(" ")))
 
 
+def catalogue_keys(spark, sf_dir):
+    return documents.record_keys(_master(spark, sf_dir))
+
+
+def parser_run(spark, sf_dir):
+    """Headed texts as files named after registrations, some empty, some European with an appendix, some unknown to the catalogue."""
+    text = F.when(F.col("document_id") % 9 == 0, F.lit(" ")).when(F.col("document_id") % 5 == 0, F.concat("text", F.lit("\n**10. FECHA**\nx\n-----\n**9. AFTER**\ny"))).otherwise(F.col("text"))
+    number = F.col("document_id").cast("string")
+    name = F.when(F.col("document_id") % 5 == 0, F.concat(F.lit("EU-2-24-"), number)).when(F.col("document_id") % 7 == 0, F.concat(F.lit("FT_X"), number)).otherwise(F.concat(F.lit("FT_"), number, F.lit("_ESP")))
+    files = _markdown(spark, sf_dir).select(name.alias("name"), text.alias("content"))
+    master = _master(spark, sf_dir)
+    known = F.when(F.col("nregistro").cast("long") % 5 == 0, F.concat(F.lit("EU/2/24/"), "nregistro")).otherwise(F.concat("nregistro", F.lit(" ESP")))
+    done, lost = documents.parse_documents(files, master.withColumn("nregistro", known), "https://example.org/", strict=True)
+    rows = done.select("document_id", F.array_join(F.transform("secciones", lambda s: s["seccion_id"]), ",").alias("detail"))
+    return rows.withColumn("kept", F.lit(True)).unionByName(lost.select("document_id", F.col("reason").alias("detail")).withColumn("kept", F.lit(False)))
+
+
+def last_section_trim(spark, sf_dir):
+    tail = F.when(F.col("doc_id") % 2 == 0, F.lit("\n**10. FECHA**\nx-----\nrest-----")).otherwise(F.lit("\n10.5 no-----"))
+    return table(spark, sf_dir, "documents").select("doc_id", documents.trim_after_last_section(F.concat("text", tail)).alias("text"))
+
+
+def single_stage_search(spark, sf_dir):
+    """An index of chunks alone, stored, loaded and searched."""
+    path = scratch(spark, "single")
+    dense.save_index(_grouped_chunks(spark, sf_dir), None, path)
+    return dense.top_k(dense.load_chunks(spark, path).select(F.col("chunk_id").alias("doc_id"), "vector"), vector_queries(spark, sf_dir), 5)
+
+
+def stopword_refresh(spark, sf_dir):
+    """One run too early to make new words, and one whose files have changed."""
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    held = spark.createDataFrame([("kept",)], "term string")
+    same, no = stopwords.refresh(files, stopwords.content_hashes(files), held, 1)
+    new, yes = stopwords.refresh(files, stopwords.content_hashes(files.filter("path <> '0'")), held, 1, ("él",))
+    return same.select("term", F.lit(no).alias("made")).unionByName(new.select("term", F.lit(yes).alias("made")))
+
+
+def regenerate_decisions(spark, sf_dir):
+    """Whether to make stopwords anew for several shares of changed files and ages."""
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    old = stopwords.content_hashes(files)
+    changed = lambda n: stopwords.content_hashes(files.withColumn("content", F.when(F.expr(f"path % {n} = 0"), F.upper("content")).otherwise(F.col("content"))))
+    rows = [(n, age, stopwords.must_regenerate(stopwords.changes(old, changed(n)), age)) for n, age in ((1, 1.0), (2, 1.0), (3, 1.0), (3, 16.0), (3, None))]
+    return spark.createDataFrame(rows, "every int, age double, again boolean")
+
+
+def group_questions(spark, sf_dir):
+    return context.group_questions(record_contexts(spark, sf_dir))
+
+
 def record_chunks(spark, sf_dir):
     return documents.section_chunks(_records(spark, sf_dir)).withColumn("path", F.array_join("path", " > "))
 
@@ -662,7 +713,7 @@ chunk_flatten essential_text complete_text id_codecs link_extract change_feed_fi
 unmapped_report dedup_ordered seeded_sample chat_turns
 bm25_normalised_topk bm25_stemmed_topk bm25_stored_topk vector_index_statistics vector_look_up uncovered_chunks document_assembly unmatched_documents catalogue_names
 record_chunks essential_fallback antibiotic_details nested_names record_contexts path_parts text_tools text_folder_scan folder_profile file_digests convert_files
-json_lines_scan json_values catalogue_merge text_lines paged_scan key_look_up interstitial_links mapping_round_trip run_metrics ingest_run bpe_counts""".split()
+json_lines_scan json_values catalogue_merge text_lines paged_scan key_look_up interstitial_links mapping_round_trip run_metrics ingest_run bpe_counts catalogue_keys parser_run last_section_trim single_stage_search stopword_refresh regenerate_decisions group_questions""".split()
 
 
 def queries() -> dict:

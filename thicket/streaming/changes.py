@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,16 @@ def next_state(state: dict, n_rows: int, now: str) -> tuple[dict, bool]:
     return {"last_execution": now, "consecutive_empty_responses": 0 if full else empty}, full
 
 
+def poll(spark: SparkSession, fetch: Callable[[str | None], list[dict]], state: dict, now: str, kind: str = "ft") -> tuple[DataFrame, dict, bool]:
+    """(changed ids, state to store once the run has succeeded, whether to refresh everything).
+
+    fetch(last_execution) gives the rows {nregistro, cambio} of the feed since then.
+    """
+    rows = [(r.get("nregistro"), r.get("cambio") or []) for r in fetch(state.get("last_execution"))]
+    feed = spark.createDataFrame(rows, "nregistro string, cambio array<string>")
+    return changed_ids(feed, kind), *next_state(state, len(rows), now)
+
+
 def upsert(current: DataFrame, changes: DataFrame, key: str, version: str) -> DataFrame:
     """The last version of each key of both tables."""
     return latest(current.unionByName(changes, allowMissingColumns=True), key, F.desc_nulls_last(version))
