@@ -48,6 +48,8 @@ CLOSES_P = BLOCK - frozenset("body html tbody thead tfoot tr td th li dd dt opti
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tfoot", "tr", "td", "th"}, "thead": {"tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl select article section div body html main".split())
 NAMED = frozenset("nav navbar navigation menu sidebar sidenav footer masthead breadcrumb breadcrumbs ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice alert popup modal newsletter subscribe signup login share sharing social related recommended comment comments disqus replies respond pagination pager toolbar complementary contentinfo dialog menubar search form".split())
+#: Names that no evidence overrides: readers' comments and adverts can be long.
+CERTAIN = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsored comment comments disqus replies respond cookie cookies consent gdpr".split())
 HOLDERS = frozenset("list box bar area section wrapper wrap container block slot form link links menu item items unit panel overlay buttons header footer".split())
 
 TOKEN = re.compile(
@@ -79,16 +81,17 @@ def kind_of(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(set(names))])
 
 
-def named(kind: str) -> bool:
-    """Whether a kind's tag, role or classes name page furniture."""
+def named(kind: str) -> str:
+    """Whether a kind's tag, role or classes name page furniture: '' for no, 'certain' for what no evidence overrides."""
     tag, *names = kind.split(".")
     if tag in FURNITURE:
-        return True
+        return "certain"
+    found = ""
     for name in names:
         words = re.split(r"[-_]+", name.removeprefix("role="))
-        if words[-1] in NAMED and words[-1] not in HOLDERS or name in NAMED or words[0] in NAMED and words[-1] in HOLDERS:
-            return True
-    return False
+        word = words[-1] if words[-1] in NAMED and words[-1] not in HOLDERS else name if name in NAMED else words[0] if words[0] in NAMED and words[-1] in HOLDERS else ""
+        found = "certain" if word in CERTAIN else found or word
+    return found
 
 
 def parse(page: str) -> list:
@@ -315,7 +318,8 @@ def _template(part: list, kind: str, whole: list, mass: dict, region: int) -> bo
     tag = kind.split(".", 1)[0]
     text, link = mass[id(part)]
     sure = part[PAGES] >= ENOUGH_PAGES
-    if named(kind) and not (sure and tag not in FURNITURE and region and text >= CLEARED * region):
+    name = named(kind)
+    if name == "certain" or name and not (sure and region and text >= CLEARED * region):
         return True
     return tag in LISTS and sure and 2 * part[PAGES] >= whole[PAGES] and link > 0 and link >= LINKED * (text + link)
 
@@ -334,10 +338,11 @@ def plan(whole: list) -> list:
             tag = k.split(".", 1)[0]
             for p in parts:
                 text = mass[id(p)][0]
-                if tag in FURNITURE or named(k) and text < CLEARED * mass[id(at)][0]:
+                name = named(k)
+                if name == "certain" or name and text < CLEARED * mass[id(at)][0]:
                     continue
                 sum_ += text
-                weight = text * (2 if tag in ("article", "main") or ".role=main" in k else 0.5 if named(k) else 1)
+                weight = text * (2 if tag in ("article", "main") or ".role=main" in k else 0.5 if name else 1)
                 if tag in CONTAINERS and (tag != "span") and weight > most:
                     best, most = (p, k), weight
         own = mass[id(at)][0] - sum(mass[id(p)][0] for parts in at[KIDS].values() for p in parts)
