@@ -16,8 +16,8 @@ import numpy as np
 
 from thicket.llm.runtime import open_shared
 
-#: Widths that low bits are stored in: one or two arrays of unsigned integers.
-WIDTHS = {8: (8,), 16: (16,), 24: (16, 8), 32: (32,), 40: (32, 8), 48: (32, 16)}
+#: Widths that low bits are stored in, each as arrays of unsigned integers; the last 4 bits of a width lie two to a byte.
+WIDTHS = {4: (4,), 8: (8,), 12: (8, 4), 16: (16,), 20: (16, 4), 24: (16, 8), 28: (16, 8, 4), 32: (32,), 36: (32, 4), 40: (32, 8), 44: (32, 8, 4), 48: (32, 16)}
 _SELECT = np.full((256, 8), 8, np.uint8)
 for _byte in range(256):
     for _k, _bit in enumerate([i for i in range(8) if not _byte >> i & 1]):
@@ -27,12 +27,17 @@ for _byte in range(256):
 def build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     """Arrays of the sequence; values are unsigned, sorted and below universe."""
     n = len(values)
-    ideal = max(0, int(universe).bit_length() - max(1, n).bit_length())
-    low = next((w for w in WIDTHS if w >= ideal), 48)
+    share = universe / max(1, n)
+    # Of the widths, the one of the least size: low bits, and a bit for each element and bucket.
+    low = min(WIDTHS, key=lambda w: (w + 1 + share / 2.0**w, w))
     out: dict[str, np.ndarray] = {"meta": np.array([n, low, (universe - 1 >> low) + 1 if universe else 0], np.int64)}
     rest = values.astype(np.uint64)
     for k, width in enumerate(WIDTHS[low]):
-        out[f"low{k}"] = (rest & np.uint64((1 << width) - 1)).astype(f"u{width // 8}")
+        part = (rest & np.uint64((1 << width) - 1)).astype(f"u{max(1, width // 8)}")
+        if width == 4:
+            part = np.append(part, np.zeros(n % 2, np.uint8))
+            part = part[::2] | part[1::2] << 4
+        out[f"low{k}"] = part
         rest = rest >> np.uint64(width)
     high = rest.astype(np.int64)
     bits = np.zeros((int(out["meta"][2]) + n + 7) // 8 * 8 + 8, np.uint8)
@@ -47,13 +52,35 @@ def build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
 class EliasFano:
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.n, self.low_bits, self.buckets = (int(x) for x in arrays["meta"])
-        self.lows = [arrays[f"low{k}"] for k in range(len(WIDTHS[self.low_bits]))]
+        widths = WIDTHS[self.low_bits]
+        self.lows = [(arrays[f"low{k}"], w, np.uint64(sum(widths[:k]))) for k, w in enumerate(widths)]
         self.words, self.zeros = arrays["bits"].view(np.uint64), arrays["zeros"]
 
-    def _ends(self, bucket: np.ndarray) -> np.ndarray:
-        """Index after the last element of each bucket: position of its zero, less the zeros before."""
-        word = np.searchsorted(self.zeros, bucket, side="right") - 1
-        left = (bucket - self.zeros[word]).astype(np.int64)
+    def _bounds(self, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the first element, index after the last) of each bucket.
+
+        The ones right before the bucket's zero are its elements; where they
+        reach the start of a word, the zero before is looked for as well.
+        """
+        word, place = self._zero(bucket)
+        end = word * 64 + place - bucket
+        below = self.words[word] << (np.uint64(63) - place.astype(np.uint64)) << np.uint64(1)  # the bits before, at the top
+        rest = ~below
+        for shift in (1, 2, 4, 8, 16, 32):
+            rest |= rest >> np.uint64(shift)
+        run = 64 - np.bitwise_count(rest).astype(np.int64)  # leading ones
+        start = end - run
+        open_ = np.flatnonzero(run >= place)
+        if len(open_):
+            first = bucket[open_] == 0
+            word, place = self._zero(np.where(first, 0, bucket[open_] - 1))
+            start[open_] = np.where(first, 0, word * 64 + place - (bucket[open_] - 1))
+        return start, end
+
+    def _zero(self, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, place in it) of the zero that ends each bucket."""
+        word = np.searchsorted(self.zeros, bucket.astype(self.zeros.dtype), side="right") - 1
+        left = bucket - self.zeros[word]
         free = ~self.words[word]
         at = np.zeros(len(bucket), np.uint64)
         for width in (32, 16, 8):  # halves, until the byte that holds the zero asked for
@@ -63,13 +90,13 @@ class EliasFano:
             step = np.where(over, np.uint64(width), np.uint64(0))
             at += step
             free >>= step
-        inside = _SELECT[~free.astype(np.uint8), left]
-        return word * 64 + at.astype(np.int64) + inside - bucket
+        return word, at.astype(np.int64) + _SELECT[~free.astype(np.uint8), left]
 
     def _low(self, at: np.ndarray) -> np.ndarray:
-        out = self.lows[0][at].astype(np.uint64)
-        if len(self.lows) == 2:
-            out |= self.lows[1][at].astype(np.uint64) << np.uint64(32 if self.low_bits > 32 else 16)
+        out = None
+        for held, width, shift in self.lows:
+            part = held[at] if width > 4 else held[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15
+            out = part.astype(np.uint64) << shift if out is None else out | part.astype(np.uint64) << shift
         return out
 
     def values(self) -> np.ndarray:
@@ -87,20 +114,29 @@ class EliasFano:
         values = values.astype(np.uint64)
         bucket = (values >> np.uint64(self.low_bits)).astype(np.int64)
         low = values & np.uint64((1 << self.low_bits) - 1)
-        hi = self._ends(bucket)
-        lo = np.zeros_like(hi)
-        some = bucket > 0
-        lo[some] = self._ends(bucket[some] - 1)
-        end = hi.copy()
-        open_ = np.flatnonzero(lo < hi)
-        while len(open_):
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self._low(mid) < low[open_]
-            lo[open_[less]] = mid[less] + 1
-            hi[open_[~less]] = mid[~less]
-            open_ = open_[lo[open_] < hi[open_]]
-        inside = lo < end
+        lo, end = self._bounds(bucket)
+        # Most buckets hold few elements: step through them, and halve what is left of the others.
         equal = np.zeros(len(values), bool)
+        open_ = np.flatnonzero(lo < end)
+        at, until, asked = lo[open_], end[open_], low[open_]
+        for _ in range(4):
+            here = self._low(at)
+            less = here < asked
+            equal[open_[here == asked]] = True
+            at = at + less
+            on = less & (at < until)
+            lo[open_[~on]] = at[~on]
+            open_, at, until, asked = open_[on], at[on], until[on], asked[on]
+            if not len(open_):
+                return lo, equal
+        while len(open_):
+            mid = (at + until) >> 1
+            less = self._low(mid) < asked
+            at, until = np.where(less, mid + 1, at), np.where(less, until, mid)
+            on = at < until
+            lo[open_[~on]] = at[~on]
+            open_, at, until, asked = open_[on], at[on], until[on], asked[on]
+        inside = np.flatnonzero(~equal & (lo < end))
         equal[inside] = self._low(lo[inside]) == low[inside]
         return lo, equal
 
@@ -127,7 +163,7 @@ def read_arrays(path: str) -> dict[str, np.ndarray]:
     """The arrays of a level file, mapped where the shared folder is mounted."""
     url = urlparse(path)
     if url.scheme in ("", "file"):
-        raw = np.memmap(url.path, np.uint8, "r")
+        raw = np.memmap(url.path, np.uint8, "r").view(np.ndarray)
     else:
         with open_shared(path, "rb") as f:
             raw = np.frombuffer(f.read(), np.uint8)

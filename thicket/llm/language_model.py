@@ -21,8 +21,9 @@ k counts the different successors of a context.  The end of a text is a token
 and the context of the first word, which has no longer one.  Nothing is pruned.
 
 Tasks that read texts sum the n-grams of a piece of text and send them on as
-sorted, packed blobs, one for each block; a block's task merges them and writes
-its file.  The files are only mapped by the tasks that score.
+sorted, packed blobs, one for each block; a triple goes with its first pair, so
+the task of a block has the pairs and the triples that begin with them, and
+writes the files of both.  The files are only mapped by the tasks that score.
 """
 
 from __future__ import annotations
@@ -39,9 +40,10 @@ from pyspark.sql import functions as F
 
 from thicket.llm import tokens
 from thicket.llm.elias_fano import EliasFano, build, read_arrays, write_arrays
+from thicket.llm.ranges import slot_of, slots
 from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, workspace
 
-PIECE = 2 << 20
+PIECE = 4 << 20
 #: Discount of counts, the largest code, orders of the model, and n-grams for which a block is meant.
 DISCOUNT, TOP_CODE, ORDERS, BLOCK = 0.5, 65535, 3, 2 << 20
 ALPHA = 0.1
@@ -57,31 +59,19 @@ def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         yield lo, hi, np.insert(words, np.cumsum(counts), END), counts + 1
 
 
-@lean
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, words, _ in _words(batch.column(0)):
-            unique, n = np.unique(words, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+def _count_words(bits: int):
+    """(block, blob) of the words of each piece of text, a shard being a block."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, words, _ in _words(batch.column(0)):
+                unique, n = np.unique(words, return_counts=True)
+                cuts = np.searchsorted(unique >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64))
+                shards = [s for s in range(1 << bits) if cuts[s] < cuts[s + 1]]
+                blobs = [pack(unique[cuts[s] : cuts[s + 1]], n[cuts[s] : cuts[s + 1]]) for s in shards]
+                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(first column, the other columns as arrays) of batches sorted by the first column."""
-    current, parts = None, []
-    for batch in batches:
-        key = batch.column(0).to_numpy()
-        rest = [batch.column(k).to_numpy() for k in range(1, batch.num_columns)]
-        cuts = np.flatnonzero(np.diff(key)) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(key)]):
-            if lo == hi:
-                continue
-            if current is not None and key[lo] != current:
-                yield current, [np.concatenate(p) for p in zip(*parts)]
-                parts = []
-            current = int(key[lo])
-            parts.append([r[lo:hi].copy() for r in rest])
-    if current is not None:
-        yield current, [np.concatenate(p) for p in zip(*parts)]
+    return lean(run)
 
 
 def _store(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
@@ -98,10 +88,9 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
 def _write_words(folder: str, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
-        for shard, (word, n) in _grouped(batches):
-            word = word.view(np.uint64)
+        for shard, word, n in _merged(batches):
             sequence = build(word - np.uint64(shard << (64 - bits)), 1 << (64 - bits))
-            _store(folder, f"words-{shard}", sequence | {"counts": n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64)})
+            _store(folder, f"words-{shard}", sequence | {"counts": _narrow(n)})
             done.append((shard, len(word), int(n.sum())))
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in range(3)], ["shard", "words", "tokens"])
 
@@ -122,6 +111,33 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gaps, dtype=np.uint64), np.frombuffer(blob, f"<u{size}", n, 24 + gaps.nbytes).astype(np.int64)
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")  # runs of sorted keys are merged
+    keys, counts = keys[order], counts[order]
+    heads = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+    return keys[heads], np.add.reduceat(counts, heads)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, keys, counts) of each block, whose blobs follow each other; no more waits than its size and WAITING entries."""
+    current, parts, waiting = None, [], 0
+    for batch in batches:
+        for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if block != current:
+                if current is not None:
+                    yield current, *_summed(parts)
+                current, parts, waiting = block, [], 0
+            parts.append(unpack(blob.as_buffer()))
+            waiting += len(parts[-1][0])
+            if waiting > max(WAITING, 2 * len(parts[0][0])):
+                parts, waiting = [_summed(parts)], 0
+    if current is not None:
+        yield current, *_summed(parts)
+
+
 class Level:
     """The grid of an order's blocks: where contexts' shards and words' groups start, and how many n-grams each block has."""
 
@@ -139,12 +155,16 @@ class Level:
     def shard_size(self, shard: int) -> int:
         return int(self.contexts[shard + 1] - self.contexts[shard])
 
-    def place(self, context: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(block, where its n-grams are among the given ones, their numbers in ascending order)."""
+    def numbers(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(block, number in it) of n-grams."""
         shard = np.searchsorted(self.contexts, context, side="right") - 1
         group = np.searchsorted(self.words, word, side="right") - 1
         block = (shard * self.groups + group).astype(np.uint16 if self.blocks < 1 << 16 else np.uint32)
-        value = ((context - self.contexts[shard]) * (self.words[group + 1] - self.words[group]) + word - self.words[group]).astype(np.uint64)
+        return block, ((context - self.contexts[shard]) * (self.words[group + 1] - self.words[group]) + word - self.words[group]).astype(np.uint64)
+
+    def place(self, context: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(block, where its n-grams are among the given ones, their numbers in ascending order)."""
+        block, value = self.numbers(context, word)
         order = np.argsort(block, kind="stable")
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(block[order])) + 1, [len(order)]])
         for lo, hi in zip(bounds[:-1], bounds[1:]):
@@ -238,76 +258,116 @@ class Run:
 
     def longer(self, model: Model, order: int, codes: bool = False, backoff: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(known, ids, logs, weights) of the n-grams that end at each token; known tells where it was looked for."""
-        if order == 2:
-            context = self.before
-        else:
-            shorter = self.longer(model, order - 1)[1] if order > 3 else self.pairs
+        context = self.before
+        if order == 3:
             context = np.empty_like(self.ids)
-            context[1:] = shorter[:-1]
+            context[1:] = self.pairs[:-1]
             context[self.first] = -1
         known = np.flatnonzero((context >= 0) & (self.ids >= 0))
         ids, logs, weights = np.full(len(context), -1, np.int64), np.full(len(context), np.nan), np.zeros(len(context))
         ids[known], logs[known], weights[known] = model.find(order, context[known], self.ids[known], codes, backoff)
-        self.context = context
         return known, ids, logs, weights
 
 
 def _count(model: Model, level: Level):
-    """(block, blob) of the n-grams of each piece of text."""
+    """(block, blob, triples) of each piece of text: its pairs in the block, and the triples that begin with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, words, counts in _words(batch.column(0)):
-                r = Run(words, counts, model, False)
-                context = r.before
-                if level.order == 3:
-                    pairs = model.find(2, r.before, r.ids, False, False)[0]  # all words are of the training part
-                    context = np.empty_like(pairs)
-                    context[1:] = pairs[:-1]
-                    context[r.first] = -1
-                some = np.flatnonzero(context >= 0)
-                blocks, blobs = [], []
-                for block, _, value in level.place(context[some], r.ids[some]):
-                    heads = np.concatenate([[0], np.flatnonzero(np.diff(value)) + 1])
+                r = Run(words, counts, model, False)  # all words are of the training part
+                follows = np.ones(len(words), bool)
+                follows[np.cumsum(counts) - 1] = False
+                blocks, blobs, triples = [], [], []
+                for block, part, value in level.place(r.before, r.ids):
+                    new = np.concatenate([[True], value[1:] != value[:-1]])
+                    heads = np.flatnonzero(new)
                     blocks.append(block)
                     blobs.append(pack(value[heads], np.diff(np.append(heads, len(value)))))
-                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
+                    some = follows[part]
+                    pair = (np.cumsum(new) - 1)[some]
+                    triples.append(pack_triples(len(heads), pair, r.ids[part[some] + 1]))
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(blobs, pa.binary()), pa.array(triples, pa.binary())], ["block", "blob", "triples"])
 
     return lean(run)
 
 
-def _merge(folder: str, level: Level):
-    """Writes the keys and counts of each block, whose blobs follow each other; yields (block, size)."""
+#: Bits of a word's id in a number that holds a pair's place before it.
+WORD_BITS = np.uint64(40)
+
+
+def pack_triples(n: int, pair: np.ndarray, word: np.ndarray) -> bytes:
+    """Of each of n pairs, by place, how many words follow it, and these words with their counts."""
+    keys = np.sort((pair.astype(np.uint64) << WORD_BITS) | word.astype(np.uint64))
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return _triple_bytes(*_split(n, keys[heads]), np.diff(np.append(heads, len(keys))))
+
+
+def _split(n: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.bincount((keys >> WORD_BITS).astype(np.int64), minlength=n), keys & np.uint64((1 << int(WORD_BITS)) - 1)
+
+
+def _triple_bytes(kinds: np.ndarray, word: np.ndarray, counts: np.ndarray) -> bytes:
+    kinds, counts = _narrow(kinds), _narrow(counts)
+    wide = len(word) > 0 and int(word.max()) >= 1 << 32
+    return np.array([len(kinds), len(word), kinds.itemsize, wide, counts.itemsize], "<u8").tobytes() + kinds.tobytes() + word.astype("<u8" if wide else "<u4").tobytes() + counts.tobytes()
+
+
+def unpack_triples(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, m, kind, wide, size = (int(x) for x in np.frombuffer(blob, "<u8", 5))
+    kinds = np.frombuffer(blob, f"<u{kind}", n, 40)
+    word = np.frombuffer(blob, "<u8" if wide else "<u4", m, 40 + kinds.nbytes)
+    return kinds.astype(np.int64), word, np.frombuffer(blob, f"<u{size}", m, 40 + kinds.nbytes + word.nbytes)
+
+
+def _joined_triples(pairs: np.ndarray, items: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of pair's place and word, counts) of items(pairs, kinds, words, counts) over the sorted pairs that hold all of theirs."""
+    keys = [(np.repeat(np.searchsorted(pairs, own).astype(np.uint64), kinds) << WORD_BITS) | word for own, kinds, word, _ in items]
+    return _summed([(k, c.astype(np.int64)) for k, (*_, c) in zip(keys, items)])
+
 
-    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
-        order = np.argsort(keys, kind="stable")  # runs of sorted keys are merged
-        keys, counts = keys[order], counts[order]
-        heads = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
-        return keys[heads], np.add.reduceat(counts, heads)
+def _merge(folder: str, level: Level, vocabulary: int, orders: int):
+    """Writes keys and counts of each block's pairs and of the triples that begin with them; yields (block, pairs, triples)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts, waiting, done = None, [], 0, []
+        current, parts, items, waiting, done = None, [], [], 0, []
+
+        def compact() -> np.ndarray:
+            nonlocal parts, waiting
+            parts = [_summed(parts)]
+            pairs = parts[0][0]
+            if items and orders > 2:
+                keys, counts = _joined_triples(pairs, items)
+                items[:] = [(pairs, *_split(len(pairs), keys), counts)]
+            waiting = 0
+            return pairs
 
         def close() -> None:
-            keys, counts = summed(parts)
+            pairs = compact()
             shard = current // level.groups
-            _store(folder, f"keys{level.order}-{current}", build(keys, max(1, level.shard_size(shard) * level.width(current))) | {"counts": _narrow(counts)})
-            done.append((current, len(keys)))
+            _store(folder, f"keys2-{current}", build(pairs, max(1, level.shard_size(shard) * level.width(current))) | {"counts": _narrow(parts[0][1])})
+            triples = 0
+            if orders > 2:
+                _, kinds, word, counts = items[0]
+                triples = len(word)
+                keys = np.repeat(np.arange(len(pairs), dtype=np.uint64), kinds) * np.uint64(vocabulary) + word
+                _store(folder, f"keys3-{current}", build(keys, max(1, len(pairs) * vocabulary)) | {"counts": _narrow(counts)})
+            done.append((current, len(pairs), triples))
 
         for batch in batches:
-            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for block, blob, more in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 if block != current:
                     if current is not None:
                         close()
-                    current, parts, waiting = block, [], 0
+                    current, parts, items, waiting = block, [], [], 0
                 parts.append(unpack(blob.as_buffer()))
-                waiting += len(parts[-1][0])
-                if waiting > max(WAITING, 2 * len(parts[0][0])):
-                    parts, waiting = [summed(parts)], 0
+                items.append((parts[-1][0], *unpack_triples(more.as_buffer())))
+                waiting += len(parts[-1][0]) + len(items[-1][2])
+                if waiting > max(WAITING, 2 * (len(parts[0][0]) + len(items[0][2]))):
+                    compact()
         if current is not None:
             close()
-        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in range(2)], ["block", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in range(3)], ["block", "pairs", "triples"])
 
     return lean(run)
 
@@ -411,7 +471,7 @@ def _starts(bases: np.ndarray, groups: int) -> np.ndarray:
 
 
 def train(texts: DataFrame, folder: str, orders: int = ORDERS) -> Model:
-    """Counts texts(text), writes the level files below folder and returns the model."""
+    """Counts texts(text), writes the level files below folder and returns the model of 2 or 3 orders."""
     spark = texts.sparkSession
     text = texts.select(F.col("text").cast("string").alias("text"))
     # About six bytes a token; only the number of blocks depends on it.
@@ -419,26 +479,26 @@ def train(texts: DataFrame, folder: str, orders: int = ORDERS) -> Model:
     blocks = max(4, -(-guess // BLOCK))
     bits = max(1, min(16, (blocks - 1).bit_length() // 2))
     n = 1 << bits
-    words = text.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    sharded = words.select(F.shiftrightunsigned("word", 64 - bits).alias("shard"), "word", "n").repartition(n, "shard").sortWithinPartitions("shard", F.col("word").bitwiseXOR(F.lit(-(1 << 63))))
+    dealt = lambda counted, k: counted.withColumn("slot", slot_of(F.col("block"), slots(spark, k))).repartition(k, "slot").sortWithinPartitions("block").drop("slot")
+    sharded = dealt(text.mapInArrow(_count_words(bits), "block long, blob binary"), n)
     sizes, total = [0] * n, 0
     for r in materialise(sharded.mapInArrow(_write_words(folder, bits), "shard long, words long, tokens long"), "shards").collect():  # one row a shard
         sizes[r.shard] = r.words
         total += r.tokens
     model = Model(folder, bits, sizes, total)
-    starts = model.bases
-    for order in range(2, orders + 1):
-        shards = len(starts) - 1
-        level = Level(order, starts, _starts(model.bases, max(1, -(-blocks // shards))))
-        dealt = text.mapInArrow(_count(model, level), "block long, blob binary").repartition(level.blocks, "block").sortWithinPartitions("block")
-        found = np.zeros(level.blocks, np.int64)
-        for r in materialise(dealt.mapInArrow(_merge(folder, level), "block long, size long"), "blocks").collect():  # one row a block
-            found[r.block] = r.size
-        level = Level(order, starts, level.words, found)
-        for count, step in ((shards, _write_backoff), (level.blocks, _write_codes)):
+    level = Level(2, model.bases, _starts(model.bases, max(1, -(-blocks // n))))
+    counted = text.mapInArrow(_count(model, level), "block long, blob binary, triples binary")
+    merged = dealt(counted, level.blocks).mapInArrow(_merge(folder, level, model.vocabulary, orders), "block long, pairs long, triples long")
+    pairs, triples = np.zeros(level.blocks, np.int64), np.zeros(level.blocks, np.int64)
+    for r in materialise(merged, "blocks").collect():  # one row a block
+        pairs[r.block], triples[r.block] = r.pairs, r.triples
+    levels = [Level(2, level.contexts, level.words, pairs)]
+    if orders > 2:
+        levels.append(Level(3, levels[0].bases, np.array([0, model.vocabulary], np.int64), triples))
+    for level in levels:
+        for count, step in ((len(level.contexts) - 1, _write_backoff), (level.blocks, _write_codes)):
             spark.range(0, count, 1, count).mapInArrow(step(folder, model, level), "id long").write.format("noop").mode("overwrite").save()
-        model.levels[order] = level
-        starts = level.bases
+        model.levels[level.order] = level
     return model
 
 

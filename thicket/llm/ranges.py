@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,18 @@ def range_id(column: Column, bounds: list[int]) -> Column:
     return F.coalesce(F.when(column.isNull(), 0).otherwise(F.greatest((group - 1) * width + inside - 1, F.lit(0))), F.lit(0))
 
 
+def slots(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions a number that Spark's hash puts there, so that repartition(n, slot) deals one group to each."""
+    found = spark.range(32 * n + 64).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("at")).agg(F.min("id").alias("id"))
+    held = {r.at: r.id for r in found.collect()}  # one row a partition
+    return [held.get(i, i) for i in range(n)]
+
+
+def slot_of(column: Column, found: list[int]) -> Column:
+    """The slot of a number from 0."""
+    return F.element_at(F.array(*[F.lit(x).cast("long") for x in found]), (column + 1).cast("int"))
+
+
 def locate(bounds: list[int], value: int) -> int:
     """The same on the driver."""
     return max(0, bisect_right(bounds, value) - 1)
