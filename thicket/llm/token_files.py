@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
-from thicket.llm.ranges import range_bounds, range_id
+from thicket.llm.ranges import range_bounds, range_id, slot_of, slots
 from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, open_shared, workspace
 
 LENGTH, ROWS = 1024, 64
@@ -223,10 +223,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     shard = range_id(F.col("doc_id"), bounds).cast("long")
     # One partition a shard: a shard's slot is a number that Spark's hash puts there.
     n = max(1, len(bounds))
-    slots = spark.range(32 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("at")).agg(F.min("id").alias("id"))
-    slot_of = {r.at: r.id for r in slots.collect()}  # one row a shard
-    slot = F.element_at(F.array(*[F.lit(slot_of.get(i, i)).cast("long") for i in range(n)]), (shard + 1).cast("int"))
-    dealt = rows.select(shard.alias("shard"), "doc_id", "text").withColumn("slot", slot).repartition(n, "slot").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first())
+    dealt = rows.select(shard.alias("shard"), "doc_id", "text").withColumn("slot", slot_of(F.col("shard"), slots(spark, n))).repartition(n, "slot").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first())
     manifest = materialise(dealt.select("shard", "doc_id", "text").mapInArrow(_write(tokenizer_path, folder, end_id), "shard long, n_docs long, n_tokens long"), "manifest")
     total, out = 0, []
     for r in manifest.orderBy("shard").collect():  # one row a shard, as many as asked for
