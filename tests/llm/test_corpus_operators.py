@@ -199,6 +199,8 @@ def brute_model(trained):
 @pytest.mark.parametrize("block", [language_model.BLOCK, 300])
 def test_language_model(spark, rows, monkeypatch, block):
     monkeypatch.setattr(language_model, "BLOCK", block)  # few blocks, and a grid of many
+    monkeypatch.setattr(language_model, "WAITING", 50)
+    monkeypatch.setattr(language_model, "PIECE", 2000)
     got = language_model.score_documents(make_docs(spark, rows)).collect()
     tokens = {i: [*folded(t), None] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
@@ -237,6 +239,9 @@ def test_packed_counts_and_sequences():
         for counts in (np.ones(len(keys), np.int64), r.integers(1, 1 << 33, len(keys))):
             back = language_model.unpack(language_model.pack(keys, counts))
             assert np.array_equal(back[0], keys) and np.array_equal(back[1], counts)
+        pair, word = np.sort(r.integers(0, 40, 300)), r.integers(0, min(top, 1 << 40), 300)
+        kinds, words, counts = language_model.unpack_triples(language_model.pack_triples(40, pair, word))
+        assert Counter(zip(pair.tolist(), word.tolist())) == {(int(p), int(w)): int(c) for p, w, c in zip(np.repeat(np.arange(40), kinds), words, counts)}
         if top < 1 << 50:
             sequence = language_model.EliasFano(language_model.build(keys, top))
             assert np.array_equal(sequence.values(), keys)
@@ -456,6 +461,14 @@ def test_pages_are_read_through_the_wrapper(spark):
         assert wrappers.extract(foreign(i), wrappers.NOTHING) == ""
 
 
+def test_names_are_a_prior_that_the_host_overrides():
+    comments = [f"<body><div class=post><h1>T{i}</h1><p>Body {i} {'x y ' * 10}</p><div class=comments><p>{'long comment ' * 30}{i}</p></div></div><div class=widget><p>side {i}</p></div></body>" for i in range(5)]
+    notice = [f"<body><div class=notice><p>Body {i} {'x y ' * 10}</p><p>more {i}</p></div><div class=x><p>side {i}</p></div></body>" for i in range(5)]
+    reading = wrappers.plan(wrap(comments)), wrappers.plan(wrap(notice))
+    assert wrappers.extract(comments[1], reading[0]) == f"T1\nBody 1 {'x y ' * 10}".strip()
+    assert wrappers.extract(notice[1], reading[1]) == f"Body 1 {'x y ' * 10}".strip() + "\nmore 1"
+
+
 def test_wrappers_of_deep_and_long_pages():
     deep = "<div>" * 5000 + "deep text" + "</div>" * 5000
     unclosed = "<p>a</p>" + "<b>" * 3000 + "z"
@@ -563,6 +576,18 @@ def unigram_model():
     return out + field(2, b"\x18\x01" + varint(35 << 3) + b"\x01") + b"".join(field(3, v) for v in settings)
 
 
+def test_joined_pieces_decode_as_the_library_does():
+    tokenizer, decoder, reference = sentencepiece_codec.loaded(PIECES)
+    r = random.Random(3)
+    pool = ["hello", " ", "  ", "\n", "é", "日本", "🙂", "ing", "\t", "▁", "\x00", "x"]
+    for _ in range(1000):
+        ids = tokenizer.encode("".join(r.choice(pool) for _ in range(r.randint(0, 15))), add_special_tokens=False).ids
+        assert decoder(ids) == tokenizer.decode(ids, skip_special_tokens=False) == reference.decode(ids)
+    for _ in range(1000):  # bytes that are no UTF-8 among them
+        ids = [r.randint(3, 31999) if r.random() < 0.7 else r.randint(3, 258) for _ in range(r.randint(1, 12))]
+        assert decoder(ids) == tokenizer.decode(ids, skip_special_tokens=False)
+
+
 def test_unigram_models_have_parity():
     import sentencepiece
 
@@ -642,3 +667,59 @@ def test_queries_equal_their_sql(spark, sf_dir):
         want = sorted(map(str, found.fetchall()))
         got = queries.queries()[name](spark, sf_dir).select(*names).collect()
         assert sorted(str(tuple(r)) for r in got) == want, name
+
+
+def write_tables(folder, spark, rows, labels, items):
+    make_docs(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, text string").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string, key int").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(21)
+    pool = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 6))) for _ in range(300)]
+    texts = [" ".join(r.choice(pool) for _ in range(r.randint(5, 60))) for _ in range(90)]
+    texts += [" ".join(w + "###" for w in t.split()) for t in texts[:15]]
+    texts += [texts[k] for k in (3, 4, 5)] + [" ".join([*texts[k].split(), "tail"]) for k in range(20, 30)]
+    texts += ["", None, "Mr Smith, a.b@x.example.org", "one", "  two  spaces\nand lines ", "word " * 3000]
+    rows = list(enumerate(texts))
+    items = [(0, " ".join(texts[40].split()[:30])), (1, texts[41]), (2, "not in any of them at all"), (3, "one"), (4, None)]
+    labels = [(i, int(not (90 <= i < 105))) for i in range(0, len(rows), 2)]
+    write_tables(tmp_path, spark, rows, [(*x, "z") for x in labels], [(*x, 0) for x in items])
+    held = brute_quality(rows, labels)
+    rows = [(i, t) for i, t in rows if held[i][1]]
+    roots = components(rows, 5, 80)
+    rows = [(i, t) for i, t in rows if roots[i][1] == i]
+
+    def contaminated(t):
+        for _, item in items:
+            words = folded(item)
+            n = min(5, len(words))
+            if n and len(folded(t)) >= n and len(shingles(item, n) & shingles(t, n)) >= 0.8 * len(shingles(item, n)):
+                return True
+        return False
+
+    rows = [(i, t) for i, t in rows if not contaminated(t)]
+    reference = sentencepiece_codec.loaded(PIECES)[2]
+    want = {i: reference.encode(pii.replace(t or "")[0]) for i, t in rows}
+    got = {x.doc_id: list(x.ids) for x in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got == want and 0 < len(want) < len(texts) - 20
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(1, "same words here for all of them"), (1, "same words here for all of them"), (None, "same words here for all of them"), (None, None), (2, None), (3, ""), (4, "same words here for all of them")]
+    write_tables(tmp_path / "a", spark, rows, [(1, 1, "x"), (1, 0, "x"), (None, 1, None), (9, None, None)], [(None, "same words here for all of them", 0), (7, None, 0)])
+    docs = spark.read.parquet(f"{tmp_path}/a/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, f"{tmp_path}/a")
+        assert docs.columns == [c.split()[0] for c in DOCS.split(", ")], name
+    assert sorted(x.doc_id or 0 for x in docs.collect()) == [0, 0, 1, 1, 2, 3]
+    assert sorted(x.doc_id or 0 for x in corpus_pipeline.run(spark, f"{tmp_path}/a").collect()) == [0, 0, 1, 1, 2, 3]
+    write_tables(tmp_path / "b", spark, [], [], [])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
+    write_tables(tmp_path / "c", spark, rows, [], [])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/c").count() == 6
