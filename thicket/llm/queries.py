@@ -85,9 +85,16 @@ re AS (SELECT DISTINCT a AS doc_id, a AS other FROM lk UNION SELECT re.doc_id, b
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(c, d.doc_id) = d.doc_id AS kept FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN co USING (doc_id)"""
 
 
+# The pages of the tables have one article each, of headlines and paragraphs, and every block outside it is template.
+_PLAIN = "regexp_replace(replace(x, '<br>', ' '), '<[^>]+>', '', 'g')"
+_DECODED = f"replace(replace(replace(replace(replace({_PLAIN}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')"
+_BLOCK = rf"trim(regexp_replace({_DECODED}, '\s+', ' ', 'g'))"
+_OP7 = rf"SELECT page_id, url, text, length(text) AS n_chars FROM (SELECT page_id, url, array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>'), lambda x: {_BLOCK}), lambda x: x <> ''), chr(10)) AS text FROM pages)"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_benchmark_decontamination": _OP3, "op5_warc_round_trip": _OP5, "op6_near_duplicates": _OP6}
+    return {"op3_benchmark_decontamination": _OP3, "op5_warc_round_trip": _OP5, "op6_near_duplicates": _OP6, "op7_html_main_text": _OP7}
