@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
+from thicket.llm.prefilter import split_listed
 from thicket.llm.runtime import bounded_batches, lean, materialise
 
 BANDS, SEED, LEAST_CLASS = 64, 3, 8
@@ -190,6 +191,11 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, con
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, containment: float = 0.8) -> DataFrame:
-    """The rows of docs, all columns, that hold no benchmark item; a null doc_id is kept."""
-    dirty = contained_items(docs, benchmark, shingle, containment).select("doc_id").distinct()
-    return docs.join(dirty, "doc_id", "left_anti")
+    """The rows of docs, all columns, that hold no benchmark item; a null doc_id is kept.
+
+    Only texts that a map of fixed size cannot rule out are shuffled to be
+    joined with the contaminated ids.  Odd rows are treated as in contained_items.
+    """
+    dirty = materialise(contained_items(docs, benchmark, shingle, containment).select("doc_id").distinct(), "contaminated")
+    maybe, never = split_listed(docs, dirty)
+    return maybe.join(dirty, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(never)
