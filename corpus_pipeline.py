@@ -3,6 +3,13 @@
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next
 one's docs.  All but the last keep the columns of documents.
+
+Rows with a null doc_id pass every stage, as they cannot be told apart; null
+and empty texts are sampled like others, are no near duplicates, hold no item
+and have no ids.  Rows that repeat a doc_id are kept or dropped together.
+Columns of any other name go through unchanged; an empty table, and empty
+labels or benchmark, give what follows from them (nothing is rejected for
+quality, nothing is contaminated).
 """
 
 from __future__ import annotations
