@@ -477,7 +477,7 @@ def train(texts: DataFrame, folder: str, orders: int = ORDERS) -> Model:
     # About six bytes a token; only the number of blocks depends on it.
     guess = (text.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
     blocks = max(4, -(-guess // BLOCK))
-    bits = max(1, min(16, (blocks - 1).bit_length() // 2))
+    bits = max(1, min(16, (blocks - 1).bit_length() // 2 + 1))
     n = 1 << bits
     dealt = lambda counted, k: counted.withColumn("slot", slot_of(F.col("block"), slots(spark, k))).repartition(k, "slot").sortWithinPartitions("block").drop("slot")
     sharded = dealt(text.mapInArrow(_count_words(bits), "block long, blob binary"), n)
