@@ -48,6 +48,7 @@ def corpus():
             texts.append(" ".join(w))
     texts += [texts[0]] * 5 + [texts[1].upper()]
     texts += ["", " \n\t ", "word", "Word", "two words", "a" * 5000, "ü\u00a0ß \U0001f600 é", "x\n\n\ny\n\nz", None]
+    texts.append(" ".join(r.choice(vocabulary) for _ in range(30_000)))  # longer than any text of the tables
     return list(enumerate(texts, 100))
 
 
@@ -118,17 +119,17 @@ def test_near_copies_are_settled_by_stars(spark, monkeypatch):
     monkeypatch.setattr(neardup, "STAR", 64)
     draw, made = random.Random(6), {}
     base = [f"w{k}" for k in range(100)]
-    for n in (400, 1600):
+    for n in (200, 800):
         rows = []
         for i in range(n):
             words = list(base)
-            for _ in range(draw.randint(0, 3) if i % 200 else 14):
+            for _ in range(draw.randint(0, 3) if i % 100 else 14):
                 words[draw.randrange(100)] = f"x{draw.randrange(10**6)}"
             rows.append((i, " ".join(words)))
         got = {r.doc_id: r.component_id for r in neardup.near_duplicates(make_docs(spark, rows), 2, 80).collect()}
         assert got == {i: c for i, (_, c) in components(rows, 2, 80).items()}
         made[n] = units(seen[-1], 80).count()
-    assert made[1600] <= 8 * made[400] + 1600 and made[1600] < 1600 * 8
+    assert made[800] <= 8 * made[200] + 800 and made[800] < 800 * 8
 
 
 def test_split_listed(spark):
@@ -636,6 +637,13 @@ def test_token_files(spark, rows, tmp_path):
     assert token_files.token_file_digest(empty(spark), WORD_BPE).count() == 0
 
 
+def test_token_files_of_odd_rows(spark):
+    rows = [(None, "b a"), (2, "a"), (2, "a"), (None, None), (1, "")]
+    got = sorted(((r.doc_id or 0), r.start, r.n_tokens) for r in token_files.token_file_digest(make_docs(spark, rows), WORD_BPE).collect())
+    assert [x[0] for x in got] == [0, 0, 1, 2, 2] and sorted(x[1] for x in got)[0] == 0
+    assert sum(x[2] for x in got) == max(x[1] + x[2] for x in got) and [x[2] for x in got if x[0] == 1] == [1]
+
+
 def test_queries_and_pipeline(spark, sf_dir):
     import corpus_pipeline
     from thicket.llm.queries import queries

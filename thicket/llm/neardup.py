@@ -279,8 +279,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     shingle, the whole sequence.  Null and wordless texts have an empty set
     and link with nothing.  component_id is the least doc_id reachable.  Rows
     that repeat a doc_id are one document, whose text is the least of theirs;
-    a row with a null doc_id joins no component (null) and is kept.  Other
-    columns of docs are ignored; an empty table gives an empty result.
+    a row with a null doc_id joins no component (null) and is kept.  Texts of any
+    length are read whole; other columns of docs are ignored; an empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
