@@ -83,14 +83,19 @@ def answers(questions: DataFrame, context: DataFrame, reader: Callable[[str, str
     return joined.mapInPandas(run, schema)
 
 
+# What a record's block says of antibiotics and of what it lacks.
+NO_ANTIBIOTIC, ODD_ANTIBIOTIC, NO_DETAIL = "Este medicamento no contiene antibióticos.", "Formato desconocido para el campo 'antibiotico'", "No especificado"
+UNNAMED, NO_INDICATION = "No especificada", "  - No especificadas"
+
+
 def record_blocks(records: DataFrame) -> DataFrame:
     """(nregistro, block): a labelled block of each reshaped record (see documents.reshape_for_model) for a model's context."""
     said = F.filter("especies", lambda s: F.size(F.coalesce(F.try_element_at("indicaciones", s), F.array().cast("array<string>"))) > 0)
     by_species = F.array_join(F.transform(said, lambda s: F.concat(F.lit("  - "), s, F.lit(": "), F.array_join(F.try_element_at("indicaciones", s), ", "))), "\n")
-    detail = lambda a: F.concat(F.lit("  - Principio activo: "), F.coalesce(a["principio"], F.lit("No especificada")), F.lit("\n    Familia: "), F.coalesce(a["familia"], F.lit("No especificada")), F.lit("\n    Categoría: "), F.coalesce(a["categoria"], F.lit("No especificada")))
+    detail = lambda a: F.concat(F.lit("  - Principio activo: "), F.coalesce(a["principio"], F.lit(UNNAMED)), F.lit("\n    Familia: "), F.coalesce(a["familia"], F.lit(UNNAMED)), F.lit("\n    Categoría: "), F.coalesce(a["categoria"], F.lit(UNNAMED)))
     listed = F.from_json(F.when(F.lower(F.trim("antibiotico")) != "no", F.col("antibiotico")), "array<struct<categoria:string,familia:string,principio:string>>")
-    drug = F.when(F.lower(F.trim("antibiotico")) == "no", "Este medicamento no contiene antibióticos.").when(listed.isNull(), "Formato desconocido para el campo 'antibiotico'").when(F.size(listed) == 0, "No especificado").otherwise(F.concat(F.lit("Antibióticos:\n"), F.array_join(F.transform(listed, detail), "\n")))
-    block = F.concat(F.lit("Nombre: "), F.coalesce("nombre", F.lit("")), F.lit("\nEspecies: "), F.array_join("especies", ", "), F.lit("\nIndicaciones por especie:\n"), F.coalesce(F.nullif(by_species, F.lit("")), F.lit("  - No especificadas")), F.lit("\nAntibiótico: "), drug, F.lit("\nVías: "), F.array_join("ruta_administracion", ", "))
+    drug = F.when(F.lower(F.trim("antibiotico")) == "no", NO_ANTIBIOTIC).when(listed.isNull(), ODD_ANTIBIOTIC).when(F.size(listed) == 0, NO_DETAIL).otherwise(F.concat(F.lit("Antibióticos:\n"), F.array_join(F.transform(listed, detail), "\n")))
+    block = F.concat(F.lit("Nombre: "), F.coalesce("nombre", F.lit("")), F.lit("\nEspecies: "), F.array_join("especies", ", "), F.lit("\nIndicaciones por especie:\n"), F.coalesce(F.nullif(by_species, F.lit("")), F.lit(NO_INDICATION)), F.lit("\nAntibiótico: "), drug, F.lit("\nVías: "), F.array_join("ruta_administracion", ", "))
     return records.select("nregistro", block.alias("block"))
 
 
@@ -103,7 +108,7 @@ def group_contexts(blocks: DataFrame, groups: DataFrame, n: int = 10, seed: int
 
 
 #: What precedes and follows a group's context in a prompt; {group} is its value.
-PROMPT = ("Eres un experto. A continuación se presenta información sobre medicamentos del grupo '{group}'.\nGenera una pregunta que se pueda responder solo con ella.\n\n", "\n\nPregunta:")
+PROMPT = ("Fichas del grupo '{group}':\n\n", "\n\nPropón una sola pregunta en español cuya respuesta esté en estas fichas.")
 
 
 def group_questions(groups: DataFrame, reader: Callable[[str, str], str] = echo_reader, prompt: tuple[str, str] = PROMPT) -> DataFrame:

@@ -214,7 +214,7 @@ SQL = {
     "single_stage_search": f"WITH {_V}, {_top('sc', 5, 'r')} SELECT * FROM r",
     "stopword_refresh": f"WITH tok AS (SELECT doc_id, unnest({_CORPUS}) AS term FROM documents), {_GENERATED} SELECT 'kept' AS term, false AS made UNION ALL SELECT DISTINCT {_FOLD.format('term')}, true FROM (SELECT * FROM lo UNION SELECT * FROM co UNION SELECT 'el')",
     "regenerate_decisions": "WITH c AS (SELECT count(*) FILTER (WHERE doc_id % 2 = 0 AND upper(text) <> text) / count(*) AS two, count(*) FILTER (WHERE doc_id % 3 = 0 AND upper(text) <> text) / count(*) AS three FROM documents) SELECT 1 AS every, 1.0::DOUBLE AS age, true AS again UNION ALL SELECT 2, 1.0, two >= 0.5 FROM c UNION ALL SELECT 3, 1.0, three >= 0.5 FROM c UNION ALL SELECT 3, 16.0, true UNION ALL SELECT 3, NULL, true",
-    "group_questions": f"SELECT value, 'Eres un experto. A continuación se presenta información sobre medicamentos del grupo ' || chr(39) || value || chr(39) || '.' || chr(10) || 'Genera una pregunta que se pueda responder solo con ella.' || chr(10) || chr(10) || context || chr(10) || chr(10) || 'Pregunta:' AS prompt, substring(string_split(context, '. ')[1], 1, 200) AS question, NULL::VARCHAR AS error FROM (WITH {_CONTEXT})",
+    "group_questions": f"SELECT value, 'Fichas del grupo ' || chr(39) || value || chr(39) || ':' || chr(10) || chr(10) || context || chr(10) || chr(10) || 'Propón una sola pregunta en español cuya respuesta esté en estas fichas.' AS prompt, substring(string_split(context, '. ')[1], 1, 200) AS question, NULL::VARCHAR AS error FROM (WITH {_CONTEXT})",
     "dense_topk": f"WITH {_V}, {_top('sc', 10, 'r')} SELECT * FROM r",
     "dense_doc_topk": f"WITH {_V}, {_MEAN}, {_top('ds', 3, 'r')} SELECT * FROM r",
     "hierarchical_exact": f"WITH {_V}, {_MEAN}, {_top('ds', 3, 's1')}, i AS (SELECT x.query_id, x.doc_id AS chunk_id, label, x.score FROM {_INSIDE.format(src='sc')}) SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank, chunk_id, label AS doc_id, score FROM i) WHERE rank <= 10",
