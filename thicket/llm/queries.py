@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from thicket.llm.decontaminate import contained_items
 from thicket.llm.fingerprint import edited_fingerprints
 from thicket.llm.language_model import score_documents
+from thicket.llm.manifest import tampered_by_id, verified_rows
 from thicket.llm.neardup import near_duplicates
 from thicket.llm.pii import pseudonymise
 from thicket.llm.quality import quality_sample
@@ -64,6 +65,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_rows(_table(spark, sf_dir, "documents"), tampered_by_id())
+
+
 # The same results as SQL, where it can express them.
 _FOLD = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
@@ -92,9 +97,26 @@ _BLOCK = rf"trim(regexp_replace({_DECODED}, '\s+', ' ', 'g'))"
 _OP7 = rf"SELECT page_id, url, text, length(text) AS n_chars FROM (SELECT page_id, url, array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>'), lambda x: {_BLOCK}), lambda x: x <> ''), chr(10)) AS text FROM pages)"
 
 
+_LEAF = "sha256(concat(" + ", ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen({c}::VARCHAR), ':', {c}) END" for c in ("doc_id", "source", "lang", "{0}", "text")) + "))"
+_CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda j: (ascii(c)::BIGINT >> j::INT) & 1)))), lambda s, b: xor(s >> 1, 3988292384 * (xor(s, b) & 1))), 4294967295)"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """name(tree, lvl, i, h, w): all nodes of the trees, w nodes a level."""
+    return f"""{name} AS (SELECT tree, 0 AS lvl, i, h, count(*) OVER (PARTITION BY tree) AS w FROM ({leaves}) UNION ALL SELECT tree, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (w + 1) // 2 FROM {name} WHERE w > 1 GROUP BY tree, lvl, i // 2, w)"""
+
+
+_OP13 = f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_LEAF.format("n_chars")} AS leaf, CASE WHEN {_CRC} % 7 = 0 AND n_chars IS NOT NULL THEN {_LEAF.format("(n_chars + 1)")} END AS shown FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d), {_levels('a', 'SELECT tree, i, leaf AS h FROM l')}, r AS (SELECT tree, h FROM a WHERE w = 1),
+t AS (SELECT tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS i FROM r), {_levels('b', "SELECT '' AS tree, i, h FROM t")},
+wa AS (SELECT doc_id, leaf, tree, 0 AS lvl, i, coalesce(shown, leaf) AS f, '' AS proof, (SELECT max(lvl) FROM a WHERE a.tree = l.tree) AS top FROM l UNION ALL SELECT wa.doc_id, wa.leaf, wa.tree, wa.lvl + 1, wa.i // 2, sha256(CASE WHEN s.h IS NULL THEN f WHEN wa.i % 2 = 0 THEN f || s.h ELSE s.h || f END), proof || coalesce(s.h, ''), top FROM wa LEFT JOIN a AS s ON s.tree = wa.tree AND s.lvl = wa.lvl AND s.i = xor(wa.i, 1) WHERE wa.lvl < top),
+wb AS (SELECT doc_id, leaf, t.h AS subroot, 0 AS lvl, t.i, f, proof FROM wa JOIN t ON t.name = wa.tree WHERE wa.lvl = top UNION ALL SELECT wb.doc_id, wb.leaf, subroot, wb.lvl + 1, wb.i // 2, sha256(CASE WHEN s.h IS NULL THEN f WHEN wb.i % 2 = 0 THEN f || s.h ELSE s.h || f END), proof || coalesce(s.h, '') FROM wb LEFT JOIN b AS s ON s.lvl = wb.lvl AND s.i = xor(wb.i, 1) WHERE wb.lvl < (SELECT max(lvl) FROM b))
+SELECT doc_id, leaf, subroot, b.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = b.h AS verified FROM wb JOIN b ON b.w = 1 WHERE wb.lvl = b.lvl"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_benchmark_decontamination": _OP3, "op5_warc_round_trip": _OP5, "op6_near_duplicates": _OP6, "op7_html_main_text": _OP7}
+    return {"op3_benchmark_decontamination": _OP3, "op5_warc_round_trip": _OP5, "op6_near_duplicates": _OP6, "op7_html_main_text": _OP7, "op13_merkle_manifest": _OP13}
