@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thicket.llm.decontaminate import contained_items
+from thicket.llm.divergence import divergence
 from thicket.llm.fingerprint import edited_fingerprints
 from thicket.llm.language_model import score_documents
 from thicket.llm.manifest import tampered_by_id, verified_rows
@@ -65,6 +66,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_rows(_table(spark, sf_dir, "documents"), tampered_by_id())
 
@@ -97,6 +102,16 @@ _BLOCK = rf"trim(regexp_replace({_DECODED}, '\s+', ' ', 'g'))"
 _OP7 = rf"SELECT page_id, url, text, length(text) AS n_chars FROM (SELECT page_id, url, array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>'), lambda x: {_BLOCK}), lambda x: x <> ''), chr(10)) AS text FROM pages)"
 
 
+_OP11 = r"""WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d), kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+n AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL), s AS (SELECT DISTINCT lang, source FROM d), v AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+dense AS (SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total, v FROM s JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 1) // (total + v) AS p FROM dense),
+l AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 1) // (total + v) AS q FROM (SELECT lang, term, n, v, sum(n) OVER (PARTITION BY lang) AS total FROM (SELECT lang, term, sum(n) AS n, any_value(v) AS v FROM dense GROUP BY ALL))),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+UNION ALL SELECT p.lang, source, 'term', term, ((p.p - q) * (p.p - q) // q)::BIGINT FROM p JOIN l USING (lang, term) WHERE n > 0 AND p.p > q)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u) WHERE part = 'pair' OR rank <= 200"""
 _LEAF = "sha256(concat(" + ", ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen({c}::VARCHAR), ':', {c}) END" for c in ("doc_id", "source", "lang", "{0}", "text")) + "))"
 _CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda j: (ascii(c)::BIGINT >> j::INT) & 1)))), lambda s, b: xor(s >> 1, 3988292384 * (xor(s, b) & 1))), 4294967295)"
 
@@ -119,4 +134,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_benchmark_decontamination": _OP3, "op5_warc_round_trip": _OP5, "op6_near_duplicates": _OP6, "op7_html_main_text": _OP7, "op13_merkle_manifest": _OP13}
+    return {"op3_benchmark_decontamination": _OP3, "op5_warc_round_trip": _OP5, "op6_near_duplicates": _OP6, "op7_html_main_text": _OP7, "op11_source_divergence": _OP11, "op13_merkle_manifest": _OP13}
