@@ -17,6 +17,7 @@ from thicket.llm.neardup import near_duplicates
 from thicket.llm.pii import pseudonymise
 from thicket.llm.quality import quality_sample
 from thicket.llm.sentencepiece_codec import encode_decode
+from thicket.llm.token_counts import token_counts
 from thicket.llm.token_files import token_file_digest
 from thicket.llm.warc import archive_round_trip
 from thicket.llm.wrappers import main_texts
@@ -70,6 +71,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_rows(_table(spark, sf_dir, "documents"), tampered_by_id())
 
