@@ -109,17 +109,18 @@ def _merge(fan: int, arity: int):
     return run
 
 
-def _placed(leaves: DataFrame, order: list[str], fragments: int) -> DataFrame:
-    """leaves(tree, digest, ...) with fragment, index in the tree and size of the tree."""
+def _placed(leaves: DataFrame, order: list[str], wanted: int) -> tuple[DataFrame, int]:
+    """leaves(tree, digest, ...) with fragment, index in the tree and size of the tree; and how many fragments Spark has made."""
     by = ["tree", *order, "digest"]
     sort = [F.col(c).asc_nulls_first() for c in by]
-    dealt = materialise(leaves.repartitionByRange(fragments, *sort).sortWithinPartitions(*sort).withColumn("place", F.monotonically_increasing_id()), "leaves")
+    dealt = materialise(leaves.repartitionByRange(wanted, *sort).sortWithinPartitions(*sort).withColumn("place", F.monotonically_increasing_id()), "leaves")
     dealt = dealt.withColumn("fragment", F.shiftright("place", 33))
     runs = dealt.groupBy("tree", "fragment").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     tree = Window.partitionBy("tree")
     before = F.coalesce(F.sum("n").over(tree.orderBy("fragment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     runs = runs.select("tree", "fragment", (F.col("first") - before).alias("shift"), F.sum("n").over(tree).alias("size"))
-    return dealt.join(runs, ["tree", "fragment"]).withColumn("index", F.col("place") - F.col("shift")).drop("place", "shift")
+    fragments = 1 + (dealt.agg(F.max("fragment")).first()[0] or 0)
+    return dealt.join(runs, ["tree", "fragment"]).withColumn("index", F.col("place") - F.col("shift")).drop("place", "shift"), fragments
 
 
 def _reduced(placed: DataFrame, fragments: int, arity: int) -> tuple[DataFrame, DataFrame]:
@@ -217,8 +218,7 @@ def dataset_leaves(docs: DataFrame, tampered: Column | None = None) -> DataFrame
 
 def _grown(leaves: DataFrame, order: list[str], least: int, arity: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(placed leaves, roots, paths) of materialised leaves."""
-    fragments = max(least, -(-leaves.count() // LEAVES))
-    placed = _placed(leaves, order, fragments)
+    placed, fragments = _placed(leaves, order, max(least, -(-leaves.count() // LEAVES)))
     return placed, *_reduced(placed, fragments, arity)
 
 
