@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -176,6 +177,20 @@ def test_changed_paragraphs(spark):
         assert got["at"] == want
 
 
+def test_changed_paragraphs_of_many_sections(spark):
+    """20,000 lines in 5,000 sections; every tenth section is edited, and sections and lines move."""
+    sections = [[f"line {i} {k} of its section\n" for k in range(4)] for i in range(5000)]
+    other = [[f"{line[:-1]}!\n" if k == 2 and i % 10 == 3 else line for k, line in enumerate(s)] for i, s in enumerate(sections)]
+    other = other[100:] + other[:100]
+    df = spark.createDataFrame([("\n".join("".join(s) for s in other), "\n".join("".join(s) for s in sections))], "x string, y string")
+    df = fingerprint.with_fingerprint(fingerprint.with_fingerprint(df, "x", "fx"), "y", "fy").select("fx", "fy")
+    began = time.monotonic()
+    got = df.select(fingerprint.changed_paragraphs(df.fx, df.fy).alias("at")).first().at
+    assert time.monotonic() - began < 30  # a quadratic walk takes far longer
+    # A section has four lines and the blank one after them.
+    assert got == [5 * n + 2 for n, i in enumerate([*range(100, 5000), *range(100)]) if i % 10 == 3]
+
+
 def brute_model(trained):
     """p(token, the tokens before it) with exact counts of words, pairs and triples, and the counts of words."""
     c, pairs, triples = Counter(), Counter(), Counter()
