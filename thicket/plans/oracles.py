@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from thicket.functions.language import BUCKETS, FIRST, SCALE, SECOND
 from thicket.functions.text import ACCENTED, DICTIONARY, FOLDED, MONTHS
 from thicket.operators.documents import PLAIN_SUBSECTION, SECTION_PATTERNS, SUBSECTION_PATTERNS, UNIT
 
@@ -54,6 +55,17 @@ _CHUNKS50 = f"{_top('sc', 50, 'dc')}, dense AS (SELECT query_id, rank, doc_id AS
 
 _QREL = "qr AS (SELECT item_id AS query_id, doc_id FROM documents JOIN benchmark b ON contains(documents.text, b.text))"
 
+# The parity of the CRC-32 of a decimal doc_id, bit by bit; trigrams of the letters of a text, hashed as functions.language does.
+_ODD = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda j: (ascii(c)::BIGINT >> j::INT) & 1)))), lambda s, b: xor(s >> 1, 3988292384 * (xor(s, b) & 1))), 4294967295) % 2 = 1"
+_FORM = r"trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x60\x7B-\x7F]+', ' ', 'g'))"
+_LANGUAGE = f"""WITH d AS (SELECT doc_id, lang, {_ODD} AS held_out, {_FORM} AS t FROM documents), ch AS (SELECT doc_id, unnest(string_split(' ' || t || ' ', '')) AS c, generate_subscripts(string_split(' ' || t || ' ', ''), 1) AS i FROM d WHERE t <> ''),
+g AS (SELECT doc_id, (unicode(c) * {FIRST} + unicode(lead(c) OVER w) * {SECOND} + unicode(lead(c, 2) OVER w)) % {BUCKETS} AS b FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY i) QUALIFY lead(c, 2) OVER w IS NOT NULL), n AS (SELECT doc_id, b, count(*) AS n FROM g GROUP BY ALL),
+m AS (SELECT lang, b, sum(n) AS n FROM n JOIN d USING (doc_id) WHERE NOT held_out GROUP BY ALL), l AS (SELECT lang, ln(coalesce(sum(n), 0) + {BUCKETS}.0::DOUBLE) AS total FROM (SELECT DISTINCT lang FROM d WHERE NOT held_out) LEFT JOIN m USING (lang) GROUP BY ALL),
+w AS (SELECT lang, b, round((ln(n + 1.0::DOUBLE) - total) * {SCALE})::BIGINT - round(-total * {SCALE})::BIGINT AS more FROM m JOIN l USING (lang)),
+z AS (SELECT doc_id, lang, sum(n) AS n_grams, sum(n) * any_value(round(-total * {SCALE})::BIGINT) AS base FROM n, l GROUP BY ALL), k AS (SELECT doc_id, w.lang, sum(n * more) AS more FROM n JOIN w USING (b) GROUP BY ALL),
+s AS (SELECT z.doc_id, z.lang, n_grams, base + coalesce(more, 0) AS score, row_number() OVER (PARTITION BY z.doc_id ORDER BY base + coalesce(more, 0) DESC, z.lang) AS r FROM z LEFT JOIN k ON k.doc_id = z.doc_id AND k.lang = z.lang)
+SELECT d.doc_id, d.lang, held_out, coalesce(a.lang, 'es') AS predicted, coalesce(a.score - b.score, 0)::BIGINT AS margin, coalesce(a.n_grams, 0)::BIGINT AS n_grams FROM d LEFT JOIN s a ON a.doc_id = d.doc_id AND a.r = 1 LEFT JOIN s b ON b.doc_id = d.doc_id AND b.r = 2"""
+
 
 def _metrics(hits: str, truth: str, k: int) -> str:
     return f"""top AS (SELECT * FROM {hits} WHERE rank <= {k}), fo AS (SELECT t.query_id, count(*) AS h, min(rank) AS first FROM top t JOIN {truth} x ON t.query_id = x.query_id AND t.doc_id = x.doc_id GROUP BY 1),
@@ -152,6 +164,7 @@ SQL = {
     "token_df_tf": f"WITH {_TOK} SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM tok GROUP BY 1",
     "accents_fold": f"SELECT doc_id, {_FOLD.format('text')} AS folded FROM documents",
     "dict_translate": rf"SELECT doc_id, CASE WHEN lang = 'es' THEN text ELSE array_to_string(list_transform(list_filter(regexp_split_to_array(trim(lower(text)), '\s+'), lambda x: x <> ''), lambda w: coalesce(element_at({_TRANSLATE}, w)[1], w)), ' ') END AS translated FROM documents",
+    "language_detect": _LANGUAGE,
     "language_route": "SELECT lang AS language, count(*) AS n FROM documents GROUP BY 1",
     "stopwords_generated": f"WITH {_TOK}, {_GENERATED} SELECT DISTINCT {_FOLD.format('term')} AS term FROM (SELECT * FROM lo UNION SELECT * FROM co UNION SELECT 'el' UNION SELECT 'mas')",
     "bm25_okapi_topk": f"WITH {_bm25('okapi', 10)} SELECT query_id, rank, doc_id, score FROM sparse",

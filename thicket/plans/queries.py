@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from thicket.functions import fuzzy, text
+from thicket.functions import fuzzy, language, text
 from thicket.functions.stem import stem_terms, stem_tokens
 from thicket.operators import context, dense, documents, fusion, metrics, mining, sparse, stopwords
 from thicket.plans import ingest
@@ -99,6 +99,13 @@ def language_route(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy(text.language_code(F.concat(F.lit("__label__"), F.col("lang"))).alias("language")).agg(F.count("*").alias("n"))
 
 
+def language_detect(spark, sf_dir):
+    """Every document's language, learned from those whose id has an even CRC-32."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 1)
+    model = stored(language.fit(docs.filter(~F.col("held_out"))), "language")
+    return language.predict(docs, model, ("doc_id", "lang", "held_out"))
+
+
 def corpus_tokens(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.corpus_words(F.col("text"))).alias("pos", "term"))
 
@@ -705,7 +712,7 @@ def chat_turns(spark, sf_dir):
     return rows.filter("role = 'user' AND _r = 'assistant'").select("conv_id", "turn", "answer_turn")
 
 
-NAMES = """text_normalize token_df_tf accents_fold dict_translate language_route corpus_tokens stopwords_generated stemmed_terms spanish_dates snippets
+NAMES = """text_normalize token_df_tf accents_fold dict_translate language_route language_detect corpus_tokens stopwords_generated stemmed_terms spanish_dates snippets
 bm25_okapi_topk bm25_l_topk bm25_plus_topk bm25_threshold dense_topk dense_doc_topk hierarchical_exact hierarchical_overfetch group_mean_embedding
 late_fusion_worst late_fusion_best late_fusion_balanced late_fallback fallback_coverage context_pack rag_answers eval_bm25 eval_dense_dup eval_dense_dedup
 relevance_buckets score_histogram score_stats grouping_miner criteria_filter inverted_grouping nested_reshape heading_parse section_parse species_lookup
