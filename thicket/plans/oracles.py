@@ -246,6 +246,7 @@ SQL = {
     "change_feed_filter": "SELECT DISTINCT user_id::VARCHAR AS nregistro FROM events WHERE event_type = 'purchase'",
     "sha256_diff": "WITH o AS (SELECT doc_id::VARCHAR AS path, sha256(text) AS h FROM documents WHERE doc_id % 7 <> 0), n AS (SELECT doc_id::VARCHAR AS path, sha256(CASE WHEN doc_id % 5 = 0 THEN upper(text) ELSE text END) AS h FROM documents WHERE doc_id % 11 <> 0) SELECT coalesce(o.path, n.path) AS path, CASE WHEN o.h IS NULL THEN 'added' WHEN n.h IS NULL THEN 'removed' WHEN o.h <> n.h THEN 'changed' ELSE 'same' END AS status FROM o FULL JOIN n ON o.path = n.path",
     "latest_wins_merge": "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1",
+    "change_feed_stream": "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1",
     "event_windows": "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "dedup_ordered": "SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS r FROM conversations) WHERE r = 1",
     "seeded_sample": "SELECT doc_id FROM documents ORDER BY sha256(doc_id || ':0'), doc_id LIMIT 100",

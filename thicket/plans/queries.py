@@ -11,7 +11,7 @@ from thicket.operators import context, dense, documents, fusion, metrics, mining
 from thicket.plans import ingest
 from thicket.session import scratch, stored
 from thicket.sources import readers, samples, writers
-from thicket.streaming import changes
+from thicket.streaming import changes, feed
 
 #: Every hundredth vector is a query; vectors of a document, one after the other.
 QUERY_STEP, CHUNKS_A_DOCUMENT = 100, 4
@@ -676,6 +676,21 @@ def latest_wins_merge(spark, sf_dir):
     return documents.latest(table(spark, sf_dir, "events"), "user_id", F.desc("ts"), F.desc("event_id")).select("user_id", "event_id", "event_type", "value")
 
 
+def change_feed_stream(spark, sf_dir):
+    """The last event of every user, from a feed that is read in two runs, while it grows, and in a third that repeats the second."""
+    schema = "position long, user_id long, event_type string, value double, ts timestamp"
+    folder, target, state = (scratch(spark, name) for name in ("feed", "upserted", "stream"))
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("position"), "user_id", "event_type", "value", F.col("ts").cast("timestamp"))
+    half = events.agg(F.percentile_approx("position", 0.5)).first()[0]
+    run = lambda: changes.upsert_stream(feed.stream(spark, schema, path=folder), target, "user_id", ("ts", "position"), state).awaitTermination()
+    for part in (events.filter(F.col("position") <= half), events.filter(F.col("position") > half)):
+        feed.append_changes(part, folder)
+        run()
+    changes.forget_last_commit(spark, state)
+    run()
+    return changes.snapshot(spark, target, schema, changes.last_epoch(spark, target)).select("user_id", F.col("position").alias("event_id"), "event_type", "value")
+
+
 def event_windows(spark, sf_dir):
     return changes.windowed_counts(table(spark, sf_dir, "events"))
 
@@ -716,7 +731,7 @@ NAMES = """text_normalize token_df_tf accents_fold dict_translate language_route
 bm25_okapi_topk bm25_l_topk bm25_plus_topk bm25_threshold dense_topk dense_doc_topk hierarchical_exact hierarchical_overfetch group_mean_embedding
 late_fusion_worst late_fusion_best late_fusion_balanced late_fallback fallback_coverage context_pack rag_answers eval_bm25 eval_dense_dup eval_dense_dedup
 relevance_buckets score_histogram score_stats grouping_miner criteria_filter inverted_grouping nested_reshape heading_parse section_parse species_lookup
-chunk_flatten essential_text complete_text id_codecs link_extract change_feed_filter sha256_diff latest_wins_merge event_windows species_fuzzy species_groups
+chunk_flatten essential_text complete_text id_codecs link_extract change_feed_filter sha256_diff latest_wins_merge change_feed_stream event_windows species_fuzzy species_groups
 unmapped_report dedup_ordered seeded_sample chat_turns
 bm25_normalised_topk bm25_stemmed_topk bm25_stored_topk vector_index_statistics vector_look_up uncovered_chunks document_assembly unmatched_documents catalogue_names
 record_chunks essential_fallback antibiotic_details nested_names record_contexts path_parts text_tools text_folder_scan folder_profile file_digests convert_files

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +40,20 @@ def upsert(current: DataFrame, changes: DataFrame, key: str, version: str) -> Da
 
 
 def stream_upsert(spark: SparkSession, source: str, schema: str, target: str, key: str, version: str, checkpoint: str, buckets: int = 64):
-    """A file stream that upserts each micro-batch into a table dealt to buckets by key.
+    """upsert_stream() of a folder of JSON files."""
+    return upsert_stream(spark.readStream.schema(schema).json(source), target, key, (version,), checkpoint, buckets)
 
-    Only the buckets that a batch touches are written anew, below
-    target/data/epoch=n; a manifest says which epoch holds each bucket.  A batch
-    that is repeated writes the same files.  snapshot() reads the table.
+
+def upsert_stream(feed: DataFrame, target: str, key: str, versions: Sequence[str], checkpoint: str, buckets: int = 64):
+    """Upserts each micro-batch of a stream into a table dealt to buckets by key; runs until what is there has been read.
+
+    Of the rows of a key the one of the highest versions stays.  Only the
+    buckets that a batch touches are written anew, below target/data/epoch=n;
+    a manifest says which epoch holds each bucket.  A batch that is repeated
+    writes the same files.  snapshot() reads the table.
     """
-    feed = spark.readStream.schema(schema).json(source)
+    spark, columns = feed.sparkSession, feed.schema
+    order = [F.desc_nulls_last(v) for v in versions]
 
     def apply(batch: DataFrame, epoch: int) -> None:
         new = batch.withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets)))
@@ -54,20 +61,36 @@ def stream_upsert(spark: SparkSession, source: str, schema: str, target: str, ke
         touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())  # one row a bucket
         old = [f"{target}/data/epoch={held[b]}/bucket={b}" for b in touched if b in held]
         if old:
-            new = new.unionByName(spark.read.schema(schema).parquet(*old).withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets))))
-        latest(new, key, F.desc_nulls_last(version)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/data/epoch={epoch}")
+            new = new.unionByName(spark.read.schema(columns).parquet(*old).withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets))))
+        latest(new, key, *order).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/data/epoch={epoch}")
         now = held | dict.fromkeys(touched, epoch)
         spark.createDataFrame(sorted(now.items()), "bucket int, epoch long").coalesce(1).write.mode("overwrite").parquet(f"{target}/manifest/{epoch}")
 
     return feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def last_epoch(spark: SparkSession, target: str) -> int:
+    """The newest epoch of a table that upsert_stream() writes; -1 if there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/manifest")
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return max((int(f.getPath().getName()) for f in system.listStatus(at)), default=-1) if system.exists(at) else -1
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Leaves a stream as a failure between writing its last batch and recording it would: the batch is repeated."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at = path(f"{checkpoint}/commits")
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    last = max((f.getPath().getName() for f in system.listStatus(at) if f.getPath().getName().isdigit()), key=int)
+    system.delete(path(f"{checkpoint}/commits/{last}"), False)
+
+
 def _manifest(spark: SparkSession, target: str, epoch: int) -> dict[int, int]:
     return {r.bucket: r.epoch for r in spark.read.parquet(f"{target}/manifest/{epoch}").collect()} if epoch >= 0 else {}
 
 
 def snapshot(spark: SparkSession, target: str, schema: str, epoch: int) -> DataFrame:
-    """The table of stream_upsert as of an epoch."""
+    """The table of upsert_stream as of an epoch."""
     held = _manifest(spark, target, epoch)
     paths = [f"{target}/data/epoch={e}/bucket={b}" for b, e in sorted(held.items())]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
