@@ -150,10 +150,14 @@ def top_k(index: Index, queries: DataFrame, k: int = 10, model: str = "okapi", *
         sent = weighted.limit(SENT_TERMS + 1).toArrow()
         if len(sent) <= SENT_TERMS:
             return ranked(_sent_scores(index.tokens, sent, k, model, **parameters), k).select("query_id", "rank", "doc_id", "score")
-    matched = scores(index, queries, model, **parameters)
+    return filled(scores(index, queries, model, **parameters), base_scores(index, queries, model, **parameters), index.docs, queries, k)
+
+
+def filled(matched: DataFrame, base: DataFrame, docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, doc_id, score): the k best of matched(query_id, doc_id, score), then documents that do not match, which score the query's base."""
     best = ranked(matched, k).drop("rank")
-    least = index.docs.select("doc_id").orderBy("doc_id").limit(2 * k)
-    asked = base_scores(index, queries, model, **parameters).select("query_id", F.round("base", 6).alias("score"))
+    least = docs.select("doc_id").orderBy("doc_id").limit(2 * k)
+    asked = base.select("query_id", F.round("base", 6).alias("score"))
     every = queries.select("query_id").distinct().join(asked, "query_id", "left").select("query_id", F.coalesce("score", F.lit(0.0)).alias("score"))
     near = matched.join(F.broadcast(least), "doc_id").select("query_id", "doc_id")
     # The fill takes the least 2k doc_ids into account: k of them at most are matched already.

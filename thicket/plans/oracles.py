@@ -168,6 +168,8 @@ SQL = {
     "language_route": "SELECT lang AS language, count(*) AS n FROM documents GROUP BY 1",
     "stopwords_generated": f"WITH {_TOK}, {_GENERATED} SELECT DISTINCT {_FOLD.format('term')} AS term FROM (SELECT * FROM lo UNION SELECT * FROM co UNION SELECT 'el' UNION SELECT 'mas')",
     "bm25_okapi_topk": f"WITH {_bm25('okapi', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
+    "bm25_incremental_topk": f"WITH {_bm25('okapi', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
+    "bm25_pruned_topk": f"WITH {_bm25('okapi', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
     "bm25_l_topk": f"WITH {_bm25('l', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
     "bm25_plus_topk": f"WITH {_bm25('plus', 10)} SELECT query_id, rank, doc_id, score FROM sparse",
     "bm25_threshold": f"WITH {_bm25('okapi', 50)} SELECT query_id, rank, doc_id, score FROM sparse WHERE score >= 8",

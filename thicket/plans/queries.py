@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from thicket.functions import fuzzy, language, text
 from thicket.functions.stem import stem_terms, stem_tokens
 from thicket.operators import context, dense, documents, fusion, metrics, mining, sparse, stopwords
+from thicket.operators.keyword_store import KeywordStore
 from thicket.plans import ingest
 from thicket.session import scratch, stored
 from thicket.sources import readers, samples, writers
@@ -143,6 +144,28 @@ def bm25_plus_topk(spark, sf_dir):
     return sparse.top_k(index(spark, sf_dir), keyword_queries(spark, sf_dir), 10, "plus")
 
 
+def changed_store(spark, sf_dir):
+    """A keyword index of all documents, made by changes: some are added late, some replaced, and some that do not exist deleted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = KeywordStore(spark, scratch(spark, "keywords"))
+    late, stale = F.col("doc_id") % 10 == 0, F.col("doc_id") % 10 == 1
+    store.apply(docs.filter(~late).withColumn("text", F.when(stale, F.reverse("text")).otherwise(F.col("text"))).unionByName(docs.filter(stale).withColumn("doc_id", -1 - F.col("doc_id"))))
+    store.apply(docs.filter(late | stale).withColumn("deleted", F.lit(False)).unionByName(docs.filter(stale).select((-1 - F.col("doc_id")).alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit(True).alias("deleted"))))
+    return store
+
+
+def bm25_incremental_topk(spark, sf_dir):
+    """Hits of an index after changes, all of its postings read."""
+    return sparse.top_k(changed_store(spark, sf_dir).index(), keyword_queries(spark, sf_dir), 10)
+
+
+def bm25_pruned_topk(spark, sf_dir):
+    """Hits of a compacted index, found by score bounds."""
+    store = changed_store(spark, sf_dir)
+    store.compact()
+    return store.top_k(keyword_queries(spark, sf_dir), 10)[0]
+
+
 def bm25_threshold(spark, sf_dir):
     return sparse.above(sparse_hits(spark, sf_dir), 8.0)
 
@@ -733,7 +756,7 @@ late_fusion_worst late_fusion_best late_fusion_balanced late_fallback fallback_c
 relevance_buckets score_histogram score_stats grouping_miner criteria_filter inverted_grouping nested_reshape heading_parse section_parse species_lookup
 chunk_flatten essential_text complete_text id_codecs link_extract change_feed_filter sha256_diff latest_wins_merge change_feed_stream event_windows species_fuzzy species_groups
 unmapped_report dedup_ordered seeded_sample chat_turns
-bm25_normalised_topk bm25_stemmed_topk bm25_stored_topk vector_index_statistics vector_look_up uncovered_chunks document_assembly unmatched_documents catalogue_names
+bm25_normalised_topk bm25_stemmed_topk bm25_stored_topk bm25_incremental_topk bm25_pruned_topk vector_index_statistics vector_look_up uncovered_chunks document_assembly unmatched_documents catalogue_names
 record_chunks essential_fallback antibiotic_details nested_names record_contexts path_parts text_tools text_folder_scan folder_profile file_digests convert_files
 json_lines_scan json_values catalogue_merge text_lines paged_scan key_look_up interstitial_links mapping_round_trip run_metrics ingest_run bpe_counts catalogue_keys parser_run last_section_trim single_stage_search stopword_refresh regenerate_decisions group_questions""".split()
 
