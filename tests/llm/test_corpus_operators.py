@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from thicket.llm import decontaminate, fingerprint, language_model, neardup, pii, prefilter, quality, sentencepiece_codec, token_files, tokens, warc, wrappers
 
@@ -266,6 +267,14 @@ def test_packed_counts_and_sequences():
             assert np.array_equal(found, np.isin(asked, keys)) and np.array_equal(keys[at[found]], asked[found])
 
 
+def test_pairs_beyond_the_width_are_an_error():
+    n, word = (1 << 24) + 2, np.array([1 << 30, 5])  # more places than 24 bits tell apart
+    kinds, words, counts = language_model.unpack_triples(language_model.pack_triples(n, np.array([0, n - 1]), word))
+    assert (kinds[0], kinds[-1], kinds.sum(), words.tolist(), counts.tolist()) == (1, 1, 2, [1 << 30, 5], [1, 1])
+    with pytest.raises(OverflowError):
+        language_model._joined(1 << 30, np.array([0]), np.array([0]), 40)
+
+
 def test_decontamination(spark, rows):
     texts = dict(rows)
     items = [(1, " ".join(folded(texts[103])[:60])), (2, "never seen here at all in any text"), (3, texts[110]), (4, "word"), (5, None), (6, ""), (7, texts[105]), (8, " ".join(folded(texts[110])[4:7])), (9, " ".join(folded(texts[111])[:6]))]
@@ -568,8 +577,8 @@ def test_assigned_secrets_in_any_case():
     assert [text[s:e] for s, e, *_ in pii.find(text)] == [v for _, v in found]
 
 
-def unigram_model():
-    """The BPE model's pieces with unigram scores that do not tie."""
+def unigram_model(tied=False):
+    """The BPE model's pieces with unigram scores that do not tie, or do whenever pieces have as many characters."""
     data = open(PIECES, "rb").read()
     model = sentencepiece_codec.parse_model(data)
 
@@ -586,7 +595,7 @@ def unigram_model():
     r = random.Random(2)
     out = b""
     for text, score, kind in model["pieces"]:
-        score = -math.log(2 - score) - r.random() / 50 if kind == sentencepiece_codec.NORMAL else 0.0
+        score = -0.1 * len(text) if tied else -math.log(2 - score) - r.random() / 50 if kind == sentencepiece_codec.NORMAL else 0.0
         out += field(1, field(1, text.encode()) + b"\x15" + struct.pack("<f", score) + b"\x18" + varint(kind))
     settings = [v for n, v in sentencepiece_codec.fields(data) if n == 3]
     return out + field(2, b"\x18\x01" + varint(35 << 3) + b"\x01") + b"".join(field(3, v) for v in settings)
@@ -618,6 +627,21 @@ def test_unigram_models_have_parity():
         assert tokenizer.decode(mine.ids, skip_special_tokens=False) == reference.decode(mine.ids)
 
 
+def test_unigram_ids_do_not_depend_on_neighbours(spark, tmp_path):
+    """Pieces whose scores tie: every row has sentencepiece's ids, however the rows are dealt."""
+    import sentencepiece
+
+    (tmp_path / "tied.model").write_bytes(unigram_model(tied=True))
+    path, r = str(tmp_path / "tied.model"), random.Random(3)
+    texts = ["".join(r.choice(["a", "b", "ab", "ba", "hello", " ", "abab", "world"]) for _ in range(r.randint(0, 30))) for _ in range(200)]
+    tokenizer, _, reference = sentencepiece_codec.loaded(path)
+    assert any(tokenizer.encode(t, add_special_tokens=False).ids != reference.encode(t) for t in texts)
+    docs = make_docs(spark, list(enumerate(texts)))
+    for parts in (1, 7):
+        got = {x.doc_id: list(x.ids) for x in sentencepiece_codec.encode_decode(docs.repartition(parts), path).collect()}
+        assert got == {i: sentencepiece.SentencePieceProcessor(model_file=path).encode(t) for i, t in enumerate(texts)}
+
+
 def test_sentencepiece(spark, rows):
     import sentencepiece
 
@@ -646,7 +670,7 @@ def test_token_files(spark, rows, tmp_path):
     assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == want
     folder = f"file://{tmp_path}"
     manifest = token_files.write_token_files(make_docs(spark, rows), WORD_BPE, folder).collect()
-    shard = token_files.TokenShard(folder, manifest[0].shard)
+    shard = token_files.TokenShard(folder, manifest[0].shard, manifest[0].tag)
     ids, mask = shard.sequence(0)
     assert len(ids) == token_files.LENGTH and sum(mask.to_pylist()) == min(manifest[0].n_tokens, token_files.LENGTH) and not ids.flags.owndata
     assert token_files.token_file_digest(empty(spark), WORD_BPE).count() == 0
@@ -657,13 +681,18 @@ def test_token_files_of_odd_rows(spark):
     got = sorted(((r.doc_id or 0), r.start, r.n_tokens) for r in token_files.token_file_digest(make_docs(spark, rows), WORD_BPE).collect())
     assert [x[0] for x in got] == [0, 0, 1, 2, 2] and sorted(x[1] for x in got)[0] == 0
     assert sum(x[2] for x in got) == max(x[1] + x[2] for x in got) and [x[2] for x in got if x[0] == 1] == [1]
+    # Rows that repeat an id follow each other in the order of their texts, however they are dealt.
+    docs = make_docs(spark, [(3, t) for t in ("c c c", "a", "b b", "a")] + [(4, "x")])
+    for parts in (1, 5):
+        found = token_files.token_file_digest(docs.repartition(parts), WORD_BPE).collect()
+        assert sorted((r.start, r.n_tokens) for r in found) == [(0, 2), (2, 2), (4, 3), (7, 4), (11, 2)]
 
 
 def test_queries_and_pipeline(spark, sf_dir):
     import corpus_pipeline
     from thicket.llm.queries import queries
 
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     quality_kept = corpus_pipeline.STAGES[0][1](spark, docs, sf_dir)
     assert quality_kept.columns == docs.columns
@@ -693,7 +722,7 @@ def test_queries_equal_their_sql(spark, sf_dir):
 
 
 def write_tables(folder, spark, rows, labels, items):
-    make_docs(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    make_docs(spark, rows).withColumn("dotted.name", F.lit(3)).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, text string").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(items, "item_id long, text string, key int").write.parquet(f"{folder}/benchmark.parquet")
 
@@ -739,7 +768,7 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/a/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, f"{tmp_path}/a")
-        assert docs.columns == [c.split()[0] for c in DOCS.split(", ")], name
+        assert docs.columns == [*(c.split()[0] for c in DOCS.split(", ")), "dotted.name"], name
     assert sorted(x.doc_id or 0 for x in docs.collect()) == [0, 0, 1, 1, 2, 3]
     assert sorted(x.doc_id or 0 for x in corpus_pipeline.run(spark, f"{tmp_path}/a").collect()) == [0, 0, 1, 1, 2, 3]
     write_tables(tmp_path / "b", spark, [], [], [])

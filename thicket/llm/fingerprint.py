@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thicket.llm.ranges import range_bounds, range_id
+from thicket.llm.runtime import table_bytes
 
 SECTION, PARAGRAPH, LEAF = r"(?<=\n\n)(?!\n)", r"(?<=\n)", r"(?s)(?:\S{1,32}+\s*+|\s++){1,6}+"
 DIGITS = 8
+#: Bytes of a table, as stored, behind a range of doc_id.
+RANGE_BYTES = 64 << 20
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -128,7 +131,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table_bytes(docs) // RANGE_BYTES))
     bounds = range_bounds(rows, "doc_id", n)
     last = max(0, len(bounds) - 1)
     here = F.struct(range_id(F.col("doc_id"), bounds).cast("int").alias("range"), F.lit(0).alias("ghost"))

@@ -292,19 +292,24 @@ def _count(model: Model, level: Level):
     return lean(run)
 
 
-#: Bits of a word's id in a number that holds a pair's place before it.
-WORD_BITS = np.uint64(40)
+def _joined(n: int, pair: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    """A number for each pair's place, one of n, and word of at most so many bits."""
+    if max(0, n - 1).bit_length() + bits > 64:
+        raise OverflowError(f"{n} pairs and words of {bits} bits do not fit 64 bits: more blocks are needed")
+    return (pair.astype(np.uint64) << np.uint64(bits)) | word.astype(np.uint64)
 
 
 def pack_triples(n: int, pair: np.ndarray, word: np.ndarray) -> bytes:
     """Of each of n pairs, by place, how many words follow it, and these words with their counts."""
-    keys = np.sort((pair.astype(np.uint64) << WORD_BITS) | word.astype(np.uint64))
+    bits = int(word.max(initial=0)).bit_length()
+    keys = np.sort(_joined(n, pair, word, bits))
     heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return _triple_bytes(*_split(n, keys[heads]), np.diff(np.append(heads, len(keys))))
+    return _triple_bytes(*_split(n, keys[heads], bits), np.diff(np.append(heads, len(keys))))
 
 
-def _split(n: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.bincount((keys >> WORD_BITS).astype(np.int64), minlength=n), keys & np.uint64((1 << int(WORD_BITS)) - 1)
+def _split(n: int, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words after each of n pairs, these words) of sorted numbers of _joined()."""
+    return np.bincount((keys >> np.uint64(bits)).astype(np.int64), minlength=n), keys & np.uint64((1 << bits) - 1)
 
 
 def _triple_bytes(kinds: np.ndarray, word: np.ndarray, counts: np.ndarray) -> bytes:
@@ -320,9 +325,9 @@ def unpack_triples(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kinds.astype(np.int64), word, np.frombuffer(blob, f"<u{size}", m, 40 + kinds.nbytes + word.nbytes)
 
 
-def _joined_triples(pairs: np.ndarray, items: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+def _joined_triples(pairs: np.ndarray, items: list[tuple], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(numbers of pair's place and word, counts) of items(pairs, kinds, words, counts) over the sorted pairs that hold all of theirs."""
-    keys = [(np.repeat(np.searchsorted(pairs, own).astype(np.uint64), kinds) << WORD_BITS) | word for own, kinds, word, _ in items]
+    keys = [_joined(len(pairs), np.repeat(np.searchsorted(pairs, own), kinds), word, bits) for own, kinds, word, _ in items]
     return _summed([(k, c.astype(np.int64)) for k, (*_, c) in zip(keys, items)])
 
 
@@ -330,15 +335,15 @@ def _merge(folder: str, level: Level, vocabulary: int, orders: int):
     """Writes keys and counts of each block's pairs and of the triples that begin with them; yields (block, pairs, triples)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts, items, waiting, done = None, [], [], 0, []
+        current, parts, items, waiting, done, bits = None, [], [], 0, [], vocabulary.bit_length()
 
         def compact() -> np.ndarray:
             nonlocal parts, waiting
             parts = [_summed(parts)]
             pairs = parts[0][0]
             if items and orders > 2:
-                keys, counts = _joined_triples(pairs, items)
-                items[:] = [(pairs, *_split(len(pairs), keys), counts)]
+                keys, counts = _joined_triples(pairs, items, bits)
+                items[:] = [(pairs, *_split(len(pairs), keys, bits), counts)]
             waiting = 0
             return pairs
 

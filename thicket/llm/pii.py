@@ -408,5 +408,8 @@ def masked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     Odd rows are treated as in pseudonymise; all columns stay.
     """
     bounded_batches(docs.sparkSession)
-    out = docs.mapInArrow(_mask(key, docs.columns, False), docs.schema)
+    # Arrow functions take no names with dots, so columns go through under plain ones.
+    plain = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    inner = docs.toDF(*plain)
+    out = inner.mapInArrow(_mask(key, plain, False), inner.schema).toDF(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out

@@ -62,6 +62,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of the files behind df as Spark estimates them, without reading any; 0 where it cannot tell."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 def release(df: DataFrame) -> None:
     """Deletes the files of a materialised table that nothing reads any more."""
     remove(df.sparkSession, df.thicket_path)

@@ -1,10 +1,13 @@
 """Token ids in Arrow stream files of fixed-size-list batches.
 
 A shard holds the documents of one range of doc_id in ascending order as two
-Arrow streams: ``NNNNNN.tokens.arrow`` with columns ids
+Arrow streams: ``NNNNNN-TAG.tokens.arrow`` with columns ids
 (fixed_size_list<uint16 or uint32>[LENGTH]) and mask
 (fixed_size_list<bool>[LENGTH]), LENGTH tokens a row and ROWS rows a batch,
-and ``NNNNNN.index.arrow`` with doc_id, start and n_tokens of each document.
+and ``NNNNNN-TAG.index.arrow`` with doc_id, start and n_tokens of each document.
+Every attempt at a task has a tag of its own, and the manifest, which Spark
+commits once, names the tag that counts: both files of a shard are always of
+one attempt, and what a lost one has left is never read.
 Batches are uncompressed, so a mapped file gives any sequence without a copy;
 only the last row of a shard is padded, where mask is false.
 
@@ -30,9 +33,11 @@ from pyspark.sql import functions as F
 
 from thicket.llm import tokens
 from thicket.llm.ranges import range_bounds, range_id, slot_of, slots
-from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, open_shared, workspace
+from thicket.llm.runtime import bounded_batches, commit_shared, lean, materialise, open_shared, table_bytes, workspace
 
 LENGTH, ROWS = 1024, 64
+#: Bytes of a table, as stored, behind a shard.
+SHARD_BYTES = 256 << 20
 #: Bits of the table of remembered words, and ids held before it starts anew.
 TABLE_BITS, REMEMBERED = 20, 24_000_000
 #: Words that the tokenizer's own rules split into letters and one mark, whatever stands around them.
@@ -134,6 +139,10 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def shard_path(folder: str, number: int, tag: str, kind: str) -> str:
+    return f"{folder}/{number:06d}-{tag}.{kind}.arrow"
+
+
 class _Shard:
     """Writes one shard; nothing longer than a batch and one text's ids is held."""
 
@@ -169,7 +178,7 @@ class _Shard:
         mask = np.arange(len(ids)) < real
         self.writers["tokens"].write_batch(pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(ids), LENGTH), pa.FixedSizeListArray.from_arrays(pa.array(mask), LENGTH)], schema=self.schema))
 
-    def close(self) -> tuple[int, int, int]:
+    def close(self) -> tuple[int, int, int, str]:
         if self.held:
             joined = np.concatenate(self.waiting)
             padded = np.zeros(-(-len(joined) // LENGTH) * LENGTH, self.wide)
@@ -178,8 +187,8 @@ class _Shard:
         for k in ("tokens", "index"):
             self.writers[k].close()
             self.files[k].close()
-            commit_shared(self._part(k), f"{self.folder}/{self.number:06d}.{k}.arrow")
-        return self.number, self.docs, self.total
+            commit_shared(self._part(k), shard_path(self.folder, self.number, self.tag, k))
+        return self.number, self.docs, self.total, self.tag
 
 
 def _write(path: str, folder: str, end_id: int):
@@ -203,40 +212,42 @@ def _write(path: str, folder: str, end_id: int):
                     row += len(counts)
         if shard:
             done.append(shard.close())
-        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int64()) for k in range(3)], ["shard", "n_docs", "n_tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string() if k == 3 else pa.int64()) for k in range(4)], ["shard", "n_docs", "n_tokens", "tag"])
 
     return lean(run)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2, shards: int = 0) -> DataFrame:
-    """Writes docs as shards below folder and returns their manifest: shard, n_docs, n_tokens, start.
+    """Writes docs as shards below folder and returns their manifest: shard, n_docs, n_tokens, start, tag.
 
-    Documents are written in ascending doc_id order, null ids first, repeated
-    rows one after the other; null and empty texts have the end id only.  The
-    manifest has one row per shard; an empty table writes nothing.
+    Documents are written in ascending doc_id order, null ids first, rows that
+    repeat an id in the order of their texts; null and empty texts have the end
+    id only.  The manifest has one row per shard; an empty table writes nothing.
+    shards is how many there are at most; by default it follows the size of the
+    table, about SHARD_BYTES each, and the cluster.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = shards or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shards or max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table_bytes(docs) // SHARD_BYTES))
     bounds = range_bounds(rows, "doc_id", n)
     shard = range_id(F.col("doc_id"), bounds).cast("long")
     # One partition a shard: a shard's slot is a number that Spark's hash puts there.
     n = max(1, len(bounds))
-    dealt = rows.select(shard.alias("shard"), "doc_id", "text").withColumn("slot", slot_of(F.col("shard"), slots(spark, n))).repartition(n, "slot").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first())
-    manifest = materialise(dealt.select("shard", "doc_id", "text").mapInArrow(_write(tokenizer_path, folder, end_id), "shard long, n_docs long, n_tokens long"), "manifest")
+    dealt = rows.select(shard.alias("shard"), "doc_id", "text").withColumn("slot", slot_of(F.col("shard"), slots(spark, n))).repartition(n, "slot").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), F.coalesce("text", F.lit("")))
+    manifest = materialise(dealt.select("shard", "doc_id", "text").mapInArrow(_write(tokenizer_path, folder, end_id), "shard long, n_docs long, n_tokens long, tag string"), "manifest")
     total, out = 0, []
     for r in manifest.orderBy("shard").collect():  # one row a shard, as many as asked for
-        out.append((r.shard, r.n_docs, r.n_tokens, total))
+        out.append((r.shard, r.n_docs, r.n_tokens, total, r.tag))
         total += r.n_tokens
-    return spark.createDataFrame(out, "shard long, n_docs long, n_tokens long, start long")
+    return spark.createDataFrame(out, "shard long, n_docs long, n_tokens long, start long, tag string")
 
 
 class TokenShard:
     """Random access to a shard; a local file is mapped, so sequences are views of it."""
 
-    def __init__(self, folder: str, number: int):
-        path = f"{folder}/{number:06d}.tokens.arrow"
+    def __init__(self, folder: str, number: int, tag: str):
+        path = shard_path(folder, number, tag, "tokens")
         url = urlparse(path)
         self.source = pa.memory_map(url.path) if url.scheme in ("", "file") else open_shared(path, "rb")
         self.batches = list(pa.ipc.open_stream(self.source))
@@ -260,9 +271,9 @@ class TokenShard:
 def _read(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                shard = TokenShard(folder, number)
-                with open_shared(f"{folder}/{number:06d}.index.arrow", "rb") as source:
+            for number, base, tag in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                shard = TokenShard(folder, number, tag)
+                with open_shared(shard_path(folder, number, tag, "index"), "rb") as source:
                     for index in pa.ipc.open_stream(source):
                         start, count = index.column("start").to_numpy(), index.column("n_tokens").to_numpy()
                         sums = []
@@ -278,7 +289,7 @@ def _read(folder: str):
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start (over all shards), n_tokens and ids_crc32 of every document, from the files."""
-    shards = manifest.select("shard", "start").repartition(max(1, min(manifest.count(), 4 * manifest.sparkSession.sparkContext.defaultParallelism)), "shard")
+    shards = manifest.select("shard", "start", "tag").repartition(max(1, min(manifest.count(), 4 * manifest.sparkSession.sparkContext.defaultParallelism)), "shard")
     return shards.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
