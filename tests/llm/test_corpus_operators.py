@@ -409,18 +409,24 @@ def test_wrappers(spark):
     assert wrappers.main_texts(df.limit(0)).count() == 0
 
 
-def test_wrappers_tell_template_text_in_articles(spark):
+def test_text_that_pages_share_stays_in_articles(spark):
+    """Inside the article nothing is dropped, whatever its length and on however many pages it is."""
     page = lambda i, more="": f"<body><article><h1>Title {i}</h1><p>Long text number {i} of this page {more}<p>only <em>not</em> {i}<p>Share <a>this</a> now<div>Buy it</div></article></body>"
     copy = lambda i: f"<body><article><h1>A long headline</h1><p>The same body again</p><p>{i}</p></article></body>"
     once = lambda i: f"<body><article><p>Words of page {i} are here</p><p>{'Rare' if i else 'Other'}</p></article></body>"
     rows = [(i, f"https://t.example/{i}", page(i, "<b>x</b>" * (i % 2))) for i in range(4)]
     rows += [(10 + i, f"https://c.example/{i}", copy(i)) for i in range(4)] + [(20 + i, f"https://o.example/{i}", once(i)) for i in range(4)]
     rows += [(30 + i, f"https://two.example/{i}", page(i)) for i in range(2)]
+    shared = {n: ("shared words " * n)[: n - 1] + "." for n in (1, 40, 199, 200, 201, 5000)}
+    for k, text in enumerate(shared.values()):
+        rows += [(100 + 10 * k + i, f"https://s{k}.example/{i}", f"<body><nav><a>Home</a> <a>News</a></nav><div><p>Own text {i} of the page</p><p>{text}</p><p>More {i * i}</p></div><footer>Fixed</footer></body>") for i in range(4)]
     got = {r.page_id: r.text for r in wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i in range(4):
-        assert got[i] == f"Title {i}\nLong text number {i} of this page{' x' * (i % 2)}\nonly not {i}"
+        assert got[i] == f"Title {i}\nLong text number {i} of this page{' x' * (i % 2)}\nonly not {i}\nShare this now\nBuy it"
         assert got[10 + i] == f"A long headline\nThe same body again\n{i}"
         assert got[20 + i] == f"Words of page {i} are here\n{'Rare' if i else 'Other'}"
+        for k, text in enumerate(shared.values()):
+            assert got[100 + 10 * k + i] == f"Own text {i} of the page\n{text}\nMore {i * i}"
     assert all(got[30 + i].endswith("Share this now\nBuy it") for i in range(2))
 
 

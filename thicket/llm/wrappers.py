@@ -16,14 +16,16 @@ A page is read through the wrapper of its host alone: an element without a part
 in it has no slot and gives no text.  ``plan`` marks the parts to read from what
 the alignment saw on all pages of the host.  Main text is the element that
 holds the bulk of the host's varying text outside links; inside it, parts that
-are link lists on most pages, and blocks whose text every page has, are
-template.  HTML's own names of page furniture (nav, aside, form, ...) and class
+are link lists on most pages are template, and so are, where no article is
+marked, containers in which nothing varies; all else is kept, also paragraphs
+that every page has, whatever their length.  HTML's own names of page furniture (nav, aside, form, ...) and class
 names of adverts, notices and comments are a prior: a named part is read all the
 same where it holds a good share of the region's text on enough pages.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -58,10 +60,10 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 SPACES = re.compile(r"\s+")
-#: Pages on which a part must be seen before what they have in common decides, and the longest fixed text.
-ENOUGH_PAGES, FIXED_CHARS = 3, 200
+#: Pages on which a part must be seen before what they have in common decides.
+ENOUGH_PAGES = 3
 #: Levels of nesting that a wrapper describes; deeper elements are read as part of the last one.
-LEVELS = 48
+LEVELS = 128
 #: Kinds of children that a part keeps apart; beyond it they are told apart by tag alone.
 KINDS = 64
 #: Siblings of one kind told apart by position.
@@ -153,35 +155,12 @@ def parse(page: str) -> list:
     return root
 
 
-# A part is [least, most, pages, chars, slot, common, order, kids]: least and most are its
-# occurrences in one parent (most 2: more than one); pages the aligned pages that have it;
-# chars the characters of its own slot on all of them; slot None (no text), the fixed text
-# [t], or [] for varying text; common the texts of innermost blocks that each of these pages
-# has here; order a list of lists of kinds, one of several being a repeated group; kids a
-# list of parts by kind, several being told apart by position.
-LEAST, MOST, PAGES, CHARS, SLOT, COMMON, ORDER, KIDS = range(8)
-
-
-def block_text(node: list) -> str:
-    """The whole text of a block without blocks inside; empty for other elements and long texts."""
-    texts: list[str] = []
-
-    def gather(inner: list) -> bool:
-        for child in inner[1]:
-            if isinstance(child, str):
-                texts.append(child)
-                continue
-            tag = child[0].split(".", 1)[0]
-            if tag in BLOCK or child is BREAK or not gather(child):
-                return False
-            if tag == "br":
-                texts.append(" ")
-        return True
-
-    if node[0].split(".", 1)[0] not in BLOCK or not gather(node):
-        return ""
-    text = SPACES.sub(" ", "".join(texts)).strip()
-    return text if len(text) <= FIXED_CHARS else ""
+# A part is [least, most, pages, chars, slot, order, kids]: least and most are its occurrences
+# in one parent (most 2: more than one); pages the aligned pages that have it; chars the
+# characters of its own slot on all of them; slot None (no text), the digest of a fixed text
+# of any length [d], or [] for varying text; order a list of lists of kinds, one of several
+# being a repeated group; kids a list of parts by kind, several being told apart by position.
+LEAST, MOST, PAGES, CHARS, SLOT, ORDER, KIDS = range(7)
 
 
 def from_tree(node: list) -> list:
@@ -207,8 +186,7 @@ def from_tree(node: list) -> list:
         if len(kids[kind]) == 1:
             kids[kind][0][MOST] = min(2, len(parts))
     joined = " ".join(texts)
-    whole = block_text(node)
-    return [1, 1, 1, len(joined), ([joined] if len(joined) <= FIXED_CHARS else []) if texts else None, [whole] if whole else [], order, kids]
+    return [1, 1, 1, len(joined), [hashlib.blake2b(joined.encode("utf-8", "replace"), digest_size=8).hexdigest()] if texts else None, order, kids]
 
 
 def _place(order: list[list[str]], kind: str) -> None:
@@ -246,12 +224,7 @@ def align(a: list, b: list, same: bool = False) -> list:
     if len(kids) > KINDS:
         order, kids = _by_tag(order, kids)
     pages = max(a[PAGES], b[PAGES]) if same else a[PAGES] + b[PAGES]
-    if same:  # only texts of the part that all the pages have are sure
-        common = list(dict.fromkeys(t for w in (a, b) if w[PAGES] == pages for t in w[COMMON]))
-    else:
-        held = set(b[COMMON])
-        common = [t for t in a[COMMON] if t in held]
-    return [min(a[LEAST], b[LEAST]), max(a[MOST], b[MOST]), pages, a[CHARS] + b[CHARS], slot, common, order, kids]
+    return [min(a[LEAST], b[LEAST]), max(a[MOST], b[MOST]), pages, a[CHARS] + b[CHARS], slot, order, kids]
 
 
 def _merged(x: list[list[str]], y: list[list[str]]) -> list[list[str]]:
@@ -313,19 +286,30 @@ def _mass(part: list, kind: str, found: dict[int, tuple[int, int]]) -> tuple[int
     return text, link
 
 
-def _template(part: list, kind: str, whole: list, mass: dict, region: int) -> bool:
-    """Whether a part is furniture of the host's pages rather than text."""
+def _marked(kind: str) -> bool:
+    """Whether a kind is what HTML calls the article."""
+    return kind.split(".", 1)[0] in ("article", "main") or ".role=main" in kind
+
+
+def _template(part: list, kind: str, whole: list, mass: dict, region: int, marked: bool) -> bool:
+    """Whether a part is furniture of the host's pages rather than text.
+
+    Beside the text of a region that is no marked article, a container that
+    every page has once and in which nothing varies is.
+    """
     tag = kind.split(".", 1)[0]
     text, link = mass[id(part)]
     sure = part[PAGES] >= ENOUGH_PAGES
     name = named(kind)
     if name == "certain" or name and not (sure and region and text >= CLEARED * region):
         return True
+    if not marked and region and sure and tag in CONTAINERS and part[LEAST] and part[MOST] == 1 and part[PAGES] >= whole[PAGES] and not text + link:
+        return True
     return tag in LISTS and sure and 2 * part[PAGES] >= whole[PAGES] and link > 0 and link >= LINKED * (text + link)
 
 
 def plan(whole: list) -> list:
-    """What to read of a host's pages: [state, common, kids] a part; state 1 inside the region, 0 on its path, 2 outside it.
+    """What to read of a host's pages: [state, kids] a part; state 1 inside the region, 0 on its path, 2 outside it.
 
     Template parts are null.
     """
@@ -342,13 +326,13 @@ def plan(whole: list) -> list:
                 if name == "certain" or name and text < CLEARED * mass[id(at)][0]:
                     continue
                 sum_ += text
-                weight = text * (2 if tag in ("article", "main") or ".role=main" in k else 0.5 if name else 1)
+                weight = text * (2 if _marked(k) else 0.5 if name else 1)
                 if tag in CONTAINERS and (tag != "span") and weight > most:
                     best, most = (p, k), weight
         own = mass[id(at)][0] - sum(mass[id(p)][0] for parts in at[KIDS].values() for p in parts)
         if best is None or not sum_:
             break
-        marked = best[1].split(".", 1)[0] in ("article", "main") or ".role=main" in best[1]
+        marked = _marked(best[1])
         if mass[id(best[0])][0] < (BULK / 2 if marked else BULK) * (sum_ + own):
             break
         path.append(best)
@@ -365,7 +349,7 @@ def plan(whole: list) -> list:
             for p in parts:
                 if id(p) in on_path:
                     out.append(made(p, 1 if p is at else 0))
-                elif k.startswith("header") and state != 1 or _template(p, k, whole, mass, region):
+                elif k.startswith("header") and state != 1 or _template(p, k, whole, mass, region, _marked(kind)):
                     out.append(None)
                 elif state == 1:
                     out.append(made(p, 1))
@@ -373,9 +357,7 @@ def plan(whole: list) -> list:
                     # A headline beside the region's path belongs to the text.
                     out.append(made(p, 1 if state == 0 and tag == "h1" and not p[SLOT] and at is not whole else 2))
             kids[k] = out
-        # Of a part that every page of the host has, what each has in common is template.
-        common = part[COMMON] if part[PAGES] >= max(ENOUGH_PAGES, whole[PAGES]) else []
-        return [state, common, kids]
+        return [state, kids]
 
     return made(whole, 1 if at is whole else 0)
 
@@ -383,19 +365,12 @@ def plan(whole: list) -> list:
 def extract(page: str, reading: list) -> str:
     """The main text of a page, read through the plan of its host's wrapper."""
     root = parse(page)
-    text, seen = _read(root, reading, 1, True)
-    whole = text
-    if seen:
-        whole, _ = _read(root, reading, 1, False)
-    else:  # a page without the region: what is outside it
-        text, _ = _read(root, reading, 2, True)
-        whole, _ = _read(root, reading, 2, False)
-    # A page nearly all of whose text is common to the host is a copy of the others and keeps it.
-    return text if 4 * len(text) >= len(whole) else whole
-
-
-def _read(root: list, reading: list, state: int, common: bool) -> tuple[str, bool]:
-    """(text of the parts in this state, whether there are any); common: without the texts that every page has."""
+    text, seen = _read(root, reading, 1)
+    return text if seen else _read(root, reading, 2)[0]  # a page without the region: what is outside it
+
+
+def _read(root: list, reading: list, state: int) -> tuple[str, bool]:
+    """(text of the parts in this state, whether there are any)."""
     blocks: list[str] = []
     inline: list[str] = []
     seen = False
@@ -415,8 +390,6 @@ def _read(root: list, reading: list, state: int, common: bool) -> tuple[str, boo
         block = tag in BLOCK
         if block:
             flush()
-        if common and part[1] and block_text(node) in part[1]:
-            return
         place: dict[str, int] = {}
         for child in node[1]:
             if isinstance(child, str):
@@ -430,7 +403,7 @@ def _read(root: list, reading: list, state: int, common: bool) -> tuple[str, boo
             if child is BREAK:
                 flush()
                 continue
-            parts = part[2].get(kind if kind in part[2] else kind.split(".", 1)[0])
+            parts = part[1].get(kind if kind in part[1] else kind.split(".", 1)[0])
             i = place[kind] = place.get(kind, -1) + 1
             mine = None if parts is None else parts[i] if i < len(parts) and len(parts) > 1 else parts[0] if len(parts) == 1 else None
             if mine is not None:
@@ -501,7 +474,7 @@ def infer_wrappers(pages: DataFrame, salts: int = 32, plans: bool = False) -> Da
 
 
 #: The plan of a host without pages.
-NOTHING: list = [0, [], {}]
+NOTHING: list = [0, {}]
 
 
 @lean
