@@ -216,7 +216,7 @@ def test_sections(spark):
     assert rows["3.1"].content == "Perros." and rows["3.2"].content == "2.5 ml per animal" and rows["4"].title == "SECCIÓN 4" and rows["4.1"].content == "y"
     assert "2.5" in {r.id for r in documents.section_rows(docs).collect()}
     assert {r.document_id: r.especies_destino for r in documents.target_species(documents.section_rows(docs, strict=True), docs).collect()} == {"d": "Perros", "e": ""}
-    trees = documents.section_trees(documents.section_rows(docs, strict=True)).first()
+    trees = documents.section_trees(docs, strict=True).first()
     assert [s.seccion_id for s in trees.secciones] == ["1", "3", "4", "10"] and [u.seccion_id for u in trees.secciones[1].subsecciones] == ["3.1", "3.2"]
     assert spark.range(1).select(documents.trim_after_last_section(F.lit("a\n**10. D**\nx\n-----\nz"))).first()[0] == "a\n**10. D**\nx\n"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -37,6 +37,11 @@ def words(c: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(c, F.lit(WORD), F.lit(1)), F.array().cast("array<string>"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once a row, also where lambdas use it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def split_on_space(c: Column) -> Column:
     """The white-space alternative to words()."""
     return F.filter(F.split(F.trim(F.coalesce(c, F.lit(""))), r"\s+"), lambda t: t != "")

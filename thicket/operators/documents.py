@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from thicket.functions import text as text_functions
 from thicket.functions.text import canonical_doc_id, spanish_date
 from thicket.session import stored
 
@@ -28,62 +29,122 @@ def _first(line: Column, patterns: tuple[str, ...], group: int) -> Column:
     return F.coalesce(*[F.when(F.rlike(line, F.lit(p)), F.regexp_extract(line, p, group)) for p in patterns])
 
 
+def _found(lines: Column, strict: bool) -> Column:
+    """The headings among lines: (at, size, kind, id, parent, title), at the line's number from 0, size its characters."""
+    numbers = [str(n) for n in range(1, 11)]
+
+    def read(c: Column) -> Column:
+        line = c["line"]
+        bare = F.trim(F.regexp_replace(line, r"\*\*", ""))
+        plain = F.when(F.rlike(bare, F.lit(PLAIN_SUBSECTION)), F.struct(F.regexp_extract(bare, PLAIN_SUBSECTION, 1).alias("id"), F.regexp_extract(bare, PLAIN_SUBSECTION, 2).alias("title")))
+        return F.struct(c["at"].alias("at"), line.alias("line"), _first(line, SECTION_PATTERNS, 1).alias("section"), _first(line, SUBSECTION_PATTERNS, 1).alias("bold"), plain.alias("plain"))
+
+    def told(h: Column) -> Column:
+        plain, line = h["plain"], h["line"]
+        if strict:
+            titled = F.lower(F.trim(plain["title"]))
+            plain_id = F.when((titled != "") & ~F.rlike(titled, F.lit(UNIT)), plain["id"])
+        else:
+            plain_id = plain["id"]
+        title = F.when(h["section"].isNotNull(), _first(line, SECTION_PATTERNS, 2)).otherwise(F.coalesce(_first(line, SUBSECTION_PATTERNS, 2), plain["title"]))
+        ident = F.coalesce(h["section"], h["bold"], plain_id)
+        return F.struct(
+            h["at"].alias("at"), F.length(line).alias("size"), F.when(h["section"].isNotNull(), "section").otherwise("subsection").alias("kind"), ident.alias("id"),
+            F.when(h["section"].isNull(), F.substring_index(ident, ".", 1)).alias("parent"), F.trim(F.regexp_replace(F.trim(F.regexp_replace(title, r"\*\*", "")), ":$", "")).alias("title"),
+        )
+
+    # A heading has nothing but asterisks and spaces before its number, so the grammar is tried on few lines.
+    few = F.filter(F.transform(lines, lambda line, i: F.struct(i.alias("at"), line.alias("line"))), lambda c: F.rlike(c["line"], F.lit(r"^[ *]*\d")))
+    valid = lambda h: F.when(h["kind"] == "section", h["id"].isin(numbers)).otherwise(h["parent"].isin(numbers) & (F.substring_index(h["id"], ".", -1).cast("int") <= 15))
+    return F.filter(F.transform(F.transform(few, read), told), lambda h: h["id"].isNotNull() & valid(h))
+
+
+def _lines(text: Column | str) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+
 def headings(docs: DataFrame, key: str = "document_id", text: str = "text", strict: bool = False) -> DataFrame:
     """(key, kind, id, parent, title, start, end): heading lines with offsets into the text, kind 'section' or 'subsection'.
 
     strict=False also takes any line that starts with a decimal number as a
     subsection, 'body' lines such as '2.5 ml' included; strict needs bold or a
-    title that is no unit.
+    title that is no unit.  Each row is a document and is read where it lies.
     """
-    lines = docs.select(key, F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n", -1)).alias("at", "line"))
-    running = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    lines = lines.withColumn("start", F.coalesce(F.sum(F.length("line") + 1).over(running), F.lit(0)).cast("int"))
-    bare = F.trim(F.regexp_replace("line", r"\*\*", ""))
-    bold_sub, plain_sub = _first(F.col("line"), SUBSECTION_PATTERNS, 1), F.when(F.rlike(bare, F.lit(PLAIN_SUBSECTION)), F.regexp_extract(bare, PLAIN_SUBSECTION, 1))
-    plain_title = F.regexp_extract(bare, PLAIN_SUBSECTION, 2)
-    if strict:
-        plain_sub = F.when((F.length(F.trim(plain_title)) > 0) & ~F.rlike(F.lower(F.trim(plain_title)), F.lit(UNIT)), plain_sub)
-    section, sub = _first(F.col("line"), SECTION_PATTERNS, 1), F.coalesce(bold_sub, plain_sub)
-    title = F.when(section.isNotNull(), _first(F.col("line"), SECTION_PATTERNS, 2)).otherwise(F.coalesce(_first(F.col("line"), SUBSECTION_PATTERNS, 2), plain_title))
-    title = F.trim(F.regexp_replace(F.trim(F.regexp_replace(title, r"\*\*", "")), ":$", ""))
-    rows = lines.select(key, "at", "start", (F.col("start") + F.length("line")).alias("end"), F.when(section.isNotNull(), "section").otherwise("subsection").alias("kind"), F.coalesce(section, sub).alias("id"), title.alias("title")).filter("id IS NOT NULL")
-    parent = F.substring_index("id", ".", 1)
-    valid = F.when(F.col("kind") == "section", F.col("id").isin(*map(str, range(1, 11)))).otherwise(parent.isin(*map(str, range(1, 11))) & (F.substring_index("id", ".", -1).cast("int") <= 15))
-    return rows.filter(valid).select(key, "kind", "id", F.when(F.col("kind") == "subsection", parent).alias("parent"), "title", "start", "end")
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
 
+    def placed(c: Column) -> Column:
+        """Offsets from the sums of groups of lines, so that a text of n lines takes about n * sqrt(n) steps at most."""
+        sizes, width = c["sizes"], c["width"]
+        sums = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / width).cast("int")), lambda k: total(F.slice(sizes, k * width + 1, width)))
+        group = lambda at: F.floor(at / width).cast("int")
+        start = lambda before, at: F.get(before, group(at)) + total(F.slice(sizes, group(at) * width + 1, at - group(at) * width))
+        before = text_functions.let(sums, lambda s: F.transform(s, lambda _, k: total(F.slice(s, F.lit(1), k))))
+        return text_functions.let(before, lambda b: F.transform(c["found"], lambda h: F.struct(h["kind"].alias("kind"), h["id"].alias("id"), h["parent"].alias("parent"), h["title"].alias("title"), start(b, h["at"]).alias("start"), (start(b, h["at"]) + h["size"]).alias("end"))))
+
+    each = text_functions.let(_lines(text), lambda lines: text_functions.let(F.struct(_found(lines, strict).alias("found"), F.transform(lines, lambda x: F.length(x) + 1).alias("sizes"), F.ceil(F.sqrt(F.size(lines))).cast("int").alias("width")), placed))
+    return docs.select(key, F.inline(each))
 
-def section_rows(docs: DataFrame, key: str = "document_id", text: str = "text", strict: bool = False) -> DataFrame:
-    """(key, kind, id, parent, title, content): the last heading of an id wins, with the text up to the next heading.
+
+def parsed_sections(text: Column | str, strict: bool = False) -> Column:
+    """Array of (kind, id, parent, title, content) of a text: the last heading of an id wins, with the text up to the next heading.
 
     A section ends at the next section; with subsections it keeps the text
     before its first one.  A subsection ends at the next heading of its parent
     or the next section.  A subsection whose parent never appears gets a
     section 'SECCIÓN n' without content.
     """
-    found = headings(docs, key, text, strict)
-    later = Window.partitionBy(key).orderBy("start").rowsBetween(1, Window.unboundedFollowing)
-    next_section = F.min(F.when(F.col("kind") == "section", F.col("start"))).over(later)
-    next_sibling = F.lead("start").over(Window.partitionBy(key, "kind", "parent").orderBy("start"))
-    next_any = F.lead("start").over(Window.partitionBy(key).orderBy("start"))
-    stop = F.when(F.col("kind") == "section", F.least(next_section, next_any)).otherwise(F.least(next_sibling, next_section))
-    bounded = found.withColumn("stop", stop).join(docs.select(key, F.col(text).alias("_text")), key)
-    body = F.trim(F.substring(F.col("_text"), F.col("end") + 2, F.greatest(F.coalesce("stop", F.length("_text") + 1) - F.col("end") - 1, F.lit(0))))
-    rows = latest(bounded.select(key, "kind", "id", "parent", "title", F.regexp_replace(body, r"^\s+|\s+$", "").alias("content"), "start", F.concat_ws("\u0001", F.col(key).cast("string"), "kind", "id").alias("_k")), "_k", F.desc("start")).drop("_k", "start")
-    sections = rows.filter("kind = 'section'").select(key, F.col("id").alias("parent"))
-    orphans = rows.filter("kind = 'subsection'").select(key, "parent").distinct().join(sections, [key, "parent"], "left_anti")
-    made = orphans.select(key, F.lit("section").alias("kind"), F.col("parent").alias("id"), F.lit(None).cast("string").alias("parent"), F.concat(F.lit("SECCIÓN "), F.col("parent")).alias("title"), F.lit("").alias("content"))
-    return rows.unionByName(made)
-
-
-def section_trees(rows: DataFrame, key: str = "document_id") -> DataFrame:
-    """(key, secciones): sections by number, each with its subsections by dotted number."""
+
+    def rows(c: Column) -> Column:
+        lines, found, keys, marks = c["lines"], c["found"], c["keys"], c["marks"]
+        many = F.size(found)
+        ahead = lambda a, values, x: F.array_position(F.slice(values, a + 2, many), x).cast("int")  # noqa: E731  how far on x comes next; 0 for never
+
+        def item(x: Column) -> Column:
+            h, a = x["h"], x["a"]
+            step = F.when(h["kind"] == "section", F.lit(1)).otherwise(ahead(a, F.get(marks, h["parent"].cast("int") - 1), 1))
+            stop = F.when(step == 0, F.size(lines)).otherwise(F.coalesce(F.get(found, a + step)["at"], F.size(lines)))
+            body = F.array_join(F.slice(lines, h["at"] + 2, stop - h["at"] - 1), "\n")
+            return F.struct(h["kind"].alias("kind"), h["id"].alias("id"), h["parent"].alias("parent"), h["title"].alias("title"), F.regexp_replace(body, r"^\s+|\s+$", "").alias("content"))
+
+        last = F.filter(F.transform(found, lambda h, a: F.struct(h.alias("h"), a.alias("a"))), lambda x: ahead(x["a"], keys, F.get(keys, x["a"])) == 0)
+        return F.transform(last, item)
+
+    def with_made(found: Column) -> Column:
+        of = lambda kind, name: F.transform(F.filter(found, lambda h: h["kind"] == kind), lambda h: h[name])
+        orphans = F.array_except(of("subsection", "parent"), of("section", "id"))
+        return F.concat(found, F.transform(orphans, lambda n: F.struct(F.lit("section").alias("kind"), n.alias("id"), F.lit(None).cast("string").alias("parent"), F.concat(F.lit("SECCIÓN "), n).alias("title"), F.lit("").alias("content"))))
+
+    def indexed(c: Column) -> Column:
+        found = c["found"]
+        marks = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda n: F.transform(found, lambda h: F.when((h["kind"] == "section") | (h["parent"] == n.cast("string")), 1).otherwise(0)))
+        return F.struct(c["lines"].alias("lines"), found.alias("found"), F.transform(found, lambda h: F.concat(h["kind"], h["id"])).alias("keys"), marks.alias("marks"))
+
+    let = text_functions.let
+    return let(let(let(let(_lines(text), lambda lines: F.struct(lines.alias("lines"), _found(lines, strict).alias("found"))), indexed), rows), with_made)
+
+
+def section_rows(docs: DataFrame, key: str = "document_id", text: str = "text", strict: bool = False) -> DataFrame:
+    """(key, kind, id, parent, title, content): parsed_sections() of every row, without a shuffle."""
+    return docs.select(key, F.inline(parsed_sections(text, strict)))
+
+
+def section_tree(rows: Column) -> Column:
+    """Of parsed_sections(): sections by number, each with its subsections by dotted number."""
     number = lambda c: F.transform(F.split(c, r"\."), lambda x: x.cast("int"))
-    item = F.struct(number(F.col("id")).alias("n"), F.col("id").alias("seccion_id"), F.col("title").alias("titulo"), F.col("content").alias("contenido"))
-    subs = rows.filter("kind = 'subsection'").groupBy(key, "parent").agg(F.array_sort(F.collect_list(item)).alias("subs"))
-    joined = rows.filter("kind = 'section'").drop("parent").join(subs.withColumnRenamed("parent", "id"), [key, "id"], "left")
-    clean = F.transform("subs", lambda s: F.struct(s["seccion_id"].alias("seccion_id"), s["titulo"].alias("titulo"), s["contenido"].alias("contenido")))
-    top = F.struct(F.col("id").cast("int").alias("n"), F.col("id").alias("seccion_id"), F.col("title").alias("titulo"), F.col("content").alias("contenido"), F.coalesce(clean, F.array().cast("array<struct<seccion_id:string,titulo:string,contenido:string>>")).alias("subsecciones"))
-    return joined.groupBy(key).agg(F.array_sort(F.collect_list(top)).alias("_all")).select(key, F.transform("_all", lambda s: F.struct(s["seccion_id"].alias("seccion_id"), s["titulo"].alias("titulo"), s["contenido"].alias("contenido"), s["subsecciones"].alias("subsecciones"))).alias("secciones"))
+    named = lambda x: [x["id"].alias("seccion_id"), x["title"].alias("titulo"), x["content"].alias("contenido")]
+
+    def tree(all_: Column) -> Column:
+        subs = lambda s: F.array_sort(F.transform(F.filter(all_, lambda x: x["parent"] == s["id"]), lambda x: F.struct(number(x["id"]).alias("n"), *named(x))))
+        clean = lambda s: F.transform(subs(s), lambda x: F.struct(x["seccion_id"], x["titulo"], x["contenido"]))
+        top = F.transform(F.filter(all_, lambda x: x["kind"] == "section"), lambda s: F.struct(s["id"].cast("int").alias("n"), *named(s), clean(s).alias("subsecciones")))
+        return F.transform(F.array_sort(top), lambda s: F.struct(s["seccion_id"], s["titulo"], s["contenido"], s["subsecciones"]))
+
+    return text_functions.let(rows, tree)
+
+
+def section_trees(docs: DataFrame, key: str = "document_id", text: str = "text", strict: bool = False) -> DataFrame:
+    """(key, secciones) of every document with a section."""
+    return docs.select(key, section_tree(parsed_sections(text, strict)).alias("secciones")).filter(F.size("secciones") > 0)
 
 
 def trim_after_last_section(text: Column) -> Column:
@@ -269,9 +330,11 @@ def parse_documents(files: DataFrame, master: DataFrame, base: str, strict: bool
     european = F.startswith("document_id", F.lit("EU"))
     docs = named.withColumn("text", F.when(european, trim_after_last_section(F.col("text"))).otherwise(F.col("text")))
     empty = F.coalesce(F.trim("text"), F.lit("")) == ""
-    rows = stored(section_rows(docs.filter(~empty), strict=strict), "sections")
+    parsed = stored(docs.filter(~empty).select("document_id", "text", parsed_sections("text", strict).alias("parsed")), "sections")
+    rows = parsed.select("document_id", F.inline("parsed"))
     none = F.array().cast("array<struct<seccion_id:string,titulo:string,contenido:string,subsecciones:array<struct<seccion_id:string,titulo:string,contenido:string>>>>")
-    parsed = target_species(rows, docs.filter(~empty)).join(section_trees(rows), "document_id", "left").withColumn("secciones", F.coalesce("secciones", none))
+    trees = parsed.select("document_id", section_tree(F.col("parsed")).alias("secciones"))
+    parsed = target_species(rows, parsed.select("document_id", "text")).join(trees, "document_id", "left").withColumn("secciones", F.coalesce("secciones", none))
     lost = quarantined(parsed, master)[1]
     return assemble(parsed, master, base), docs.filter(empty).select("document_id", F.lit("no content").alias("reason")).unionByName(lost)
 
@@ -296,13 +359,19 @@ def section_chunks(docs: DataFrame, separator: str = SEPARATOR) -> DataFrame:
     """Chunks of sections and subsections: chunk_id, document_id, chunk_type, title, parent_id, path, text."""
     name = F.coalesce("nombre_medicamento", F.lit(""))
     wrap = lambda head, body: F.concat(F.lit("Nombre del Medicamento: "), name, F.lit("\n\n"), head, F.lit("\n"), F.coalesce(body, F.lit("")), F.lit("\n-----"))
-    one = docs.select("document_id", "nombre_medicamento", F.explode("secciones").alias("s"))
-    head = F.concat(F.col("s.seccion_id"), F.lit(". "), F.col("s.titulo"))
     ident = lambda c: F.concat(F.col("document_id"), F.lit(separator), c)
-    top = one.select(ident(F.col("s.seccion_id")).alias("chunk_id"), "document_id", F.lit("section").alias("chunk_type"), F.col("s.titulo").alias("title"), ident(F.lit("full")).alias("parent_id"), F.array(F.col("s.titulo")).alias("path"), wrap(head, F.col("s.contenido")).alias("text"))
-    two = one.select("document_id", "nombre_medicamento", "s", F.explode("s.subsecciones").alias("u"))
-    sub = two.select(ident(F.col("u.seccion_id")).alias("chunk_id"), "document_id", F.lit("subsection").alias("chunk_type"), F.col("u.titulo").alias("title"), ident(F.col("s.seccion_id")).alias("parent_id"), F.array("s.titulo", "u.titulo").alias("path"), wrap(F.concat(head, F.lit(" - "), F.col("u.seccion_id"), F.lit(" "), F.col("u.titulo")), F.col("u.contenido")).alias("text"))
-    return top.unionByName(sub)
+    head = lambda s: F.concat(s["seccion_id"], F.lit(". "), s["titulo"])
+
+    def chunk(kind: str, item: Column, parent: Column, path: Column, title: Column) -> Column:
+        return F.struct(ident(item["seccion_id"]).alias("chunk_id"), F.lit(kind).alias("chunk_type"), item["titulo"].alias("title"), ident(parent).alias("parent_id"), path.alias("path"), wrap(title, item["contenido"]).alias("text"))
+
+    def of(s: Column) -> Column:
+        top = chunk("section", s, F.lit("full"), F.array(s["titulo"]), head(s))
+        subs = F.transform(s["subsecciones"], lambda u: chunk("subsection", u, s["seccion_id"], F.array(s["titulo"], u["titulo"]), F.concat(head(s), F.lit(" - "), u["seccion_id"], F.lit(" "), u["titulo"])))
+        return F.concat(F.array(top), F.coalesce(subs, F.array().cast("array<struct<chunk_id:string,chunk_type:string,title:string,parent_id:string,path:array<string>,text:string>>")))
+
+    rows = docs.select("document_id", F.inline(F.flatten(F.transform("secciones", of))))
+    return rows.select("chunk_id", "document_id", "chunk_type", "title", "parent_id", "path", "text")
 
 
 def normalise_nested(df: DataFrame, array: str, names: DataFrame, own: bool = False) -> DataFrame:

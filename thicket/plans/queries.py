@@ -543,7 +543,7 @@ def species_lookup(spark, sf_dir):
 
 def chunk_flatten(spark, sf_dir):
     docs = _markdown(spark, sf_dir)
-    trees = documents.section_trees(documents.section_rows(docs, strict=True)).withColumn("nombre_medicamento", F.concat(F.lit("doc "), F.col("document_id").cast("string")))
+    trees = documents.section_trees(docs, strict=True).withColumn("nombre_medicamento", F.concat(F.lit("doc "), F.col("document_id").cast("string")))
     return documents.section_chunks(trees).withColumn("path", F.array_join("path", " > "))
 
 
