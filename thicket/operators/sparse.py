@@ -16,6 +16,8 @@ from thicket.functions.text import words
 MODELS = ("okapi", "l", "plus")
 #: Query terms that are sent to the tasks, a checked number; more are scored by joins.
 SENT_TERMS = 1_000_000
+#: Pairs of a document and a query that a task scores at a time.
+MATCHES = 1_000_000
 
 
 def token_rows(df: DataFrame, key: str, text: str, tokens=None) -> DataFrame:
@@ -138,9 +140,9 @@ def ranked(hits: DataFrame, k: int) -> DataFrame:
 def top_k(index: Index, queries: DataFrame, k: int = 10, model: str = "okapi", **parameters) -> DataFrame:
     """(query_id, rank, doc_id, score): k documents for each query, those without a query term last.
 
-    A query without a token has no row.  Up to SENT_TERMS query terms go to the
-    tasks, where each batch of documents is scored for all queries and keeps
-    its k best; beyond that, and for a stored index, scores come from joins.
+    A query without a token has no row.  Up to SENT_TERMS query terms are
+    broadcast, and each task keeps the k best of the documents that match a
+    query; beyond that, and for a stored index, scores come from joins.
     """
     if model not in MODELS:
         raise ValueError(f"unknown model {model!r}; one of {MODELS}")
@@ -149,7 +151,9 @@ def top_k(index: Index, queries: DataFrame, k: int = 10, model: str = "okapi", *
         weighted = wanted.join(index.terms, "term", "left").crossJoin(F.broadcast(index.stats)).select("query_id", "term", F.coalesce(F.col("times") * idf(model), F.lit(0.0)).alias("weight"), "avgdl")
         sent = weighted.limit(SENT_TERMS + 1).toArrow()
         if len(sent) <= SENT_TERMS:
-            return ranked(_sent_scores(index.tokens, sent, k, model, **parameters), k).select("query_id", "rank", "doc_id", "score")
+            least = [r.doc_id for r in index.docs.select(F.col("doc_id").cast("long").alias("doc_id")).orderBy("doc_id").limit(2 * k).collect()]
+            matched, base = _sent_scores(index.tokens, sent, k, model, least, **parameters)
+            return filled(matched, base, index.docs.sparkSession.createDataFrame([(i,) for i in least], "doc_id long"), queries, k)
     return filled(scores(index, queries, model, **parameters), base_scores(index, queries, model, **parameters), index.docs, queries, k)
 
 
@@ -165,20 +169,37 @@ def filled(matched: DataFrame, base: DataFrame, docs: DataFrame, queries: DataFr
     return ranked(best.unionByName(fill), k).select("query_id", "rank", "doc_id", "score")
 
 
-def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, k1: float = 1.5, b: float = 0.75, delta: float | None = None) -> DataFrame:
-    """(query_id, doc_id, score): of each batch of documents the k best of every query, equal scores by ascending doc_id."""
+def _best(query: np.ndarray, doc: np.ndarray, score: np.ndarray, k: int, always: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best rows of each query (equal scores by ascending document) and the rows of the documents in always."""
+    order = np.lexsort((doc, -score, query))
+    query, doc, score = query[order], doc[order], score[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    keep = (place < k) | np.isin(doc, always)
+    return query[keep], doc[keep], score[keep]
+
+
+def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, always: list[int], k1: float = 1.5, b: float = 0.75, delta: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(matched: query_id, doc_id, score; base: query_id, base) for terms(query_id, term, weight, avgdl).
+
+    Of the documents that match a query each task gives the k best, and those
+    in always.  A task holds the matches of MATCHES (document, query) pairs or
+    of one document, whichever is more, and of what it keeps.
+    """
     d = (0.5 if model == "l" else 1.0) if delta is None else delta
     absent = {"okapi": 0.0, "l": (k1 + 1) * d / (k1 + d), "plus": d}[model]
-    asked = sorted(set(sent["query_id"].to_pylist()))
+    asked = np.array(sorted(set(sent["query_id"].to_pylist())), np.int64)
     vocabulary = pc.unique(sent["term"])
     term = pc.index_in(sent["term"], vocabulary).to_numpy()
     query = np.searchsorted(asked, sent["query_id"].to_numpy())
     weight = sent["weight"].to_numpy()
     average = sent["avgdl"][0].as_py() if len(sent) else 1.0
     base = np.bincount(query, weight, minlength=len(asked)) * absent
-    order = np.argsort(term, kind="stable")
+    known = weight != 0  # terms that no document has
+    order = np.flatnonzero(known)[np.argsort(term[known], kind="stable")]
     starts = np.searchsorted(term[order], np.arange(len(vocabulary) + 1))
-    query, weight = query[order], weight[order]
+    spark = tokens.sparkSession
+    shared = spark.sparkContext.broadcast((vocabulary, starts, query[order], weight[order], base))
+    keep = np.array(always, np.int64)
 
     def part(tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
         if model == "okapi":
@@ -188,32 +209,46 @@ def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, k1: floa
         return d + tf * (k1 + 1) / (k1 * norm + tf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, starts, query, weight, base = shared.value
+        many = starts[1:] - starts[:-1]
+        held: list[tuple] = []
+        waiting = 0
         for batch in batches:
-            if not batch.num_rows or not asked:
-                continue
-            batch = batch.take(pc.sort_indices(batch.column("doc_id")))
             words = batch.column("_tokens")
             length = pc.list_value_length(words).to_numpy(zero_copy_only=False)
             at = pc.index_in(words.flatten(), vocabulary)
-            known = at.is_valid().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(batch.num_rows), length)[known]
+            found = at.is_valid().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), length)[found]
+            if not len(row):
+                continue
             pair, tf = np.unique(row * len(vocabulary) + at.drop_null().to_numpy(), return_counts=True)
             row, word = np.divmod(pair, len(vocabulary))
             gain = part(tf.astype(np.float64), 1 - b + b * length[row] / average) - absent
-            scores = np.repeat(base[:, None], batch.num_rows, axis=1)
-            for lo in range(0, len(pair), 1 << 16):  # bounded: each pair meets the queries of its word
-                s = slice(lo, lo + (1 << 16))
-                many = (starts[1:] - starts[:-1])[word[s]]
-                each = np.repeat(np.arange(len(many)), many)
-                entry = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[word[s]], many)
-                np.add.at(scores.reshape(-1), query[entry] * batch.num_rows + row[s][each], weight[entry] * gain[s][each])
-            scores = np.round(scores, 6)
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            of = np.repeat(np.arange(len(asked)), best.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(asked, np.int64)[of]), pa.array(ids[best.reshape(-1)].astype(np.int64)), pa.array(scores[of, best.reshape(-1)])], ["query_id", "doc_id", "score"])
-
-    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "_tokens").mapInArrow(run, "query_id long, doc_id long, score double")
+            total = np.cumsum(many[word])
+            lo = 0
+            while lo < len(row):  # whole documents, of which the words meet MATCHES queries in all
+                end = int(np.searchsorted(total, (total[lo - 1] if lo else 0) + MATCHES, side="right"))
+                hi = max(int(np.searchsorted(row, row[min(end, len(row) - 1)])), int(np.searchsorted(row, row[lo], side="right"))) if end < len(row) else len(row)
+                n = many[word[lo:hi]]
+                each = np.repeat(np.arange(lo, hi), n)
+                entry = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[word[lo:hi]], n)
+                key, back = np.unique(query[entry] * batch.num_rows + row[each], return_inverse=True)
+                asked_, doc = np.divmod(key, batch.num_rows)
+                scores = np.round(base[asked_] + np.bincount(back, weight[entry] * gain[each], minlength=len(key)), 6)
+                held.append(_best(asked_, ids[doc], scores, k, keep))
+                waiting += len(held[-1][0])
+                if waiting > max(MATCHES, 2 * len(held[0][0])):
+                    held = [_best(*(np.concatenate(x) for x in zip(*held)), k, keep)]
+                    waiting = len(held[0][0])
+                lo = hi
+        if held:
+            asked_, doc, scores = _best(*(np.concatenate(x) for x in zip(*held)), k, keep)
+            for lo in range(0, len(doc), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(asked[asked_[lo : lo + 10_000]]), pa.array(doc[lo : lo + 10_000].astype(np.int64)), pa.array(scores[lo : lo + 10_000])], ["query_id", "doc_id", "score"])
+
+    matched = tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "_tokens").mapInArrow(run, "query_id long, doc_id long, score double")
+    return matched, spark.createDataFrame(list(zip(asked.tolist(), base.tolist())), "query_id long, base double")
 
 
 def pair_scores(index: Index, queries: DataFrame, pairs: DataFrame, model: str = "okapi", **parameters) -> DataFrame:
