@@ -114,12 +114,13 @@ def hierarchical(documents: DataFrame, chunks: DataFrame, queries: DataFrame, n_
     return ranked(inside, k).select("query_id", "rank", F.col("doc_id").alias("chunk_id"), F.col("parent").alias("doc_id"), "score")
 
 
-def save_index(chunks: DataFrame, documents: DataFrame | None, path: str) -> None:
+def save_index(chunks: DataFrame, documents: DataFrame | None, path: str, seen: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
     """chunks(chunk_id, doc_id, text, vector) by range of document, and documents(doc_id, text, vector), as Parquet.
 
-    Without documents the index has one stage.
+    Without documents the index has one stage.  seen is applied to the chunks
+    as they are written: ranges are found by reading chunks once before.
     """
-    chunks.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.mode("overwrite").parquet(f"{path}/chunks")
+    seen(chunks.repartitionByRange("doc_id").sortWithinPartitions("doc_id")).write.mode("overwrite").parquet(f"{path}/chunks")
     if documents is not None:
         documents.write.mode("overwrite").parquet(f"{path}/documents")
 

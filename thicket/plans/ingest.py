@@ -8,40 +8,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thicket.operators import dense, documents, sparse
+from thicket.plans.run_log import RunLog
+from thicket.session import stored
 
 #: The steps in their order; each writes what the later ones read.
 STEPS = ("records", "essential", "chunks", "vectors", "keywords", "answers")
 
 
 def run(spark: SparkSession, parsed: DataFrame, master: DataFrame, path: str, base: str = "https://example.org/", skip: Sequence[str] = (), dimension: int = 64) -> DataFrame:
-    """(step, rows, skipped) of every step, in order.
+    """(at, step, rows, skipped, rows_read, digest, seconds, error, settings) of every step, in order; added to path/runs, too.
 
     parsed is (document_id, especies_destino, secciones), master the catalogue
     records.  A skipped step leaves what an earlier run wrote; later steps read
-    that.  A step that fails raises, and what was written before stays.
+    that.  A step that fails raises, and what was written before stays.  rows
+    are those written, rows_read those of the tables that the step begins with,
+    each counted once; digest is of the rows written, in any order.
     """
-    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    log = RunLog(spark, base=base, dimension=dimension, skip=sorted(skip))
+    table = lambda name: spark.read.parquet(f"{path}/{name}")
+    read = lambda name: log.read(table(name))
 
-    def write(df: DataFrame, name: str) -> int:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        return read(name).count()
+    def write(df: DataFrame, name: str) -> None:
+        log.write(df, f"{path}/{name}")
 
     def chunks() -> DataFrame:
         whole = documents.complete_text(read("records")).select(F.concat("document_id", F.lit("@full")).alias("chunk_id"), "document_id", F.lit("complete_document").alias("chunk_type"), "text")
-        return whole.unionByName(documents.section_chunks(read("records")).select("chunk_id", "document_id", "chunk_type", "text"))
+        return whole.unionByName(documents.section_chunks(table("records")).select("chunk_id", "document_id", "chunk_type", "text"))
 
-    def vectors() -> int:
-        made = dense.embed_texts(read("chunks"), "chunk_id", "text", lambda: dense.hashed_embedder(dimension)).join(read("chunks"), "chunk_id")
-        first = dense.embed_texts(read("essential"), "document_id", "essential", lambda: dense.hashed_embedder(dimension)).join(read("essential"), "document_id")
-        dense.save_index(made.select("chunk_id", F.col("document_id").alias("doc_id"), "text", "vector"), first.select(F.col("document_id").alias("doc_id"), F.col("essential").alias("text"), "vector"), f"{path}/vectors")
-        return dense.load_index(spark, f"{path}/vectors")[0].count()
+    def vectors() -> None:
+        made = dense.embed_texts(read("chunks"), "chunk_id", "text", lambda: dense.hashed_embedder(dimension)).join(table("chunks"), "chunk_id")
+        first = dense.embed_texts(read("essential"), "document_id", "essential", lambda: dense.hashed_embedder(dimension)).join(table("essential"), "document_id")
+        kept = stored(made.select("chunk_id", F.col("document_id").alias("doc_id"), "text", "vector"), "vectors")  # the model runs once
+        dense.save_index(kept, first.select(F.col("document_id").alias("doc_id"), F.col("essential").alias("text"), "vector"), f"{path}/vectors", log.written)
 
-    def keywords() -> int:
-        sparse.build_index(read("chunks"), "chunk_id").save(f"{path}/keywords", {"model": "okapi"})
-        return sparse.Index.load(spark, f"{path}/keywords").docs.count()
+    def keywords() -> None:
+        index = sparse.build_index(table("chunks"), "chunk_id")
+        index.docs = log.written(log.read(index.docs))
+        index.save(f"{path}/keywords", {"model": "okapi"})
 
     steps = {
-        "records": lambda: write(documents.assemble(parsed, master, base), "records"),
+        "records": lambda: write(documents.assemble(log.read(parsed), master, base), "records"),
         "essential": lambda: write(documents.essential_text(read("records")), "essential"),
         "chunks": lambda: write(chunks(), "chunks"),
         "vectors": vectors,
@@ -51,5 +57,11 @@ def run(spark: SparkSession, parsed: DataFrame, master: DataFrame, path: str, ba
     unknown = set(skip) - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps {sorted(unknown)}")
-    done = [(i, name, 0 if name in skip else steps[name](), name in skip) for i, name in enumerate(STEPS)]
-    return spark.createDataFrame(done, "at int, step string, rows long, skipped boolean")
+    try:
+        for name in STEPS:
+            with log.step(name, name in skip):
+                if name not in skip:
+                    steps[name]()
+    finally:
+        log.save(f"{path}/runs")
+    return log.frame()

@@ -219,7 +219,7 @@ SQL = {
     "key_look_up": """SELECT n_nationkey::VARCHAR AS nregistro, CASE WHEN n_nationkey % 2 = 0 THEN '{"nregistro": "' || n_nationkey || '", "nombre": "record ' || n_nationkey || '"}' END AS json FROM nation""",
     "mapping_round_trip": _MAPPED,
     "run_metrics": "SELECT * FROM (VALUES ('late_fusion', 'hybrid', 0.0, 0.2, 0.0, 0.5, 1), ('bm25_k50', 'bm25', 0.0, 0.0, 0.0, 0.5, 2), ('faiss_k50', 'faiss', 0.0, 0.1, 0.0, 0.5, 3), ('bm25like', 'bm25', 0.0, 0.4, 0.0, 0.5, 4)) t(run_name, method, normalised_precision, recall, hit, mrr, place)",
-    "ingest_run": "WITH n AS (SELECT count(*) AS n FROM part WHERE p_partkey % 13 > 0) SELECT * FROM (SELECT 0 AS at, 'records' AS step, n AS rows, false AS skipped FROM n UNION ALL SELECT 1, 'essential', n, false FROM n UNION ALL SELECT 2, 'chunks', 4 * n, false FROM n UNION ALL SELECT 3, 'vectors', 4 * n, false FROM n UNION ALL SELECT 4, 'keywords', 4 * n, false FROM n UNION ALL SELECT 5, 'answers', 0, true FROM n)",
+    "ingest_run": "WITH n AS (SELECT count(*) AS n FROM part WHERE p_partkey % 13 > 0) SELECT * FROM (SELECT 0 AS at, 'records' AS step, n AS rows, false AS skipped, n + (SELECT count(*) FROM part WHERE p_partkey < 5) AS rows_read FROM n UNION ALL SELECT 1, 'essential', n, false, n FROM n UNION ALL SELECT 2, 'chunks', 4 * n, false, n FROM n UNION ALL SELECT 3, 'vectors', 4 * n, false, 5 * n FROM n UNION ALL SELECT 4, 'keywords', 4 * n, false, 4 * n FROM n UNION ALL SELECT 5, 'answers', 0, true, 0 FROM n)",
     "species_fuzzy": "SELECT lower(trim(p_name)) AS name, lower(trim(p_name)) AS entry, first(p_type ORDER BY p_partkey) AS category, 1.0::DOUBLE AS ratio FROM part GROUP BY lower(trim(p_name))",
     "unmapped_report": f"WITH n AS (SELECT DISTINCT lower(trim(c_mktsegment)) AS a FROM customer), e AS (SELECT * FROM (VALUES (0, 'building', 'b'), (1, 'machinerie', 'm')) t(position, b, category)), u AS (SELECT a FROM n WHERE a NOT IN (SELECT b FROM e)), s AS (SELECT a, category, position, 2 * ({_LCS}) / (length(a) + length(b)) AS ratio FROM u, e WHERE abs(length(a) - length(b)) <= 5), m AS (SELECT a, category FROM s WHERE ratio >= 0.85 QUALIFY row_number() OVER (PARTITION BY a ORDER BY ratio DESC, position) = 1) SELECT a AS name, coalesce(category, 'None') AS closest, '' AS suggestion FROM u LEFT JOIN m USING (a)",
     "species_groups": "SELECT DISTINCT source, count(*) OVER (PARTITION BY source) AS n, doc_id AS number, doc_id::VARCHAR AS doc_id FROM (SELECT DISTINCT source, doc_id FROM documents)",

@@ -671,7 +671,7 @@ def run_metrics(spark, sf_dir):
 
 def ingest_run(spark, sf_dir):
     """End to end: records, documents, chunks and vectors, with one step skipped and its result left as it was."""
-    return ingest.run(spark, _parsed(spark, sf_dir), _master(spark, sf_dir), scratch(spark, "ingest"), skip=("answers",))
+    return ingest.run(spark, _parsed(spark, sf_dir), _master(spark, sf_dir), scratch(spark, "ingest"), skip=("answers",)).select("at", "step", "rows", "skipped", "rows_read")
 
 
 def bpe_counts(spark, sf_dir):
