@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from thicket.functions import bpe
 from thicket.functions.text import words
 
 BUDGET, SEPARATOR = 3500, "\n\n"
-# Fixed value: how byte-level BPE splits a text before merging.
-BPE_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def count_words(c: Column) -> Column:
@@ -23,25 +21,20 @@ def count_words(c: Column) -> Column:
 
 
 def bpe_counter(ranks_path: str) -> Callable[[Column], Column]:
-    """A token counter over a byte-pair rank file ('token-in-base64 rank' lines) that each worker loads once."""
+    """A token counter of columns over a byte-pair rank file; functions.bpe.token_counts() is the one for whole tables."""
 
     @F.pandas_udf("int")
-    def count(texts: pd.Series) -> pd.Series:
-        encoder = _encoder(ranks_path)
-        return texts.fillna("").map(lambda t: len(encoder.encode_ordinary(t)))
+    def count(cut: pd.Series) -> pd.Series:
+        known, sizes = bpe.ranks(ranks_path), {}
 
-    return count
+        def size(piece: str) -> int:
+            if piece not in sizes:
+                sizes[piece] = len(bpe.merged(piece.encode(), known))
+            return sizes[piece]
 
+        return cut.map(lambda found: sum(map(size, found)))
 
-@lru_cache(maxsize=2)
-def _encoder(ranks_path: str):
-    import base64
-
-    import tiktoken
-
-    with open(ranks_path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(ranks_path, pat_str=BPE_SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return lambda c: count(bpe.pieces(c))
 
 
 def pack(hits: DataFrame, budget: int = BUDGET, counter: Callable[[Column], Column] = count_words, text: str = "content") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from thicket.functions import fuzzy, language, text
+from thicket.functions import bpe, fuzzy, language, text
 from thicket.functions.stem import stem_terms, stem_tokens
 from thicket.operators import context, dense, documents, fusion, metrics, mining, sparse, stopwords
 from thicket.operators.keyword_store import KeywordStore
@@ -678,7 +678,7 @@ def bpe_counts(spark, sf_dir):
     """Tokens of every document by a byte-pair rank file, whose path is public."""
     import public_tokenizers
 
-    return table(spark, sf_dir, "documents").select("doc_id", context.bpe_counter(public_tokenizers.path("byte_bpe_50k.tiktoken"))(F.col("text")).alias("n_tokens"))
+    return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 # --- incremental
