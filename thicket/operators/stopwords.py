@@ -17,6 +17,13 @@ def term_statistics(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
     return inner.groupBy("term").agg(F.sum("n").alias("tf"), F.count("*").alias("df"))
 
 
+def array_statistics(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(term, tf, df) of documents with token arrays: a document's distinct terms are found in its row, so tasks send one small row a term."""
+    once = lambda terms, tf, df: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
+    both = F.concat(once(F.col(tokens), 1, 0), once(F.array_distinct(tokens), 0, 1))
+    return docs.select(F.inline(both)).groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
 #: Terms of one prefix that the driver may see when it looks for a cut.
 PREFIX_TERMS = 10_000
 
@@ -77,12 +84,23 @@ def changes(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("path", F.when(F.col("_o").isNull(), "added").when(F.col("_n").isNull(), "removed").when(F.col("_o") != F.col("_n"), "changed").otherwise("same").alias("status"))
 
 
+def decisions(diff: DataFrame, by: Sequence[str], age: str, max_age: float = 15, share: float = 50) -> DataFrame:
+    """(*by, again) for each group of diff(*by, status): whether its stopwords are made anew.
+
+    They are on the first run (null age), past max_age days, for a changed set
+    of paths, or if share percent of the common files changed.
+    """
+    counted = diff.groupBy(*by).agg(F.count_if(F.col("status").isin("added", "removed")).alias("moved"), F.count_if(F.col("status") == "changed").alias("changed"), F.count_if(F.col("status").isin("changed", "same")).alias("common"))
+    due = F.col(age).isNull() | (F.col(age) > max_age) | (F.col("moved") > 0) | (F.col("common") > 0) & (100 * F.col("changed") >= share * F.col("common"))
+    return counted.select(*by, due.alias("again"))
+
+
 def must_regenerate(diff: DataFrame, age_days: float | None, max_age: float = 15, share: float = 50) -> bool:
-    """True on the first run, past max_age days, for a changed set of paths, or if share percent of the common files changed."""
+    """decisions() of one corpus, at the driver; a corpus without files is only made anew by its age."""
     if age_days is None or age_days > max_age:
         return True
-    n = diff.agg(F.count_if(F.col("status").isin("added", "removed")).alias("moved"), F.count_if(F.col("status") == "changed").alias("changed"), F.count_if(F.col("status").isin("changed", "same")).alias("common")).first()
-    return bool(n.moved) or bool(n.common) and 100 * n.changed / n.common >= share
+    found = decisions(diff.withColumn("age", F.lit(float(age_days))), ["age"], "age", max_age, share).first()
+    return bool(found) and found.again
 
 
 def refresh(files: DataFrame, old: DataFrame, held: DataFrame, age_days: float | None, base: Sequence[str] = ()) -> tuple[DataFrame, bool]:

@@ -66,6 +66,14 @@ z AS (SELECT doc_id, lang, sum(n) AS n_grams, sum(n) * any_value(round(-total *
 s AS (SELECT z.doc_id, z.lang, n_grams, base + coalesce(more, 0) AS score, row_number() OVER (PARTITION BY z.doc_id ORDER BY base + coalesce(more, 0) DESC, z.lang) AS r FROM z LEFT JOIN k ON k.doc_id = z.doc_id AND k.lang = z.lang)
 SELECT d.doc_id, d.lang, held_out, coalesce(a.lang, 'es') AS predicted, coalesce(a.score - b.score, 0)::BIGINT AS margin, coalesce(a.n_grams, 0)::BIGINT AS n_grams FROM d LEFT JOIN s a ON a.doc_id = d.doc_id AND a.r = 1 LEFT JOIN s b ON b.doc_id = d.doc_id AND b.r = 2"""
 
+# The longest common subsequence bit by bit: a letter's places in the entry as a number, one step a letter of the name.
+_PLACES = "list_transform(string_split(name, ''), lambda c: list_sum(list_transform(range(length(entry)), lambda i: CASE WHEN entry[i + 1] = c THEN 1::BIGINT << i::INT ELSE 0 END))::BIGINT)"
+_FULL = "((1::BIGINT << length(entry)) - 1)"
+_COMMON = f"(length(entry) - bit_count(list_reduce(list_concat([{_FULL}], {_PLACES}), lambda s, m: ((s + (s & m)) | (s - (s & m))) & {_FULL})))"
+_FUZZY = f"""WITH n AS (SELECT DISTINCT lower(trim(CASE WHEN p_partkey % 2 = 0 THEN x ELSE x || 'qz' END)) AS name FROM (SELECT p_partkey, substring(p_name, 1, p_partkey % length(p_name)) || substring(p_name, p_partkey % length(p_name) + 2) AS x FROM part)),
+e AS (SELECT lower(trim(p_name)) AS entry, min(p_partkey) AS position, arg_min(p_type, p_partkey) AS category FROM part WHERE length(p_name) % 4 <> 0 GROUP BY 1), c AS (SELECT name, entry, position, category, 2 * {_COMMON} / (length(name) + length(entry)) AS ratio FROM n JOIN e ON abs(length(name) - length(entry)) <= 5)
+SELECT name, entry, category, ratio FROM c WHERE ratio >= 0.85 QUALIFY row_number() OVER (PARTITION BY name ORDER BY ratio DESC, position) = 1"""
+
 
 def _metrics(hits: str, truth: str, k: int) -> str:
     return f"""top AS (SELECT * FROM {hits} WHERE rank <= {k}), fo AS (SELECT t.query_id, count(*) AS h, min(rank) AS first FROM top t JOIN {truth} x ON t.query_id = x.query_id AND t.doc_id = x.doc_id GROUP BY 1),
@@ -211,7 +219,7 @@ SQL = {
     "folder_profile": f"SELECT count(*) AS files, round(sum(strlen({_FILE})) / 1000)::BIGINT AS kb FROM nation",
     "file_digests": f"SELECT n_name || '.md' AS name, sha256({_FILE}) AS sha256, strlen({_FILE}) AS size FROM nation",
     "convert_files": f"SELECT n_name AS name, CASE WHEN strlen({_FILE}) >= 12 THEN replace({_FILE}, '# ', '## ') END AS text, CASE WHEN strlen({_FILE}) < 12 THEN 'empty' END AS error FROM nation",
-    "json_lines_scan": "SELECT c_custkey, c_name, c_mktsegment || '+ñ' AS tags FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, c_name, c_mktsegment || '+ñ' FROM customer WHERE c_custkey % 3 = 0",
+    "json_lines_scan": "SELECT c_custkey, c_name, c_mktsegment || '+ñ' AS tags FROM customer",
     "json_values": "SELECT event_id, (props->>'k')::BIGINT AS k FROM events",
     "catalogue_merge": "SELECT nregistro, nombre FROM (SELECT o_custkey::VARCHAR AS nregistro, o_orderkey % 20 AS page, max(o_orderkey::VARCHAR) AS nombre FROM orders GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY nregistro ORDER BY page DESC) = 1",
     "text_lines": "SELECT value, ((r - 1) // 7)::BIGINT AS batch FROM (SELECT c_name AS value, row_number() OVER (ORDER BY c_name) AS r, count(*) OVER () AS n FROM customer) WHERE r <= n // 7 * 7",
@@ -220,7 +228,7 @@ SQL = {
     "mapping_round_trip": _MAPPED,
     "run_metrics": "SELECT * FROM (VALUES ('late_fusion', 'hybrid', 0.0, 0.2, 0.0, 0.5, 1), ('bm25_k50', 'bm25', 0.0, 0.0, 0.0, 0.5, 2), ('faiss_k50', 'faiss', 0.0, 0.1, 0.0, 0.5, 3), ('bm25like', 'bm25', 0.0, 0.4, 0.0, 0.5, 4)) t(run_name, method, normalised_precision, recall, hit, mrr, place)",
     "ingest_run": "WITH n AS (SELECT count(*) AS n FROM part WHERE p_partkey % 13 > 0) SELECT * FROM (SELECT 0 AS at, 'records' AS step, n AS rows, false AS skipped, n + (SELECT count(*) FROM part WHERE p_partkey < 5) AS rows_read FROM n UNION ALL SELECT 1, 'essential', n, false, n FROM n UNION ALL SELECT 2, 'chunks', 4 * n, false, n FROM n UNION ALL SELECT 3, 'vectors', 4 * n, false, 5 * n FROM n UNION ALL SELECT 4, 'keywords', 4 * n, false, 4 * n FROM n UNION ALL SELECT 5, 'answers', 0, true, 0 FROM n)",
-    "species_fuzzy": "SELECT lower(trim(p_name)) AS name, lower(trim(p_name)) AS entry, first(p_type ORDER BY p_partkey) AS category, 1.0::DOUBLE AS ratio FROM part GROUP BY lower(trim(p_name))",
+    "species_fuzzy": _FUZZY,
     "unmapped_report": f"WITH n AS (SELECT DISTINCT lower(trim(c_mktsegment)) AS a FROM customer), e AS (SELECT * FROM (VALUES (0, 'building', 'b'), (1, 'machinerie', 'm')) t(position, b, category)), u AS (SELECT a FROM n WHERE a NOT IN (SELECT b FROM e)), s AS (SELECT a, category, position, 2 * ({_LCS}) / (length(a) + length(b)) AS ratio FROM u, e WHERE abs(length(a) - length(b)) <= 5), m AS (SELECT a, category FROM s WHERE ratio >= 0.85 QUALIFY row_number() OVER (PARTITION BY a ORDER BY ratio DESC, position) = 1) SELECT a AS name, coalesce(category, 'None') AS closest, '' AS suggestion FROM u LEFT JOIN m USING (a)",
     "species_groups": "SELECT DISTINCT source, count(*) OVER (PARTITION BY source) AS n, doc_id AS number, doc_id::VARCHAR AS doc_id FROM (SELECT DISTINCT source, doc_id FROM documents)",
     "catalogue_keys": "SELECT p_partkey::VARCHAR AS nregistro FROM part",

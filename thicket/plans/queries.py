@@ -85,7 +85,7 @@ def text_normalize(spark, sf_dir):
 
 
 def token_df_tf(spark, sf_dir):
-    return stopwords.term_statistics(sparse.token_rows(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return stopwords.array_statistics(table(spark, sf_dir, "documents").select(text.words(F.lower("text")).alias("tokens")))
 
 
 def accents_fold(spark, sf_dir):
@@ -475,9 +475,12 @@ def regenerate_decisions(spark, sf_dir):
     """Whether to make stopwords anew for several shares of changed files and ages."""
     files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
     old = stopwords.content_hashes(files)
-    changed = lambda n: stopwords.content_hashes(files.withColumn("content", F.when(F.expr(f"path % {n} = 0"), F.upper("content")).otherwise(F.col("content"))))
-    rows = [(n, age, stopwords.must_regenerate(stopwords.changes(old, changed(n)), age)) for n, age in ((1, 1.0), (2, 1.0), (3, 1.0), (3, 16.0), (3, None))]
-    return spark.createDataFrame(rows, "every int, age double, again boolean")
+    every = F.explode(F.array(*[F.struct(F.lit(n).alias("every"), F.lit(age).cast("double").alias("age")) for n, age in ((1, 1.0), (2, 1.0), (3, 1.0), (3, 16.0), (3, None))]))
+    content = F.when(F.col("path").cast("long") % F.col("s.every") == 0, F.upper("content")).otherwise(F.col("content"))
+    new = files.select("path", "content", every.alias("s")).select(F.col("s.every").alias("every"), F.col("s.age").alias("age"), "path", content.alias("content"))
+    hashed = stopwords.content_hashes(new.select(F.struct("every", "age", "path").alias("path"), "content")).select("path.*", "sha256")
+    compared = stopwords.changes(old.select("path", "sha256", every.alias("s")).select(F.struct("s.every", "s.age", "path").alias("path"), "sha256"), hashed.select(F.struct("every", "age", "path").alias("path"), "sha256"))
+    return stopwords.decisions(compared.select("path.every", "path.age", "status"), ["every", "age"], "age").select("every", "age", "again")
 
 
 def group_questions(spark, sf_dir):
@@ -610,7 +613,7 @@ def json_lines_scan(spark, sf_dir):
     """Written twice, the second time by appending."""
     path, rows = scratch(spark, "lines"), table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.array("c_mktsegment", F.lit("ñ")).alias("tags"))
     writers.write_json(rows.filter("c_custkey % 2 = 0"), path)
-    writers.write_json(rows.filter("c_custkey % 3 = 0"), path, "append")
+    writers.write_json(rows.filter("c_custkey % 2 <> 0"), path, "append")
     return readers.json_lines(spark, path, "c_custkey long, c_name string, tags array<string>").select("c_custkey", "c_name", F.array_join("tags", "+").alias("tags"))
 
 
@@ -719,8 +722,11 @@ def event_windows(spark, sf_dir):
 
 
 def species_fuzzy(spark, sf_dir):
-    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
-    entries = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("position"), F.lower(F.trim("p_name")).alias("entry"), F.col("p_type").alias("category"))
+    """Part names with a letter lost, every other one with two strange ones, against a dictionary that lacks some of the names."""
+    parts = table(spark, sf_dir, "part")
+    lost = F.expr("concat(substring(p_name, 1, cast(p_partkey % length(p_name) as int)), substring(p_name, cast(p_partkey % length(p_name) as int) + 2))")
+    names = parts.select(F.when(F.col("p_partkey") % 2 == 0, lost).otherwise(F.concat(lost, F.lit("qz"))).alias("name"))
+    entries = parts.filter("length(p_name) % 4 <> 0").select(F.col("p_partkey").alias("position"), F.lower(F.trim("p_name")).alias("entry"), F.col("p_type").alias("category"))
     return fuzzy.closest_matches(names, entries)
 
 
