@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thicket.functions.vectors import inner_product, normalised
 from thicket.operators.sparse import ranked
+from thicket.session import stored
 
-#: Query vectors that are sent to the tasks at a time.
+#: Query vectors that are broadcast at a time.
 SENT_QUERIES = 20_000
 
 
-def _search(ids: np.ndarray, matrix: np.ndarray, k: int) -> Callable:
+def _search(sent: Broadcast, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix = sent.value
         for batch in batches:
             vectors = batch.column(1)
             if not batch.num_rows:
@@ -38,23 +42,26 @@ def _search(ids: np.ndarray, matrix: np.ndarray, k: int) -> Callable:
 def all_scores(vectors: DataFrame, queries: DataFrame, k: int = 0) -> DataFrame:
     """(query_id, doc_id, score) of vectors(doc_id, vector) for queries(query_id, vector); k > 0 leaves out what is in no query's k best.
 
-    Query vectors go to the tasks in blocks of SENT_QUERIES, each batch of
-    vectors is one product with a block.  Rows with a null are left out.
+    Query vectors are broadcast, and each batch of vectors is one product with
+    them.  More than SENT_QUERIES are written once, dealt into blocks by hash,
+    and broadcast a block at a time, with a product and a scan for each; the
+    products outweigh the scans.  Rows with a null are left out.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("doc_id").cast("long").alias("doc_id"), "vector").dropna()
     asked = queries.select(F.col("query_id").cast("long").alias("query_id"), "vector").dropna()
-    out, last = None, None
-    while True:
-        block = (asked if last is None else asked.filter(F.col("query_id") > last)).orderBy("query_id").limit(SENT_QUERIES).collect()
-        if not block:
-            break
-        ids, matrix = np.array([r.query_id for r in block], np.int64), np.array([r.vector for r in block], np.float64)
-        part = rows.mapInArrow(_search(ids, matrix, k), "query_id long, doc_id long, score double")
-        out, last = part if out is None else out.unionByName(part), int(ids[-1])
-        if len(block) < SENT_QUERIES:
-            break
-    return out if out is not None else spark.createDataFrame([], "query_id long, doc_id long, score double")
+
+    def part(block: pa.Table) -> DataFrame:
+        sent = spark.sparkContext.broadcast((block["query_id"].to_numpy(), np.array(block["vector"].to_pylist(), np.float64)))
+        return rows.mapInArrow(_search(sent, k), "query_id long, doc_id long, score double")
+
+    first = asked.limit(SENT_QUERIES + 1).toArrow()
+    if len(first) <= SENT_QUERIES:
+        return part(first)
+    asked = stored(asked, "queries")
+    n = -(-2 * asked.count() // SENT_QUERIES)  # half full, so that no block is much over
+    blocks = (asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i).toArrow() for i in range(n))
+    return reduce(DataFrame.unionByName, (part(block) for block in blocks if len(block)))
 
 
 def pair_scores(vectors: DataFrame, queries: DataFrame, pairs: DataFrame) -> DataFrame:
