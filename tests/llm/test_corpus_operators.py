@@ -567,6 +567,17 @@ def test_surrogates_keep_persons_and_values_together():
     assert pii.replace("at 12 Baker Street or Lindenstraße 5")[0].count("Street") == 1
 
 
+def test_surrogates_depend_on_the_deployments_key(spark):
+    docs = make_docs(spark, [(1, "mail anna.berg@example.com now")])
+    made = [pii.pseudonymise(docs).first().text, pii.pseudonymise(docs, b"other").first().text]
+    spark.conf.set("spark.thicket.surrogateKey", "other")
+    try:
+        made += [pii.pseudonymise(docs).first().text, pii.masked(docs).first().text]
+    finally:
+        spark.conf.unset("spark.thicket.surrogateKey")
+    assert made[0] != made[1] == made[2] == made[3] and pii.pseudonymise(docs).first().text == made[0]
+
+
 def test_surrogates_of_odd_rows(spark):
     long = "Mr Smith wrote to a.b@x.example.org. " + "word 12 " * 60_000 + "Smith"
     rows = [(1, long), (1, long), (None, "Mr Smith"), (None, None), (2, "")]

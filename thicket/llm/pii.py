@@ -29,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thicket.llm import tokens
@@ -389,9 +389,16 @@ def _mask(key: bytes, keep: list[str], details: bool):
     return lean(run)
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def deployment_key(spark: SparkSession) -> bytes:
+    """The session's secret, setting spark.thicket.surrogateKey; a public one where it is unset, as in tests."""
+    found = spark.conf.get("spark.thicket.surrogateKey", None)
+    return found.encode() if found else KEY
+
+
+def pseudonymise(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """doc_id, text, n_entities, entities of every row; offsets are code points of the original text.
 
+    Without a key the deployment's is taken: whoever has it can undo the surrogates.
     Null texts stay null and empty ones empty, with no entities; a null doc_id
     stays null.  Each row is replaced on its own, so repeated rows and ties give
     the same result; texts of any length are read whole; other columns are
@@ -399,10 +406,10 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_mask(key, ["doc_id", "text"], True), "doc_id long, text string, n_entities int, entities array<struct<start:int,end:int,kind:string,surrogate:string>>")
+    return rows.mapInArrow(_mask(key or deployment_key(docs.sparkSession), ["doc_id", "text"], True), "doc_id long, text string, n_entities int, entities array<struct<start:int,end:int,kind:string,surrogate:string>>")
 
 
-def masked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def masked(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """docs with surrogates in text; n_chars, where present, follows the new text.
 
     Odd rows are treated as in pseudonymise; all columns stay.
@@ -411,5 +418,5 @@ def masked(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     # Arrow functions take no names with dots, so columns go through under plain ones.
     plain = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
     inner = docs.toDF(*plain)
-    out = inner.mapInArrow(_mask(key, plain, False), inner.schema).toDF(*docs.columns)
+    out = inner.mapInArrow(_mask(key or deployment_key(docs.sparkSession), plain, False), inner.schema).toDF(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
