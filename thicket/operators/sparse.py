@@ -213,6 +213,7 @@ def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, always:
         many = starts[1:] - starts[:-1]
         held: list[tuple] = []
         waiting = 0
+        reached = np.full(len(base), -np.inf)  # the k-th best score of each query so far
         for batch in batches:
             words = batch.column("_tokens")
             length = pc.list_value_length(words).to_numpy(zero_copy_only=False)
@@ -236,8 +237,15 @@ def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, always:
                 key, back = np.unique(query[entry] * batch.num_rows + row[each], return_inverse=True)
                 asked_, doc = np.divmod(key, batch.num_rows)
                 scores = np.round(base[asked_] + np.bincount(back, weight[entry] * gain[each], minlength=len(key)), 6)
-                held.append(_best(asked_, ids[doc], scores, k, keep))
-                waiting += len(held[-1][0])
+                doc = ids[doc]
+                can = np.flatnonzero((scores >= reached[asked_]) | np.isin(doc, keep))
+                held.append(_best(asked_[can], doc[can], scores[can], k, keep))
+                found_, _, scores = held[-1]
+                nth = np.searchsorted(found_, np.arange(len(base))) + k - 1
+                full = np.flatnonzero((k > 0) & (nth < len(found_)))
+                full = full[found_[nth[full]] == full]
+                reached[full] = np.maximum(reached[full], scores[nth[full]])
+                waiting += len(found_)
                 if waiting > max(MATCHES, 2 * len(held[0][0])):
                     held = [_best(*(np.concatenate(x) for x in zip(*held)), k, keep)]
                     waiting = len(held[0][0])
