@@ -15,8 +15,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     neighbours to its least neighbour, then every node hooks its smaller
     neighbours to it.  The number of rounds is logarithmic in the longest path
     and each round writes its edges to the shared folder, so a lost executor
-    costs one round at most.  Null nodes and loops are ignored; an empty input
-    gives an empty result.
+    costs one round at most.  Joins are merge joins: their sides grow with the
+    edges, and a broadcast would pass through the driver.  Null nodes and loops
+    are ignored; an empty input gives an empty result.
     """
     pairs = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
     pairs = materialise(pairs, "edges")
@@ -24,10 +25,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.filter("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        small = down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         last, pairs = pairs, materialise(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         release(last)
         row = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()

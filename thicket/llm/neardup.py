@@ -45,6 +45,15 @@ BLOCK, HEAVY = 128, 4096
 GATHER, ROWS = 8192, 100_000
 
 
+def _whole(side: DataFrame) -> DataFrame:
+    """A side that grows with the documents: joined by merging.
+
+    Compressed files of ids are a small part of their size in memory, so one
+    under Spark's limit for broadcasts can fill the driver, through which they pass.
+    """
+    return side.hint("merge")
+
+
 def _signatures(shingle: int):
     multipliers, offsets = tokens.permutations(CHUNKS * WIDTH, SEED)
 
@@ -225,11 +234,11 @@ def _star_links(ties: DataFrame, texts: DataFrame, shingle: int, percent: int) -
     best = Window.partitionBy("a").orderBy(F.desc("n"), "b")
     pairs = materialise(ties.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= STARS).select(F.col("b").alias("centre"), F.col("a").alias("doc_id")), "pairs")
     sizes = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR).cast("long").alias("salts"))
-    members = pairs.join(sizes, "centre").select("centre", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"), "doc_id", F.lit(1).alias("side"))
+    members = pairs.join(_whole(sizes), "centre").select("centre", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"), "doc_id", F.lit(1).alias("side"))
     centres = sizes.select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("centre").alias("doc_id"), F.lit(0).alias("side"))
     rows = members.unionByName(centres)
     listed = pairs.select("doc_id").union(pairs.select("centre"))
-    dealt = rows.join(split_listed(texts, listed)[0], "doc_id").repartition("centre", "salt").sortWithinPartitions("centre", "salt", "side")
+    dealt = rows.join(_whole(split_listed(texts, listed)[0]), "doc_id").repartition("centre", "salt").sortWithinPartitions("centre", "salt", "side")
     return dealt.select("centre", "salt", "doc_id", "text").mapInArrow(_stars(shingle, percent), "a long, b long")
 
 
@@ -250,16 +259,16 @@ def _units(families: DataFrame, percent: int) -> DataFrame:
     step = float(np.log(100 / percent)) * (1 + 1e-9)  # rounding cannot put two sizes of that ratio two bands apart
     size = F.floor(F.log("n_shingles") / step) if percent < 100 else F.col("n_shingles")
     band = F.when(F.col("total") <= BLOCK, 0).otherwise(size).cast("int")
-    banded = weighed.join(whole, "family").withColumn("band", band)
+    banded = weighed.join(_whole(whole), "family").withColumn("band", band)
     own = banded.groupBy("family", "band", "label").agg(F.sum("weight").alias("w"), F.count("*").alias("n"))
     apart = F.when((F.col("total") > BLOCK) & (F.col("w") > BLOCK // 2), F.col("label")).otherwise(F.lit(-1).cast("long"))
-    named = own.join(whole, "family").withColumn("group", apart)
+    named = own.join(_whole(whole), "family").withColumn("group", apart)
     groups = named.groupBy("family", "band", "group").agg(F.least(F.sum("n"), F.ceil(F.sum("w") / BLOCK)).cast("int").alias("blocks"))
     lists = groups.groupBy("family", "band").agg(F.collect_list(F.struct("group", "blocks")).alias("list"))  # one entry a large label
     above = lists.select("family", (F.col("band") - 1).alias("band"), F.col("list").alias("next"))
     below = lists.select("family", (F.col("band") + 1).alias("band"), F.col("list").alias("last"))
-    counts = groups.join(lists, ["family", "band"]).join(above, ["family", "band"], "left").join(below, ["family", "band"], "left")
-    placed = banded.join(named.select("family", "band", "label", "group"), ["family", "band", "label"]).join(counts, ["family", "band", "group"])
+    counts = groups.join(_whole(lists), ["family", "band"]).join(_whole(above), ["family", "band"], "left").join(_whole(below), ["family", "band"], "left")
+    placed = banded.join(_whole(named.select("family", "band", "label", "group")), ["family", "band", "label"]).join(_whole(counts), ["family", "band", "group"])
     name = lambda b, g, k: F.array(b.cast("long"), g.cast("long"), k.cast("long"))
     none = F.array().cast("array<array<bigint>>")
     blocks = lambda b, rows: F.coalesce(F.flatten(F.transform(rows, lambda g: F.transform(F.sequence(F.lit(0), g["blocks"] - 1), lambda k: name(b, g["group"], k)))), none)
@@ -295,20 +304,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     least = F.coalesce("least", F.min("doc_id").over(Window.partitionBy("key")))
     ties = materialise(keyed.select(F.col("doc_id").alias("a"), least.alias("b"), "n").filter("a <> b").groupBy("a", "b").agg(F.sum("n").alias("n")), "ties")
     settled = materialise(connected_components(_star_links(ties, texts, shingle, percent)).select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "labels")
-    side = lambda c: settled.select(F.col("doc_id").alias(c), F.col("label").alias(f"label_{c}"))
+    side = lambda c: _whole(settled.select(F.col("doc_id").alias(c), F.col("label").alias(f"label_{c}")))
     open_ = ties.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).filter("a <> b")
     open_ = connected_components(open_).select(F.col("node").alias("label"), F.col("component").alias("family"))
-    labelled = heads.select(F.col("head").alias("doc_id"), "n_shingles").join(settled, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    families = materialise(labelled.join(open_, "label"), "families")
+    labelled = heads.select(F.col("head").alias("doc_id"), "n_shingles").join(_whole(settled), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    families = materialise(labelled.join(_whole(open_), "label"), "families")
     units = materialise(_units(families, percent), "units")
     keys = ["family", "i", "j"]
-    compared = units.join(split_listed(texts, units)[0], "doc_id").repartition(*keys).sortWithinPartitions(*keys)
+    compared = units.join(_whole(split_listed(texts, units)[0]), "doc_id").repartition(*keys).sortWithinPartitions(*keys)
     links = compared.select(*(F.to_json(k).alias(k) if k != "family" else F.col(k) for k in keys), "side", "label", "doc_id", "text").mapInArrow(_linked(shingle, percent), "a long, b long")
     between = links.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
     joined = connected_components(between).select(F.col("node").alias("label"), "component")
-    parts = settled.join(joined, "label", "full").select(F.coalesce("doc_id", "label").alias("head"), F.coalesce("component", "label").alias("component"))
-    inner = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(heads.select("n_shingles", "set_a", "set_b", "head"), ["n_shingles", "set_a", "set_b"])
-    assigned = inner.join(parts, "head", "left").select("doc_id", F.coalesce("component", "head").alias("component_id"))
-    rows = sets.select("doc_id", "n_shingles").join(assigned, "doc_id", "left")
+    parts = settled.join(_whole(joined), "label", "full").select(F.coalesce("doc_id", "label").alias("head"), F.coalesce("component", "label").alias("component"))
+    inner = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(_whole(heads.select("n_shingles", "set_a", "set_b", "head")), ["n_shingles", "set_a", "set_b"])
+    assigned = inner.join(_whole(parts), "head", "left").select("doc_id", F.coalesce("component", "head").alias("component_id"))
+    rows = sets.select("doc_id", "n_shingles").join(_whole(assigned), "doc_id", "left")
     whole = F.coalesce("component_id", "doc_id")
     return rows.select("doc_id", "n_shingles", whole.alias("component_id"), F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"))
