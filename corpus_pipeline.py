@@ -36,7 +36,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near duplicates (five-word shingles, 0.8) the document of the least doc_id stays."""
     gone = materialise(near_duplicates(docs, shingle=5, percent=80).filter(~F.col("kept")).select("doc_id"), "gone")
     maybe, never = split_listed(docs, gone)
-    return maybe.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(never)
+    return maybe.join(gone.hint("merge"), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(never)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
