@@ -673,6 +673,27 @@ def test_sentencepiece(spark, rows):
     assert sentencepiece_codec.encode_decode(empty(spark), PIECES).count() == 0
 
 
+def test_every_row_is_compared_with_sentencepiece(monkeypatch):
+    """A tokenizer that lacks most merges: no row keeps its ids."""
+    import pyarrow as pa
+
+    _, decoder, reference = sentencepiece_codec.loaded(PIECES)
+    data = open(PIECES, "rb").read()
+    parsed = sentencepiece_codec.parse_model(data)
+    monkeypatch.setattr(sentencepiece_codec, "parse_model", lambda _: parsed | {"pieces": [(t, s, 5 if k == 1 and len(t) > 3 else k) for t, s, k in parsed["pieces"]]})
+    poor = sentencepiece_codec.build(data)
+    monkeypatch.setattr(sentencepiece_codec, "parse_model", lambda _: parsed)
+    monkeypatch.setattr(sentencepiece_codec, "loaded", lambda path: (poor, decoder, reference))
+    texts = [f"quality of the hello world {i}" for i in range(40)] + ["", " ", "  two  blanks", "the end ", "▁ the▁mark", "x" * 200, "a\nline the\tother", "日本 🙂 the"]
+    sentencepiece_codec.known_words.cache_clear()
+    batch = pa.record_batch({"doc_id": list(range(len(texts))), "text": texts})
+    out = next(iter(sentencepiece_codec._code(PIECES, ["doc_id"])([batch])))
+    sentencepiece_codec.known_words.cache_clear()
+    assert any(poor.encode(t, add_special_tokens=False).ids != reference.encode(t) for t in texts)
+    assert out.column("ids").to_pylist() == [reference.encode(t) for t in texts]
+    assert out.column("round_trip").to_pylist() == [reference.decode(reference.encode(t)) == t for t in texts]
+
+
 def test_token_files(spark, rows, tmp_path):
     from tokenizers import Tokenizer
 

@@ -5,16 +5,18 @@ as a tokenizers pipeline: normaliser (precompiled character map, white-space
 folding, dummy prefix, metaspace marker), BPE merges or unigram scores, and
 byte fallback.  BPE merges never cross from another character to a marker
 when no piece does, so the text is pre-split there, which keeps long texts
-linear.  Batches are encoded by the library's own threads.  Parity with the
-sentencepiece library is verified: of a BPE model, whose merges have one order,
-on rows that their own ids pick; of a unigram model, whose segmentations may
-tie, on every row.  A row that differs gets that library's ids, so what a text
-gives never depends on other rows or on the partitioning.
+linear.  Parity with the sentencepiece library is verified for every row.  Where
+a text's ids are those of its words, one after the other (see ``by_words``),
+each distinct word is encoded once by both libraries and kept in a table of
+bounded size, and rows are put together from it; elsewhere whole rows are encoded
+by both.  What differs gets that library's ids, so what a text gives never
+depends on other rows or on the partitioning.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,6 +32,10 @@ from thicket.llm.runtime import bounded_batches, lean
 MARK = "▁"
 #: Piece types of the model format; fixed values.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+#: Words that a worker remembers, characters of the longest of them (longer ones are encoded where they occur), and words encoded as one line.
+WORDS, LONGEST, JOINED = 400_000, 64, 1000
+#: A word with the blanks before it.
+_WORD = re.compile(" +[^ ]*")
 
 def fields(data: bytes) -> Iterator[tuple[int, object]]:
     """(field number, value) of a protobuf message: ints, 4- or 8-byte strings, bytes."""
@@ -144,7 +150,82 @@ class Decoder:
 
 def splits_at_marks(model: dict) -> bool:
     """True if no piece holds a marker after another character, so no merge crosses there."""
-    return model["model_type"] == 2 and not any(MARK in t.lstrip(MARK) for t, _, k in model["pieces"] if k in (NORMAL, USER_DEFINED))
+    return model["model_type"] == 2 and not any(MARK in t.lstrip(MARK) for t, _, k in model["pieces"] if k in (NORMAL, USER_DEFINED, UNUSED))
+
+
+def by_words(model: dict) -> bool:
+    """True if a text's ids are those of its words: nothing is merged across a blank, and blanks and characters stay as they are."""
+    return splits_at_marks(model) and bool(model["add_dummy_prefix"]) and not model["charsmap"] and not model["remove_extra_whitespaces"]
+
+
+class Words:
+    """The ids of words, encoded by both libraries when first met; a full table is begun anew."""
+
+    def __init__(self, tokenizer, decoder: Decoder, reference):
+        self.tokenizer, self.decoder, self.reference, self.pieces = tokenizer, decoder, reference, decoder.pieces
+        self.first = np.array([reference.id_to_piece(i).startswith(MARK) for i in range(len(self.pieces))])
+        self.ids: dict[str, bytes] = {}
+        self.odd: set[str] = set()
+
+    def cut(self, text: str) -> list[str] | None:
+        """The words of a text, each with all blanks before it but the first; None where the end is a blank, which is no word of its own."""
+        if MARK in text:
+            text = text.replace(MARK, " ")  # the library takes both for the same
+        if not text:
+            return []
+        if text[-1] == " ":
+            return None
+        return [w[1:] for w in _WORD.findall(" " + text)] if "  " in text or text[0] == " " else text.split(" ")
+
+    def learn(self, words: set[str]) -> None:
+        """Puts words into the table, those that decoding does not give again into odd, too."""
+        new = [w for w in words if w not in self.ids]
+        if len(self.ids) + len(new) > WORDS:
+            self.ids, self.odd, new = {}, set(), list(words)
+        plain = [w for w in new if w[0] != " "]
+        parts = [plain[lo : lo + JOINED] for lo in range(0, len(plain), JOINED)] + [[w] for w in new if w[0] == " "]
+        lines = [" ".join(p) for p in parts]
+        for part, line, coded in zip(parts, lines, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+            mine, theirs = coded.ids, self.reference.encode(line)
+            ids = np.array(mine if mine == theirs else theirs, "<u4")
+            raw, same = ids.tobytes(), b"".join([self.pieces[i] for i in ids.tolist()]) == (" " + line).encode()
+            if len(part) == 1:
+                self.ids[line] = raw
+                if not same:
+                    self.odd.add(line)
+                continue
+            starts = np.flatnonzero(self.first[ids])
+            if not same or len(starts) != len(part):
+                for word in part:
+                    self.learn_one(word)
+                continue
+            ends = (np.append(starts[1:], len(ids)) * 4).tolist()
+            self.ids.update(zip(part, [raw[a:b] for a, b in zip((starts * 4).tolist(), ends)]))
+
+    def learn_one(self, word: str) -> None:
+        mine, theirs = self.tokenizer.encode(word, add_special_tokens=False).ids, self.reference.encode(word)
+        ids = mine if mine == theirs else theirs
+        self.ids[word] = np.array(ids, "<u4").tobytes()
+        if b"".join([self.pieces[i] for i in ids]) != (" " + word).encode():
+            self.odd.add(word)
+
+    def encode(self, texts: list[str]) -> list[tuple[int, int, bool, bytes] | None]:
+        """(number of ids, their CRC-32, whether decoding gives the text again, ids) of each text; None for those that are no list of words."""
+        cuts = [self.cut(t) for t in texts]
+        met = {w for words in cuts if words for w in words}
+        self.learn(met)
+        ids, made = self.ids, []
+        for text, words in zip(texts, cuts):
+            if words is None:
+                made.append(None)
+                continue
+            raw = b"".join([ids[w] for w in words])
+            same = self.odd.isdisjoint(words) and MARK not in text or self.decoder(np.frombuffer(raw, "<u4").tolist()) == text
+            made.append((len(raw) // 4, zlib.crc32(raw), same, raw))
+        for word in [w for w in met if len(w) > LONGEST]:
+            self.ids.pop(word, None)
+            self.odd.discard(word)
+        return made
 
 
 @lru_cache(maxsize=4)
@@ -159,6 +240,13 @@ def loaded(path: str):
     return tokenizer, Decoder(parse_model(data), tokenizer), sentencepiece.SentencePieceProcessor(model_proto=data)
 
 
+@lru_cache(maxsize=4)
+def known_words(path: str) -> Words | None:
+    """The table of words of a model file, once a worker; None where texts are no lists of words."""
+    with open(path, "rb") as f:
+        return Words(*loaded(path)) if by_words(parse_model(f.read())) else None
+
+
 def check_parity(path: str, texts: list[str]) -> None:
     """Raises unless both libraries give the same ids and texts."""
     tokenizer, decoder, reference = loaded(path)
@@ -170,12 +258,21 @@ def check_parity(path: str, texts: list[str]) -> None:
             raise AssertionError(f"decoding differs from sentencepiece on {text[:80]!r}")
 
 
-def _code(path: str, keep: list[str], one_in: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import models
+def _whole_rows(path: str, texts: list[str]) -> list[tuple[int, int, bool, bytes]]:
+    """What Words.encode gives, of whole texts that both libraries encode."""
+    tokenizer, decoder, reference = loaded(path)
+    made = []
+    for text, coded in zip(texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        theirs = reference.encode(text)
+        same = decoder(theirs) == text if coded.ids == theirs else reference.decode(theirs) == text
+        raw = np.array(theirs, "<u4").tobytes()
+        made.append((len(theirs), zlib.crc32(raw), same, raw))
+    return made
 
-        tokenizer, decoder, reference = loaded(path)
-        tied = not isinstance(tokenizer.model, models.BPE)
+
+def _code(path: str, keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = known_words(path)
         os.environ["TOKENIZERS_PARALLELISM"] = "true"  # read at each call; other operators of the worker may have set it
         for batch in batches:
             texts = batch.column("text").fill_null("").to_pylist()
@@ -185,16 +282,11 @@ def _code(path: str, keep: list[str], one_in: int):
                 while end < len(texts) and (end == at or size + len(texts[end]) < 1 << 20):
                     size += len(texts[end])
                     end += 1
-                for text, coded in zip(texts[at:end], tokenizer.encode_batch_fast(texts[at:end], add_special_tokens=False)):
-                    listed = coded.ids
-                    raw = np.array(listed, "<u4").tobytes()
-                    made.append((len(listed), zlib.crc32(raw), decoder(listed) == text, raw))
+                part = texts[at:end]
+                found = words.encode(part) if words else [None] * len(part)
+                rest = iter(_whole_rows(path, [t for t, f in zip(part, found) if f is None]))
+                made += [next(rest) if f is None else f for f in found]
                 at = end
-            for i, text in enumerate(texts):
-                if tied or made[i][1] % one_in == 0:
-                    theirs = np.array(reference.encode(text), "<u4")
-                    if theirs.tobytes() != made[i][3]:
-                        made[i] = len(theirs), zlib.crc32(theirs.tobytes()), reference.decode(theirs.tolist()) == text, theirs.tobytes()
             columns = [batch.column(c) for c in keep]
             columns += [pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.bool_())]
             names = keep + ["n_tokens", "ids_crc32", "round_trip"]
@@ -207,17 +299,16 @@ def _code(path: str, keep: list[str], one_in: int):
     return lean(run)
 
 
-def encode_decode(docs: DataFrame, model_path: str, one_in: int = 128) -> DataFrame:
+def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, ids, n_tokens, ids_crc32 (little-endian unsigned 32-bit ids), round_trip of every row.
 
     round_trip tells whether decoding gives the text again.  Null texts count
-    as empty and have no ids; a null doc_id stays null.  Every row of a unigram
-    model, and of a BPE model the rows whose ids have a CRC-32 that one_in
-    divides, are compared with the sentencepiece library.  Texts of any length
+    as empty and have no ids; a null doc_id stays null.  Every row, or every
+    word of it, is compared with the sentencepiece library.  Texts of any length
     are encoded whole.  Repeated rows and ties give repeated results; other
     columns are ignored; an empty table gives an empty result.
     """
     bounded_batches(docs.sparkSession)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    coded = text.mapInArrow(_code(model_path, ["doc_id"], one_in), "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean, ids array<int>")
+    coded = text.mapInArrow(_code(model_path, ["doc_id"]), "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean, ids array<int>")
     return coded.select("doc_id", "ids", "n_tokens", "ids_crc32", "round_trip")
