@@ -25,8 +25,12 @@ def page_sizes(total: int, size: int) -> list[int]:
     return [size if i < n - 1 else total - size * (n - 1) for i in range(n)]
 
 
+#: Pages of a partition.
+PAGES = 64
+
+
 class PagedSource(DataSource):
-    """A paged service as a table: one partition a page.
+    """A paged service as a table: one partition for each PAGES pages.
 
     Option 'fetcher' names module:function(page, size, options) -> {totalFilas,
     tamanioPagina, resultados: [rows]}.  The first page is asked for with
@@ -57,11 +61,12 @@ class _PagedReader(DataSourceReader):
     def partitions(self):
         first = self._page(1, int(self.options.get("pagesize", 1000)))
         sizes = page_sizes(int(first["totalFilas"]), int(first["tamanioPagina"]))
-        return [InputPartition((i, n)) for i, n in enumerate(sizes, 1)]
+        pages = list(enumerate(sizes, 1))
+        return [InputPartition(pages[lo : lo + PAGES]) for lo in range(0, len(pages), PAGES)]
 
     def read(self, partition) -> Iterator[tuple]:
-        page, size = partition.value
-        yield from self._page(page, size)["resultados"]
+        for page, size in partition.value:
+            yield from self._page(page, size)["resultados"]
 
 
 def retryable(e: Exception) -> bool:
