@@ -337,3 +337,24 @@ def test_incremental(spark, tmp_path):
         changes.stream_upsert(spark, str(tmp_path / "in"), "k int, v int", str(tmp_path / "out"), "k", "v", str(tmp_path / "cp")).awaitTermination()
     assert sorted(tuple(r) for r in changes.snapshot(spark, str(tmp_path / "out"), "k int, v int", 1).collect()) == [(1, 2), (2, 1)]
     assert len(list((tmp_path / "out/data/epoch=1").glob("bucket=*"))) == 1
+
+
+def test_repeated_entries_are_compared_once(spark):
+    entries = spark.createDataFrame([(i, "caballo", f"c{i}") for i in range(40, 0, -1)] + [(9, "rana", "r")], "position long, entry string, category string")
+    assert {tuple(r) for r in fuzzy._first_entries(entries).collect()} == {("caballo", 1, "c1"), ("rana", 9, "r")}
+    got = fuzzy.closest_matches(spark.createDataFrame([("caballos",), ("caballo",)], "name string"), entries).collect()
+    assert {(r.name, r.entry, r.category) for r in got} == {("caballos", "caballo", "c1"), ("caballo", "caballo", "c1")}
+
+
+def test_pages_share_partitions_and_reads(spark, tmp_path):
+    from thicket.sources import samples
+
+    path = str(tmp_path / "rows")
+    spark.range(5000).repartitionByRange(3, "id").sortWithinPartitions("id").write.parquet(path)
+    options = {"path": path, "columns": "id", "pagesize": "7"}
+    samples._rows.cache_clear()
+    pages = [samples.page_of(i, 7, options) for i in range(1, 716)]
+    assert sorted(r[0] for p in pages for r in p["resultados"]) == list(range(5000)) and {p["totalFilas"] for p in pages} == {5000}
+    assert samples._rows.cache_info().misses == 3
+    parts = readers._PagedReader({**options, "fetcher": "thicket.sources.samples:page_of"}).partitions()
+    assert len(parts) == 12 and sum(len(p.value) for p in parts) == 715

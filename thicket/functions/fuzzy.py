@@ -72,6 +72,12 @@ def _name_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(sorted(keys), pa.string())], ["name", "key"])
 
 
+def _first_entries(dictionary: DataFrame) -> DataFrame:
+    """(name, position, category): every distinct entry once, by its first position, as no later one can be chosen."""
+    known = dictionary.select(F.col("entry").alias("name"), F.struct(F.col("position").cast("long").alias("position"), F.col("category").cast("string").alias("category")).alias("_first"))
+    return known.groupBy("name").agg(F.min("_first").alias("_first")).select("name", "_first.position", "_first.category")
+
+
 def closest_matches(names: DataFrame, dictionary: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(name, entry, category, ratio): each distinct name's best entry of dictionary(position, entry, category).
 
@@ -83,7 +89,7 @@ def closest_matches(names: DataFrame, dictionary: DataFrame, threshold: float =
     if threshold < THRESHOLD:
         raise ValueError(f"segments are made for similarities of {THRESHOLD} and more")
     left = names.select(clean_name(F.col("name")).alias("name")).filter("name IS NOT NULL").distinct()
-    known = dictionary.select(F.col("entry").alias("name"), F.col("position").cast("long").alias("position"), F.col("category").cast("string").alias("category"))
+    known = _first_entries(dictionary)
     exact = left.join(known, "name").select("name", "position", F.col("name").alias("entry"), "category", F.lit(1.0).alias("ratio"))
     others = left.join(known.select("name"), "name", "left_anti").mapInArrow(_name_keys, "name string, key string")
     entries = known.select("name", "position", "category").filter("name IS NOT NULL").mapInArrow(_entry_keys, "entry string, position long, category string, key string")
