@@ -91,3 +91,17 @@ def test_pairs_in_blocks_of_sources(monkeypatch):
     whole = divergence._parts(counts, groups).sort_by(key)
     monkeypatch.setattr(divergence, "PAIRS", 20)
     assert divergence._parts(counts, groups).sort_by(key) == whole and whole.num_rows > 90
+
+
+def test_rows_of_shards_do_not_follow_the_partitions(spark):
+    """Each shard gives a row for a pair of sources, so more partitions make no more of them."""
+    rows = [(i, f"wort{i % 7} wort{i % 11} ding", "de", f"s{i % 6}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    before, made = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (2, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            made.append(divergence._sums(docs).filter("part = 'pair'").count())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert made == [30, 30]

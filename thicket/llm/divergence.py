@@ -23,7 +23,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,13 +32,13 @@ from thicket.llm.runtime import bounded_batches, lean, materialise
 #: Documents that a kept term is in at least, ranks of terms given back, scale of shares.
 LEAST, RANKS, SCALE = 3, 200, 1_000_000_000
 #: Bytes of text behind a shard, rows that a task counts before it sends them, pairs of sources that a shard sums at a time.
-SHARD_BYTES, HELD_ROWS, PAIRS = 128 << 20, 2_000_000, 250_000
+SHARD_BYTES, HELD_ROWS, PAIRS = 32 << 20, 2_000_000, 250_000
 #: Letters: A-Z folded to lower case, a-z and every byte of another script as they are; all else parts terms.
 LETTERS = np.full(256, 32, np.uint8)
 LETTERS[97:123], LETTERS[65:91], LETTERS[128:] = np.arange(97, 123), np.arange(97, 123), np.arange(128, 256)
 
 _COUNTED = "lang string, source string, term string, n long, docs long"
-_KEPT = "shard int, lang string, source string, term string, n long, head int"
+_KEPT = "lang string, source string, term string, n long, head int"
 _PARTS = "lang string, source string, part string, item string, value long"
 _SPLIT = "SELECT d, lang, source, term, count(*) AS k FROM (SELECT d, lang, source, unnest(string_split(text, ' ')) AS term FROM texts) WHERE term <> '' GROUP BY ALL"
 _SUMMED = "SELECT lang, source, term, sum(n)::BIGINT AS n, sum(docs)::BIGINT AS docs FROM counts GROUP BY ALL"
@@ -89,7 +88,7 @@ def _keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = next(batches, None)
     if first is None:
         return
-    con, shard = _connect(), TaskContext.get().partitionId()
+    con = _connect()
 
     def rows() -> Iterator[pa.RecordBatch]:
         yield first
@@ -99,7 +98,7 @@ def _keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     con.execute(f"CREATE TABLE summed AS {_SUMMED}")
     con.unregister("counts")
     term = "OVER (PARTITION BY lang, term)"
-    yield from _batches(con, f"SELECT {shard}::INT AS shard, lang, source, term, n, (source = min(source) {term})::INT AS head FROM summed QUALIFY sum(docs) {term} >= {LEAST}")
+    yield from _batches(con, f"SELECT lang, source, term, n, (source = min(source) {term})::INT AS head FROM summed QUALIFY sum(docs) {term} >= {LEAST}")
     con.close()
 
 
@@ -141,6 +140,31 @@ def _parts(counts: pa.Table, groups: pa.Table) -> pa.Table:
     return pa.concat_tables([t.select(schema.names).cast(schema) for t in found])
 
 
+def _sums(docs: DataFrame) -> DataFrame:
+    """(lang, source, part, item, value): of every shard its best terms and its share of each pair's sum.
+
+    Each shard gives a row for a pair, so shards follow the bytes of text alone,
+    whatever the number of partitions.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    rows = docs.select(filled("lang"), filled("source"), filled("text"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
+    counted = rows.mapInArrow(lean(_count), _COUNTED)
+    terms = counted.repartition(tasks, "lang", "term").mapInArrow(lean(_keep), _KEPT)
+    kept = materialise(terms.withColumn("shard", F.pmod(F.xxhash64("lang", "term"), F.lit(shards)).cast("int")), "terms")
+    groups = rows.select("lang", "source").distinct()
+    sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sizes = kept.groupBy("lang").agg(F.sum("head").alias("v"))
+    groups = materialise(groups.join(sums, ["lang", "source"], "left").join(sizes, "lang", "left").select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v")), "groups")
+    home = groups.select("lang", F.pmod(F.hash("lang"), F.lit(shards)).cast("int").alias("shard"))
+    sent = kept.select("lang", "shard").unionByName(home).distinct().join(groups, "lang").select(*(F.col(c).alias(c) for c in ("shard", "lang", "source", "total", "v")))
+    return kept.select("shard", "lang", "source", "term", "n").groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_parts, _PARTS)
+
+
 def divergence(docs: DataFrame) -> DataFrame:
     """lang, source, part (pair or term), item, value, rank: one row for each ranked item of a group.
 
@@ -160,21 +184,6 @@ def divergence(docs: DataFrame) -> DataFrame:
     One common term has a row for each task and source at most, which its shard
     adds up as they arrive; a frequent source is spread over all shards.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    rows = docs.select(filled("lang"), filled("source"), filled("text"))
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
-    counted = rows.mapInArrow(lean(_count), _COUNTED)
-    kept = materialise(counted.repartition(shards, "lang", "term").mapInArrow(lean(_keep), _KEPT), "terms")
-    groups = rows.select("lang", "source").distinct()
-    sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    sizes = kept.groupBy("lang").agg(F.sum("head").alias("v"))
-    groups = materialise(groups.join(sums, ["lang", "source"], "left").join(sizes, "lang", "left").select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v")), "groups")
-    home = groups.select("lang", F.pmod(F.hash("lang"), F.lit(shards)).alias("shard"))
-    sent = kept.select("lang", "shard").unionByName(home).distinct().join(groups, "lang").select(*(F.col(c).alias(c) for c in ("shard", "lang", "source", "total", "v")))
-    parts = kept.drop("head").groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_parts, _PARTS)
-    merged = parts.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+    merged = _sums(docs).groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.col("value").desc(), "item")
     return merged.withColumn("rank", F.row_number().over(order)).filter(F.expr(f"part = 'pair' OR rank <= {RANKS}"))
