@@ -358,3 +358,24 @@ def test_pages_share_partitions_and_reads(spark, tmp_path):
     assert samples._rows.cache_info().misses == 3
     parts = readers._PagedReader({**options, "fetcher": "thicket.sources.samples:page_of"}).partitions()
     assert len(parts) == 12 and sum(len(p.value) for p in parts) == 715
+
+
+def test_stored_and_changed_indexes_are_asked_in_the_rows_of_documents(spark, tmp_path, monkeypatch):
+    """No pair of a query and a posting is shuffled, and the rows are those of joins."""
+    from dataclasses import replace
+
+    from thicket.operators.keyword_store import KeywordStore
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 13}" for j in range(1, 9))) for i in range(60)] + [(60, "")], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "w3"), (1, "w5"), (2, "w0"), (2, "w0"), (3, "none")], "query_id long, term string")
+    sparse.build_index(docs).save(str(tmp_path / "index"))
+    store = KeywordStore(spark, str(tmp_path / "store"))
+    store.apply(docs.withColumn("text", F.lit("w3 w3")).filter("doc_id < 9"))
+    store.apply(docs)
+    for index in (sparse.Index.load(spark, str(tmp_path / "index")), store.index()):
+        for model in sparse.MODELS:
+            want = {tuple(r) for r in sparse.top_k(replace(index, tokens=None), asked, 5, model).collect()}
+            with monkeypatch.context() as m:
+                m.setattr(sparse, "scores", None)
+                assert {tuple(r) for r in sparse.top_k(index, asked, 5, model).collect()} == want
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000

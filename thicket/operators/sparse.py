@@ -8,16 +8,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thicket.functions.text import words
+from thicket.session import small_batches
 
 MODELS = ("okapi", "l", "plus")
 #: Query terms that are sent to the tasks, a checked number; more are scored by joins.
 SENT_TERMS = 1_000_000
 #: Pairs of a document and a query that a task scores at a time.
-MATCHES = 1_000_000
+MATCHES = 250_000
 
 
 def token_rows(df: DataFrame, key: str, text: str, tokens=None) -> DataFrame:
@@ -47,16 +49,20 @@ class Index:
         return self.occurrences.join(terms, "term", "left_semi").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
 
     def save(self, path: str, settings: dict | None = None) -> None:
-        """Parquet tables; postings are clustered by term, so a query reads few files' row groups.  settings are kept beside them."""
+        """Parquet tables; postings are clustered by term, so a query reads few files' row groups.  settings and the documents' words are kept beside them."""
         spark = self.terms.sparkSession
         spark.createDataFrame([(k, str(v)) for k, v in sorted((settings or {}).items())], "name string, value string").write.mode("overwrite").parquet(f"{path}/settings")
         self.postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
-        for name in ("terms", "stats", "docs"):
+        for name in ("terms", "stats", "docs", *(("tokens",) if self.tokens is not None else ())):
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Index:
-        return Index(*(spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats", "docs")))
+        try:
+            tokens = spark.read.parquet(f"{path}/tokens")
+        except AnalysisException:  # of an index that has postings only
+            tokens = None
+        return Index(*(spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats", "docs")), tokens=tokens)
 
     @staticmethod
     def settings(spark: SparkSession, path: str) -> dict[str, str]:
@@ -142,7 +148,8 @@ def top_k(index: Index, queries: DataFrame, k: int = 10, model: str = "okapi", *
 
     A query without a token has no row.  Up to SENT_TERMS query terms are
     broadcast, and each task keeps the k best of the documents that match a
-    query; beyond that, and for a stored index, scores come from joins.
+    query; beyond that, and for an index without its documents' words, scores
+    come from joins.
     """
     if model not in MODELS:
         raise ValueError(f"unknown model {model!r}; one of {MODELS}")
@@ -198,6 +205,7 @@ def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, always:
     order = np.flatnonzero(known)[np.argsort(term[known], kind="stable")]
     starts = np.searchsorted(term[order], np.arange(len(vocabulary) + 1))
     spark = tokens.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast((vocabulary, starts, query[order], weight[order], base))
     keep = np.array(always, np.int64)
 

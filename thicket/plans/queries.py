@@ -155,7 +155,7 @@ def changed_store(spark, sf_dir):
 
 
 def bm25_incremental_topk(spark, sf_dir):
-    """Hits of an index after changes, all of its postings read."""
+    """Hits of an index after changes, all of its documents read."""
     return sparse.top_k(changed_store(spark, sf_dir).index(), keyword_queries(spark, sf_dir), 10)
 
 
@@ -185,7 +185,7 @@ def bm25_stemmed_topk(spark, sf_dir):
 
 
 def bm25_stored_topk(spark, sf_dir):
-    """The index is written with its settings, read again and asked by joins."""
+    """The index is written with its settings, read again and asked."""
     path = scratch(spark, "bm25")
     index(spark, sf_dir).save(path, {"model": "plus", "k1": 1.5, "b": 0.75})
     return sparse.top_k(sparse.Index.load(spark, path), keyword_queries(spark, sf_dir), 10, sparse.Index.settings(spark, path)["model"])

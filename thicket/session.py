@@ -28,6 +28,12 @@ def session(master: str | None = None, partitions: int | None = None, **more: st
     return builder.getOrCreate()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches small where a Python task makes several numbers of each word of a row."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder inside the cluster's shared one (spark.checkpoint.dir), removed when the driver ends.
 
