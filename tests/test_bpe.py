@@ -38,3 +38,8 @@ def test_merges_are_the_librarys():
     for _ in range(400):
         piece = bytes(r.choice(b"abehilnorst \xc3\xa9") for _ in range(r.randint(1, 40)))
         assert [known[t] for t in bpe.merged(piece, known)] == encoder._encode_single_piece(piece)
+
+
+def test_rows_stay_where_they_are(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string")
+    assert "Exchange" not in bpe.token_counts(df, PATH)._jdf.queryExecution().toString()

@@ -1,4 +1,4 @@
-"""Byte-pair token counts: texts cut by one expression, every distinct piece merged once, counts joined back."""
+"""Byte-pair token counts: texts cut by one expression, every distinct piece merged once a task, sizes added up in the row."""
 
 from __future__ import annotations
 
@@ -7,10 +7,16 @@ import heapq
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from thicket.session import small_batches
+
+#: Distinct pieces whose sizes a task holds.
+HELD = 500_000
 # White space as Unicode has it, and how byte-level BPE cuts a text before merging.
 _SPACE = "\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
 PIECES = rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
@@ -64,11 +70,22 @@ def merged(piece: bytes, known: dict[bytes, int]) -> list[bytes]:
     return [p for p in parts if p is not None]
 
 
-def _lengths(path: str):
+def _counts(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ranks(path)
+        known, sizes = ranks(path), {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(merged(p.encode(), known)) for p in batch.column(0).to_pylist()], pa.int64())], ["piece", "size"])
+            lists = batch.column(1)
+            coded = lists.flatten().dictionary_encode()
+            pieces = coded.dictionary.to_pylist()
+            if len(sizes) > HELD:
+                sizes = {}
+            for p in pieces:
+                if p not in sizes:
+                    sizes[p] = len(merged(p.encode(), known))
+            each = np.array([sizes[p] for p in pieces], np.int64)[coded.indices.to_numpy()]
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            upto = np.r_[0, np.cumsum(each)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(np.r_[0, upto[ends]]))], ["_key", "n_tokens"])
 
     return run
 
@@ -76,11 +93,10 @@ def _lengths(path: str):
 def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens) of every row by a byte-pair rank file; null and empty texts have 0.
 
-    A document's repeats of a piece become one row before they are shuffled,
-    and each distinct piece of the corpus is merged once.
+    Rows stay where they are: a task merges each piece that it meets once, and
+    starts its table of pieces anew when it holds more than HELD.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(f"`{key}`").alias("_key"), pieces(F.col(f"`{text}`").cast("string")).alias("pieces")).select("_row", "_key", F.explode_outer("pieces").alias("piece"))
-    counted = rows.groupBy("_row", "_key", "piece").agg(F.count("*").alias("n"))
-    distinct = docs.select(F.explode(pieces(F.col(f"`{text}`").cast("string"))).alias("piece")).distinct()
-    sizes = distinct.mapInArrow(_lengths(path), "piece string, size long")
-    return counted.join(sizes, "piece", "left").groupBy("_row", "_key").agg(F.sum(F.col("n") * F.coalesce("size", F.lit(0))).alias("n_tokens")).select(F.col("_key").alias(key), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+    small_batches(docs.sparkSession)
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(f"`{key}`").alias("_key"), pieces(F.col(f"`{text}`").cast("string")).alias("pieces"))
+    return rows.mapInArrow(_counts(path), f"_key {kind}, n_tokens long").withColumnRenamed("_key", key)
