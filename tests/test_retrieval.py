@@ -379,3 +379,18 @@ def test_stored_and_changed_indexes_are_asked_in_the_rows_of_documents(spark, tm
                 m.setattr(sparse, "scores", None)
                 assert {tuple(r) for r in sparse.top_k(index, asked, 5, model).collect()} == want
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+
+
+def test_pair_scores_make_no_other_pairs(spark):
+    """Forty queries that match all of 400 documents, one pair asked for each: 16,000 sums before, the documents' words now."""
+    stages = lambda: spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    records = lambda: sum(stages().apply(i).shuffleWriteRecords() for i in range(stages().size()))
+    docs = spark.createDataFrame([(i, f"a b c d{i % 7}") for i in range(400)], "doc_id long, text string")
+    asked = spark.createDataFrame([(q, t) for q in range(40) for t in ("a", "b", "c", f"d{q % 7}")], "query_id long, term string")
+    pairs = spark.createDataFrame([(q, 10 * q) for q in range(40)] + [(99, 3)], "query_id long, doc_id long")
+    built = sparse.build_index(docs)
+    before = records()
+    got = {(r.query_id, r.doc_id): r.score for r in sparse.pair_scores(built, asked, pairs).collect()}
+    assert records() - before < 8_000
+    every = {(r.query_id, r.doc_id): r.score for r in sparse.scores(built, asked).collect()}
+    assert got == {(q, 10 * q): every[q, 10 * q] for q in range(40)} | {(99, 3): 0.0}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thicket.functions.text import words
-from thicket.session import small_batches
+from thicket.session import small_batches, stored
 
 MODELS = ("okapi", "l", "plus")
 #: Query terms that are sent to the tasks, a checked number; more are scored by joins.
@@ -70,8 +70,11 @@ class Index:
         return {r["name"]: r["value"] for r in spark.read.parquet(f"{path}/settings").collect()}  # one row a setting
 
 
-def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens=None) -> Index:
-    """The index of docs, whose ids are distinct; every step is one partially aggregated shuffle."""
+def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens=None, keep: bool = False) -> Index:
+    """The index of docs, whose ids are distinct; every step is one partially aggregated shuffle.
+
+    keep writes terms and stats to the shared folder, for an index that is asked more than once.
+    """
     named = docs.withColumnRenamed(key, "doc_id") if key != "doc_id" else docs
     array = tokens(F.col(text)) if tokens else words(F.lower(F.col(text)))
     sized = named.select("doc_id", array.alias("_tokens")).select("doc_id", "_tokens", F.size("_tokens").alias("dl"))
@@ -79,10 +82,12 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens
     postings = occurrences.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     # A document's distinct words are found in its row, so only (term, count) is shuffled.
     terms = sized.select(F.explode(F.array_distinct("_tokens")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    terms = stored(terms, "terms") if keep else terms
     lengths = sized.select("doc_id", "dl")
     totals = lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
     raw = F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     stats = totals.join(terms.crossJoin(F.broadcast(totals.select("n_docs"))).agg(F.count("*").alias("n_terms"), F.sum(raw).alias("sum_idf")))
+    stats = stored(stats, "stats") if keep else stats
     return Index(postings, terms, stats, lengths, occurrences, sized.select("doc_id", "_tokens"))
 
 
@@ -96,8 +101,8 @@ def idf(model: str, epsilon: float = 0.25) -> Column:
     return F.when(raw < 0, epsilon * F.col("sum_idf") / F.col("n_terms")).otherwise(raw)
 
 
-def scores(index: Index, queries: DataFrame, model: str = "okapi", k1: float = 1.5, b: float = 0.75, delta: float | None = None) -> DataFrame:
-    """(query_id, doc_id, score) of every document with a query term; queries is (query_id, term) with repeats.
+def scores(index: Index, queries: DataFrame, model: str = "okapi", k1: float = 1.5, b: float = 0.75, delta: float | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, score) of every document with a query term, or of pairs(query_id, doc_id) only; queries is (query_id, term) with repeats.
 
     Repeated query terms add.  For the L and Plus models, which credit absent
     terms too, the score holds the query's base; base_scores() has the rest.
@@ -106,7 +111,8 @@ def scores(index: Index, queries: DataFrame, model: str = "okapi", k1: float = 1
         raise ValueError(f"unknown model {model!r}; one of {MODELS}")
     wanted = queries.groupBy("query_id", "term").agg(F.count("*").alias("times"))
     weighted = wanted.join(index.terms, "term").crossJoin(F.broadcast(index.stats)).select("query_id", "term", "times", idf(model).alias("idf"), "avgdl")
-    hits = index.of_terms(wanted.select("term").distinct()).join(weighted, "term")
+    postings = index.of_terms(wanted.select("term").distinct())
+    hits = postings.join(weighted, "term") if pairs is None else postings.join(pairs.select("query_id", "doc_id").distinct().join(weighted, "query_id"), ["doc_id", "term"])
     part, base = _parts(model, k1, b, delta)
     matched = hits.select("query_id", "doc_id", (F.col("times") * F.col("idf") * (part - base)).alias("s")).groupBy("query_id", "doc_id").agg(F.sum("s").alias("s"))
     if model == "okapi":
@@ -269,8 +275,10 @@ def _sent_scores(tokens: DataFrame, sent: pa.Table, k: int, model: str, always:
 
 def pair_scores(index: Index, queries: DataFrame, pairs: DataFrame, model: str = "okapi", **parameters) -> DataFrame:
     """(query_id, doc_id, score) of the given pairs(query_id, doc_id) only; pairs without a common term score their base."""
-    few = Index(index.postings.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi"), index.terms, index.stats, index.docs)
-    found = scores(few, queries, model, **parameters)
+    # Pairs whose query has no term need no postings.
+    asked = pairs.join(queries.select("query_id").distinct(), "query_id", "left_semi")
+    few = Index(index.postings.join(asked.select("doc_id").distinct(), "doc_id", "left_semi"), index.terms, index.stats, index.docs)
+    found = scores(few, queries, model, pairs=pairs, **parameters)
     base = base_scores(index, queries, model, **parameters).select("query_id", F.round("base", 6).alias("_base"))
     return pairs.join(found, ["query_id", "doc_id"], "left").join(base, "query_id", "left").select("query_id", "doc_id", F.coalesce("score", "_base", F.lit(0.0)).alias("score"))
 

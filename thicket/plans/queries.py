@@ -265,7 +265,7 @@ def late_fusion_best(spark, sf_dir):
 
 def late_fusion_balanced(spark, sf_dir):
     """Candidates of either side, each scored on both sides."""
-    built, asked = index(spark, sf_dir), keyword_queries(spark, sf_dir)
+    built, asked = sparse.build_index(table(spark, sf_dir, "documents"), keep=True), keyword_queries(spark, sf_dir)
     found = stored(fusion.candidates(sparse.top_k(built, asked, 50), grouped_hits(spark, sf_dir)), "candidates")
     return fusion.balanced_fusion(sparse.pair_scores(built, asked, found), dense.pair_scores(_grouped_documents(spark, sf_dir), vector_queries(spark, sf_dir), found))
 
