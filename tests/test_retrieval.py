@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -381,6 +382,25 @@ def test_stored_and_changed_indexes_are_asked_in_the_rows_of_documents(spark, tm
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
 
 
+def test_chunks_are_scored_where_they_lie(spark, monkeypatch):
+    """Many chunks of few documents: no join moves them, and the hits are those of all pairs; queries go in several blocks."""
+    monkeypatch.setattr(dense, "SENT_QUERIES", 2)
+    make = np.random.default_rng(5)
+    docs, chunks, asked = make.normal(size=(3, 4)), make.integers(-2, 3, size=(90, 4)).astype(float), make.normal(size=(5, 4))
+    table = lambda rows, schema: spark.createDataFrame(rows, schema)
+    hits = dense.hierarchical(
+        table([(d, docs[d].tolist()) for d in range(3)], "doc_id long, vector array<double>"),
+        table([(c, c % 3, chunks[c].tolist()) for c in range(90)], "chunk_id long, doc_id long, vector array<double>"),
+        table([(q, asked[q].tolist()) for q in range(5)], "query_id long, vector array<double>"), 2, 7)
+    assert "Join" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    want = []
+    for q in range(5):
+        best = sorted(range(3), key=lambda d: (-round(float(docs[d] @ asked[q]), 6), d))[:2]
+        inside = sorted((-round(float(chunks[c] @ asked[q]), 6), c) for c in range(90) if c % 3 in best)[:7]
+        want += [(q, i + 1, c, c % 3) for i, (_, c) in enumerate(inside)]
+    assert sorted(map(tuple, hits.select("query_id", "rank", "chunk_id", "doc_id").collect())) == sorted(want)
+
+
 def test_pair_scores_make_no_other_pairs(spark):
     """Forty queries that match all of 400 documents, one pair asked for each: 16,000 sums before, the documents' words now."""
     stages = lambda: spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)

@@ -8,6 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,70 @@ def _search(sent: Broadcast, k: int) -> Callable:
     return run
 
 
+def _inside(sent: Broadcast, k: int) -> Callable:
+    """The scores of chunks for the queries that want their document; of a task only what can be among a query's k best goes on, ties included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix, wanted, query = sent.value  # query[i] wants document wanted[i], by document
+        reached = np.full(len(ids), -np.inf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            chunk, parent = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            order = np.argsort(parent, kind="stable")
+            owners, starts = np.unique(parent[order], return_index=True)
+            lo, hi = np.searchsorted(wanted, owners), np.searchsorted(wanted, owners, side="right")
+            for i in np.flatnonzero(hi > lo):
+                at = order[starts[i] : starts[i + 1] if i + 1 < len(starts) else None]
+                for a in range(lo[i], hi[i], 512):
+                    q = query[a : min(a + 512, hi[i])]
+                    scores = np.round(matrix[q] @ rows[at].T, 6)
+                    if 0 < k <= len(at):
+                        reached[q] = np.maximum(reached[q], -np.partition(-scores, k - 1, axis=1)[:, k - 1])
+                    x, y = np.nonzero(scores >= reached[q][:, None])
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[q[x]]), pa.array(np.full(len(x), owners[i])), pa.array(chunk[at[y]]), pa.array(scores[x, y])], ["query_id", "parent", "doc_id", "score"])
+
+    return run
+
+
+def _sent_blocks(asked: DataFrame) -> Iterator[pa.Table]:
+    """The rows of asked(query_id, ...) by up to about SENT_QUERIES; more are written once and dealt by hash."""
+    first = asked.limit(SENT_QUERIES + 1).toArrow()
+    if len(first) <= SENT_QUERIES:
+        yield first
+        return
+    asked = stored(asked, "queries")
+    n = -(-2 * asked.count() // SENT_QUERIES)  # half full, so that no block is much over
+    for i in range(n):
+        block = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i).toArrow()
+        if len(block):
+            yield block
+
+
+def inside_scores(wanted: DataFrame, chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, parent, doc_id, score): the chunks(doc_id, parent, vector) of the documents wanted(query_id, parent), without what is in no query's k best.
+
+    Queries and what they want are broadcast as by all_scores, so chunks stay
+    where they are however many a document has; rows with a null are left out.
+    """
+    spark = chunks.sparkSession
+    rows = chunks.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("parent").cast("long").alias("parent"), "vector").dropna()
+    lists = wanted.groupBy("query_id").agg(F.collect_list(F.col("parent").cast("long")).alias("parents"))
+    asked = stored(queries.select(F.col("query_id").cast("long").alias("query_id"), "vector").dropna().join(lists, "query_id"), "wanted")
+
+    def part(block: pa.Table) -> DataFrame:
+        parents = block["parents"].combine_chunks()
+        document = parents.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        query = np.repeat(np.arange(len(block)), pc.list_value_length(parents).to_numpy(zero_copy_only=False))
+        order = np.argsort(document, kind="stable")
+        sent = spark.sparkContext.broadcast((block["query_id"].to_numpy(), np.array(block["vector"].to_pylist(), np.float64), document[order], query[order]))
+        return rows.mapInArrow(_inside(sent, k), "query_id long, parent long, doc_id long, score double")
+
+    return reduce(DataFrame.unionByName, (part(block) for block in _sent_blocks(asked)))
+
+
 def all_scores(vectors: DataFrame, queries: DataFrame, k: int = 0) -> DataFrame:
     """(query_id, doc_id, score) of vectors(doc_id, vector) for queries(query_id, vector); k > 0 leaves out what is in no query's k best.
 
@@ -55,13 +120,7 @@ def all_scores(vectors: DataFrame, queries: DataFrame, k: int = 0) -> DataFrame:
         sent = spark.sparkContext.broadcast((block["query_id"].to_numpy(), np.array(block["vector"].to_pylist(), np.float64)))
         return rows.mapInArrow(_search(sent, k), "query_id long, doc_id long, score double")
 
-    first = asked.limit(SENT_QUERIES + 1).toArrow()
-    if len(first) <= SENT_QUERIES:
-        return part(first)
-    asked = stored(asked, "queries")
-    n = -(-2 * asked.count() // SENT_QUERIES)  # half full, so that no block is much over
-    blocks = (asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i).toArrow() for i in range(n))
-    return reduce(DataFrame.unionByName, (part(block) for block in blocks if len(block)))
+    return reduce(DataFrame.unionByName, (part(block) for block in _sent_blocks(asked)))
 
 
 def pair_scores(vectors: DataFrame, queries: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -115,9 +174,7 @@ def hierarchical(documents: DataFrame, chunks: DataFrame, queries: DataFrame, n_
         hits = top_k(flat, queries, k * n_docs * overfetch).join(pool, "query_id").filter("rank <= pool").drop("rank", "pool")
         inside = hits.join(owner, "doc_id").join(stage1, ["query_id", "parent"], "left_semi")
     else:
-        mine = stage1.join(chunks.select(F.col("chunk_id").alias("doc_id"), F.col("doc_id").alias("parent"), "vector"), "parent")
-        scored = mine.join(queries.select("query_id", F.col("vector").alias("_q")), "query_id")
-        inside = scored.select("query_id", "parent", "doc_id", F.round(inner_product(F.col("vector"), F.col("_q")), 6).alias("score"))
+        inside = inside_scores(stage1, chunks.select(F.col("chunk_id").alias("doc_id"), F.col("doc_id").alias("parent"), "vector"), queries, k)
     return ranked(inside, k).select("query_id", "rank", F.col("doc_id").alias("chunk_id"), F.col("parent").alias("doc_id"), "score")
 
 
