@@ -7,11 +7,14 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import thicket.catalog as catalog
 from thicket.functions import fuzzy, text
+from thicket.functions import stem as stems
 from thicket.functions.stem import stem, stem_once
 from thicket.operators import context, dense, documents, fusion, metrics, mining, sparse, stopwords
 from thicket.sources import readers, writers
@@ -103,6 +106,44 @@ def test_normalised_and_stemmed_retrieval(spark, sf_dir):
         assert all(got[q, k][0] == i and abs(got[q, k][1] - x) < 1e-5 for k, (i, x) in enumerate(best, 1))
 
 
+def test_documents_are_normalised_and_scored_once(spark, sf_dir):
+    """The costly steps read a document once, whatever the index and the ranking use of it."""
+    from pyspark.sql.types import ArrayType, StringType
+
+    from thicket.plans import queries as plans
+
+    items = {r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text").collect()}
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def tokens(c: pd.Series) -> pd.Series:
+        seen.add(sum(t not in items for t in c))
+        return c.map(lambda t: re.findall(r"\w+", (t or "").lower()))
+
+    hits = plans._normalised(spark, sf_dir, tokens)
+    got = hits.orderBy("query_id", "rank").collect()
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()
+    assert seen.value == sum(r.text not in items for r in texts) > 0
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert got == sparse.top_k(plans.index(spark, sf_dir), plans.keyword_queries(spark, sf_dir), 10).orderBy("query_id", "rank").collect()
+
+
+def test_stems_of_token_arrays(spark):
+    """Nulls, blank words, slices and repeats as word by word; endings as by a search of the whole lists."""
+    rows = [["gatos", " ", "gatos"], None, [], ["perros", "\t", "CASAS", "x9"], [" "]]
+    for arrays in (pa.array(rows, pa.list_(pa.string())), pa.array(rows, pa.list_(pa.string())).slice(1, 3), pa.array([], pa.list_(pa.string()))):
+        out = stems.stem_lists(arrays)
+        out.validate(full=True)
+        assert out.to_pylist() == [None if r is None else [s for s in map(stem, r) if s.strip()] for r in arrays.to_pylist()]
+    frame = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t array<string>")
+    assert [r.s for r in frame.select("i", stems.stem_tokens("t").alias("s")).orderBy("i").collect()] == stems.stem_lists(pa.array(rows, pa.list_(pa.string()))).to_pylist()
+    for ends in (stems.PRONOUNS, stems.SUFFIXES, stems.Y_VERBS, stems.ALL_VERBS):
+        every = sorted((e for group in ends.values() for e in group), key=len, reverse=True)
+        for word in (*every, *("cant" + e for e in every), *("á" + e + "x" for e in every), ""):
+            for least in (0, 2, 5):
+                assert stems._ending(word, ends, least) == next((e for e in every if word.endswith(e) and len(word) - len(e) >= least), "")
+
+
 def test_dense_and_fusion(spark, monkeypatch):
     vectors = spark.createDataFrame([(i, [math.cos(i), math.sin(i)]) for i in range(20)], "doc_id long, vector array<float>")
     asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, vector array<float>")

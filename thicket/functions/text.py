@@ -25,11 +25,12 @@ LANGUAGES = {"es": "es", "spa": "es", "en": "en", "eng": "en", "ca": "ca", "cat"
 MONTHS = "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split()
 
 
-def fold_accents(c: Column) -> Column:
-    """Letters without accents; multi-character folds first."""
+def fold_accents(c: Column, lowered: bool = False) -> Column:
+    """Letters without accents; multi-character folds first, those of capitals only if c may have some."""
     c = F.regexp_replace(c, "l·l|ŀl", "ll")
-    c = F.regexp_replace(c, "L·L|ĿL", "LL")
-    return F.translate(F.regexp_replace(c, "ß", "ss"), ACCENTED, FOLDED)
+    if not lowered:
+        c = F.regexp_replace(c, "L·L|ĿL", "LL")
+    return F.translate(F.replace(c, F.lit("ß"), F.lit("ss")), ACCENTED, FOLDED)
 
 
 def words(c: Column) -> Column:
@@ -104,7 +105,7 @@ class Normaliser:
         if self.lowercase:
             c = F.lower(c)
         if self.accents:
-            c = fold_accents(c)
+            c = fold_accents(c, self.lowercase)
         out = words(c) if self.punctuation else split_on_space(c)
         if self.remove_stopwords:
             out = without_stopwords(out, [fold(w) if self.strip_lists and self.accents else w for w in self.stopwords], [fold(w) if self.strip_lists and self.accents else w for w in self.preserve])

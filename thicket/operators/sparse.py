@@ -166,16 +166,22 @@ def top_k(index: Index, queries: DataFrame, k: int = 10, model: str = "okapi", *
         if len(sent) <= SENT_TERMS:
             least = [r.doc_id for r in index.docs.select(F.col("doc_id").cast("long").alias("doc_id")).orderBy("doc_id").limit(2 * k).collect()]
             matched, base = _sent_scores(index.tokens, sent, k, model, least, **parameters)
-            return filled(matched, base, index.docs.sparkSession.createDataFrame([(i,) for i in least], "doc_id long"), queries, k)
+            return filled(matched, base, index.docs.sparkSession.createDataFrame([(i,) for i in least], "doc_id long"), queries, k, few=True)
     return filled(scores(index, queries, model, **parameters), base_scores(index, queries, model, **parameters), index.docs, queries, k)
 
 
-def filled(matched: DataFrame, base: DataFrame, docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, doc_id, score): the k best of matched(query_id, doc_id, score), then documents that do not match, which score the query's base."""
-    best = ranked(matched, k).drop("rank")
+def filled(matched: DataFrame, base: DataFrame, docs: DataFrame, queries: DataFrame, k: int, few: bool = False) -> DataFrame:
+    """(query_id, rank, doc_id, score): the k best of matched(query_id, doc_id, score), then documents that do not match, which score the query's base.
+
+    Where few rows match, they are shuffled whole and made once, not twice.
+    """
     least = docs.select("doc_id").orderBy("doc_id").limit(2 * k)
     asked = base.select("query_id", F.round("base", 6).alias("score"))
     every = queries.select("query_id").distinct().join(asked, "query_id", "left").select("query_id", F.coalesce("score", F.lit(0.0)).alias("score"))
+    if few:
+        either = matched.select("query_id", "doc_id", "score", F.lit(False).alias("_fill")).unionByName(every.crossJoin(F.broadcast(least)).select("query_id", "doc_id", "score", F.lit(True).alias("_fill")))
+        return ranked(either.groupBy("query_id", "doc_id").agg(F.min_by("score", "_fill").alias("score")), k).select("query_id", "rank", "doc_id", "score")
+    best = ranked(matched, k).drop("rank")
     near = matched.join(F.broadcast(least), "doc_id").select("query_id", "doc_id")
     # The fill takes the least 2k doc_ids into account: k of them at most are matched already.
     fill = every.crossJoin(F.broadcast(least)).join(near, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", "score")
